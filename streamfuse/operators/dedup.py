@@ -35,6 +35,7 @@ class _Rule:
     ttl: int
     order: tuple[str, ...]
     block_ms: int
+    enter: str | None
 
     def in_order(self) -> Column:
         return F.struct(*self.order)
@@ -62,16 +63,19 @@ def dedup_ttl(
     hot_rows: int = 1_000_000,
     hot_keys: Sequence[int] | None = None,
     block_ms: int | None = None,
+    enter: str | None = None,
 ) -> DataFrame:
     """Add ``is_duplicate`` and ``anchor_ms``.
 
     Rows shuffle once, on the key. Keys with ``hot_rows`` rows or more take a second way that
-    never holds a key in one task. A row without a key is unique and has no anchor.
+    never holds a key in one task. A row without a key is unique and has no anchor. ``enter`` names a column
+    with the anchor, or null, that a key brings along from earlier data; its value is the same in
+    all rows of a key, and rows older than it are duplicates.
     """
     block_ms = block_ms or (ttl_ms + 1) * max(1, BLOCK_VALUES // (ttl_ms + 1))
     if block_ms <= ttl_ms:
         raise ValueError("block_ms must exceed ttl_ms")
-    rule = _Rule(_names(key), ts, ttl_ms, tuple(order), block_ms)
+    rule = _Rule(_names(key), ts, ttl_ms, tuple(order), block_ms, enter)
     if hot_keys is None:
         hot_keys = find_hot_keys(df, key, hot_rows)
     if not hot_keys:
@@ -121,7 +125,7 @@ def _by_window(df: DataFrame, rule: _Rule) -> DataFrame:
         .withColumn("_first", ~F.coalesce(near, F.lit(False)))
         .sortWithinPartitions(*sorting)  # already so after the window; states what the fold needs
     )
-    seed = F.lit(None).cast("bigint")
+    seed = F.col(rule.enter) if rule.enter else F.lit(None).cast("bigint")
     folded = grouped.withColumn("_fold", _fold(rule.ttl)(rule.ts, "_first", seed))
     return folded.select(
         *df.columns,
@@ -139,8 +143,12 @@ def _by_blocks(df: DataFrame, rule: _Rule) -> DataFrame:
     """
     keys, ts, ttl = list(rule.keys), rule.ts, rule.ttl
     block = F.col(ts) - F.pmod(F.col(ts), F.lit(rule.block_ms))
+    entered = F.lit(False)
+    if rule.enter:
+        entered = F.coalesce(F.col(ts) <= F.col(rule.enter) + ttl, F.lit(False))
     times = (
-        df.groupBy(*keys, ts)
+        df.filter(~entered)
+        .groupBy(*keys, ts)
         .agg(F.min(rule.in_order()).alias("_first"))
         .withColumn("_block_ms", block)
     )
@@ -211,10 +219,13 @@ def _by_blocks(df: DataFrame, rule: _Rule) -> DataFrame:
     )
     is_own = F.coalesce(F.col("_own.at") <= F.col(ts), F.lit(False))
     is_first = is_own & (F.col("_own.at") == F.col(ts)) & (F.col("_own.first") == rule.in_order())
+    anchor = F.when(is_own, F.col("_own.at")).otherwise(F.col("_before"))
+    if rule.enter:
+        anchor = F.when(entered, F.col(rule.enter)).otherwise(anchor)
     return tagged.select(
         *df.columns,
-        (~is_first).alias("is_duplicate"),
-        F.when(is_own, F.col("_own.at")).otherwise(F.col("_before")).alias("anchor_ms"),
+        (entered | ~is_first).alias("is_duplicate"),
+        anchor.alias("anchor_ms"),
     )
 
 
