@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 # A stored delivery: one message from one endpoint.
-DELIVERY = T.StructType.fromDDL(
-    """
+DELIVERY = """
     client_id string, endpoint string, ordinal int, seq bigint, received_ms bigint,
     transaction struct<
         transaction: struct<
@@ -17,15 +14,14 @@ DELIVERY = T.StructType.fromDDL(
         filters: array<string>,
         extra: map<string, string>>,
     pong struct<id: bigint>
-    """
-)
+"""
 
 # One row per transition or message of one client, in the order (ts_ms, seq).
-CONNECTION_LOG = T.StructType.fromDDL(
+CONNECTION_LOG = (
     "client_id string, endpoint string, ts_ms bigint, seq bigint, kind string, details string"
 )
 
-ENDPOINTS = T.StructType.fromDDL("client_id string, ordinal int, endpoint string, ping boolean")
+ENDPOINTS = "client_id string, ordinal int, endpoint string, ping boolean"
 
 # Kinds of the connection log.
 CONNECTED = "connected"
