@@ -84,7 +84,7 @@ def scan(
     sums, latest = dict(sums or {}), dict(latest or {})
     previous, following = dict(previous or {}), dict(following or {})
     inputs = {
-        **{f"_sum_{n}": c for n, c in sums.items()},
+        **{f"_sum_{n}": F.coalesce(c, F.lit(0)) for n, c in sums.items()},
         **{f"_lat_{n}": c for n, c in latest.items()},
         **{f"_pre_{n}": c for n, c in previous.items()},
         **{f"_fol_{n}": c for n, c in following.items()},
@@ -138,10 +138,7 @@ def scan(
     names = [*sums, *latest, *previous, *following]
     return joined.withColumns(
         {
-            **{
-                n: F.coalesce(F.col(n), F.lit(0)) + F.coalesce(f"_from_{n}", F.lit(0))
-                for n in sums
-            },
+            **{n: F.col(n) + F.coalesce(f"_from_{n}", F.lit(0)) for n in sums},
             **{n: F.coalesce(n, f"_from_{n}") for n in (*latest, *previous, *following)},
         }
     ).drop(BLOCK, *inputs, *[f"_from_{n}" for n in names])
