@@ -39,7 +39,7 @@ def dedup_ttl_stream(
     in one task: limit the rate at the source.
     """
     sorting = [ts, *order]
-    flags = T.StructType.fromDDL("is_duplicate boolean, anchor_ms bigint")
+    flags = T.StructType.fromDDL("_repeat boolean, _anchor_ms bigint")
     schema = T.StructType([*df.schema.fields, *flags.fields])
     columns = schema.names
 
@@ -76,14 +76,20 @@ def dedup_ttl_stream(
                 horizon = newest - ttl_ms - lateness_ms
                 known = {k: a for k, a in known.items() if a >= horizon}
             _store(state, known, newest)
-        yield rows.assign(is_duplicate=repeat, anchor_ms=anchor)[columns]
+        yield rows.assign(_repeat=repeat, _anchor_ms=anchor)[columns]
 
     bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
     spread = F.pmod(F.xxhash64(*sorting), F.lit(buckets)).cast("int")
     placed = df.withColumn("_bucket", F.when(F.col(key).isNull(), spread).otherwise(bucket))
-    return placed.groupBy("_bucket").applyInPandasWithState(
+    judged = placed.groupBy("_bucket").applyInPandasWithState(
         judge, schema, "anchors binary, newest_ms bigint", "append", GroupStateTimeout.NoTimeout
     )
+    # Renaming makes plain rows of the Arrow ones, which a sink that sorts cannot take.
+    return judged.select(
+        *df.columns,
+        F.col("_repeat").alias("is_duplicate"),
+        F.col("_anchor_ms").alias("anchor_ms"),
+    )
 
 
 def _load(state: GroupState) -> tuple[dict, int]:

@@ -30,22 +30,24 @@ def endpoint_events_stream(log: DataFrame) -> DataFrame:
         status[up & (was_up == False)] = "reconnected"  # noqa: E712 - a missing flag is not False
         state.update((bool(up.iloc[-1]),))
         out = rows[["client_id", "endpoint", "seq", "details"]].assign(
-            status=status, timestamp=rows["ts_ms"]
+            _status=status, timestamp=rows["ts_ms"]
         )
-        yield out[["client_id", "endpoint", "status", "timestamp", "seq", "details"]]
+        yield out[["client_id", "endpoint", "_status", "timestamp", "seq", "details"]]
 
-    return (
+    made = (
         log.filter(F.col("kind").isin(list(schemas.REPORTED)))
         .groupBy("client_id")
         .applyInPandasWithState(
             judge,
-            "client_id string, endpoint string, status string, timestamp bigint, seq bigint,"
+            "client_id string, endpoint string, _status string, timestamp bigint, seq bigint,"
             " details string",
             "up boolean",
             "append",
             GroupStateTimeout.NoTimeout,
         )
     )
+    # Renaming makes plain rows of the Arrow ones, which a sink that sorts cannot take.
+    return made.withColumnRenamed("_status", "status")
 
 
 def _latest_messages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,7 +79,7 @@ def stale_stream(log: DataFrame, stale_ms: int) -> DataFrame:
     ) -> Iterator[pd.DataFrame]:
         up, heard = state.get if state.exists else (False, None)
         if state.hasTimedOut:
-            yield pd.DataFrame({"client_id": [key[0]], "last_message_ms": [heard]})
+            yield pd.DataFrame({"client_id": [key[0]], "_heard_ms": [heard]})
             state.update((up, heard))  # the timer is gone until the next message or connect
             return
         rows = pd.concat(list(chunks), ignore_index=True).sort_values(["ts_ms", "seq"])
@@ -95,14 +97,15 @@ def stale_stream(log: DataFrame, stale_ms: int) -> DataFrame:
     slim = log.filter(F.col("kind").isin(schemas.TRANSACTION, *schemas.OWN_FLAG)).select(
         "client_id", "ts_ms", "seq", "kind"
     )
-    return (
+    found = (
         slim.mapInArrow(_latest_messages, slim.schema)
         .groupBy("client_id")
         .applyInPandasWithState(
             judge,
-            "client_id string, last_message_ms bigint",
+            "client_id string, _heard_ms bigint",
             "up boolean, heard_ms bigint",
             "append",
             GroupStateTimeout.ProcessingTimeTimeout,
         )
     )
+    return found.withColumnRenamed("_heard_ms", "last_message_ms")

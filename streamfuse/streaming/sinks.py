@@ -2,7 +2,7 @@
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamfuse.operators.dedup import split_unique
@@ -37,6 +37,11 @@ def flagged_sink(df: DataFrame, path: str, checkpoint: str):
     )
 
 
+def read_flagged(spark: SparkSession, path: str) -> DataFrame:
+    """Read such a table; folder names are text, so the flag is made a boolean again."""
+    return spark.read.parquet(path).withColumn("is_duplicate", F.col("is_duplicate").cast("boolean"))
+
+
 def split_write(df: DataFrame, path: str) -> None:
     """The stored form: one pass, one folder per flag, each writable and prunable on its own."""
     df.write.mode("overwrite").partitionBy("is_duplicate").parquet(path)
