@@ -19,9 +19,13 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from streamfuse.operators import anchors
+from streamfuse.session import fits_one_task
 
 ORDER = ("ordinal", "seq")
 
+# Rows of one key that are worth more than one task.
+HOT_ROWS = 1_000_000
+
 # Distinct milliseconds one task holds of one hot key.
 BLOCK_VALUES = 2_000_000
 # Ways a hot minute of a hot key is spread when its rows look up their anchor.
@@ -41,7 +45,7 @@ class _Rule:
         return F.struct(*self.order)
 
 
-def find_hot_keys(df: DataFrame, key: str | Sequence[str], min_rows: int = 1_000_000) -> list[int]:
+def find_hot_keys(df: DataFrame, key: str | Sequence[str], min_rows: int) -> list[int]:
     """Hashes of the keys with at least ``min_rows`` rows, at most 1000 of them.
 
     A mergeable sketch over one pass of the key column, without a shuffle of rows. Every key above
@@ -60,15 +64,15 @@ def dedup_ttl(
     ttl_ms: int,
     order: Sequence[str] = ORDER,
     *,
-    hot_rows: int = 1_000_000,
+    hot_rows: int | None = None,
     hot_keys: Sequence[int] | None = None,
     block_ms: int | None = None,
     enter: str | None = None,
 ) -> DataFrame:
     """Add ``is_duplicate`` and ``anchor_ms``.
 
-    Rows shuffle once, on the key. Keys with ``hot_rows`` rows or more take a second way that
-    never holds a key in one task. A row without a key is unique and has no anchor. ``enter`` names a column
+    Rows shuffle once, on the key. Keys with ``hot_rows`` rows or more (a million, when the input is
+    more than one task's work) take a second way that never holds a key in one task. A row without a key is unique and has no anchor. ``enter`` names a column
     with the anchor, or null, that a key brings along from earlier data; its value is the same in
     all rows of a key, and rows older than it are duplicates.
     """
@@ -76,8 +80,10 @@ def dedup_ttl(
     if block_ms <= ttl_ms:
         raise ValueError("block_ms must exceed ttl_ms")
     rule = _Rule(_names(key), ts, ttl_ms, tuple(order), block_ms, enter)
+    if hot_keys is None and hot_rows is None and fits_one_task(df):
+        hot_keys = []
     if hot_keys is None:
-        hot_keys = find_hot_keys(df, key, hot_rows)
+        hot_keys = find_hot_keys(df, key, hot_rows or HOT_ROWS)
     if not hot_keys:
         return _by_window(df, rule)
     hot = F.xxhash64(*rule.keys).isin(list(hot_keys)) & ~_keyless(rule)

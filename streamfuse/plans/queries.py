@@ -475,7 +475,7 @@ def a3_unique_pct(spark, sf_dir):
 
 @query
 def a4_running_rate(spark, sf_dir):
-    points = split_points(signed(spark, sf_dir), samples.ORDER)
+    points = split_points(samples.deliveries(spark, sf_dir), samples.ORDER)
     return counts.running_rate(judged(spark, sf_dir), samples.ORDER, every=10, points=points)
 
 
@@ -524,7 +524,7 @@ def a9_first_messages(spark, sf_dir):
 
 @query
 def a10_sequence_numbers(spark, sf_dir):
-    points = split_points(signed(spark, sf_dir), samples.ORDER)
+    points = split_points(samples.deliveries(spark, sf_dir), samples.ORDER)
     rows = judged(spark, sf_dir).select(*samples.ORDER, "is_duplicate")
     numbered = counts.sequence_numbers(rows, samples.ORDER, ["is_duplicate"], points=points)
     return numbered.select("ordinal", "seq", "is_duplicate", "number")

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from streamfuse.operators.dedup import next_tick
 from streamfuse.operators.health import client_changes_per_tick
 
 
@@ -68,33 +67,35 @@ def status_report(
     Every input is reduced to changes per tick first, so one row per tick reaches the running sums.
     """
 
-    def tick_of(column: str):
-        # What happened before the start belongs to the first tick.
-        return F.greatest(
-            next_tick("_at", tick_ms) + start_ms, F.lit(start_ms + tick_ms).cast("bigint")
-        ), (F.col(column) - start_ms).alias("_at")
+    def first_tick(column: Column) -> Column:
+        """First tick at or after a time; what happened before the start belongs to the first one."""
+        since = column - start_ms
+        tick = since + F.pmod(-since, F.lit(tick_ms)) + start_ms
+        return F.greatest(tick, F.lit(start_ms + tick_ms).cast("bigint"))
 
-    def counted(df: DataFrame, column: str, **sums) -> DataFrame:
-        tick, at = tick_of(column)
-        staged = df.select(at, *[s.cast("bigint").alias(n) for n, s in sums.items()])
-        return staged.groupBy(tick.alias("tick_ms")).agg(*[F.sum(n).alias(n) for n in sums])
+    def change(at: Column, **by: Column) -> Column:
+        names = ("transactions", "duplicates", "size")
+        values = [by.get(n, F.lit(0)).cast("bigint").alias(n) for n in names]
+        return F.struct(first_tick(at).alias("tick_ms"), *values)
 
-    one = F.lit(1)
-    repeat = F.col("is_duplicate")
-    anchored = deduped.filter(~repeat & F.col("anchor_ms").isNotNull())
-    expiring = anchored.select((F.col("anchor_ms") + ttl_ms + 1).alias("out_ms"))
+    repeat, anchor = F.col("is_duplicate"), F.col("anchor_ms")
+    one = F.when(repeat | anchor.isNull(), 0).otherwise(1)
+    # One pass over the judged rows: each is a message, an entry of the cache and its expiry.
+    moves = F.array(
+        change(F.col("received_ms"), transactions=~repeat, duplicates=repeat),
+        change(anchor, size=one),
+        change(anchor + ttl_ms + 1, size=-one),
+    )
+    feed = (
+        deduped.select(F.explode(moves).alias("m"))
+        .select("m.*")
+        .groupBy("tick_ms")
+        .agg(*[F.sum(n).alias(n) for n in ("transactions", "duplicates", "size")])
+    )
     clients = client_changes_per_tick(log, tick_ms, start_ms, points).withColumn(
         "tick_ms", F.greatest("tick_ms", F.lit(start_ms + tick_ms).cast("bigint"))
     )
-    parts = [
-        counted(deduped, "received_ms", transactions=~repeat, duplicates=repeat),
-        counted(anchored, "anchor_ms", size=one),
-        counted(expiring, "out_ms", size=-one),
-        clients,
-    ]
-    stacked = parts[0]
-    for part in parts[1:]:
-        stacked = stacked.unionByName(part, allowMissingColumns=True)
+    stacked = feed.unionByName(clients, allowMissingColumns=True)
     names = ["active", "seen", "transactions", "duplicates", "size"]
     changes = stacked.groupBy("tick_ms").agg(
         *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names]

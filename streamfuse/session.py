@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+# The size of one file split; input below it is the work of a single task at most.
+ONE_TASK_BYTES = 128 * 1024 * 1024
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
@@ -33,3 +36,12 @@ def shared_dir(spark: SparkSession) -> str:
 def new_work_dir(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; nothing is created or removed here."""
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def fits_one_task(df: DataFrame) -> bool:
+    """Whether the optimizer's estimate of the data is below one file split.
+
+    Only ever used to leave out preparations that small inputs do not need; never for results.
+    """
+    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(estimate) < ONE_TASK_BYTES
