@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from streamfuse.operators import anchors
-from streamfuse.session import fits_one_task
+from streamfuse.session import checkpointed, fits_one_task
 
 ORDER = ("ordinal", "seq")
 
@@ -28,8 +28,9 @@ HOT_ROWS = 1_000_000
 
 # Distinct milliseconds one task holds of one hot key.
 BLOCK_VALUES = 2_000_000
-# Ways a hot minute of a hot key is spread when its rows look up their anchor.
-SALTS = 32
+# Anchors of all hot keys that are sent to every task; above it their rows are spread by salt.
+BROADCAST_ROWS = 2_000_000
+SALTS = 256
 
 
 @dataclass(frozen=True)
@@ -57,6 +58,13 @@ def find_hot_keys(df: DataFrame, key: str | Sequence[str], min_rows: int) -> lis
     return [r["item"] for r in found or () if r["count"] >= min_rows]
 
 
+def hot_keys_of(df: DataFrame, key: str | Sequence[str], hot_rows: int | None) -> list[int]:
+    """The hot keys; without a threshold of its own, an input of one task's size has none."""
+    if hot_rows is None and fits_one_task(df):
+        return []
+    return find_hot_keys(df, key, hot_rows or HOT_ROWS)
+
+
 def dedup_ttl(
     df: DataFrame,
     key: str | Sequence[str],
@@ -80,16 +88,21 @@ def dedup_ttl(
     if block_ms <= ttl_ms:
         raise ValueError("block_ms must exceed ttl_ms")
     rule = _Rule(_names(key), ts, ttl_ms, tuple(order), block_ms, enter)
-    if hot_keys is None and hot_rows is None and fits_one_task(df):
-        hot_keys = []
     if hot_keys is None:
-        hot_keys = find_hot_keys(df, key, hot_rows or HOT_ROWS)
+        hot_keys = hot_keys_of(df, key, hot_rows)
     if not hot_keys:
         return _by_window(df, rule)
-    hot = F.xxhash64(*rule.keys).isin(list(hot_keys)) & ~_keyless(rule)
+    hot = is_hot(rule.keys, hot_keys)
     return _by_window(df.filter(~hot), rule).unionByName(_by_blocks(df.filter(hot), rule))
 
 
+def is_hot(key: str | Sequence[str], hot_keys: Sequence[int]) -> Column:
+    """Whether a row has one of the keys ``find_hot_keys`` listed."""
+    keys = _names(key)
+    missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    return F.xxhash64(*keys).isin(list(hot_keys)) & ~missing
+
+
 def _names(key: str | Sequence[str]) -> tuple[str, ...]:
     return (key,) if isinstance(key, str) else tuple(key)
 
@@ -145,7 +158,8 @@ def _by_blocks(df: DataFrame, rule: _Rule) -> DataFrame:
 
     Copies at one millisecond are combined before the shuffle. Each block of time works out which
     last anchor every possible first anchor leads to; chaining these small tables gives the
-    anchor each block starts with, then all blocks are folded in parallel.
+    anchor each block starts with, then all blocks are folded in parallel. Runs when called, up to
+    the table of anchors.
     """
     keys, ts, ttl = list(rule.keys), rule.ts, rule.ttl
     block = F.col(ts) - F.pmod(F.col(ts), F.lit(rule.block_ms))
@@ -213,16 +227,21 @@ def _by_blocks(df: DataFrame, rule: _Rule) -> DataFrame:
         F.lit(None).cast(own.schema["_own"].dataType).alias("_own"),
         F.col(ts).alias("_before"),
     )
-    lookup = (
+    lookup = checkpointed(
         own.unionByName(after)
         .groupBy(*keys, "_cell")
         .agg(F.max("_own").alias("_own"), F.max("_before").alias("_before"))
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    )
-    salt = F.pmod(F.xxhash64(*rule.order), F.lit(SALTS)).cast("int")
-    tagged = df.withColumns({"_cell": cell(ts), "_salt": salt}).join(
-        lookup, [*keys, "_cell", "_salt"], "left"
     )
+    rows = df.withColumn("_cell", cell(ts))
+    if lookup.count() <= BROADCAST_ROWS:
+        # The usual case: a few hot keys with one anchor per time-to-live. Their rows do not shuffle.
+        tagged = rows.join(F.broadcast(lookup), [*keys, "_cell"], "left")
+    else:
+        salt = F.pmod(F.xxhash64(*rule.order), F.lit(SALTS)).cast("int")
+        copies = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+        tagged = rows.withColumn("_salt", salt).join(
+            lookup.withColumn("_salt", copies), [*keys, "_cell", "_salt"], "left"
+        )
     is_own = F.coalesce(F.col("_own.at") <= F.col(ts), F.lit(False))
     is_first = is_own & (F.col("_own.at") == F.col(ts)) & (F.col("_own.first") == rule.in_order())
     anchor = F.when(is_own, F.col("_own.at")).otherwise(F.col("_before"))

@@ -39,13 +39,19 @@ signed AS (SELECT * FROM deliveries WHERE signature IS NOT NULL),
 )
 
 
-def judged(ttl_ms: int) -> str:
+WANTED = """((kind = 'other' AND account_keys[1] IN ('u3', 'u5', 'u8', 'u13'))
+    OR (kind = 'transaction' AND list_has_any(account_keys, ['tclick', 'tpurchase'])
+        AND NOT list_contains(account_keys, 'm2') AND NOT coalesce(is_vote, FALSE) AND NOT failed)
+    OR (kind = 'transaction' AND list_contains(account_keys, 'terror')))"""
+
+
+def judged(ttl_ms: int, where: str = "TRUE") -> str:
     """Fold of the rule, one row per key and step."""
     return (
         DELIVERIES
         + f"""
 numbered AS (SELECT *, row_number() OVER (PARTITION BY signature ORDER BY received_ms, ordinal, seq) AS rn
-    FROM signed),
+    FROM signed WHERE {where}),
 folded AS (SELECT signature, rn, received_ms AS anchor_ms, FALSE AS is_duplicate FROM numbered WHERE rn = 1
     UNION ALL
     SELECT d.signature, d.rn,
@@ -190,12 +196,14 @@ SELECT event_id, 'u' || user_id::VARCHAR AS owner FROM events
 WHERE user_id IN (SELECT user_id FROM events WHERE value > 150)""",
     "f5_subscribe": select(
         DELIVERIES,
-        """
-SELECT ordinal, seq, kind FROM deliveries WHERE commitment IN ('confirmed', 'finalized') AND (
-    (kind = 'other' AND account_keys[1] IN ('u3', 'u5', 'u8', 'u13'))
-    OR (kind = 'transaction' AND list_has_any(account_keys, ['tclick', 'tpurchase'])
-        AND NOT list_contains(account_keys, 'm2') AND NOT coalesce(is_vote, FALSE) AND NOT failed)
-    OR (kind = 'transaction' AND list_contains(account_keys, 'terror')))""",
+        f"""
+SELECT ordinal, seq, kind FROM deliveries WHERE commitment IN ('confirmed', 'finalized') AND {WANTED}""",
+    ),
+    "feed_end_to_end": select(
+        judged(TTL_MS, f"commitment IN ('confirmed', 'finalized') AND {WANTED}"),
+        f"""
+SELECT *, {share('n_unique', 'n_total')} AS unique_pct, {share('n_duplicate', 'n_total')} AS duplicate_pct
+FROM (SELECT client_id, endpoint, {COUNTS} FROM judged GROUP BY ALL)""",
     ),
     "f6_commitment": select(
         DELIVERIES,

@@ -13,6 +13,7 @@ from streamfuse.functions.render import preview, render_binary
 from streamfuse.operators import counts, dedup, events, health, subscriptions
 from streamfuse.operators.ordered import prefix_sum, split_points
 from streamfuse.plans import reports, samples
+from streamfuse.plans.feed import Feed
 from streamfuse.session import new_work_dir
 from streamfuse.sources import feeds, routing
 from streamfuse.streaming import dedup as stream_dedup
@@ -94,6 +95,17 @@ def r1_route(spark, sf_dir):
     )
 
 
+@query
+def feed_end_to_end(spark, sf_dir):
+    feed = Feed(samples.ENDPOINTS, request=REQUEST)
+    source = samples.read_events(spark, sf_dir)
+    merged = feed.merge(
+        [samples.endpoint_deliveries(source, i) for i in range(1, len(samples.ENDPOINTS) + 1)]
+    )
+    with_owner = merged.withColumn("owner", F.get("account_keys", F.lit(0)))
+    return counts.dedup_counts(feed.judge(feed.select(with_owner)), by=["client_id", "endpoint"])
+
+
 # Filters
 
 

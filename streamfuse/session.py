@@ -33,6 +33,14 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Compute a small table once and keep it in the shared folder, where it survives lost executors."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_dir(df.sparkSession))
+    return df.checkpoint()
+
+
 def new_work_dir(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; nothing is created or removed here."""
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -7,6 +7,7 @@ table; payload never leaves the JVM there and hot keys are spread.
 
 import io
 from collections.abc import Callable, Iterator, Sequence
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -17,7 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from streamfuse.operators.anchors import mark_anchors
-from streamfuse.operators.dedup import ORDER, dedup_ttl
+from streamfuse.operators.dedup import ORDER, dedup_ttl, hot_keys_of, is_hot
 
 
 def dedup_ttl_stream(
@@ -137,22 +138,38 @@ class MicroBatchDedup:
         ttl_ms: int,
         order: Sequence[str] = ORDER,
         lateness_ms: int = 600_000,
-        **options,
+        hot_rows: int | None = None,
     ):
         self.state_path, self.key, self.ts, self.ttl_ms = state_path, key, ts, ttl_ms
-        self.order, self.lateness_ms, self.options = tuple(order), lateness_ms, options
+        self.order, self.lateness_ms, self.hot_rows = tuple(order), lateness_ms, hot_rows
 
     def _folder(self, batch_id: int) -> str:
         return f"{self.state_path.rstrip('/')}/anchors-{batch_id % 2}"
 
     def judged(self, batch: DataFrame, known: DataFrame | None) -> DataFrame:
         """The batch with ``is_duplicate`` and ``anchor_ms``, given the anchors carried so far."""
+        hot_keys = hot_keys_of(batch, self.key, self.hot_rows)
+        judge = partial(
+            dedup_ttl, key=self.key, ts=self.ts, ttl_ms=self.ttl_ms, order=self.order, hot_keys=hot_keys
+        )
         if known is None:
-            return dedup_ttl(batch, self.key, self.ts, self.ttl_ms, self.order, **self.options)
-        entered = batch.join(known.withColumnRenamed("anchor_ms", "_enter_ms"), self.key, "left")
-        return dedup_ttl(
-            entered, self.key, self.ts, self.ttl_ms, self.order, enter="_enter_ms", **self.options
-        ).select(*batch.columns, "is_duplicate", "anchor_ms")
+            return judge(batch)
+        known = known.withColumnRenamed("anchor_ms", "_enter_ms")
+        if hot_keys:
+            # At most one anchor for each of the listed keys, so these are sent to every task.
+            hot = is_hot(self.key, hot_keys)
+            entered = (
+                batch.filter(~hot)
+                .join(known, self.key, "left")
+                .unionByName(
+                    batch.filter(hot).join(F.broadcast(known.filter(hot)), self.key, "left")
+                )
+            )
+        else:
+            entered = batch.join(known, self.key, "left")
+        return judge(entered, enter="_enter_ms").select(
+            *batch.columns, "is_duplicate", "anchor_ms"
+        )
 
     def run(
         self, batch: DataFrame, batch_id: int, write: Callable[[DataFrame, int], None]
