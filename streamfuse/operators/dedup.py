@@ -24,7 +24,7 @@ from streamfuse.session import checkpointed, fits_one_task
 ORDER = ("ordinal", "seq")
 
 # Rows of one key that are worth more than one task.
-HOT_ROWS = 1_000_000
+HOT_ROWS = 5_000_000
 
 # Distinct milliseconds one task holds of one hot key.
 BLOCK_VALUES = 2_000_000
@@ -79,7 +79,7 @@ def dedup_ttl(
 ) -> DataFrame:
     """Add ``is_duplicate`` and ``anchor_ms``.
 
-    Rows shuffle once, on the key. Keys with ``hot_rows`` rows or more (a million, when the input is
+    Rows shuffle once, on the key. Keys with ``hot_rows`` rows or more (five million, when the input is
     more than one task's work) take a second way that never holds a key in one task. A row without a key is unique and has no anchor. ``enter`` names a column
     with the anchor, or null, that a key brings along from earlier data; its value is the same in
     all rows of a key, and rows older than it are duplicates.
@@ -166,12 +166,7 @@ def _by_blocks(df: DataFrame, rule: _Rule) -> DataFrame:
     entered = F.lit(False)
     if rule.enter:
         entered = F.coalesce(F.col(ts) <= F.col(rule.enter) + ttl, F.lit(False))
-    times = (
-        df.filter(~entered)
-        .groupBy(*keys, ts)
-        .agg(F.min(rule.in_order()).alias("_first"))
-        .withColumn("_block_ms", block)
-    )
+    times = df.filter(~entered).select(*keys, ts).distinct().withColumn("_block_ms", block)
 
     longs = T.ArrayType(T.LongType())
     exits_schema = (
@@ -187,11 +182,7 @@ def _by_blocks(df: DataFrame, rule: _Rule) -> DataFrame:
             "_exits", pa.array([exits], pa.list_(pa.int64()))
         )
 
-    exits = (
-        times.select(*keys, ts, "_block_ms")
-        .groupBy(*keys, "_block_ms")
-        .applyInArrow(block_table, exits_schema)
-    )
+    exits = times.groupBy(*keys, "_block_ms").applyInArrow(block_table, exits_schema)
     in_key = Window.partitionBy(*keys).orderBy("_block_ms")
     entering = (
         exits.withColumn("_opens", F.lag("_block_ms").over(in_key).isNull())
@@ -201,13 +192,21 @@ def _by_blocks(df: DataFrame, rule: _Rule) -> DataFrame:
     )
 
     in_block = Window.partitionBy(*keys, "_block_ms").orderBy(ts)
-    found = (
+    found = checkpointed(
         times.join(entering, [*keys, "_block_ms"], "left")
         .withColumn("_opens", F.lag(ts).over(in_block).isNull())
         .sortWithinPartitions(*keys, "_block_ms", ts)
         .withColumn("_fold", _fold(ttl)(ts, "_opens", "_enter_ms"))
         .filter(~F.col("_fold.is_duplicate"))
+        .select(*keys, ts)
     )
+    # The usual case: a few hot keys with one anchor per time-to-live. Their rows do not shuffle.
+    small = found.count() <= BROADCAST_ROWS
+    # Of the rows at an anchor's time the first one in order owns it.
+    at_anchor = df.join(F.broadcast(found), [*keys, ts], "left_semi") if small else df
+    owners = at_anchor.groupBy(*keys, ts).agg(F.min(rule.in_order()).alias("_first"))
+    if not small:
+        owners = owners.join(found, [*keys, ts], "left_semi")
 
     # A cell of ttl + 1 ms has at most one anchor, and a row's anchor is in its cell or the one before.
     width = ttl + 1
@@ -215,26 +214,20 @@ def _by_blocks(df: DataFrame, rule: _Rule) -> DataFrame:
     def cell(c: str) -> Column:
         return F.col(c) - F.pmod(F.col(c), F.lit(width))
 
-    own = found.select(
-        *keys,
-        cell(ts).alias("_cell"),
-        F.struct(F.col(ts).alias("at"), F.col("_first").alias("first")).alias("_own"),
-        F.lit(None).cast("bigint").alias("_before"),
-    )
-    after = found.select(
-        *keys,
+    own = F.struct(F.col(ts).alias("at"), F.col("_first").alias("first"))
+    here = F.struct(cell(ts).alias("_cell"), own.alias("_own"), F.lit(None).cast("bigint").alias("_before"))
+    after = F.struct(
         (cell(ts) + width).alias("_cell"),
-        F.lit(None).cast(own.schema["_own"].dataType).alias("_own"),
+        F.when(F.lit(False), own).alias("_own"),
         F.col(ts).alias("_before"),
     )
-    lookup = checkpointed(
-        own.unionByName(after)
-        .groupBy(*keys, "_cell")
-        .agg(F.max("_own").alias("_own"), F.max("_before").alias("_before"))
+    lookup = (
+        owners.select(*keys, F.explode(F.array(here, after)).alias("e"))
+        .groupBy(*keys, "e._cell")
+        .agg(F.max("e._own").alias("_own"), F.max("e._before").alias("_before"))
     )
     rows = df.withColumn("_cell", cell(ts))
-    if lookup.count() <= BROADCAST_ROWS:
-        # The usual case: a few hot keys with one anchor per time-to-live. Their rows do not shuffle.
+    if small:
         tagged = rows.join(F.broadcast(lookup), [*keys, "_cell"], "left")
     else:
         salt = F.pmod(F.xxhash64(*rule.order), F.lit(SALTS)).cast("int")

@@ -33,12 +33,15 @@ def judged_by(frame):
 
 
 @pytest.mark.parametrize("ttl", [0, 1, 60, 700])
-@pytest.mark.parametrize("way", ["window", "blocks", "mixed"])
-def test_same_as_the_plain_fold(spark, ttl, way):
+@pytest.mark.parametrize("way", ["window", "blocks", "mixed", "salted"])
+def test_same_as_the_plain_fold(spark, monkeypatch, ttl, way):
+    if way == "salted":
+        monkeypatch.setattr(dedup, "BROADCAST_ROWS", 0)
+        monkeypatch.setattr(dedup, "SALTS", 5)
     rows = rows_of(ttl)
     frame = spark.createDataFrame(rows, SCHEMA)
     hashes = [r.h for r in frame.select(F.xxhash64("signature").alias("h")).distinct().collect()]
-    hot = {"window": [], "blocks": hashes, "mixed": hashes[::2]}[way]
+    hot = {"window": [], "blocks": hashes, "mixed": hashes[::2], "salted": hashes}[way]
     got = judged_by(
         dedup.dedup_ttl(
             frame, "signature", "received_ms", ttl, hot_keys=hot, block_ms=3 * (ttl + 1)
