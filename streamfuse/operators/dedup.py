@@ -79,10 +79,11 @@ def dedup_ttl(
 ) -> DataFrame:
     """Add ``is_duplicate`` and ``anchor_ms``.
 
-    Rows shuffle once, on the key. Keys with ``hot_rows`` rows or more (five million, when the input is
-    more than one task's work) take a second way that never holds a key in one task. A row without a key is unique and has no anchor. ``enter`` names a column
-    with the anchor, or null, that a key brings along from earlier data; its value is the same in
-    all rows of a key, and rows older than it are duplicates.
+    Rows shuffle once, on the key. Keys with ``hot_rows`` rows or more (five million, when the input
+    is more than one task's work) take a second way that never holds a key in one task. A row
+    without a key is unique and has no anchor. ``enter`` names a column with the anchor, or null, that
+    a key brings along from earlier data; its value is the same in all rows of a key, and rows older
+    than it are duplicates.
     """
     block_ms = block_ms or (ttl_ms + 1) * max(1, BLOCK_VALUES // (ttl_ms + 1))
     if block_ms <= ttl_ms:
@@ -208,14 +209,18 @@ def _by_blocks(df: DataFrame, rule: _Rule) -> DataFrame:
     if not small:
         owners = owners.join(found, [*keys, ts], "left_semi")
 
-    # A cell of ttl + 1 ms has at most one anchor, and a row's anchor is in its cell or the one before.
+    # A cell of ttl + 1 ms has at most one anchor; a row's anchor is in its cell or the one before.
     width = ttl + 1
 
     def cell(c: str) -> Column:
         return F.col(c) - F.pmod(F.col(c), F.lit(width))
 
     own = F.struct(F.col(ts).alias("at"), F.col("_first").alias("first"))
-    here = F.struct(cell(ts).alias("_cell"), own.alias("_own"), F.lit(None).cast("bigint").alias("_before"))
+    here = F.struct(
+        cell(ts).alias("_cell"),
+        own.alias("_own"),
+        F.lit(None).cast("bigint").alias("_before"),
+    )
     after = F.struct(
         (cell(ts) + width).alias("_cell"),
         F.when(F.lit(False), own).alias("_own"),

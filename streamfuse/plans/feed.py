@@ -21,19 +21,22 @@ from streamfuse.streaming import sinks
 class Feed:
     """Endpoints, options and a subscription; the methods take and return DataFrames.
 
-    Stored and streaming inputs go through the same methods, except that reports as of a point in time
-    need stored ones. Rows carry ``signature``, ``received_ms`` and ``seq`` besides the
+    Stored and streaming inputs go through the same methods, except that reports as of a point in
+    time need stored ones. Rows carry ``signature``, ``received_ms`` and ``seq`` besides the
     columns the subscription speaks of.
     """
 
     endpoints: Sequence[Endpoint]
     options: PoolOptions = field(default_factory=PoolOptions)
     request: SubscribeRequest | Mapping | None = None
+    state_buckets: int = 1024
 
     def endpoints_table(self, spark: SparkSession) -> DataFrame:
         return feeds.endpoints_table(spark, self.endpoints)
 
-    def merge(self, sources: Sequence[DataFrame | str], spark: SparkSession | None = None) -> DataFrame:
+    def merge(
+        self, sources: Sequence[DataFrame | str], spark: SparkSession | None = None
+    ) -> DataFrame:
         """One source per endpoint; a path that cannot be read is left out while any other can."""
         pairs = list(zip(self.endpoints, sources, strict=True))
         return feeds.fan_in(pairs, spark, require_any=True)
@@ -45,8 +48,10 @@ class Feed:
 
     def judge(self, selected: DataFrame) -> DataFrame:
         """Mark repeats within the time-to-live."""
-        judge = stream_dedup.dedup_ttl_stream if selected.isStreaming else dedup.dedup_ttl
-        return judge(selected, "signature", "received_ms", self.options.dedup_ttl_ms)
+        by = ("signature", "received_ms", self.options.dedup_ttl_ms)
+        if selected.isStreaming:
+            return stream_dedup.dedup_ttl_stream(selected, *by, buckets=self.state_buckets)
+        return dedup.dedup_ttl(selected, *by)
 
     def transactions(self, judged: DataFrame, data: Sequence[str]) -> DataFrame:
         return events.transaction_events(dedup.split_unique(judged)[0], data)
@@ -84,6 +89,6 @@ class Feed:
         )
 
     def on(self, judged: DataFrame, checkpoint: str, **handlers: Callable[[DataFrame, int], None]):
-        """Call ``transaction`` and ``duplicate`` handlers on every micro-batch of a judged stream."""
+        """Call ``transaction`` and ``duplicate`` handlers on each micro-batch of a judged stream."""
         kind = F.when(F.col("is_duplicate"), "duplicate").otherwise("transaction")
         return sinks.on_events(judged.withColumn("type", kind), handlers, checkpoint)

@@ -200,7 +200,9 @@ def p1_transaction_events(spark, sf_dir):
     made = events.transaction_events(
         unique, ["slot", "fee", "meta_json"], text=hex_text, fallback_ms=F.lit(NOW_MS)
     )
-    return made.select("signature", "data.slot", "data.fee", "data.meta_json", "source", "timestamp")
+    return made.select(
+        "signature", "data.slot", "data.fee", "data.meta_json", "source", "timestamp"
+    )
 
 
 @query
@@ -344,10 +346,8 @@ def p12_status_label(spark, sf_dir):
 @query
 def p13_error_fields(spark, sf_dir):
     log = samples.connection_log(spark, sf_dir).filter(F.col("details").isNotNull())
-    stack = F.when(
-        F.col("seq") % 3 != 0,
-        F.concat("details", F.lit("\n    at connect:"), F.col("seq").cast("string"), F.lit("\n  at x")),
-    ).otherwise(F.col("details"))
+    where = F.concat(F.lit("\n    at connect:"), F.col("seq").cast("string"), F.lit("\n  at x"))
+    stack = F.when(F.col("seq") % 3 != 0, F.concat("details", where)).otherwise(F.col("details"))
     message = F.col("details")
     return log.select(
         "seq",
@@ -530,7 +530,11 @@ def a9_first_messages(spark, sf_dir):
     first = counts.first_messages(signed(spark, sf_dir), samples.ORDER, 5)
     status = payload.tx_status(F.parse_json("meta_json"))
     return first.select(
-        hex_text(F.col("signature")).alias("signature"), "ordinal", "seq", "slot", status.alias("status")
+        hex_text(F.col("signature")).alias("signature"),
+        "ordinal",
+        "seq",
+        "slot",
+        status.alias("status"),
     )
 
 
@@ -646,6 +650,8 @@ def k2_event_log(spark, sf_dir):
             "DUPLICATE": brief(duplicates),
             "POOL": pool.select("timestamp", "status"),
             "ENDPOINT": endpoint.select("timestamp", "client_id", "endpoint", "status"),
-            "ERROR": errors.select(F.col("ts_ms").alias("timestamp"), F.col("details").alias("message")),
+            "ERROR": errors.select(
+                F.col("ts_ms").alias("timestamp"), F.col("details").alias("message")
+            ),
         }
     )

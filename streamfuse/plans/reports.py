@@ -68,7 +68,7 @@ def status_report(
     """
 
     def first_tick(column: Column) -> Column:
-        """First tick at or after a time; what happened before the start belongs to the first one."""
+        """First tick at or after a time; what came before the start belongs to the first one."""
         since = column - start_ms
         tick = since + F.pmod(-since, F.lit(tick_ms)) + start_ms
         return F.greatest(tick, F.lit(start_ms + tick_ms).cast("bigint"))

@@ -34,7 +34,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Compute a small table once and keep it in the shared folder, where it survives lost executors."""
+    """Compute a small table once; kept in the shared folder it survives lost executors."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(df.sparkSession))

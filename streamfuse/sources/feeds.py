@@ -32,15 +32,15 @@ def fan_in(
 ) -> DataFrame:
     """Union of all sources, every row tagged with its client and endpoint; no row is dropped.
 
-    Works on stored and streaming DataFrames alike. A source may be given as a Parquet path. With
-    ``require_any`` a path that cannot be read is skipped with a warning, and only a feed
-    without any readable source is an error; its clients keep their numbers either way.
+    Works on stored and streaming DataFrames alike. A source may be given as a Parquet path or the
+    name of a table. With ``require_any`` one that is missing is skipped with a warning, and only a feed
+    without any readable source is an error; clients keep their numbers either way.
     """
     tagged, missing = [], []
     for ordinal, (endpoint, source) in enumerate(sources, start=1):
         if isinstance(source, str):
             try:
-                source = _reader(spark).parquet(source)
+                source = _stored(source, spark)
             except AnalysisException as problem:
                 if not require_any:
                     raise
@@ -61,11 +61,11 @@ def fan_in(
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
 
 
-def _reader(spark: SparkSession | None):
+def _stored(name: str, spark: SparkSession | None) -> DataFrame:
     session = spark or SparkSession.getActiveSession()
     if session is None:
-        raise ValueError("a source given as a path needs a session")
-    return session.read
+        raise ValueError("a source given by name needs a session")
+    return session.read.parquet(name) if "/" in name else session.read.table(name)
 
 
 def read_deliveries(

@@ -40,5 +40,6 @@ def flatten_transactions(df: DataFrame) -> DataFrame:
             "signature": body["signature"],
             "is_vote": body["isVote"],
             "slot": F.col("transaction.slot"),
+            "meta": F.try_parse_json("transaction.meta"),
         }
     )

@@ -1,7 +1,7 @@
 """Anchored deduplication of a stream.
 
-Two forms of one rule. ``dedup_ttl_stream`` is a stateful operator that fits into any streaming query.
-``MicroBatchDedup`` judges each micro-batch with the batch operator and keeps the live anchors as a
+Two forms of one rule. ``dedup_ttl_stream`` is a stateful operator that fits into any streaming
+query. ``MicroBatchDedup`` judges each micro-batch with the batch operator and keeps the live anchors as a
 table; payload never leaves the JVM there and hot keys are spread.
 """
 
@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from streamfuse.operators.anchors import mark_anchors
-from streamfuse.operators.dedup import ORDER, dedup_ttl, hot_keys_of, is_hot
+from streamfuse.operators.dedup import ORDER, dedup_ttl, find_hot_keys, is_hot
 
 
 def dedup_ttl_stream(
@@ -30,14 +30,15 @@ def dedup_ttl_stream(
     lateness_ms: int | None = 600_000,
     buckets: int = 1024,
 ) -> DataFrame:
-    """Add ``is_duplicate`` and ``anchor_ms`` to a stream; a row older than its anchor is a duplicate.
-
-    State is kept per bucket of keys, not per key, so that one call judges many keys at once.
-    A key leaves the state when the bucket's newest row is later than ``anchor + ttl + lateness_ms``:
-    by the feed's own clock, never by wall clock, so a replay gives the same result. No row is
-    dropped, however late; ``lateness_ms=None`` keeps every key. ``buckets`` must not change over the
-    life of a checkpoint. Rows without a key are unique. All rows of a bucket in one micro-batch meet
-    in one task: limit the rate at the source.
+    """Add ``is_duplicate`` and ``anchor_ms`` to a stream.
+
+    ``key`` is a binary or text column; rows without one are unique. A row older than its anchor is a
+    duplicate. State is kept per bucket of keys, not per key, so that one call judges many keys.
+    A key leaves the state when its bucket's newest row is later than anchor, ``ttl_ms`` and
+    ``lateness_ms`` together: by the feed's own clock, never by wall clock, so a replay gives the same
+    result. No row is dropped, however late; ``lateness_ms=None`` keeps every key. ``buckets`` must
+    not change over the life of a checkpoint. All rows of a bucket in one micro-batch meet in one
+    task: limit the rate at the source.
     """
     sorting = [ts, *order]
     flags = T.StructType.fromDDL("_repeat boolean, _anchor_ms bigint")
@@ -127,7 +128,8 @@ class MicroBatchDedup:
     A batch reads the anchors the batch before it wrote and writes its own into the other of two
     folders below ``state_path``, so a batch that is repeated after a failure finds its input
     untouched. Carried are the anchors within ``ttl`` plus ``lateness_ms`` of the newest row; a row
-    later than that is judged by the rows of its own batch.
+    later than that is judged by the rows of its own batch. With ``hot_rows``, keys with that many
+    rows in a batch are spread; finding them is one more pass over the batch, which is kept for it.
     """
 
     def __init__(
@@ -148,9 +150,14 @@ class MicroBatchDedup:
 
     def judged(self, batch: DataFrame, known: DataFrame | None) -> DataFrame:
         """The batch with ``is_duplicate`` and ``anchor_ms``, given the anchors carried so far."""
-        hot_keys = hot_keys_of(batch, self.key, self.hot_rows)
+        hot_keys = find_hot_keys(batch, self.key, self.hot_rows) if self.hot_rows else []
         judge = partial(
-            dedup_ttl, key=self.key, ts=self.ts, ttl_ms=self.ttl_ms, order=self.order, hot_keys=hot_keys
+            dedup_ttl,
+            key=self.key,
+            ts=self.ts,
+            ttl_ms=self.ttl_ms,
+            order=self.order,
+            hot_keys=hot_keys,
         )
         if known is None:
             return judge(batch)
@@ -181,6 +188,8 @@ class MicroBatchDedup:
                 [batch.schema[key], *T.StructType.fromDDL("anchor_ms bigint").fields]
             )
             known = batch.sparkSession.read.schema(schema).parquet(self._folder(batch_id - 1))
+        if self.hot_rows:
+            batch = batch.persist()
         judged = self.judged(batch, known).persist()
         try:
             write(judged, batch_id)
@@ -193,3 +202,5 @@ class MicroBatchDedup:
             latest.write.mode("overwrite").parquet(self._folder(batch_id))
         finally:
             judged.unpersist()
+            if self.hot_rows:
+                batch.unpersist()

@@ -39,7 +39,8 @@ def flagged_sink(df: DataFrame, path: str, checkpoint: str):
 
 def read_flagged(spark: SparkSession, path: str) -> DataFrame:
     """Read such a table; folder names are text, so the flag is made a boolean again."""
-    return spark.read.parquet(path).withColumn("is_duplicate", F.col("is_duplicate").cast("boolean"))
+    flag = F.col("is_duplicate").cast("boolean")
+    return spark.read.parquet(path).withColumn("is_duplicate", flag)
 
 
 def split_write(df: DataFrame, path: str) -> None:
@@ -47,7 +48,9 @@ def split_write(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").partitionBy("is_duplicate").parquet(path)
 
 
-def on_events(df: DataFrame, handlers: Mapping[str, Callable[[DataFrame, int], None]], checkpoint: str):
+def on_events(
+    df: DataFrame, handlers: Mapping[str, Callable[[DataFrame, int], None]], checkpoint: str
+):
     """Call user functions on every micro-batch, one per event family of column ``type``.
 
     A handler gets the rows of its family as a DataFrame; it may be called again for the same batch

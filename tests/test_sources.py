@@ -27,6 +27,10 @@ def test_missing_sources_are_skipped_only_on_request(spark, tmp_path):
     assert {r.client_id for r in feed.collect()} == {"client-2"} and feed.count() == 4
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         feeds.fan_in(sources, spark)
+    spark.range(2).createOrReplaceTempView("there_too")
+    named = [(A, "not_there"), (B, "there_too")]
+    with pytest.warns(UserWarning, match="TABLE_OR_VIEW_NOT_FOUND"):
+        assert feeds.fan_in(named, spark, require_any=True).count() == 2
     with pytest.warns(UserWarning), pytest.raises(ValueError, match="no usable source"):
         feeds.fan_in(sources[:1], spark, require_any=True)
     with pytest.raises(ValueError, match="no usable source"):

@@ -28,16 +28,18 @@ def main(copies: int, sf_dir: str) -> None:
     n = F.col("event_id") * copies + F.col("copy")
     rows = (
         samples.read_events(spark, sf_dir)
-        .select("event_id", samples.event_ms().alias("ts"), F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("copy"))
+        .withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+        .select("event_id", samples.event_ms().alias("ts"), "copy")
         .select(
             n.alias("seq"),
             (F.col("ts") + F.col("copy") * 37).alias("received_ms"),
-            F.when(n % 3 == 0, F.lit(-1)).otherwise(F.call_function("div", n, F.lit(4))).alias("key"),
+            F.when(n % 3 == 0, -1).otherwise(F.call_function("div", n, F.lit(4))).alias("key"),
         )
     )
     began = time.time()
     hot = find_hot_keys(rows, "key", 1_000_000)
-    print(f"{rows.count()} rows, {len(hot)} hot key(s) found in {time.time() - began:.1f}s", flush=True)
+    took = time.time() - began
+    print(f"{rows.count()} rows, {len(hot)} hot key(s) found in {took:.1f}s", flush=True)
     for name, keys in (("hot keys by blocks", hot), ("one task per key", [])):
         began = time.time()
         judged = dedup_ttl(rows, "key", "received_ms", 60_000, ["seq"], hot_keys=keys)
@@ -46,4 +48,5 @@ def main(copies: int, sf_dir: str) -> None:
 
 
 if __name__ == "__main__":
-    main(int(sys.argv[1]) if len(sys.argv) > 1 else 300, sys.argv[2] if len(sys.argv) > 2 else "/root/testdata/sf0.1")
+    arguments = dict(zip(("copies", "sf_dir"), sys.argv[1:], strict=False))
+    main(int(arguments.get("copies", 300)), arguments.get("sf_dir", "/root/testdata/sf0.1"))
