@@ -39,16 +39,18 @@ def encode(values: pa.Array) -> pa.Array:
     # Long division by 58**5, least significant digits last.
     groups = -(-(width * 138 // 100 + 1) // DIGITS)
     digits = np.zeros((n, groups * DIGITS), dtype=np.uint8)
-    for g in range(groups - 1, -1, -1):
+    for step, g in enumerate(range(groups - 1, -1, -1)):
         rest = np.zeros(n, dtype=np.uint64)
-        for limb in limbs:
+        # Each division takes more than 29 bits, so limbs in front are already zero.
+        for limb in limbs[step * 29 // 32 :]:
             value = (rest << np.uint64(32)) | limb
-            quotient = value // np.uint64(STEP)
-            rest = value - quotient * np.uint64(STEP)
-            limb[:] = quotient
+            limb[:] = value // np.uint64(STEP)
+            rest = value - limb * np.uint64(STEP)
+        low = rest.astype(np.uint32)
         for d in range(DIGITS - 1, -1, -1):
-            digits[:, g * DIGITS + d] = rest % np.uint64(58)
-            rest //= np.uint64(58)
+            high = low // np.uint32(58)
+            digits[:, g * DIGITS + d] = low - high * np.uint32(58)
+            low = high
 
     # Ones for the leading zero bytes sit right before the first digit that counts.
     total = digits.shape[1]

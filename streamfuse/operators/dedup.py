@@ -28,6 +28,8 @@ HOT_ROWS = 5_000_000
 
 # Distinct milliseconds one task holds of one hot key.
 BLOCK_VALUES = 2_000_000
+# Shares of the key space, each with a sketch of its own.
+SKETCHES = 64
 # Anchors of all hot keys that are sent to every task; above it their rows are spread by salt.
 BROADCAST_ROWS = 2_000_000
 SALTS = 256
@@ -47,15 +49,19 @@ class _Rule:
 
 
 def find_hot_keys(df: DataFrame, key: str | Sequence[str], min_rows: int) -> list[int]:
-    """Hashes of the keys with at least ``min_rows`` rows, at most 1000 of them.
+    """Hashes of the keys with about ``min_rows`` rows or more, at most ``SKETCHES * 100`` of them.
 
-    A mergeable sketch over one pass of the key column, without a shuffle of rows. Every key above
-    0.05 % of all rows is found; the list only chooses between two exact methods.
+    One pass over the key column into mergeable sketches, each for a share of the keys so that they
+    merge in parallel; rows do not shuffle. A key with more than a thousandth of the rows of its
+    share is always found. The list only chooses between two exact methods.
     """
     keys = _names(key)
-    hashed = df.select(F.xxhash64(*keys).alias("h"), *keys).dropna(subset=keys)
-    found = hashed.agg(F.expr("approx_top_k(h, 1000, 10000)").alias("top")).first().top
-    return [r["item"] for r in found or () if r["count"] >= min_rows]
+    hashed = df.select(*keys).dropna(subset=keys).select(F.xxhash64(*keys).alias("h"))
+    found = hashed.groupBy(F.pmod("h", F.lit(SKETCHES))).agg(
+        F.expr("approx_top_k(h, 100, 4000)").alias("top")
+    )
+    rows = found.select(F.explode("top").alias("t")).filter(F.col("t.count") >= min_rows)
+    return sorted(r.item for r in rows.select("t.item").collect())
 
 
 def hot_keys_of(df: DataFrame, key: str | Sequence[str], hot_rows: int | None) -> list[int]:
