@@ -55,7 +55,10 @@ def dedup_counts(
 def running_rate(
     df: DataFrame, order: Sequence[str], every: int = 10, points: Sequence[Row] | None = None
 ) -> DataFrame:
-    """Messages and duplicates so far and the unique share, at every ``every``-th message."""
+    """Messages and duplicates so far and the unique share, at every ``every``-th message.
+
+    Give ``points`` from the feed before it was judged; else two more passes over ``df`` find them.
+    """
     if points is None:
         points = split_points(df, order)
     slim = df.select(*order, F.col("is_duplicate").cast("bigint").alias("_repeat"))
@@ -108,7 +111,7 @@ def sequence_numbers(
     name: str = "number",
     points: Sequence[Row] | None = None,
 ) -> DataFrame:
-    """Arrival number from 1, counted separately for each event family."""
+    """Arrival number from 1, counted separately for each event family; ``points`` as above."""
     if points is None:
         points = split_points(df, order)
     return scan(df, order, family, points=points, sums={name: F.lit(1).cast("bigint")})

@@ -152,6 +152,37 @@ told AS (SELECT client_id, endpoint, status, ts_ms AS timestamp, seq,
     FROM downs),
 """
 
+ALPHABET = "123456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz"
+
+
+def base58(source: str) -> str:
+    """Long division of 64 bytes in ``hex`` of a table by 58^10, all columns unrolled."""
+    step, limbs, passes = 58**10, 8, 10
+    first = ", ".join(
+        f"('0x' || substr(lpad(hex, 128, '0'), {16 * k + 1}, 16))::UBIGINT::HUGEINT AS q{k}"
+        for k in range(limbs)
+    )
+    parts = [f"pass0 AS (SELECT *, '' AS digits, {first} FROM {source}),"]
+    for n in range(1, passes + 1):
+        columns, rest = [], "0::HUGEINT"
+        for k in range(limbs):
+            columns.append(f"{rest} * 18446744073709551616::HUGEINT + q{k} AS v{k}")
+            rest = f"(v{k} % {step})"
+        quotients = ", ".join(f"v{k} // {step} AS q{k}" for k in range(limbs))
+        chars = " || ".join(
+            f"substr('{ALPHABET}', ((rest // {58**d}) % 58 + 1)::BIGINT, 1)" for d in range(9, -1, -1)
+        )
+        parts.append(
+            f"div{n} AS (SELECT * EXCLUDE (q0, q1, q2, q3, q4, q5, q6, q7), {', '.join(columns)},"
+            f" {rest} AS rest, {quotients} FROM pass{n - 1}),"
+            f" pass{n} AS (SELECT * EXCLUDE (digits, rest, v0, v1, v2, v3, v4, v5, v6, v7),"
+            f" {chars} || digits AS digits FROM div{n}),"
+        )
+    zeros = "(length(hex) - length(ltrim(hex, '0'))) // 2"
+    parts.append(f"texts AS (SELECT *, repeat('1', {zeros}) || ltrim(digits, '1') AS text FROM pass{passes}),")
+    return "\n".join(parts)
+
+
 ORACLE: dict[str, str] = {
     "s1_fan_in": select(
         DELIVERIES, "SELECT client_id, endpoint, ordinal, seq, received_ms, kind FROM deliveries"
@@ -226,6 +257,17 @@ FROM judged WHERE NOT is_duplicate""",
         f"""
 SELECT ordinal, seq, CASE WHEN seq % 7 = 0 OR seq % 11 = 0 THEN {NOW_MS} ELSE received_ms END AS timestamp
 FROM deliveries""",
+    ),
+    "p4_render_binary": select(
+        DELIVERIES
+        + """
+both_parts AS (SELECT ordinal, seq, slot, TRUE AS whole, signature AS hex FROM signed UNION ALL
+    SELECT ordinal, seq, slot, FALSE, signature[1:12] FROM signed),
+"""
+        + base58("both_parts"),
+        """
+SELECT a.ordinal, a.seq, a.text AS signature, a.text || ',' || b.text AS signatures, b.text AS head, a.slot
+FROM texts a JOIN texts b ON a.ordinal = b.ordinal AND a.seq = b.seq AND a.whole AND NOT b.whole""",
     ),
     "p5_preview": select(
         DELIVERIES,
@@ -411,6 +453,9 @@ SELECT CASE WHEN change = 1 THEN 'connected' ELSE 'disconnected' END AS status,
 FROM pool WHERE (change = 1 AND n_up = 1) OR n_up = 0""",
     ),
     "w3_stale_episodes": select(LOG, "SELECT * FROM stale"),
+    "w3_stale_episodes_short": select(
+        LOG.replace(f"{STALE_MS}", "600000"), "SELECT * FROM stale"
+    ),
     "w4_stale_detected": select(
         LOG,
         f"""

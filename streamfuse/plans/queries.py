@@ -572,6 +572,11 @@ def w3_stale_episodes(spark, sf_dir):
     return health.stale_episodes(samples.connection_log(spark, sf_dir), STALE_MS, END_MS)
 
 
+@query
+def w3_stale_episodes_short(spark, sf_dir):
+    return health.stale_episodes(samples.connection_log(spark, sf_dir), 600_000, END_MS)
+
+
 @query
 def w4_stale_detected(spark, sf_dir):
     found = w3_stale_episodes(spark, sf_dir)
