@@ -63,7 +63,7 @@ def test_scan_equals_the_plain_loop(spark, by_client, target):
 def test_a_burst_at_one_millisecond_is_cut(spark):
     frame = spark.createDataFrame([("a", 7, i, 1) for i in range(5000)], SCHEMA)
     points = ordered.split_points(frame, ORDER, target_rows=500)
-    sizes = frame.groupBy(ordered.block_of(frame, ORDER, points)).count().collect()
+    sizes = ordered.with_block(frame, ORDER, points).groupBy(ordered.BLOCK).count().collect()
     assert len(sizes) >= 10 and max(r["count"] for r in sizes) < 1500
 
 
