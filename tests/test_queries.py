@@ -10,7 +10,7 @@ import check
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="test tables are not here")
-NAMES = sorted(entry.queries())
+NAMES = sorted(entry.QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -55,4 +55,4 @@ def test_rendered_texts_equal_digit_by_digit(spark):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.QUERIES) == set(entry.ORACLE)
