@@ -21,7 +21,7 @@ BITS = 8
 # Fixed probes tried before the rest of an empty bin's probing order is worked out.
 PROBES = 6
 BLOCK_ROWS = 2_000
-MAX_BLOCKS = 4_000
+MAX_BLOCKS = 20_000
 
 
 def bound(value: Column, body) -> Column:
