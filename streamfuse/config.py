@@ -55,6 +55,13 @@ class AccountFilter:
     owner: Sequence[str] = ()
 
 
+def _only(part: str, given: Mapping, evaluated: Sequence[str]) -> None:
+    """Refuse what would be ignored."""
+    ignored = sorted(k for k, v in given.items() if k not in evaluated and v not in (None, {}, [], ()))
+    if ignored:
+        raise ValueError(f"{part}: not evaluated here: {', '.join(ignored)}")
+
+
 @dataclass(frozen=True)
 class SubscribeRequest:
     """Named filters per section; filters are OR-ed, the fields of one filter AND-ed."""
@@ -65,7 +72,15 @@ class SubscribeRequest:
 
     @classmethod
     def from_dict(cls, request: Mapping) -> SubscribeRequest:
-        """Read the wire form (camelCase keys). Missing or null sections count as empty."""
+        """Read the wire form (camelCase keys). Missing, null and empty parts are no constraint; a part
+        that nothing here evaluates must be empty, or the result would not be what was asked for.
+        """
+        _only("request", request, ("accounts", "transactions", "commitment"))
+        for name, spec in (request.get("accounts") or {}).items():
+            _only(f"accounts.{name}", spec, ("owner",))
+        for name, spec in (request.get("transactions") or {}).items():
+            known = ("accountInclude", "accountExclude", "accountRequired", "vote", "failed")
+            _only(f"transactions.{name}", spec, known)
         accounts = {
             name: AccountFilter(owner=tuple(spec.get("owner") or ()))
             for name, spec in (request.get("accounts") or {}).items()

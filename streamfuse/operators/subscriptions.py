@@ -109,7 +109,8 @@ def request_predicates(request: SubscribeRequest | Mapping) -> dict[str, Column]
     if not isinstance(request, SubscribeRequest):
         request = SubscribeRequest.from_dict(request)
     is_transaction = F.col("kind") == schemas.TRANSACTION
-    is_account = F.col("kind") == schemas.OTHER
+    # Other messages have no owner: slots, blocks and the like are no account updates.
+    is_account = (F.col("kind") == schemas.OTHER) & F.col("owner").isNotNull()
     out: dict[str, Column] = {}
     for name, spec in request.transactions.items():
         out[name] = is_transaction & _from_spec(spec)
@@ -121,11 +122,14 @@ def request_predicates(request: SubscribeRequest | Mapping) -> dict[str, Column]
 def subscribe(df: DataFrame, request: SubscribeRequest | Mapping) -> DataFrame:
     """One filter for the whole request: any named filter, at the wanted commitment.
 
-    A request without any named filter subscribes to nothing.
+    A request without any named filter subscribes to nothing. Rows must tell their commitment if the
+    request names one; a feed without that column has been filtered at its source.
     """
     if not isinstance(request, SubscribeRequest):
         request = SubscribeRequest.from_dict(request)
     wanted = _any(list(request_predicates(request).values()))
+    if request.commitment and "commitment" not in df.columns:
+        raise ValueError("the request names a commitment, but the feed has no such column")
     if "commitment" in df.columns:
         wanted = commitment_at_least(request.commitment or DEFAULT_COMMITMENT) & wanted
     return df.filter(wanted)

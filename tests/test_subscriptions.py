@@ -117,3 +117,34 @@ def test_defaults():
     options = PoolOptions()
     assert (options.dedup_ttl_ms, options.max_cache_size) == (60_000, 10_000)
     assert (options.initial_retry_delay_ms, options.max_retry_delay_ms) == (500, 30_000)
+
+
+@pytest.mark.parametrize(
+    "request_",
+    [
+        {"accounts": {"w": {"owner": [], "filters": [{"datasize": 165}]}}},
+        {"transactions": {"t": {"signature": "abc"}}},
+        {"slots": {"s": {}}},
+        {"accountsDataSlice": [{"offset": 0}]},
+    ],
+)
+def test_parts_that_nothing_evaluates_are_refused(request_):
+    with pytest.raises(ValueError, match="not evaluated"):
+        SubscribeRequest.from_dict(request_)
+
+
+def test_empty_parts_are_no_constraint():
+    empty = {"slots": {}, "blocks": None, "entry": [], "accounts": {"w": {"owner": ["x"], "filters": []}}}
+    assert SubscribeRequest.from_dict(empty).accounts["w"].owner == ("x",)
+
+
+def test_an_account_filter_without_owners_takes_account_updates_only(spark):
+    rows = [(1, "other", "x"), (2, "other", None), (3, "transaction", "x")]
+    frame = spark.createDataFrame(rows, "id int, kind string, owner string")
+    assert [r.id for r in subs.subscribe(frame, {"accounts": {"w": {"owner": []}}}).collect()] == [1]
+
+
+def test_a_requested_commitment_needs_its_column(spark):
+    frame = spark.createDataFrame([(1, "other", "x")], "id int, kind string, owner string")
+    with pytest.raises(ValueError, match="commitment"):
+        subs.subscribe(frame, {"accounts": {"w": {}}, "commitment": "finalized"})
