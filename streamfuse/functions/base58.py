@@ -15,9 +15,63 @@ DIGITS = 5
 STEP = 58**DIGITS
 
 
+# Values up to this length are divided side by side; the work grows with the square of the length.
+WIDEST = 256
+# Bytes of one step of that, counting every value at the length of its class.
+STEP_BYTES = 1 << 22
+
+
 def encode(values: pa.Array) -> pa.Array:
-    """Base58 text of each value; leading zero bytes become leading ones; null stays null."""
+    """Base58 text of each value; leading zero bytes become leading ones; null stays null.
+
+    Values of like length are encoded together, so that a long one does not widen the others, a
+    bounded number of bytes at a time. Long values are halved until they are short.
+    """
     values = values.cast(pa.large_binary())
+    lengths = pa.compute.fill_null(pa.compute.binary_length(values), 0).to_numpy(zero_copy_only=False)
+    classes = np.ceil(np.log2(np.maximum(lengths, 16))).astype(np.int64)
+    texts, order = [], []
+    for size in np.unique(classes):
+        rows = np.flatnonzero(classes == size)
+        if 1 << size > WIDEST:
+            made = [long_text(values[int(i)].as_py()) for i in rows]
+            texts.append(pa.array(made, pa.string()))
+        else:
+            step = max(1, STEP_BYTES >> size)
+            for at in range(0, len(rows), step):
+                texts.append(_encode_alike(values.take(pa.array(rows[at : at + step]))))
+        order.append(rows)
+    if len(texts) == 1:
+        return texts[0]
+    if not texts:
+        return pa.array([], pa.string())
+    back = np.argsort(np.concatenate(order), kind="stable")
+    return pa.concat_arrays(texts).take(pa.array(back))
+
+
+def long_text(value: bytes) -> str:
+    """The same for one long value, by dividing the number in halves of its digits."""
+    number = int.from_bytes(value, "big")
+    powers = [58**64]
+    while powers[-1] <= number:
+        powers.append(powers[-1] ** 2)
+
+    def digits(n: int, level: int) -> str:
+        if level < 0:
+            out = bytearray(64)
+            for i in range(63, -1, -1):
+                n, rest = divmod(n, 58)
+                out[i] = ALPHABET[rest]
+            return out.decode()
+        high, low = divmod(n, powers[level])
+        return digits(high, level - 1) + digits(low, level - 1)
+
+    zeros = len(value) - len(value.lstrip(b"\0"))
+    return "1" * zeros + digits(number, len(powers) - 1).lstrip("1")
+
+
+def _encode_alike(values: pa.Array) -> pa.Array:
+    """Values of like length, as one grid."""
     n = len(values)
     offsets = np.frombuffer(values.buffers()[1], dtype=np.int64)[values.offset :][: n + 1]
     lengths = np.diff(offsets) if n else np.zeros(0, dtype=np.int64)
