@@ -7,9 +7,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# The size of one file split; input below it is the work of a single task at most.
-ONE_TASK_BYTES = 128 * 1024 * 1024
-
 
 def use_utc(spark: SparkSession) -> SparkSession:
     """Epoch milliseconds and wall-clock columns only agree in UTC."""
@@ -20,13 +17,14 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own; a cluster without it is an
-    error, because executors could not see a driver-local folder.
+    Only a session whose driver is its only executor gets a folder of its own, for tests; anywhere else
+    a missing setting is an error, because executors could not see a driver-local folder.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
     made = tempfile.mkdtemp(prefix="streamfuse-")
     spark.conf.set("spark.checkpoint.dir", made)
@@ -46,10 +44,19 @@ def new_work_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def fits_one_task(df: DataFrame) -> bool:
-    """Whether the optimizer's estimate of the data is below one file split.
+def use_keyed_state(spark: SparkSession) -> None:
+    """Choose the state store that keeps an entry for each key, for stream queries started from now on.
 
-    Only ever used to leave out preparations that small inputs do not need; never for results.
+    A query that goes on from a checkpoint keeps the store it was started with.
     """
-    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(estimate) < ONE_TASK_BYTES
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
+
+
+def kept(df: DataFrame, label: str) -> DataFrame:
+    """Write a table once below the shared folder and read it back, with its own schema."""
+    path = new_work_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,25 +1,25 @@
 """Anchored deduplication of a stream.
 
 Two forms of one rule. ``dedup_ttl_stream`` is a stateful operator that fits into any streaming
-query. ``MicroBatchDedup`` judges each micro-batch with the batch operator and keeps the live anchors as a
-table; payload never leaves the JVM there and hot keys are spread.
+query; the engine keeps one entry of state for each key. ``MicroBatchDedup`` judges each micro-batch with
+the batch operator and keeps the anchors as a table that only grows by what a batch changed; payload never
+leaves the JVM there and hot keys are spread. Both give the result of the batch operator unless bounded
+state is asked for.
 """
 
-import io
 from collections.abc import Callable, Iterator, Sequence
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from streamfuse.operators.anchors import mark_anchors
-from streamfuse.operators.dedup import ORDER, dedup_ttl, find_hot_keys, is_hot
-
+from streamfuse.operators.dedup import HOT_ROWS, ORDER, dedup_ttl, find_hot_keys, is_hot
+from streamfuse.session import use_keyed_state
 
 def dedup_ttl_stream(
     df: DataFrame,
@@ -27,88 +27,94 @@ def dedup_ttl_stream(
     ts: str,
     ttl_ms: int,
     order: Sequence[str] = ORDER,
-    lateness_ms: int | None = 600_000,
+    lateness_ms: int | None = None,
     buckets: int = 1024,
 ) -> DataFrame:
-    """Add ``is_duplicate`` and ``anchor_ms`` to a stream.
-
-    ``key`` is a binary or text column; rows without one are unique. A row older than its anchor is a
-    duplicate. State is kept per bucket of keys, not per key, so that one call judges many keys.
-    A key leaves the state when its bucket's newest row is later than anchor, ``ttl_ms`` and
-    ``lateness_ms`` together: by the feed's own clock, never by wall clock, so a replay gives the same
-    result. No row is dropped, however late; ``lateness_ms=None`` keeps every key. ``buckets`` must
-    not change over the life of a checkpoint. All rows of a bucket in one micro-batch meet in one
-    task: limit the rate at the source.
+    """Add ``is_duplicate``, ``anchor_ms`` and, with ``lateness_ms``, ``maybe_expired`` to a stream.
+
+    ``key`` is a binary or text column; rows without a key or without a time are unique. A row older than
+    its anchor is a duplicate. Python is called once for a bucket of keys, but the engine keeps an entry for
+    each key, so a micro-batch reads and writes the entries of its own keys only.
+
+    State is unbounded by default, which is what the rule needs: a row may repeat an anchor however
+    late it comes. With ``lateness_ms`` a key leaves the state once its bucket's newest row is later than
+    anchor, ``ttl_ms`` and ``lateness_ms`` together, by the feed's own clock; unique rows that come so late
+    that their anchor may have left are flagged. ``buckets`` must not change over the life of a checkpoint. All
+    rows of a bucket in one micro-batch meet in one task: limit the rate at the source, or use
+    ``MicroBatchDedup`` where keys are frequent. Sets the session's state store to the one that keeps keyed state.
     """
+    use_keyed_state(df.sparkSession)
     sorting = [ts, *order]
-    flags = T.StructType.fromDDL("_repeat boolean, _anchor_ms bigint")
-    schema = T.StructType([*df.schema.fields, *flags.fields])
+    text = T.StructType.fromDDL("_repeat boolean, _anchor_ms bigint, _late boolean")
+    schema = T.StructType([*df.schema.fields, *text.fields])
     columns = schema.names
+    key_schema = T.StructType([T.StructField("k", df.schema[key].dataType)])
+    extra = 0 if lateness_ms is None else ttl_ms + lateness_ms
+
+    class Judge(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.anchors = handle.getMapState("anchors", key_schema, "anchor_ms bigint")
+            self.clock = handle.getValueState("clock", "newest_ms bigint, swept_ms bigint")
+
+        def handleInputRows(self, _bucket, chunks, _timers) -> Iterator[pd.DataFrame]:
+            rows = pd.concat(list(chunks), ignore_index=True)
+            timed = rows[ts].notna().to_numpy()
+            codes, keys = pd.factorize(rows[key].where(timed))  # a missing key gets code -1
+            at = np.lexsort([*(rows[c].to_numpy() for c in reversed(sorting)), codes])
+            rows, codes = rows.iloc[at], codes[at]
+
+            keyed = int(np.searchsorted(codes, 0))
+            repeat = np.zeros(len(rows), dtype=bool)
+            late = np.zeros(len(rows), dtype=bool)
+            anchor = pd.array([pd.NA] * len(rows), dtype="Int64")
+            if keyed < len(rows):
+                times = rows[ts].to_numpy()[keyed:].astype(np.int64)
+                of = codes[keyed:]
+                starts = np.flatnonzero(np.diff(of, prepend=-1))
+                found = [self.anchors.getValue((k,)) for k in keys]
+                seeded = np.array([f is not None for f in found])
+                seeds = np.array([0 if f is None else f[0] for f in found], dtype=np.int64)
+                # Rows up to an anchor's time-to-live repeat it, even those before it.
+                within = seeded[of] & (times <= seeds[of] + ttl_ms)
+                limits = np.where(seeded, seeds + ttl_ms, times[starts] - 1)
+                marks = mark_anchors(times, starts, limits, ttl_ms)
+                latest = np.maximum.accumulate(np.where(marks, np.arange(len(marks)), -1))
+                values = np.where(within, seeds[of], times[latest])
+                repeat[keyed:], anchor[keyed:] = ~marks, values
+                last = values[np.append(starts[1:], len(of)) - 1]
+                for k, known, old, new in zip(keys, seeded, seeds, last, strict=True):
+                    if not known or new != old:
+                        self.anchors.updateValue((k,), (int(new),))
+                if lateness_ms is not None:
+                    late[keyed:] = marks & (times <= self._sweep(int(times.max())) - lateness_ms)
+            yield rows.assign(_repeat=repeat, _anchor_ms=anchor, _late=late)[columns]
+
+        def _sweep(self, newest: int) -> int:
+            """Drop expired keys, once the clock has moved by half of what they are kept for."""
+            before, swept = self.clock.get() if self.clock.exists() else (newest, newest)
+            newest = max(newest, before)
+            if newest - swept > extra // 2:
+                for k, (anchor,) in list(self.anchors.iterator()):
+                    if anchor < newest - extra:
+                        self.anchors.removeKey(k)
+                swept = newest
+            self.clock.update((newest, swept))
+            return before
 
-    def judge(
-        _bucket: tuple, chunks: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(chunks), ignore_index=True)
-        known, newest = _load(state)
-        codes, keys = pd.factorize(rows[key])  # a missing key gets code -1
-        at = np.lexsort([*(rows[c].to_numpy() for c in reversed(sorting)), codes])
-        rows, codes = rows.iloc[at], codes[at]
-        times = rows[ts].to_numpy().astype(np.int64)
-
-        keyed = int(np.searchsorted(codes, 0))
-        repeat = np.zeros(len(rows), dtype=bool)
-        anchor = pd.array([pd.NA] * len(rows), dtype="Int64")
-        if keyed < len(rows):
-            times_k, codes_k = times[keyed:], codes[keyed:]
-            starts = np.flatnonzero(np.diff(codes_k, prepend=-1))
-            before = pd.Series(keys).map(known)
-            seeded = before.notna().to_numpy()
-            seeds = before.fillna(0).to_numpy().astype(np.int64)
-            # Rows up to an anchor's time-to-live repeat it, even those before it.
-            within = seeded[codes_k] & (times_k <= seeds[codes_k] + ttl_ms)
-            limits = np.where(seeded, seeds + ttl_ms, times_k[starts] - 1)
-            marks = mark_anchors(times_k, starts, limits, ttl_ms)
-            latest = np.maximum.accumulate(np.where(marks, np.arange(len(marks)), -1))
-            values = np.where(within, seeds[codes_k], times_k[latest])
-            repeat[keyed:], anchor[keyed:] = ~marks, values
-            ends = np.append(starts[1:], len(codes_k)) - 1
-            known.update(zip(keys, values[ends].tolist(), strict=True))
-            newest = max(newest, int(times_k.max()))
-            if lateness_ms is not None:
-                horizon = newest - ttl_ms - lateness_ms
-                known = {k: a for k, a in known.items() if a >= horizon}
-            _store(state, known, newest)
-        yield rows.assign(_repeat=repeat, _anchor_ms=anchor)[columns]
+        def close(self) -> None:
+            pass
 
     bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
     spread = F.pmod(F.xxhash64(*sorting), F.lit(buckets)).cast("int")
     placed = df.withColumn("_bucket", F.when(F.col(key).isNull(), spread).otherwise(bucket))
-    judged = placed.groupBy("_bucket").applyInPandasWithState(
-        judge, schema, "anchors binary, newest_ms bigint", "append", GroupStateTimeout.NoTimeout
+    judged = placed.groupBy("_bucket").transformWithStateInPandas(
+        Judge(), schema, outputMode="append", timeMode="none"
     )
     # Renaming makes plain rows of the Arrow ones, which a sink that sorts cannot take.
-    return judged.select(
-        *df.columns,
-        F.col("_repeat").alias("is_duplicate"),
-        F.col("_anchor_ms").alias("anchor_ms"),
-    )
-
-
-def _load(state: GroupState) -> tuple[dict, int]:
-    """The live anchors of a bucket: one compressed Arrow table."""
-    if not state.exists:
-        return {}, -(2**62)
-    blob, newest = state.get
-    table = pa.ipc.open_stream(io.BytesIO(bytes(blob))).read_all()
-    return dict(zip(table["k"].to_pylist(), table["a"].to_pylist(), strict=True)), newest
-
-
-def _store(state: GroupState, known: dict, newest: int) -> None:
-    table = pa.table({"k": list(known.keys()), "a": pa.array(known.values(), pa.int64())})
-    sink = io.BytesIO()
-    with pa.ipc.new_stream(sink, table.schema) as writer:
-        writer.write_table(table)
-    state.update((sink.getvalue(), newest))
+    flags = [F.col("_repeat").alias("is_duplicate"), F.col("_anchor_ms").alias("anchor_ms")]
+    if lateness_ms is not None:
+        flags.append(F.col("_late").alias("maybe_expired"))
+    return judged.select(*df.columns, *flags)
 
 
 def drop_repeats_builtin(df: DataFrame, key: str, ts: str, delay: str) -> DataFrame:
@@ -123,13 +129,16 @@ def drop_repeats_builtin(df: DataFrame, key: str, ts: str, delay: str) -> DataFr
 
 
 class MicroBatchDedup:
-    """Deduplicate micro-batches against a table of live anchors, inside ``foreachBatch``.
+    """Deduplicate micro-batches against a table of anchors, inside ``foreachBatch``.
+
+    Every batch writes the anchors it set into a folder of its own, so the bytes written follow the
+    batch and not the keys alive, and a batch that is repeated after a failure overwrites only what it wrote.
+    Each ``compact_every`` batches all anchors are merged into one base folder, without the expired ones.
 
-    A batch reads the anchors the batch before it wrote and writes its own into the other of two
-    folders below ``state_path``, so a batch that is repeated after a failure finds its input
-    untouched. Carried are the anchors within ``ttl`` plus ``lateness_ms`` of the newest row; a row
-    later than that is judged by the rows of its own batch. With ``hot_rows``, keys with that many
-    rows in a batch are spread; finding them is one more pass over the batch, which is kept for it.
+    By default no anchor expires and the result is that of the batch operator. With ``lateness_ms``,
+    anchors older than the newest row by ``ttl_ms`` and ``lateness_ms`` together are left out, also
+    when their keys send nothing any more, and unique rows whose anchor may be among them are flagged in
+    ``maybe_expired``. Keys with ``hot_rows`` rows in a batch are spread, and so are rows without a key.
     """
 
     def __init__(
@@ -139,18 +148,57 @@ class MicroBatchDedup:
         ts: str,
         ttl_ms: int,
         order: Sequence[str] = ORDER,
-        lateness_ms: int = 600_000,
-        hot_rows: int | None = None,
+        lateness_ms: int | None = None,
+        hot_rows: int = HOT_ROWS,
+        compact_every: int = 32,
     ):
-        self.state_path, self.key, self.ts, self.ttl_ms = state_path, key, ts, ttl_ms
+        self.state_path, self.key, self.ts, self.ttl_ms = state_path.rstrip("/"), key, ts, ttl_ms
         self.order, self.lateness_ms, self.hot_rows = tuple(order), lateness_ms, hot_rows
+        self.compact_every = compact_every
 
-    def _folder(self, batch_id: int) -> str:
-        return f"{self.state_path.rstrip('/')}/anchors-{batch_id % 2}"
+    def _delta(self, batch_id: int) -> str:
+        return f"{self.state_path}/delta-{batch_id}"
+
+    def _base(self, batch_id: int) -> str:
+        return f"{self.state_path}/base-{batch_id}"
+
+    def _stored(self, spark, schema: T.StructType, first: int, until: int) -> DataFrame:
+        """(key, anchor_ms, newest_ms) rows of the base at ``first`` and the batches from it to ``until``.
+
+        A key may have several; the largest anchor counts.
+        """
+        paths = [self._delta(i) for i in range(first, until)]
+        if first:
+            paths.insert(0, self._base(first))
+        return spark.read.schema(schema).parquet(*paths)
+
+    def _last_base(self, batch_id: int) -> int:
+        return (batch_id // self.compact_every) * self.compact_every
+
+    def live(self, spark, key_type: T.DataType, batch_id: int) -> DataFrame:
+        """The anchors that count after a batch, one for each key."""
+        schema = self._schema(key_type)
+        known = self._stored(spark, schema, self._last_base(batch_id), batch_id + 1)
+        return self._merged(known, self._newest(known))
+
+    def _schema(self, key_type: T.DataType) -> T.StructType:
+        longs = T.StructType.fromDDL("anchor_ms bigint, newest_ms bigint")
+        return T.StructType([T.StructField(self.key, key_type), *longs.fields])
+
+    def _newest(self, known: DataFrame | None) -> int | None:
+        return None if known is None else known.agg(F.max("newest_ms")).first()[0]
+
+    def _merged(self, known: DataFrame, newest: int | None) -> DataFrame:
+        rows = known.filter(F.col(self.key).isNotNull())
+        if self.lateness_ms is not None and newest is not None:
+            rows = rows.filter(F.col("anchor_ms") >= newest - self.ttl_ms - self.lateness_ms)
+        return rows.groupBy(self.key).agg(
+            F.max("anchor_ms").alias("anchor_ms"), F.max("newest_ms").alias("newest_ms")
+        )
 
     def judged(self, batch: DataFrame, known: DataFrame | None) -> DataFrame:
-        """The batch with ``is_duplicate`` and ``anchor_ms``, given the anchors carried so far."""
-        hot_keys = find_hot_keys(batch, self.key, self.hot_rows) if self.hot_rows else []
+        """The batch with ``is_duplicate`` and ``anchor_ms``, given the anchors (key, anchor_ms)."""
+        hot_keys = find_hot_keys(batch, self.key, self.hot_rows)
         judge = partial(
             dedup_ttl,
             key=self.key,
@@ -161,19 +209,20 @@ class MicroBatchDedup:
         )
         if known is None:
             return judge(batch)
-        known = known.withColumnRenamed("anchor_ms", "_enter_ms")
+        known = known.select(self.key, F.col("anchor_ms").alias("_enter_ms"))
+        # Rows without a key have nothing to look up, and would all meet in one task of the join.
+        keyless = batch.filter(F.col(self.key).isNull())
+        parts = [keyless.withColumn("_enter_ms", F.lit(None).cast("bigint"))]
+        keyed = batch.filter(F.col(self.key).isNotNull())
         if hot_keys:
             # At most one anchor for each of the listed keys, so these are sent to every task.
             hot = is_hot(self.key, hot_keys)
-            entered = (
-                batch.filter(~hot)
-                .join(known, self.key, "left")
-                .unionByName(
-                    batch.filter(hot).join(F.broadcast(known.filter(hot)), self.key, "left")
-                )
+            parts.append(
+                keyed.filter(hot).join(F.broadcast(known.filter(hot)), self.key, "left")
             )
-        else:
-            entered = batch.join(known, self.key, "left")
+            keyed = keyed.filter(~hot)
+        parts.append(keyed.join(known, self.key, "left"))
+        entered = reduce(DataFrame.unionByName, parts)
         return judge(entered, enter="_enter_ms").select(
             *batch.columns, "is_duplicate", "anchor_ms"
         )
@@ -181,26 +230,35 @@ class MicroBatchDedup:
     def run(
         self, batch: DataFrame, batch_id: int, write: Callable[[DataFrame, int], None]
     ) -> None:
-        """Judge one micro-batch, hand it to ``write`` and store the anchors for the next one."""
-        key, known = self.key, None
-        if batch_id > 0:
-            schema = T.StructType(
-                [batch.schema[key], *T.StructType.fromDDL("anchor_ms bigint").fields]
+        """Judge one micro-batch, hand it to ``write`` and store the anchors it set."""
+        key, spark = self.key, batch.sparkSession
+        schema = self._schema(batch.schema[key].dataType)
+        if batch_id and batch_id % self.compact_every == 0:
+            before = self._stored(spark, schema, batch_id - self.compact_every, batch_id)
+            self._merged(before, self._newest(before)).write.mode("overwrite").parquet(
+                self._base(batch_id)
             )
-            known = batch.sparkSession.read.schema(schema).parquet(self._folder(batch_id - 1))
-        if self.hot_rows:
-            batch = batch.persist()
-        judged = self.judged(batch, known).persist()
+        batch = batch.persist()
+        known = self._stored(spark, schema, self._last_base(batch_id), batch_id) if batch_id else None
+        newest = self._newest(known)
+        anchors = None if known is None else self._merged(known, newest)
+        judged = self.judged(batch, anchors)
+        if self.lateness_ms is not None:
+            late = F.lit(False)
+            if newest is not None:
+                late = ~F.col("is_duplicate") & F.col("anchor_ms").isNotNull()
+                late = late & (F.col(self.ts) < newest - self.lateness_ms)
+            judged = judged.withColumn("maybe_expired", late)
+        judged = judged.persist()
         try:
             write(judged, batch_id)
-            live = judged.filter(F.col(key).isNotNull()).select(key, "anchor_ms")
-            live = live if known is None else live.unionByName(known)
-            newest = judged.agg(F.max(self.ts)).first()[0]
-            if newest is not None:
-                live = live.filter(F.col("anchor_ms") >= newest - self.ttl_ms - self.lateness_ms)
-            latest = live.groupBy(key).agg(F.max("anchor_ms").alias("anchor_ms"))
-            latest.write.mode("overwrite").parquet(self._folder(batch_id))
+            # The newest time goes along even where a batch sets no anchor.
+            set_here = (
+                judged.groupBy(key)
+                .agg(F.max("anchor_ms").alias("anchor_ms"), F.max(self.ts).alias("newest_ms"))
+                .select(*schema.names)
+            )
+            set_here.write.mode("overwrite").parquet(self._delta(batch_id))
         finally:
             judged.unpersist()
-            if self.hot_rows:
-                batch.unpersist()
+            batch.unpersist()

@@ -7,43 +7,61 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from streamfuse import schemas
+from streamfuse.session import use_keyed_state
 
 
-def endpoint_events_stream(log: DataFrame) -> DataFrame:
-    """Endpoint events of a stream; the state is one flag per client.
+class _Client(StatefulProcessor):
+    """One value of state per client."""
 
-    Only connects and disconnects are shuffled; messages, the bulk of a log, are filtered before.
-    """
+    schema = ""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.client = handle.getValueState("client", self.schema)
 
-    def judge(
-        _key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(chunks), ignore_index=True).sort_values(["ts_ms", "seq"])
+    def sorted(self, chunks: Iterator[pd.DataFrame]) -> pd.DataFrame:
+        return pd.concat(list(chunks), ignore_index=True).sort_values(["ts_ms", "seq"])
+
+    def close(self) -> None:
+        pass
+
+
+class _Transitions(_Client):
+    schema = "up boolean"
+
+    def handleInputRows(self, _key, chunks, _timers) -> Iterator[pd.DataFrame]:
+        rows = self.sorted(chunks)
         up = rows["kind"] == schemas.CONNECTED
         was_up = up.astype("object").shift(1)
-        if state.exists:
-            was_up.iloc[0] = bool(state.get[0])
+        if self.client.exists():
+            was_up.iloc[0] = bool(self.client.get()[0])
         status = up.map({True: "connected", False: "disconnected"})
         status[up & (was_up == False)] = "reconnected"  # noqa: E712 - a missing flag is not False
-        state.update((bool(up.iloc[-1]),))
+        self.client.update((bool(up.iloc[-1]),))
         out = rows[["client_id", "endpoint", "seq", "details"]].assign(
             _status=status, timestamp=rows["ts_ms"]
         )
         yield out[["client_id", "endpoint", "_status", "timestamp", "seq", "details"]]
 
+
+def endpoint_events_stream(log: DataFrame) -> DataFrame:
+    """Endpoint events of a stream; the state is one flag per client.
+
+    Only connects and disconnects are shuffled; messages, the bulk of a log, are filtered before.
+    """
+    use_keyed_state(log.sparkSession)
     made = (
         log.filter(F.col("kind").isin(list(schemas.REPORTED)))
         .groupBy("client_id")
-        .applyInPandasWithState(
-            judge,
+        .transformWithStateInPandas(
+            _Transitions(),
             "client_id string, endpoint string, _status string, timestamp bigint, seq bigint,"
             " details string",
-            "up boolean",
             "append",
-            GroupStateTimeout.NoTimeout,
+            "none",
         )
     )
     # Renaming makes plain rows of the Arrow ones, which a sink that sorts cannot take.
@@ -67,6 +85,11 @@ def _latest_messages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         yield from kept.combine_chunks().to_batches()
 
 
+def _slim(log: DataFrame) -> DataFrame:
+    kinds = F.col("kind").isin(schemas.TRANSACTION, *schemas.OWN_FLAG)
+    return log.filter(kinds).select("client_id", "ts_ms", "seq", "kind")
+
+
 def stale_stream(log: DataFrame, stale_ms: int) -> DataFrame:
     """One row whenever a connected client was silent for ``stale_ms`` of wall-clock time.
 
@@ -74,38 +97,105 @@ def stale_stream(log: DataFrame, stale_ms: int) -> DataFrame:
     to the latest per client before the shuffle, so a busy client does not load one task.
     """
 
-    def judge(
-        key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        up, heard = state.get if state.exists else (False, None)
-        if state.hasTimedOut:
+    class Silent(_Client):
+        schema = "up boolean, heard_ms bigint, timer_ms bigint"
+
+        def handleInputRows(self, _key, chunks, timers) -> Iterator[pd.DataFrame]:
+            up, heard, timer = self.client.get() if self.client.exists() else (False, None, None)
+            rows = self.sorted(chunks)
+            flags = rows[rows["kind"].isin(schemas.OWN_FLAG)]
+            if len(flags):
+                up = bool(flags["kind"].iloc[-1] == schemas.CONNECTED)
+            refreshed = rows[rows["kind"].isin(schemas.REFRESH)]
+            if len(refreshed):
+                latest = int(refreshed["ts_ms"].max())
+                heard = latest if heard is None else max(heard, latest)
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            timer = timers.getCurrentProcessingTimeInMs() + stale_ms if up else None
+            if timer is not None:
+                self.handle.registerTimer(timer)
+            self.client.update((up, heard, timer))
+            yield pd.DataFrame({"client_id": pd.Series(dtype=str), "_heard_ms": pd.Series(dtype="int64")})
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+            up, heard, _ = self.client.get()
+            self.client.update((up, heard, None))  # no timer until the next message or connect
             yield pd.DataFrame({"client_id": [key[0]], "_heard_ms": [heard]})
-            state.update((up, heard))  # the timer is gone until the next message or connect
-            return
-        rows = pd.concat(list(chunks), ignore_index=True).sort_values(["ts_ms", "seq"])
-        flags = rows[rows["kind"].isin(schemas.OWN_FLAG)]
-        if len(flags):
-            up = bool(flags["kind"].iloc[-1] == schemas.CONNECTED)
-        refreshed = rows[rows["kind"].isin(schemas.REFRESH)]
-        if len(refreshed):
-            latest = int(refreshed["ts_ms"].max())
-            heard = latest if heard is None else max(heard, latest)
-        state.update((up, heard))
-        if up:
-            state.setTimeoutDuration(stale_ms)
-
-    slim = log.filter(F.col("kind").isin(schemas.TRANSACTION, *schemas.OWN_FLAG)).select(
-        "client_id", "ts_ms", "seq", "kind"
-    )
+
+    use_keyed_state(log.sparkSession)
+    slim = _slim(log)
     found = (
         slim.mapInArrow(_latest_messages, slim.schema)
         .groupBy("client_id")
-        .applyInPandasWithState(
-            judge,
-            "client_id string, _heard_ms bigint",
-            "up boolean, heard_ms bigint",
-            "append",
-            GroupStateTimeout.ProcessingTimeTimeout,
+        .transformWithStateInPandas(
+            Silent(), "client_id string, _heard_ms bigint", "append", "ProcessingTime"
         )
     )
     return found.withColumnRenamed("_heard_ms", "last_message_ms")
+
+
+def _cell_ends(stale_ms: int):
+    """Of the rows of one client and cell of ``stale_ms + 1`` only the first, the last and the last flag."""
+
+    def shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.to_pandas().sort_values(["client_id", "ts_ms", "seq"])
+            cell = [rows["client_id"], rows["ts_ms"] // (stale_ms + 1)]
+            flag = rows["kind"].isin(schemas.OWN_FLAG)
+            ends = pd.concat(
+                [rows.groupby(cell).head(1), rows.groupby(cell).tail(1), rows[flag].groupby([c[flag] for c in cell]).tail(1)]
+            )
+            ends = ends[~ends.index.duplicated()]
+            yield pa.RecordBatch.from_pandas(ends, schema=batch.schema, preserve_index=False)
+
+    return shrink
+
+
+def stale_episodes_stream(log: DataFrame, stale_ms: int) -> DataFrame:
+    """The episodes of ``health.stale_episodes`` by the log's own clock, as soon as a later row ends them.
+
+    Rows of a client must not come in an earlier micro-batch than rows before them. An open silence has no end
+    yet and is not reported. No gap longer than ``stale_ms`` fits into a cell of one millisecond more, so each
+    task keeps the ends of its cells only.
+    """
+
+    class Gaps(_Client):
+        schema = "up boolean, last_ms bigint"
+
+        def handleInputRows(self, key, chunks, _timers) -> Iterator[pd.DataFrame]:
+            up, last = self.client.get() if self.client.exists() else (False, None)
+            rows = self.sorted(chunks)
+            flag = rows["kind"].isin(schemas.OWN_FLAG)
+            state = (rows["kind"] == schemas.CONNECTED).astype(float).where(flag).ffill()
+            state = state.fillna(float(up)) == 1.0
+            times = rows["ts_ms"].astype("int64")
+            before = times.shift(1)
+            was_up = state.shift(1, fill_value=False)
+            if last is not None:
+                before.iloc[0], was_up.iloc[0] = last, up
+            quiet = was_up & (times - before > stale_ms)
+            self.client.update((bool(state.iloc[-1]), int(times.iloc[-1])))
+            yield pd.DataFrame(
+                {
+                    "client_id": key[0],
+                    "_last_ms": before[quiet].astype("int64"),
+                    "end_ms": times[quiet],
+                }
+            )
+
+    use_keyed_state(log.sparkSession)
+    slim = _slim(log)
+    found = (
+        slim.mapInArrow(_cell_ends(stale_ms), slim.schema)
+        .groupBy("client_id")
+        .transformWithStateInPandas(
+            Gaps(), "client_id string, _last_ms bigint, end_ms bigint", "append", "none"
+        )
+    )
+    return found.select(
+        "client_id",
+        F.col("_last_ms").alias("last_message_ms"),
+        (F.col("_last_ms") + stale_ms).alias("stale_from_ms"),
+        "end_ms",
+    )

@@ -58,7 +58,7 @@ def result(frame):
     }
 
 
-@pytest.mark.parametrize(("n", "lateness"), [(1, None), (2, 0), (5, 0)])
+@pytest.mark.parametrize(("n", "lateness"), [(1, None), (2, None), (5, 0)])
 def test_stream_equals_batch_in_any_number_of_micro_batches(spark, tmp_path, n, lateness):
     rows = rows_of(n)
     write_files(spark, rows, tmp_path / "in", n)
@@ -93,26 +93,71 @@ def test_state_survives_a_restart_and_late_rows_repeat_their_anchor(spark, tmp_p
     assert got[(b"a", BASE + 5, 3, 5)] == (True, BASE + 61)
 
 
-def test_state_holds_live_keys_only(spark, tmp_path):
+def test_state_has_an_entry_for_each_live_key(spark, tmp_path):
     rows = [(f"k{i}".encode(), BASE + i, 1, i) for i in range(400)]
     write_files(spark, rows, tmp_path / "in", 4)
     judged = stream.dedup_ttl_stream(
         read(spark, tmp_path / "in"), "signature", "received_ms", TTL, lateness_ms=0, buckets=1
     )
     run(judged.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "cp")))
-    state = spark.read.format("statestore").load(str(tmp_path / "cp")).select("value.*").collect()
-    blob = bytes(state[0][0]["anchors"] if "anchors" in state[0][0] else state[0]["anchors"])
-    import pyarrow as pa
+    reader = spark.read.format("statestore").option("stateVarName", "anchors")
+    keys = reader.load(str(tmp_path / "cp")).select("user_map_key.k").collect()
+    live = {f"k{i}".encode() for i in range(400 - TTL - 1, 400)}
+    assert live <= {bytes(r.k) for r in keys} and len(keys) < 200
 
-    assert pa.ipc.open_stream(blob).read_all().num_rows == TTL + 1
 
+def late_rows():
+    steps = [[(b"a", BASE, 1, 1)], [(b"b", BASE + 700, 1, 2)], [(b"a", BASE + 10, 1, 3)]]
+    return steps, {1: False, 2: False, 3: True}
 
-@pytest.mark.parametrize("n", [1, 4])
+
+@pytest.mark.parametrize("form", ["state", "batches"])
+@pytest.mark.parametrize("lateness", [None, 100])
+def test_a_late_row_repeats_its_anchor_unless_bounded_state_is_asked_for(spark, tmp_path, form, lateness):
+    steps, want = late_rows()
+    job = stream.MicroBatchDedup(str(tmp_path / "s"), "signature", "received_ms", TTL, lateness_ms=lateness)
+    out = str(tmp_path / "out")
+
+    def write(rows, batch_id):
+        rows.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    for step in steps:
+        frame = spark.createDataFrame(step, SCHEMA).coalesce(1)
+        frame.write.mode("append").parquet(str(tmp_path / "in"))
+        feed = read(spark, tmp_path / "in")
+        if form == "state":
+            judged = stream.dedup_ttl_stream(
+                feed, "signature", "received_ms", TTL, lateness_ms=lateness, buckets=1
+            )
+            writer = judged.writeStream.format("parquet").option("path", out)
+        else:
+            writer = feed.writeStream.foreachBatch(lambda b, i: job.run(b, i, write))
+        run(writer.option("checkpointLocation", str(tmp_path / "cp")))
+    got = {r.seq: r for r in spark.read.parquet(out).collect()}
+    if lateness is None:
+        assert {i: r.is_duplicate for i, r in got.items()} == want
+        assert "maybe_expired" not in got[3].asDict()
+    else:
+        assert not got[3].is_duplicate and got[3].maybe_expired
+        assert not got[1].maybe_expired and not got[2].maybe_expired
+
+
+def test_rows_without_a_time_are_unique_in_a_stream(spark, tmp_path):
+    rows = [(b"a", BASE, 1, 1), (b"a", None, 1, 2), (b"a", BASE + 9, 1, 3), (None, None, 1, 4)]
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(str(tmp_path / "in"))
+    judged = stream.dedup_ttl_stream(read(spark, tmp_path / "in"), "signature", "received_ms", TTL, buckets=2)
+    out = judged.writeStream.format("parquet").option("path", str(tmp_path / "out"))
+    run(out.option("checkpointLocation", str(tmp_path / "cp")))
+    got = {r.seq: (r.is_duplicate, r.anchor_ms) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got == {1: (False, BASE), 2: (False, None), 3: (True, BASE), 4: (False, None)}
+
+
+@pytest.mark.parametrize("n", [1, 5])
 def test_micro_batch_form_equals_batch_and_can_be_repeated(spark, tmp_path, n):
     rows = rows_of(10 + n)
     write_files(spark, rows, tmp_path / "in", n)
     job = stream.MicroBatchDedup(
-        str(tmp_path / "state"), "signature", "received_ms", TTL, lateness_ms=0, hot_rows=20
+        str(tmp_path / "state"), "signature", "received_ms", TTL, hot_rows=20, compact_every=2
     )
 
     def write(frame, batch_id):
@@ -125,9 +170,34 @@ def test_micro_batch_form_equals_batch_and_can_be_repeated(spark, tmp_path, n):
     source = read(spark, tmp_path / "in")
     run(source.writeStream.foreachBatch(twice).option("checkpointLocation", str(tmp_path / "cp")))
     assert result(spark.read.parquet(str(tmp_path / "out"))) == fold_rows(rows, TTL)
-    anchors = spark.read.parquet(str(tmp_path / f"state/anchors-{(n - 1) % 2}"))
-    newest = max(r[1] for r in rows)
-    assert anchors.agg(F.min("anchor_ms")).first()[0] >= newest - TTL
+    live = job.live(spark, source.schema["signature"].dataType, n - 1)
+    assert live.count() == len({r[0] for r in rows if r[0] is not None})
+
+
+def folder_bytes(path):
+    return sum(f.stat().st_size for f in path.rglob("*.parquet"))
+
+
+def test_bytes_written_follow_the_batch_and_not_the_keys_alive(spark, tmp_path):
+    job = stream.MicroBatchDedup(str(tmp_path / "s"), "signature", "received_ms", TTL)
+    many = [(f"key-{i}".encode() * 4, BASE + i, 1, i) for i in range(5000)]
+    few = [(b"other", BASE + 9000, 1, 9000)]
+    for i, rows in enumerate((many, few, few)):
+        job.run(spark.createDataFrame(rows, SCHEMA), i, lambda df, _: df.count())
+    sizes = [folder_bytes(tmp_path / "s" / f"delta-{i}") for i in range(3)]
+    assert sizes[1] < sizes[0] / 10 and sizes[2] < sizes[0] / 10
+
+
+def test_keys_expire_though_they_send_nothing_any_more(spark, tmp_path):
+    job = stream.MicroBatchDedup(
+        str(tmp_path / "s"), "signature", "received_ms", TTL, lateness_ms=10, compact_every=2
+    )
+    for i, (key, at) in enumerate([(b"a", 0), (b"b", 60), (b"c", 75), (b"d", 500)]):
+        frame = spark.createDataFrame([(key, BASE + at, 1, i)], SCHEMA)
+        job.run(frame, i, lambda df, _: df.count())
+        kind = frame.schema["signature"].dataType
+        live = sorted(bytes(r.signature).decode() for r in job.live(spark, kind, i).collect())
+        assert live == {0: ["a"], 1: ["a", "b"], 2: ["b", "c"], 3: ["d"]}[i]
 
 
 def test_builtin_form_is_a_different_rule(spark, tmp_path):
@@ -216,6 +286,28 @@ def test_endpoint_events_stream_equals_batch(spark, tmp_path):
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
 
 
+def test_episodes_of_a_stream_equal_those_of_the_stored_log(spark, tmp_path):
+    r = random.Random(4)
+    kinds = ["connected", "disconnected", "error", "transaction", "transaction", "pong"]
+    at, rows = 0, []
+    for i in range(240):
+        at += r.choice([0, 1, 5, 9, 30])
+        rows.append((f"client-{r.randrange(1, 4)}", "https://x.example", at, i, r.choice(kinds), None))
+    for i in range(4):
+        part = spark.createDataFrame(rows[i * 60 : (i + 1) * 60], LOG).coalesce(1)
+        part.write.mode("append").parquet(str(tmp_path / "in"))
+        time.sleep(0.02)
+    source = spark.readStream.schema(LOG).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    out = stream_health.stale_episodes_stream(source, 20).writeStream.format("parquet")
+    out = out.option("path", str(tmp_path / "out"))
+    run(out.option("checkpointLocation", str(tmp_path / "cp")))
+    got = spark.read.parquet(str(tmp_path / "out"))
+    stored = health.stale_episodes(spark.createDataFrame(rows, LOG), 20, at + 1000)
+    want = stored.filter(F.col("end_ms") != at + 1000)
+    assert want.count() > 5
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
 def test_stale_stream_reports_silent_clients_once(spark, tmp_path):
     def add(rows):
         full = [(f"client-{c}", "https://x.example", t, t, kind, None) for c, t, kind in rows]
