@@ -49,7 +49,8 @@ def fold_groups(batches, ttl: int):
     carried = None
     for time, first, seed in batches:
         n = len(time)
-        times = time.to_numpy(zero_copy_only=False)
+        # A row without a time is a group of its own, whatever stands for its time.
+        times = pc.fill_null(time, 0).to_numpy(zero_copy_only=False)
         begins = first.to_numpy(zero_copy_only=False).astype(bool)
         continued = n > 0 and not begins[0]
         starts = np.flatnonzero(begins)

@@ -7,6 +7,7 @@ and becomes the new anchor. A hit never extends the time-to-live. Order inside a
 
 
 
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -19,7 +20,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from streamfuse.operators import anchors
-from streamfuse.session import checkpointed, fits_one_task
+from streamfuse.session import checkpointed
 
 ORDER = ("ordinal", "seq")
 
@@ -30,8 +31,13 @@ HOT_ROWS = 5_000_000
 BLOCK_VALUES = 2_000_000
 # Shares of the key space, each with a sketch of its own.
 SKETCHES = 64
-# Anchors of all hot keys that are sent to every task; above it their rows are spread by salt.
-BROADCAST_ROWS = 2_000_000
+# Keys listed and tracked by a sketch; when the last one listed is hot too, both grow tenfold.
+LISTED, TRACKED = 100, 4_000
+MOST_TRACKED = 1_000_000
+# Size of the anchors of all hot keys that are sent to every task; above it their rows are spread by salt.
+BROADCAST_BYTES = 64 * 1024 * 1024
+# What a row of the anchors takes besides its key, in memory.
+ROW_BYTES = 100
 SALTS = 256
 
 
@@ -49,26 +55,26 @@ class _Rule:
 
 
 def find_hot_keys(df: DataFrame, key: str | Sequence[str], min_rows: int) -> list[int]:
-    """Hashes of the keys with about ``min_rows`` rows or more, at most ``SKETCHES * 100`` of them.
+    """Hashes of the keys with about ``min_rows`` rows or more.
 
     One pass over the key column into mergeable sketches, each for a share of the keys so that they
     merge in parallel; rows do not shuffle. A key with more than a thousandth of the rows of its
-    share is always found. The list only chooses between two exact methods.
+    share is always found. Where a whole list is hot, the pass is made again with a longer one. The list
+    only chooses between two exact methods.
     """
     keys = _names(key)
     hashed = df.select(*keys).dropna(subset=keys).select(F.xxhash64(*keys).alias("h"))
-    found = hashed.groupBy(F.pmod("h", F.lit(SKETCHES))).agg(
-        F.expr("approx_top_k(h, 100, 4000)").alias("top")
-    )
-    rows = found.select(F.explode("top").alias("t")).filter(F.col("t.count") >= min_rows)
-    return sorted(r.item for r in rows.select("t.item").collect())
-
-
-def hot_keys_of(df: DataFrame, key: str | Sequence[str], hot_rows: int | None) -> list[int]:
-    """The hot keys; without a threshold of its own, an input of one task's size has none."""
-    if hot_rows is None and fits_one_task(df):
-        return []
-    return find_hot_keys(df, key, hot_rows or HOT_ROWS)
+    listed, tracked = LISTED, TRACKED
+    while True:
+        found = hashed.groupBy(F.pmod("h", F.lit(SKETCHES)).alias("share")).agg(
+            F.expr(f"approx_top_k(h, {listed}, {tracked})").alias("top")
+        )
+        rows = found.select("share", F.explode("top").alias("t")).filter(F.col("t.count") >= min_rows)
+        hot = rows.select("share", "t.item").collect()
+        full = Counter(r.share for r in hot)
+        if max(full.values(), default=0) < listed or tracked * 10 > MOST_TRACKED:
+            return sorted(r.item for r in hot)
+        listed, tracked = listed * 10, tracked * 10
 
 
 def dedup_ttl(
@@ -85,21 +91,21 @@ def dedup_ttl(
 ) -> DataFrame:
     """Add ``is_duplicate`` and ``anchor_ms``.
 
-    Rows shuffle once, on the key. Keys with ``hot_rows`` rows or more (five million, when the input
-    is more than one task's work) take a second way that never holds a key in one task. A row
-    without a key is unique and has no anchor. ``enter`` names a column with the anchor, or null, that
-    a key brings along from earlier data; its value is the same in all rows of a key, and rows older
-    than it are duplicates.
+    Rows shuffle once, on the key. Keys with ``hot_rows`` rows or more (five million) take a second
+    way that never holds a key in one task; finding them is a pass over the key column when this is
+    called, unless ``hot_keys`` gives them. A row without a key or without a time is unique and has no anchor.
+    ``enter`` names a column with the anchor, or null, that a key brings along from earlier data; its value
+    is the same in all rows of a key, and rows older than it are duplicates.
     """
     block_ms = block_ms or (ttl_ms + 1) * max(1, BLOCK_VALUES // (ttl_ms + 1))
     if block_ms <= ttl_ms:
         raise ValueError("block_ms must exceed ttl_ms")
     rule = _Rule(_names(key), ts, ttl_ms, tuple(order), block_ms, enter)
     if hot_keys is None:
-        hot_keys = hot_keys_of(df, key, hot_rows)
+        hot_keys = find_hot_keys(df, key, hot_rows or HOT_ROWS)
     if not hot_keys:
         return _by_window(df, rule)
-    hot = is_hot(rule.keys, hot_keys)
+    hot = is_hot(rule.keys, hot_keys) & F.col(ts).isNotNull()
     return _by_window(df.filter(~hot), rule).unionByName(_by_blocks(df.filter(hot), rule))
 
 
@@ -115,7 +121,9 @@ def _names(key: str | Sequence[str]) -> tuple[str, ...]:
 
 
 def _keyless(rule: _Rule) -> Column:
-    return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in rule.keys])
+    """Rows that nothing can be a repeat of: without a key or without a time."""
+    missing = [F.col(k).isNull() for k in (*rule.keys, rule.ts)]
+    return reduce(lambda a, b: a | b, missing)
 
 
 def _fold(ttl: int):
@@ -142,7 +150,8 @@ def _by_window(df: DataFrame, rule: _Rule) -> DataFrame:
     """
     # Rows without a key are spread by their order columns instead of meeting in one task.
     keyless = _keyless(rule)
-    placed = df.withColumn("_spread", F.when(keyless, F.xxhash64(rule.ts, *rule.order)))
+    spread = F.when(keyless, F.xxhash64(*rule.keys, rule.ts, *rule.order))
+    placed = df.withColumn("_spread", spread)
     sorting = [*rule.keys, "_spread", rule.ts, *rule.order]
     in_key = Window.partitionBy(*rule.keys, "_spread").orderBy(rule.ts, *rule.order)
     near = F.col(rule.ts) - F.col("_previous") <= rule.ttl
@@ -207,8 +216,11 @@ def _by_blocks(df: DataFrame, rule: _Rule) -> DataFrame:
         .filter(~F.col("_fold.is_duplicate"))
         .select(*keys, ts)
     )
-    # The usual case: a few hot keys with one anchor per time-to-live. Their rows do not shuffle.
-    small = found.count() <= BROADCAST_ROWS
+    # The usual case: a few hot keys with one anchor per time-to-live. Their rows do not shuffle. The
+    # table that is sent to every task has up to two rows for each anchor.
+    key_bytes = reduce(lambda a, b: a + b, [F.octet_length(F.col(k).cast("string")) for k in keys])
+    size = found.agg(F.sum(2 * (key_bytes + ROW_BYTES)).alias("b")).first().b or 0
+    small = size <= BROADCAST_BYTES
     # Of the rows at an anchor's time the first one in order owns it.
     at_anchor = df.join(F.broadcast(found), [*keys, ts], "left_semi") if small else df
     owners = at_anchor.groupBy(*keys, ts).agg(F.min(rule.in_order()).alias("_first"))

@@ -33,25 +33,39 @@ def transaction_events(
 
 
 def duplicate_events(
-    duplicates: DataFrame, *, text: Callable[[Column], Column] = base58
+    duplicates: DataFrame,
+    *,
+    text: Callable[[Column], Column] = base58,
+    fallback_ms: Column | None = None,
 ) -> DataFrame:
     """Signature text, source and time of filtered duplicates."""
+    fallback = fallback_ms if fallback_ms is not None else F.unix_millis(F.current_timestamp())
     return duplicates.select(
         text(F.col("signature")).alias("signature"),
         F.col("endpoint").alias("source"),
-        F.col("received_ms").alias("timestamp"),
+        received_time(F.col("received_ms"), fallback).alias("timestamp"),
     )
 
 
-def event_log(families: Mapping[str, DataFrame], timestamp: str = "timestamp") -> DataFrame:
-    """All families as (type, timestamp, payload); the payload is the rest of the row as JSON."""
+def event_log(
+    families: Mapping[str, DataFrame],
+    timestamp: str = "timestamp",
+    typed: Sequence[DataFrame] = (),
+) -> DataFrame:
+    """All families as (type, timestamp, payload); the payload is the rest of the row as JSON.
+
+    Tables in ``typed`` hold several families and tell them apart in a column ``type``, so that what
+    they were made from is read once.
+    """
 
-    def projected(kind: str, df: DataFrame) -> DataFrame:
-        rest = [c for c in df.columns if c != timestamp]
+    def projected(kind: Column, df: DataFrame) -> DataFrame:
+        rest = [c for c in df.columns if c not in (timestamp, "type")]
         return df.select(
-            F.lit(kind).alias("type"),
+            kind.alias("type"),
             F.col(timestamp).alias("timestamp"),
             F.to_json(F.struct(*rest)).alias("payload"),
         )
 
-    return reduce(DataFrame.unionByName, [projected(k, df) for k, df in families.items()])
+    parts = [projected(F.lit(k), df) for k, df in families.items()]
+    parts += [projected(F.col("type"), df) for df in typed]
+    return reduce(DataFrame.unionByName, parts)

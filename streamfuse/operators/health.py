@@ -164,8 +164,14 @@ def stale_detected(
     )
 
 
-def status_snapshot(log: DataFrame, now_ms: int) -> DataFrame:
-    """Every client's flag at ``now_ms`` and, when it is up, the time since its last message."""
+def status_snapshot(
+    log: DataFrame, now_ms: int, endpoints: DataFrame | None = None
+) -> DataFrame:
+    """Every client's flag at ``now_ms`` and, when it is up, the time since its last message.
+
+    With the configured ``endpoints`` every one of them has a row: a client that never came up has
+    nothing in the log and is not connected. Without them, clients are those of the log.
+    """
     past = log.filter(F.col("ts_ms") <= now_ms)
     heard = past.groupBy("client_id", "endpoint").agg(
         F.max(F.when(_kind_in(schemas.REFRESH), F.col("ts_ms"))).alias("_heard_ms")
@@ -176,6 +182,10 @@ def status_snapshot(log: DataFrame, now_ms: int) -> DataFrame:
         .agg(F.max_by(F.col("kind") == schemas.CONNECTED, F.struct(*ORDER)).alias("_flag"))
     )
     connected = F.coalesce("_flag", F.lit(False))
+    if endpoints is not None:
+        # The endpoints are a local table of known size.
+        listed = endpoints.select("client_id", "endpoint")
+        heard = listed.join(heard.drop("endpoint"), "client_id", "left")
     return heard.join(flags, "client_id", "left").select(
         "client_id",
         "endpoint",

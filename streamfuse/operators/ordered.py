@@ -25,12 +25,13 @@ def split_points(
     order: Sequence[str],
     target_rows: int = 1_000_000,
     min_blocks: int | None = None,
-    max_blocks: int = 8192,
+    max_blocks: int = 65_536,
     sample_per_block: int = 20,
 ) -> list[Row]:
     """Sampled quantiles of the order columns; at most ``max_blocks - 1`` of them.
 
-    The sample on the driver has about ``blocks * sample_per_block`` rows of the order columns,
+    Blocks grow only beyond ``max_blocks * target_rows`` rows, 65 billion; a block is sorted and
+    scanned on disk if it has to be, so larger ones cost time, not memory. The sample on the driver has about ``blocks * sample_per_block`` rows of the order columns,
     whatever the size of the data.
     """
     keys = df.select(*order)

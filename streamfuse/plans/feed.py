@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamfuse.config import Endpoint, PoolOptions, SubscribeRequest
+from streamfuse.functions.text import received_time
 from streamfuse.operators import dedup, events, health
 from streamfuse.operators.subscriptions import subscribe
 from streamfuse.sources import feeds, routing
@@ -30,6 +31,8 @@ class Feed:
     options: PoolOptions = field(default_factory=PoolOptions)
     request: SubscribeRequest | Mapping | None = None
     state_buckets: int = 1024
+    # Hashes of the keys that are too frequent for one task; None: look for them in each stored input.
+    hot_keys: Sequence[int] | None = None
 
     def endpoints_table(self, spark: SparkSession) -> DataFrame:
         return feeds.endpoints_table(spark, self.endpoints)
@@ -46,12 +49,18 @@ class Feed:
         wanted = subscribe(deliveries, self.request) if self.request is not None else deliveries
         return routing.valid_signature(routing.transactions_only(wanted))
 
-    def judge(self, selected: DataFrame) -> DataFrame:
-        """Mark repeats within the time-to-live."""
+    def timed(self, selected: DataFrame, fallback_ms: Column | None = None) -> DataFrame:
+        """Missing and zero receive times replaced, by the time of reading unless another is given."""
+        now = fallback_ms if fallback_ms is not None else F.unix_millis(F.current_timestamp())
+        return selected.withColumn("received_ms", received_time(F.col("received_ms"), now))
+
+    def judge(self, selected: DataFrame, fallback_ms: Column | None = None) -> DataFrame:
+        """Mark repeats within the time-to-live; every row has a time before it is judged."""
         by = ("signature", "received_ms", self.options.dedup_ttl_ms)
+        timed = self.timed(selected, fallback_ms)
         if selected.isStreaming:
-            return stream_dedup.dedup_ttl_stream(selected, *by, buckets=self.state_buckets)
-        return dedup.dedup_ttl(selected, *by)
+            return stream_dedup.dedup_ttl_stream(timed, *by, buckets=self.state_buckets)
+        return dedup.dedup_ttl(timed, *by, hot_keys=self.hot_keys)
 
     def transactions(self, judged: DataFrame, data: Sequence[str]) -> DataFrame:
         return events.transaction_events(dedup.split_unique(judged)[0], data)
@@ -73,7 +82,8 @@ class Feed:
         return health.pool_events(log)
 
     def status(self, log: DataFrame, now_ms: int) -> DataFrame:
-        return health.status_snapshot(log, now_ms)
+        """Every configured client, also those the log does not know yet."""
+        return health.status_snapshot(log, now_ms, self.endpoints_table(log.sparkSession))
 
     def stale(self, log: DataFrame, start_ms: int = 0, end_ms: int = 0) -> DataFrame:
         """Silent clients: found by the checks of a stored log, or as they happen in a stream."""

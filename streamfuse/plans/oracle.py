@@ -98,11 +98,16 @@ stale AS (SELECT client_id, ts_ms AS last_message_ms, ts_ms + {STALE_MS} AS stal
 
 
 def snapshot(now_ms: int) -> str:
+    """Every configured client, also the fifth, which the log does not know."""
     return f"""
-snapshot AS (SELECT client_id, endpoint, coalesce(arg_max(kind = 'connected', (ts_ms, seq)) FILTER (kind IN
+configured AS (SELECT 'client-' || i::VARCHAR AS client_id, url AS endpoint FROM ep
+    UNION ALL VALUES ('client-5', 'https://d.feed.example')),
+told_of AS (SELECT client_id, coalesce(arg_max(kind = 'connected', (ts_ms, seq)) FILTER (kind IN
         ('connected', 'error', 'disconnected', 'force_reconnect')), FALSE) AS connected,
     max(ts_ms) FILTER (kind IN ('transaction', 'connected')) AS heard_ms
     FROM log WHERE ts_ms <= {now_ms} GROUP BY ALL),
+snapshot AS (SELECT client_id, endpoint, coalesce(connected, FALSE) AS connected, heard_ms
+    FROM configured LEFT JOIN told_of USING (client_id)),
 """
 
 
@@ -183,7 +188,49 @@ def base58(source: str) -> str:
     return "\n".join(parts)
 
 
+def hexed(source: str) -> str:
+    """``texts``: the rows of a table with the base58 text of their hexadecimal signature."""
+    return f"\nhexed AS (SELECT *, signature AS hex FROM {source}),\n" + base58("hexed")
+
+
+TIME = "t_ms + ((n * 13 + i * 37) % 95) * 1000 AS received_ms"
+TIMED = f"CASE WHEN n % 7 = 0 OR n % 11 = 0 THEN {NOW_MS} ELSE {TIME.replace(' AS received_ms', '')} END AS received_ms"
+# A transaction without meta counts as a success.
+STORED = judged(TTL_MS, f"commitment IN ('confirmed', 'finalized') AND {WANTED}").replace(
+    "event_type = 'error' AS failed", "event_type = 'error' AND n % 41 <> 0 AS failed"
+)
+
 ORACLE: dict[str, str] = {
+    "s4_stored_deliveries": select(
+        STORED,
+        """
+SELECT ordinal, seq, kind, slot, is_duplicate FROM judged UNION ALL
+SELECT ordinal, seq, kind, NULL, NULL FROM deliveries
+WHERE kind = 'other' AND seq % 3 <> 0 AND account_keys[1] IN ('u3', 'u5', 'u8', 'u13')
+    AND commitment IN ('confirmed', 'finalized')""",
+    ),
+    "d1_missing_times": select(
+        judged(TTL_MS).replace(TIME, TIMED),
+        "SELECT ordinal, seq, received_ms, is_duplicate, anchor_ms FROM judged",
+    ),
+    "d3_expiry": select(
+        JUDGED,
+        f"""
+, ends AS (SELECT min(received_ms) AS first, max(received_ms) AS last FROM judged),
+steps AS (SELECT b AS batch_id, first + (last - first + 1) * (b + 1) // 4 AS until FROM ends, range(4) r(b)),
+newest AS (SELECT batch_id, until, max(received_ms) AS newest_ms FROM steps JOIN judged ON received_ms < until
+    GROUP BY ALL)
+SELECT batch_id::INT AS batch_id, count(*) AS n_live FROM (
+    SELECT batch_id, newest_ms, signature, max(anchor_ms) AS anchor_ms FROM newest
+    JOIN judged ON received_ms < until GROUP BY ALL)
+WHERE anchor_ms >= newest_ms - {TTL_MS} - {DAY_MS} GROUP BY ALL""",
+    ),
+    "k3_callbacks": select(
+        JUDGED,
+        """
+SELECT CASE WHEN is_duplicate THEN 'duplicate' ELSE 'unique' END AS part, ordinal, seq FROM judged""",
+    ),
+    "w11_stale_stream": select(LOG, f"SELECT * FROM stale WHERE end_ms <> {END_MS}"),
     "s1_fan_in": select(
         DELIVERIES, "SELECT client_id, endpoint, ordinal, seq, received_ms, kind FROM deliveries"
     ),
@@ -243,14 +290,14 @@ SELECT ordinal, seq, commitment, CASE commitment WHEN 'confirmed' THEN 1 ELSE 2
 FROM deliveries WHERE commitment <> 'processed'""",
     ),
     "p1_transaction_events": select(
-        JUDGED,
+        JUDGED + hexed("judged WHERE NOT is_duplicate"),
         """
-SELECT signature, slot, fee, meta_json, endpoint AS source, received_ms AS timestamp
-FROM judged WHERE NOT is_duplicate""",
+SELECT text AS signature, slot, fee, meta_json, endpoint AS source, received_ms AS timestamp
+FROM texts""",
     ),
     "p2_duplicate_events": select(
-        JUDGED,
-        "SELECT signature, endpoint AS source, received_ms AS timestamp FROM judged WHERE is_duplicate",
+        JUDGED + hexed("judged WHERE is_duplicate"),
+        "SELECT text AS signature, endpoint AS source, received_ms AS timestamp FROM texts",
     ),
     "p3_received_time": select(
         DELIVERIES,
@@ -302,9 +349,9 @@ FROM deliveries""",
 SELECT ordinal, seq, logs[1] AS first_log, len(logs)::INT AS n_logs, len(logs) > 0 AS has_logs FROM found""",
     ),
     "p9_short_signature": select(
-        DELIVERIES,
+        DELIVERIES + hexed("signed"),
         """
-SELECT ordinal, seq, signature[1:8] || '...' AS short8, signature[1:12] || '...' AS short12 FROM signed""",
+SELECT ordinal, seq, text[1:8] || '...' AS short8, text[1:12] || '...' AS short12 FROM texts""",
     ),
     "p10_endpoint_label": select(
         DELIVERIES,
@@ -362,10 +409,13 @@ FROM (SELECT tick_ms, (sum(coalesce(change, 0)) OVER (ORDER BY tick_ms))::BIGINT
     FROM spine LEFT JOIN per_tick USING (tick_ms))""",
     ),
     "d6_live_signatures": select(
-        judged(DAY_MS),
-        f"""
-SELECT signature, max(anchor_ms) AS first_seen_ms FROM judged
-WHERE NOT is_duplicate AND anchor_ms BETWEEN {NOW_MS - DAY_MS} AND {NOW_MS} GROUP BY ALL""",
+        judged(DAY_MS)
+        + f"""
+live AS (SELECT signature, max(anchor_ms) AS first_seen_ms FROM judged
+    WHERE NOT is_duplicate AND anchor_ms BETWEEN {NOW_MS - DAY_MS} AND {NOW_MS} GROUP BY ALL),
+"""
+        + hexed("live"),
+        "SELECT text AS signature, first_seen_ms FROM texts",
     ),
     "a1_dedup_counts": select(
         JUDGED,
@@ -428,10 +478,15 @@ SELECT ({END_MS - START_MS} + 500) // 1000 AS duration_s,
 FROM judged""",
     ),
     "a9_first_messages": select(
-        DELIVERIES,
+        DELIVERIES
+        + """
+earliest AS (SELECT * FROM signed ORDER BY received_ms, ordinal, seq LIMIT 5),
+"""
+        + hexed("earliest"),
         """
-SELECT signature, ordinal, seq, slot, CASE WHEN failed AND meta_json IS NOT NULL THEN 'Failed' ELSE 'Success'
-    END AS status FROM signed ORDER BY received_ms, ordinal, seq LIMIT 5""",
+SELECT text AS signature, ordinal, seq, slot,
+    CASE WHEN coalesce(json_extract(meta_json, '$.err')::VARCHAR, 'null') NOT IN ('null', 'false', '0', '""')
+        THEN 'Failed' ELSE 'Success' END AS status FROM texts""",
     ),
     "a10_sequence_numbers": select(
         JUDGED,
@@ -527,12 +582,12 @@ SELECT client_id, CASE WHEN client_id = 'client-4' THEN 'unknown' ELSE endpoint
     count(*) AS n_events FROM endpoint_events GROUP BY ALL""",
     ),
     "k2_event_log": select(
-        JUDGED + LOG.replace(SOURCE, ""),
+        JUDGED + LOG.replace(SOURCE, "") + hexed("judged"),
         """
 SELECT CASE WHEN is_duplicate THEN 'DUPLICATE' ELSE 'TRANSACTION' END AS type, received_ms AS timestamp,
-    '{"sig":"' || signature[1:8] || '...","source":"' || split_part(endpoint, '.', 1) || '"}' AS payload
-FROM judged UNION ALL
-SELECT 'POOL', ts_ms, '{"status":"' || CASE WHEN change = 1 THEN 'connected' ELSE 'disconnected' END || '"}'
+    '{"sig":"' || text[1:8] || '...","source":"' || split_part(endpoint, '.', 1) || '"}' AS payload
+FROM texts UNION ALL
+SELECT CASE WHEN change = 1 THEN 'CONNECTED' ELSE 'DISCONNECTED' END, ts_ms, '{"status":"' || CASE WHEN change = 1 THEN 'connected' ELSE 'disconnected' END || '"}'
 FROM pool WHERE (change = 1 AND n_up = 1) OR n_up = 0 UNION ALL
 SELECT 'ENDPOINT', ts_ms, '{"client_id":"' || client_id || '","endpoint":"' || endpoint || '","status":"'
     || status || '"}' FROM endpoint_events UNION ALL

@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamfuse import schemas
 from streamfuse.functions import payload, text
+from streamfuse.functions.base58 import base58
 from streamfuse.functions.render import preview, render_binary
 from streamfuse.operators import counts, dedup, events, health, subscriptions
 from streamfuse.operators.ordered import prefix_sum, split_points
 from streamfuse.plans import reports, samples
 from streamfuse.plans.feed import Feed
-from streamfuse.session import new_work_dir
+from streamfuse.session import kept, new_work_dir
 from streamfuse.sources import feeds, routing
 from streamfuse.streaming import dedup as stream_dedup
 from streamfuse.streaming import health as stream_health
@@ -43,6 +45,10 @@ def hex_text(column: Column) -> Column:
     return F.lower(F.hex(column))
 
 
+def configured(spark: SparkSession) -> DataFrame:
+    return feeds.endpoints_table(spark, samples.CONFIGURED)
+
+
 def signed(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = routing.transactions_only(samples.deliveries(spark, sf_dir))
     return routing.valid_signature(feed)
@@ -106,6 +112,23 @@ def feed_end_to_end(spark, sf_dir):
     return counts.dedup_counts(feed.judge(feed.select(with_owner)), by=["client_id", "endpoint"])
 
 
+@query
+def s4_stored_deliveries(spark, sf_dir):
+    """Nested records through a stored table, subscribed, judged and split by kind."""
+    path = new_work_dir(spark, "s4-deliveries")
+    samples.stored_deliveries(samples.deliveries(spark, sf_dir)).write.parquet(path)
+    read = feeds.read_deliveries(spark, path)
+    flat = routing.flatten_transactions(routing.route(read))
+    feed = Feed(samples.ENDPOINTS, request=REQUEST)
+    wanted = subscriptions.subscribe(flat, REQUEST)
+    accounts = wanted.filter(F.col("kind") == schemas.OTHER).withColumn(
+        "is_duplicate", F.lit(None).cast("boolean")
+    )
+    columns = ["ordinal", "seq", "kind", "slot", "is_duplicate"]
+    found = feed.judge(feed.select(flat))
+    return found.select(*columns).unionByName(accounts.select(*columns))
+
+
 # Filters
 
 
@@ -198,7 +221,7 @@ def f6_commitment(spark, sf_dir):
 def p1_transaction_events(spark, sf_dir):
     unique, _ = dedup.split_unique(judged(spark, sf_dir))
     made = events.transaction_events(
-        unique, ["slot", "fee", "meta_json"], text=hex_text, fallback_ms=F.lit(NOW_MS)
+        unique, ["slot", "fee", "meta_json"], fallback_ms=F.lit(NOW_MS)
     )
     return made.select(
         "signature", "data.slot", "data.fee", "data.meta_json", "source", "timestamp"
@@ -208,7 +231,7 @@ def p1_transaction_events(spark, sf_dir):
 @query
 def p2_duplicate_events(spark, sf_dir):
     _, duplicates = dedup.split_unique(judged(spark, sf_dir))
-    return events.duplicate_events(duplicates, text=hex_text)
+    return events.duplicate_events(duplicates, fallback_ms=F.lit(NOW_MS))
 
 
 @query
@@ -306,12 +329,12 @@ def p8_matching_logs(spark, sf_dir):
 
 @query
 def p9_short_signature(spark, sf_dir):
-    shown = hex_text(F.col("signature"))
-    return signed(spark, sf_dir).select(
+    shown = signed(spark, sf_dir).select("ordinal", "seq", base58("signature").alias("text"))
+    return shown.select(
         "ordinal",
         "seq",
-        text.short_signature(shown).alias("short8"),
-        text.short_signature(shown, 12).alias("short12"),
+        text.short_signature(F.col("text")).alias("short8"),
+        text.short_signature(F.col("text"), 12).alias("short12"),
     )
 
 
@@ -387,52 +410,100 @@ def d1_dedup_hot_keys(spark, sf_dir):
     ).select("event_id", "is_duplicate", "anchor_ms")
 
 
-def _streamed(spark, sf_dir):
-    schema = samples.read_events(spark, sf_dir).schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-    return reader.parquet(sf_dir)
+@query
+def d1_missing_times(spark, sf_dir):
+    """Every seventh time is 0, every eleventh is missing; the time of reading stands in for them."""
+    n = F.col("seq")
+    zero = F.lit(0).cast("bigint")
+    given = F.when(n % 7 == 0, zero).when(n % 11 != 0, F.col("received_ms"))
+    rows = signed(spark, sf_dir).withColumn("received_ms", given)
+    found = Feed(samples.ENDPOINTS).judge(rows, fallback_ms=F.lit(NOW_MS))
+    return found.select("ordinal", "seq", "received_ms", "is_duplicate", "anchor_ms")
+
+
+STEPS = 4
+
+
+def _in_steps(rows: DataFrame, ts: str, work: str, start, after=None) -> None:
+    """Deliver rows in slices of equal time to a folder and run a stream query after each of them.
+
+    The query ends after each slice and goes on from its checkpoint: as many micro-batches and one
+    restart fewer.
+    """
+    spark = rows.sparkSession
+    first, last = rows.agg(F.min(ts), F.max(ts)).first()
+    for i in range(STEPS):
+        low, high = (first + (last - first + 1) * k // STEPS for k in (i, i + 1))
+        rows.filter((F.col(ts) >= low) & (F.col(ts) < high)).write.mode("append").parquet(f"{work}/in")
+        source = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 100_000)
+        writer = start(source.parquet(f"{work}/in"))
+        writer.trigger(availableNow=True).start().awaitTermination()
+        if after:
+            after(i)
+
 
+def _slim(spark, sf_dir):
+    return signed(spark, sf_dir).select("signature", "received_ms", "ordinal", "seq", "endpoint")
 
-def _run(writer) -> None:
-    writer.trigger(availableNow=True).start().awaitTermination()
+
+def _table(stream: DataFrame, work: str):
+    out = stream.writeStream.format("parquet").option("path", f"{work}/out")
+    return out.option("checkpointLocation", f"{work}/checkpoint")
 
 
 @query
 def d2_dedup_stream(spark, sf_dir):
-    feed = routing.valid_signature(samples.deliveries_of(_streamed(spark, sf_dir)))
-    slim = feed.select("signature", "received_ms", "ordinal", "seq")
-    stream = stream_dedup.dedup_ttl_stream(slim, "signature", "received_ms", TTL_MS, buckets=64)
     work = new_work_dir(spark, "d2-stream")
-    out = stream.select("ordinal", "seq", "is_duplicate", "anchor_ms").writeStream.format("parquet")
-    _run(out.option("path", f"{work}/out").option("checkpointLocation", f"{work}/checkpoint"))
+
+    def start(feed):
+        found = stream_dedup.dedup_ttl_stream(feed, "signature", "received_ms", TTL_MS, buckets=64)
+        return _table(found.select("ordinal", "seq", "is_duplicate", "anchor_ms"), work)
+
+    _in_steps(_slim(spark, sf_dir), "received_ms", work, start)
     return spark.read.parquet(f"{work}/out")
 
 
-@query
-def d2_dedup_micro_batches(spark, sf_dir):
-    feed = routing.valid_signature(samples.deliveries_of(_streamed(spark, sf_dir)))
-    work = new_work_dir(spark, "d2-batches")
-    job = stream_dedup.MicroBatchDedup(f"{work}/state", "signature", "received_ms", TTL_MS)
+def _micro_batches(spark, sf_dir, work, after=None, **options):
+    job = stream_dedup.MicroBatchDedup(
+        f"{work}/state", "signature", "received_ms", TTL_MS, compact_every=2, **options
+    )
 
     def write(rows: DataFrame, batch_id: int) -> None:
-        slim = rows.select("ordinal", "seq", "is_duplicate", "anchor_ms")
-        slim.write.mode("overwrite").parquet(f"{work}/out/batch_id={batch_id}")
+        found = rows.select("ordinal", "seq", "is_duplicate", "anchor_ms")
+        found.write.mode("overwrite").parquet(f"{work}/out/batch_id={batch_id}")
 
-    _run(
-        feed.writeStream.foreachBatch(lambda b, i: job.run(b, i, write)).option(
-            "checkpointLocation", f"{work}/checkpoint"
-        )
-    )
+    def start(feed):
+        each = feed.writeStream.foreachBatch(lambda b, i: job.run(b, i, write))
+        return each.option("checkpointLocation", f"{work}/checkpoint")
+
+    _in_steps(_slim(spark, sf_dir), "received_ms", work, start, after and (lambda i: after(job, i)))
     return spark.read.parquet(f"{work}/out").drop("batch_id")
 
 
 @query
-def k1_split_sink(spark, sf_dir):
-    feed = routing.valid_signature(samples.deliveries_of(_streamed(spark, sf_dir)))
-    slim = feed.select("signature", "received_ms", "ordinal", "seq", "endpoint")
-    stream = stream_dedup.dedup_ttl_stream(slim, "signature", "received_ms", TTL_MS, buckets=64)
-    work = new_work_dir(spark, "k1-split")
-    _run(sinks.split_sink(stream, f"{work}/unique", f"{work}/duplicate", f"{work}/checkpoint"))
+def d2_dedup_micro_batches(spark, sf_dir):
+    return _micro_batches(spark, sf_dir, new_work_dir(spark, "d2-batches"))
+
+
+@query
+def d3_expiry(spark, sf_dir):
+    """Keys still alive after each micro-batch, when rows may be a day late."""
+    found = []
+
+    def count(job, i):
+        key_type = signed(spark, sf_dir).schema["signature"].dataType
+        live = job.live(spark, key_type, i)
+        found.append(live.agg(F.lit(i).alias("batch_id"), F.count("*").alias("n_live")))
+
+    _micro_batches(spark, sf_dir, new_work_dir(spark, "d3-expiry"), count, lateness_ms=DAY_MS)
+    return reduce(DataFrame.unionByName, found)
+
+
+def _judged_stream(feed):
+    return stream_dedup.dedup_ttl_stream(feed, "signature", "received_ms", TTL_MS, buckets=64)
+
+
+def _both_parts(spark, work):
     parts = [
         spark.read.parquet(f"{work}/{part}").select(F.lit(part).alias("part"), "ordinal", "seq")
         for part in ("unique", "duplicate")
@@ -440,16 +511,48 @@ def k1_split_sink(spark, sf_dir):
     return parts[0].unionByName(parts[1])
 
 
+@query
+def k1_split_sink(spark, sf_dir):
+    work = new_work_dir(spark, "k1-split")
+
+    def start(feed):
+        to = (f"{work}/unique", f"{work}/duplicate", f"{work}/checkpoint")
+        return sinks.split_sink(_judged_stream(feed), *to)
+
+    _in_steps(_slim(spark, sf_dir), "received_ms", work, start)
+    return _both_parts(spark, work)
+
+
+@query
+def k3_callbacks(spark, sf_dir):
+    work = new_work_dir(spark, "k3-callbacks")
+
+    def handler(part):
+        def store(rows: DataFrame, batch_id: int) -> None:
+            rows.write.mode("overwrite").parquet(f"{work}/{part}/batch_id={batch_id}")
+
+        return store
+
+    handlers = {part: handler(part) for part in ("unique", "duplicate")}
+    kind = F.when(F.col("is_duplicate"), "duplicate").otherwise("unique")
+
+    def start(feed):
+        typed = _judged_stream(feed).withColumn("type", kind)
+        return sinks.on_events(typed, handlers, f"{work}/checkpoint")
+
+    _in_steps(_slim(spark, sf_dir), "received_ms", work, start)
+    return _both_parts(spark, work)
+
+
 @query
 def d4_split_unique(spark, sf_dir):
-    parts = dedup.split_unique(judged(spark, sf_dir))
-    named = [
-        part.groupBy(F.col("client_id"), F.col("endpoint").alias("source"))
+    # Both parts are counted in one pass; the parts themselves are what the sinks write.
+    part = F.when(F.col("is_duplicate"), "duplicate").otherwise("unique").alias("part")
+    return (
+        judged(spark, sf_dir)
+        .groupBy("client_id", F.col("endpoint").alias("source"), part)
         .agg(F.count("*").alias("n_rows"))
-        .withColumn("part", F.lit(name))
-        for name, part in zip(("unique", "duplicate"), parts, strict=True)
-    ]
-    return named[0].unionByName(named[1])
+    )
 
 
 @query
@@ -462,7 +565,7 @@ def d5_occupancy(spark, sf_dir):
 def d6_live_signatures(spark, sf_dir):
     rows = dedup.dedup_ttl(signed(spark, sf_dir), "signature", "received_ms", DAY_MS)
     live = dedup.live_keys(rows, "signature", NOW_MS, DAY_MS)
-    return live.select(hex_text(F.col("signature")).alias("signature"), "first_seen_ms")
+    return live.select(base58("signature").alias("signature"), "first_seen_ms")
 
 
 # Counts and rates
@@ -487,8 +590,8 @@ def a3_unique_pct(spark, sf_dir):
 
 @query
 def a4_running_rate(spark, sf_dir):
-    points = split_points(samples.deliveries(spark, sf_dir), samples.ORDER)
-    return counts.running_rate(judged(spark, sf_dir), samples.ORDER, every=10, points=points)
+    rows = kept(judged(spark, sf_dir).select(*samples.ORDER, "is_duplicate"), "a4-judged")
+    return counts.running_rate(rows, samples.ORDER, every=10)
 
 
 @query
@@ -510,7 +613,7 @@ def a6_status_counts_wide(spark, sf_dir):
 @query
 def a7_connected_summary(spark, sf_dir):
     log = samples.connection_log(spark, sf_dir)
-    return counts.connected_summary(health.status_snapshot(log, NOW_MS))
+    return counts.connected_summary(health.status_snapshot(log, NOW_MS, configured(spark)))
 
 
 @query
@@ -518,7 +621,7 @@ def a8_run_summary(spark, sf_dir):
     log = samples.connection_log(spark, sf_dir)
     return reports.run_summary(
         judged(spark, sf_dir),
-        health.status_snapshot(log, END_MS),
+        health.status_snapshot(log, END_MS, configured(spark)),
         health.endpoint_events(log),
         START_MS,
         END_MS,
@@ -530,7 +633,7 @@ def a9_first_messages(spark, sf_dir):
     first = counts.first_messages(signed(spark, sf_dir), samples.ORDER, 5)
     status = payload.tx_status(F.parse_json("meta_json"))
     return first.select(
-        hex_text(F.col("signature")).alias("signature"),
+        base58("signature").alias("signature"),
         "ordinal",
         "seq",
         "slot",
@@ -540,9 +643,8 @@ def a9_first_messages(spark, sf_dir):
 
 @query
 def a10_sequence_numbers(spark, sf_dir):
-    points = split_points(samples.deliveries(spark, sf_dir), samples.ORDER)
-    rows = judged(spark, sf_dir).select(*samples.ORDER, "is_duplicate")
-    numbered = counts.sequence_numbers(rows, samples.ORDER, ["is_duplicate"], points=points)
+    rows = kept(judged(spark, sf_dir).select(*samples.ORDER, "is_duplicate"), "a10-judged")
+    numbered = counts.sequence_numbers(rows, samples.ORDER, ["is_duplicate"])
     return numbered.select("ordinal", "seq", "is_duplicate", "number")
 
 
@@ -585,7 +687,8 @@ def w4_stale_detected(spark, sf_dir):
 
 @query
 def w5_status_snapshot(spark, sf_dir):
-    return health.status_snapshot(samples.connection_log(spark, sf_dir), NOW_MS)
+    log = samples.connection_log(spark, sf_dir)
+    return health.status_snapshot(log, NOW_MS, configured(spark))
 
 
 @query
@@ -617,10 +720,24 @@ def w9_status_report(spark, sf_dir):
 
 @query
 def w10_endpoint_events_stream(spark, sf_dir):
-    log = samples.connection_log_of(_streamed(spark, sf_dir))
     work = new_work_dir(spark, "w10-events")
-    out = stream_health.endpoint_events_stream(log).writeStream.format("parquet")
-    _run(out.option("path", f"{work}/out").option("checkpointLocation", f"{work}/checkpoint"))
+    log = samples.connection_log(spark, sf_dir)
+    _in_steps(
+        log, "ts_ms", work, lambda rows: _table(stream_health.endpoint_events_stream(rows), work)
+    )
+    return spark.read.parquet(f"{work}/out")
+
+
+@query
+def w11_stale_stream(spark, sf_dir):
+    """The event-time form; silences that no later row has ended are not in it."""
+    work = new_work_dir(spark, "w11-stale")
+    log = samples.connection_log(spark, sf_dir).filter(F.col("ts_ms") <= END_MS)
+
+    def start(rows):
+        return _table(stream_health.stale_episodes_stream(rows, STALE_MS), work)
+
+    _in_steps(log, "ts_ms", work, start)
     return spark.read.parquet(f"{work}/out")
 
 
@@ -636,27 +753,26 @@ def j1_endpoint_lookup(spark, sf_dir):
 @query
 def k2_event_log(spark, sf_dir):
     log = samples.connection_log(spark, sf_dir)
-    unique, duplicates = dedup.split_unique(judged(spark, sf_dir))
-
-    def brief(df):
-        sig = text.short_signature(hex_text(F.col("signature")))
-        source = text.endpoint_label(F.col("endpoint"), drop_scheme=False)
-        return df.select(
-            F.col("received_ms").alias("timestamp"), sig.alias("sig"), source.alias("source")
-        )
+    rows = judged(spark, sf_dir).withColumn("_text", base58("signature"))
+    messages = rows.select(
+        F.when(F.col("is_duplicate"), "DUPLICATE").otherwise("TRANSACTION").alias("type"),
+        F.col("received_ms").alias("timestamp"),
+        text.short_signature(F.col("_text")).alias("sig"),
+        text.endpoint_label(F.col("endpoint"), drop_scheme=False).alias("source"),
+    )
 
     points = split_points(log.filter(F.col("kind").isin(*schemas.REPORTED)), health.ORDER)
     pool = health.pool_events(log, points)
     endpoint = health.endpoint_events(log, points)
     errors = log.filter(F.col("kind") == schemas.ERROR)
+    # The pool's edges are named after what the pool became.
+    edges = pool.select(text.status_label(F.col("status")).alias("type"), "timestamp", "status")
     return events.event_log(
         {
-            "TRANSACTION": brief(unique),
-            "DUPLICATE": brief(duplicates),
-            "POOL": pool.select("timestamp", "status"),
             "ENDPOINT": endpoint.select("timestamp", "client_id", "endpoint", "status"),
             "ERROR": errors.select(
                 F.col("ts_ms").alias("timestamp"), F.col("details").alias("message")
             ),
-        }
+        },
+        typed=[messages, edges],
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from streamfuse import schemas
 from streamfuse.config import Endpoint
-from streamfuse.session import fits_one_task, use_utc
+from streamfuse.session import use_utc
 
 # The four endpoints; the third URL is used twice.
 ENDPOINTS = (
@@ -17,17 +17,16 @@ ENDPOINTS = (
     Endpoint("https://c.feed.example", ping=False),
 )
 
+# The configured endpoints: a fifth one that never came up has no row in the log.
+CONFIGURED = (*ENDPOINTS, Endpoint("https://d.feed.example", ping=True))
+
 ORDER = ("received_ms", "ordinal", "seq")
 LOG_ORDER = ("ts_ms", "seq")
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     use_utc(spark)
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    if fits_one_task(events):
-        # One small file is one task; deriving the deliveries is the work worth spreading.
-        return events.repartition(spark.sparkContext.defaultParallelism)
-    return events
+    return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
 def event_ms() -> Column:
@@ -96,6 +95,35 @@ def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deliveries_of(read_events(spark, sf_dir))
 
 
+def stored_deliveries(rows: DataFrame) -> DataFrame:
+    """The same deliveries as nested records, the way a client stores them."""
+    n, kind = F.col("seq"), F.col("kind")
+    message = F.to_json(F.struct(F.col("account_keys").alias("accountKeys")))
+    inner = F.struct(F.array("signature").alias("signatures"), message.alias("message"))
+    body = F.struct("signature", F.col("is_vote").alias("isVote"), inner.alias("transaction"))
+    nothing = F.lit(None).cast("array<string>")
+    transaction = F.struct(
+        body.alias("transaction"),
+        "slot",
+        F.col("meta_json").alias("meta"),
+        nothing.alias("filters"),
+        F.lit(None).cast("map<string,string>").alias("extra"),
+    )
+    # Not every other message is an account update.
+    is_account = (kind == schemas.OTHER) & (n % 3 != 0)
+    return rows.select(
+        "client_id",
+        "endpoint",
+        "ordinal",
+        "seq",
+        "received_ms",
+        F.when(kind == schemas.TRANSACTION, transaction).alias("transaction"),
+        F.when(kind == schemas.PONG, F.struct(n.alias("id"))).alias("pong"),
+        F.when(is_account, F.struct(F.get("account_keys", F.lit(0)).alias("owner"))).alias("account"),
+        "commitment",
+    )
+
+
 def connection_log_of(events: DataFrame) -> DataFrame:
     n, kind = F.col("event_id"), F.col("event_type")
     client = F.pmod(F.col("user_id"), F.lit(4)) + 1

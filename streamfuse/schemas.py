@@ -13,7 +13,9 @@ DELIVERY = """
         meta: string,
         filters: array<string>,
         extra: map<string, string>>,
-    pong struct<id: bigint>
+    pong struct<id: bigint>,
+    account struct<owner: string>,
+    commitment string
 """
 
 # One row per transition or message of one client, in the order (ts_ms, seq).

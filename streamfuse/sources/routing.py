@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streamfuse import schemas
+from streamfuse.functions.payload import failed
 
 
 def message_kind(transaction: Column, pong: Column) -> Column:
@@ -33,13 +34,24 @@ def valid_signature(df: DataFrame, signature: str = "signature") -> DataFrame:
 
 
 def flatten_transactions(df: DataFrame) -> DataFrame:
-    """Lift the fields that later steps filter and shuffle on out of the nested payload."""
+    """Lift the fields that later steps filter and shuffle on out of the nested payload.
+
+    What a subscription speaks of comes along: the account keys of the message, whether the
+    transaction failed, the owner of an account update. The commitment is a column of the delivery.
+    """
     body = F.col("transaction.transaction")
-    return df.withColumns(
+    meta = F.try_parse_json("transaction.meta")
+    message = F.from_json(body["transaction"]["message"], "accountKeys array<string>")
+    lifted = df.withColumns(
         {
             "signature": body["signature"],
             "is_vote": body["isVote"],
             "slot": F.col("transaction.slot"),
-            "meta": F.try_parse_json("transaction.meta"),
+            "meta": meta,
+            "account_keys": message["accountKeys"],
+            "failed": F.when(F.col("transaction").isNotNull(), failed(meta)),
         }
     )
+    if "account" in df.columns:
+        lifted = lifted.withColumn("owner", F.col("account.owner"))
+    return lifted

@@ -36,7 +36,7 @@ def judged_by(frame):
 @pytest.mark.parametrize("way", ["window", "blocks", "mixed", "salted"])
 def test_same_as_the_plain_fold(spark, monkeypatch, ttl, way):
     if way == "salted":
-        monkeypatch.setattr(dedup, "BROADCAST_ROWS", 0)
+        monkeypatch.setattr(dedup, "BROADCAST_BYTES", -1)
         monkeypatch.setattr(dedup, "SALTS", 5)
     rows = rows_of(ttl)
     frame = spark.createDataFrame(rows, SCHEMA)
@@ -118,3 +118,23 @@ def test_occupancy_and_live_keys(spark):
     assert sizes[80] == (0, False) and sizes[200] == (1, False) and sizes[280] == (0, False)
     live = dedup.live_keys(judged, "signature", BASE + 70, 60).collect()
     assert [(bytes(r.signature), r.first_seen_ms - BASE) for r in live] == [(b"b", 10)]
+
+
+def test_rows_without_a_time_are_unique_and_judge_nothing(spark):
+    rows = [(b"a", None, 1, 1), (b"a", BASE, 1, 2), (b"a", BASE + 5, 1, 3), (b"a", None, 2, 4), (None, None, 1, 5)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    hot = [r.h for r in frame.select(F.xxhash64("signature").alias("h")).distinct().collect()]
+    for hot_keys in ([], hot):
+        judged = dedup.dedup_ttl(frame, "signature", "received_ms", 60, hot_keys=hot_keys, block_ms=200)
+        got = {r.seq: (r.is_duplicate, r.anchor_ms) for r in judged.collect()}
+        assert got == {
+            1: (False, None), 2: (False, BASE), 3: (True, BASE), 4: (False, None), 5: (False, None)
+        }
+
+
+def test_more_hot_keys_than_a_sketch_lists_are_found(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "SKETCHES", 2)
+    monkeypatch.setattr(dedup, "LISTED", 3)
+    monkeypatch.setattr(dedup, "TRACKED", 100)
+    frame = spark.range(4000).select((F.col("id") % 40).alias("k"))
+    assert len(dedup.find_hot_keys(frame, "k", 50)) == 40

@@ -10,7 +10,8 @@ import __spark_entry__ as entry
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="test tables are not here")
 STREAMS = {
-    "d2_dedup_stream", "d2_dedup_micro_batches", "k1_split_sink", "w10_endpoint_events_stream"
+    "d2_dedup_stream", "d2_dedup_micro_batches", "d3_expiry", "k1_split_sink", "k3_callbacks",
+    "w10_endpoint_events_stream", "w11_stale_stream",
 }
 
 
@@ -19,7 +20,7 @@ def plan_of(frame):
 
 
 @pytest.mark.filterwarnings("ignore:.*skipped")
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - STREAMS))
+@pytest.mark.parametrize("name", sorted(set(entry.QUERIES) - STREAMS))
 def test_plan(spark, name):
     plan = plan_of(entry.queries()[name](spark, SF))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan

@@ -50,7 +50,7 @@ def deliveries(spark):
         ("client-1", A.url, 1, 4, 130, no_signature, None),
         ("client-1", A.url, 1, 5, 140, empty_signature, None),
     ]
-    return spark.createDataFrame(rows, schemas.DELIVERY)
+    return spark.createDataFrame([(*r, None, "confirmed") for r in rows], schemas.DELIVERY)
 
 
 @pytest.mark.parametrize("streaming", [False, True])
