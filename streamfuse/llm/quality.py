@@ -37,6 +37,16 @@ SEED = 11
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
 
 
+# Stands for a token that repeats the one before it.
+AGAIN = "<again>"
+
+
+def tokens_of(text: str) -> list[str]:
+    """Words and runs of signs; a token right after its equal counts as a repetition."""
+    found = _TOKEN.findall(text)
+    return [AGAIN if t == before else t for before, t in zip([None, *found], found, strict=False)]
+
+
 def shape(token: str) -> str:
     """What a rare token is counted as: its kind of letters and a rough length."""
     if token.isupper():
@@ -68,7 +78,7 @@ class WordVectors:
 
     def __init__(self, texts: list[str]):
         counts: Counter[str] = Counter()
-        split = [_TOKEN.findall(t) for t in texts]
+        split = [tokens_of(t) for t in texts]
         for tokens in split:
             counts.update(tokens)
         frequent = sorted((t for t in counts if counts[t] >= MIN_COUNT), key=lambda t: (-counts[t], t))
@@ -109,7 +119,7 @@ class WordVectors:
 
     def pooled(self, text: str) -> np.ndarray:
         """Mean vector of the whole text; zero for a text without tokens."""
-        ids = self.ids(_TOKEN.findall(text))
+        ids = self.ids(tokens_of(text))
         if len(ids) == 0:
             return np.zeros(DIMENSIONS, dtype=np.float64)
         # Each number once, times its count: bounded by the vocabulary, however long the text.
