@@ -29,9 +29,9 @@ SAMPLE_CHARS = 24_000
 SEGMENT = 1024
 # Characters handled at a time in a task.
 BLOCK_CHARS = 4_000_000
-# A text with an estimate above this share of log2(N) is not in any learned language: its phrases are
-# hardly longer than the single characters that any text falls into.
-REJECT_SHARE = 0.6
+# A text with an estimate above this share of log2(N) is not in any learned language: nearly all of
+# its phrases are single characters, which any text falls into.
+REJECT_SHARE = 0.8
 
 
 def crc32_text(column: str):
