@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from streamfuse.operators import anchors
+from streamfuse.operators.ticks import next_tick, running_totals, tick_spine
 from streamfuse.session import checkpointed
 
 ORDER = ("ordinal", "seq")
@@ -296,12 +297,9 @@ def dedup_occupancy(
     per_tick = changes.groupBy(next_tick("at", tick_ms).alias("tick_ms")).agg(
         F.sum("change").alias("change")
     )
-    spine = tick_spine(per_tick, tick_ms)
-    running = Window.orderBy("tick_ms").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    size = F.sum(F.coalesce("change", F.lit(0))).over(running)
+    running = running_totals(tick_spine(per_tick, tick_ms), per_tick, ["change"], tick_ms)
     return (
-        spine.join(per_tick, "tick_ms", "left")
-        .select("tick_ms", size.alias("size"))
+        running.withColumnRenamed("change", "size")
         .withColumns(
             {
                 "max_size": F.lit(max_size).cast("bigint"),
@@ -312,20 +310,6 @@ def dedup_occupancy(
     )
 
 
-def next_tick(column: str, tick_ms: int) -> Column:
-    """The first tick at or after a time."""
-    c = F.col(column)
-    return c + F.pmod(-c, F.lit(tick_ms))
-
-
-def tick_spine(per_tick: DataFrame, tick_ms: int) -> DataFrame:
-    """Every tick from the first to the last of a per-tick table."""
-    ends = per_tick.agg(F.min("tick_ms").alias("lo"), F.max("tick_ms").alias("hi"))
-    return ends.filter(F.col("lo").isNotNull()).select(
-        F.explode(F.sequence("lo", "hi", F.lit(tick_ms).cast("bigint"))).alias("tick_ms")
-    )
-
-
 def live_keys(df: DataFrame, key: str | Sequence[str], now_ms: int, ttl_ms: int) -> DataFrame:
     """Keys not yet expired at ``now_ms``, with the time they were first seen."""
     recent = F.col("anchor_ms").between(now_ms - ttl_ms, now_ms)

@@ -15,8 +15,9 @@ from pyspark.sql.window import Window
 from streamfuse import schemas
 from streamfuse.config import PoolOptions
 from streamfuse.functions.text import recovered_text
-from streamfuse.operators.dedup import next_tick
 from streamfuse.operators.ordered import scan, split_points
+from streamfuse.operators.ticks import next_tick
+from streamfuse.session import kept
 
 ORDER = ("ts_ms", "seq")
 CLIENT = ("client_id",)
@@ -26,11 +27,23 @@ def _kind_in(kinds: Sequence[str]) -> Column:
     return F.col("kind").isin(list(kinds))
 
 
-def _reported(log: DataFrame, points: Sequence[Row] | None) -> tuple[DataFrame, Sequence[Row]]:
-    """Connects and disconnects with the state the pool had for the client before each of them."""
-    rows = log.filter(_kind_in(schemas.REPORTED))
+def _placed(
+    rows: DataFrame, points: Sequence[Row] | None, label: str
+) -> tuple[DataFrame, Sequence[Row]]:
+    """Rows to scan in order and the points to cut them at.
+
+    Without points, the few rows that matter are kept in the shared folder first: the points and every
+    scan read them there, and the log is read once.
+    """
     if points is None:
+        rows = kept(rows, label)
         points = split_points(rows, ORDER)
+    return rows, points
+
+
+def _reported(log: DataFrame, points: Sequence[Row] | None) -> tuple[DataFrame, Sequence[Row]]:
+    """Connects and disconnects with the state the pool had for the client before each of them."""
+    rows, points = _placed(log.filter(_kind_in(schemas.REPORTED)), points, "reported")
     up = F.col("kind") == schemas.CONNECTED
     known = scan(
         rows.withColumn("_up", up), ORDER, CLIENT, points=points, previous={"_was_up": F.col("_up")}
@@ -204,9 +217,8 @@ def retry_schedule(
     """Delay after each failure; the attempt counts failures since the last success or forced
     reconnect, from 0. A later failure of the client replaces a retry that has not run yet.
     """
-    rows = log.filter(_kind_in((*schemas.RETRY_FAILURE, *schemas.RETRY_RESET)))
-    if points is None:
-        points = split_points(rows, ORDER)
+    counted = log.filter(_kind_in((*schemas.RETRY_FAILURE, *schemas.RETRY_RESET)))
+    rows, points = _placed(counted, points, "failures")
     failure = _kind_in(schemas.RETRY_FAILURE)
     counted = scan(
         rows.withColumn("_failure", failure),

@@ -761,9 +761,10 @@ def k2_event_log(spark, sf_dir):
         text.endpoint_label(F.col("endpoint"), drop_scheme=False).alias("source"),
     )
 
-    points = split_points(log.filter(F.col("kind").isin(*schemas.REPORTED)), health.ORDER)
-    pool = health.pool_events(log, points)
-    endpoint = health.endpoint_events(log, points)
+    reported = kept(log.filter(F.col("kind").isin(*schemas.REPORTED)), "k2-reported")
+    points = split_points(reported, health.ORDER)
+    pool = health.pool_events(reported, points)
+    endpoint = health.endpoint_events(reported, points)
     errors = log.filter(F.col("kind") == schemas.ERROR)
     # The pool's edges are named after what the pool became.
     edges = pool.select(text.status_label(F.col("status")).alias("type"), "timestamp", "status")

@@ -6,9 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from streamfuse.operators.health import client_changes_per_tick
+from streamfuse.operators.ticks import running_totals
 
 
 def run_summary(
@@ -104,12 +104,10 @@ def status_report(
     spine = deduped.sparkSession.range(1, n_ticks + 1).select(
         (F.col("id") * tick_ms + start_ms).alias("tick_ms")
     )
-    so_far = Window.orderBy("tick_ms").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    total = {n: F.sum(F.coalesce(n, F.lit(0))).over(so_far).alias(n) for n in names}
-    return spine.join(changes, "tick_ms", "left").select(
+    return running_totals(spine, changes, names, tick_ms).select(
         "tick_ms",
         F.call_function("div", F.col("tick_ms") - start_ms + 500, F.lit(1000)).alias("uptime_s"),
-        *total.values(),
+        *names,
         F.lit(max_size).cast("bigint").alias("max_size"),
         F.lit(ttl_ms).cast("bigint").alias("ttl_ms"),
     )

@@ -4,6 +4,7 @@ Usage: python tools/skew.py [copies of the events table] [sf_dir]
 """
 
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -21,6 +22,7 @@ def main(copies: int, sf_dir: str) -> None:
         .config("spark.sql.shuffle.partitions", "64")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="streamfuse-"))
         .config("spark.driver.memory", "12g")
         .getOrCreate()
     )
