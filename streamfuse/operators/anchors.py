@@ -114,3 +114,46 @@ def chain_blocks(batches, ttl: int):
             if found < len(entries):
                 anchor = exits[i].values[found].as_py()
         yield pa.array(entering, pa.int64())
+
+
+def pack_times(offsets: np.ndarray, width: int) -> bytes:
+    """Sorted distinct offsets below ``width``: a bitmap, or the numbers themselves where these are fewer bytes.
+
+    A bitmap is ``width / 8`` bytes long, so its length tells which of the two it is.
+    """
+    if len(offsets) * 4 < width // 8:
+        return np.sort(offsets).astype("<u4").tobytes()
+    bits = np.zeros(width, dtype=bool)
+    bits[offsets] = True
+    return np.packbits(bits).tobytes()
+
+
+def unpack_times(data: bytes, width: int) -> np.ndarray:
+    if len(data) == width // 8:
+        return np.flatnonzero(np.unpackbits(np.frombuffer(data, dtype=np.uint8)))
+    return np.frombuffer(data, dtype="<u4").astype(np.int64)
+
+
+def chain_packed(batches, width: int, ttl: int):
+    """The anchors inside each block of a key, for packed blocks sorted by key and time.
+
+    Each batch is (block start, true on the first block of a key, packed times). Blocks that the last
+    anchor covers are not even unpacked, so the work follows the anchors.
+    """
+    limit = None
+    for block, first, packed in batches:
+        out = []
+        for i in range(len(block)):
+            start = block[i].as_py()
+            if first[i].as_py():
+                limit = None
+            anchors: list[int] = []
+            if limit is None or limit < start + width - 1:
+                times = unpack_times(packed[i].as_py(), width)
+                at = 0 if limit is None else int(np.searchsorted(times, limit - start, side="right"))
+                while at < len(times):
+                    anchors.append(start + int(times[at]))
+                    limit = anchors[-1] + ttl
+                    at = int(np.searchsorted(times, limit - start, side="right"))
+            out.append(anchors)
+        yield pa.array(out, pa.list_(pa.int64()))

@@ -30,6 +30,8 @@ HOT_ROWS = 5_000_000
 
 # Distinct milliseconds one task holds of one hot key.
 BLOCK_VALUES = 2_000_000
+# Milliseconds of one packed block, where the time-to-live is longer than that: 16 KB at most.
+PACKED_MS = 1 << 17
 # Shares of the key space, each with a sketch of its own.
 SKETCHES = 64
 # Keys listed and tracked by a sketch; when the last one listed is hot too, both grow tenfold.
@@ -40,6 +42,8 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 # What a row of the anchors takes besides its key, in memory.
 ROW_BYTES = 100
 SALTS = 256
+# Rows of one cell of a hot key, beyond which they are spread by salt.
+CELL_ROWS = 200_000
 
 
 @dataclass(frozen=True)
@@ -48,7 +52,7 @@ class _Rule:
     ts: str
     ttl: int
     order: tuple[str, ...]
-    block_ms: int
+    block_ms: int | None
     enter: str | None
 
     def in_order(self) -> Column:
@@ -98,8 +102,9 @@ def dedup_ttl(
     ``enter`` names a column with the anchor, or null, that a key brings along from earlier data; its value
     is the same in all rows of a key, and rows older than it are duplicates.
     """
-    block_ms = block_ms or (ttl_ms + 1) * max(1, BLOCK_VALUES // (ttl_ms + 1))
-    if block_ms <= ttl_ms:
+    if block_ms is None and ttl_ms < BLOCK_VALUES:
+        block_ms = (ttl_ms + 1) * (BLOCK_VALUES // (ttl_ms + 1))
+    if block_ms is not None and block_ms <= ttl_ms:
         raise ValueError("block_ms must exceed ttl_ms")
     rule = _Rule(_names(key), ts, ttl_ms, tuple(order), block_ms, enter)
     if hot_keys is None:
@@ -179,12 +184,50 @@ def _by_blocks(df: DataFrame, rule: _Rule) -> DataFrame:
     the table of anchors.
     """
     keys, ts, ttl = list(rule.keys), rule.ts, rule.ttl
-    block = F.col(ts) - F.pmod(F.col(ts), F.lit(rule.block_ms))
     entered = F.lit(False)
     if rule.enter:
         entered = F.coalesce(F.col(ts) <= F.col(rule.enter) + ttl, F.lit(False))
-    times = df.filter(~entered).select(*keys, ts).distinct().withColumn("_block_ms", block)
+    times = df.filter(~entered).select(*keys, ts).distinct()
+    anchors_of = _anchors_of_packed if rule.block_ms is None else _anchors_of_blocks
+    return _with_anchors(df, rule, checkpointed(anchors_of(times, rule)), entered)
+
+
+def _anchors_of_packed(times: DataFrame, rule: _Rule) -> DataFrame:
+    """The anchors where a time-to-live has more milliseconds than a task should hold.
 
+    Times are packed into small blocks. One task per key goes through them in order, but unpacks only those
+    an anchor lies in, at most one in each time-to-live, and the block before.
+    """
+    keys, ts, width, ttl = list(rule.keys), rule.ts, PACKED_MS, rule.ttl
+    placed = times.withColumn("_block_ms", F.col(ts) - F.pmod(F.col(ts), F.lit(width)))
+    schema = placed.select(*keys, "_block_ms").schema.add("_times", T.BinaryType())
+
+    def pack(table):
+        offsets = table.column(ts).to_numpy() - table.column("_block_ms")[0].as_py()
+        one = table.slice(0, 1).select([*keys, "_block_ms"]).combine_chunks()
+        packed = anchors.pack_times(offsets, width)
+        return one.append_column("_times", pa.array([packed], pa.binary()))
+
+    def chain(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        return anchors.chain_packed(batches, width, ttl)
+
+    chained = F.arrow_udf(chain, "array<bigint>").asNondeterministic()
+    in_key = Window.partitionBy(*keys).orderBy("_block_ms")
+    return (
+        placed.groupBy(*keys, "_block_ms")
+        .applyInArrow(pack, schema)
+        .withColumn("_opens", F.lag("_block_ms").over(in_key).isNull())
+        .sortWithinPartitions(*keys, "_block_ms")
+        .withColumn("_found", chained("_block_ms", "_opens", "_times"))
+        .select(*keys, F.explode("_found").alias(ts))
+    )
+
+
+def _anchors_of_blocks(times: DataFrame, rule: _Rule) -> DataFrame:
+    """The anchors by blocks of at least one time-to-live, each small enough for a task."""
+    keys, ts, ttl = list(rule.keys), rule.ts, rule.ttl
+    block = F.col(ts) - F.pmod(F.col(ts), F.lit(rule.block_ms))
+    times = times.withColumn("_block_ms", block)
     longs = T.ArrayType(T.LongType())
     exits_schema = (
         times.select(*keys, "_block_ms").schema.add("_heads", longs).add("_exits", longs)
@@ -209,7 +252,7 @@ def _by_blocks(df: DataFrame, rule: _Rule) -> DataFrame:
     )
 
     in_block = Window.partitionBy(*keys, "_block_ms").orderBy(ts)
-    found = checkpointed(
+    return (
         times.join(entering, [*keys, "_block_ms"], "left")
         .withColumn("_opens", F.lag(ts).over(in_block).isNull())
         .sortWithinPartitions(*keys, "_block_ms", ts)
@@ -217,6 +260,11 @@ def _by_blocks(df: DataFrame, rule: _Rule) -> DataFrame:
         .filter(~F.col("_fold.is_duplicate"))
         .select(*keys, ts)
     )
+
+
+def _with_anchors(df: DataFrame, rule: _Rule, found: DataFrame, entered: Column) -> DataFrame:
+    """Judge the rows of hot keys by the anchors found for them."""
+    keys, ts, ttl = list(rule.keys), rule.ts, rule.ttl
     # The usual case: a few hot keys with one anchor per time-to-live. Their rows do not shuffle. The
     # table that is sent to every task has up to two rows for each anchor.
     key_bytes = reduce(lambda a, b: a + b, [F.octet_length(F.col(k).cast("string")) for k in keys])
@@ -254,10 +302,17 @@ def _by_blocks(df: DataFrame, rule: _Rule) -> DataFrame:
     if small:
         tagged = rows.join(F.broadcast(lookup), [*keys, "_cell"], "left")
     else:
+        # Only cells with many rows are worth salting; their number is known before rows move.
+        sizes = rows.groupBy(*keys, "_cell").agg(F.count("*").alias("_n"))
+        crowded = checkpointed(sizes.filter(F.col("_n") > CELL_ROWS).select(*keys, "_cell"))
+        marked = lookup.join(crowded.withColumn("_many", F.lit(True)), [*keys, "_cell"], "left")
+        every = F.sequence(F.lit(0), F.lit(SALTS - 1))
+        copies = F.explode(F.when(F.col("_many"), every).otherwise(F.array(F.lit(0))))
         salt = F.pmod(F.xxhash64(*rule.order), F.lit(SALTS)).cast("int")
-        copies = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-        tagged = rows.withColumn("_salt", salt).join(
-            lookup.withColumn("_salt", copies), [*keys, "_cell", "_salt"], "left"
+        salted = rows.join(crowded.withColumn("_many", F.lit(True)), [*keys, "_cell"], "left")
+        salted = salted.withColumn("_salt", F.when(F.col("_many"), salt).otherwise(F.lit(0)))
+        tagged = salted.drop("_many").join(
+            marked.withColumn("_salt", copies).drop("_many"), [*keys, "_cell", "_salt"], "left"
         )
     is_own = F.coalesce(F.col("_own.at") <= F.col(ts), F.lit(False))
     is_first = is_own & (F.col("_own.at") == F.col(ts)) & (F.col("_own.first") == rule.in_order())

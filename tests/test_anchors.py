@@ -1,5 +1,6 @@
 import numpy as np
 import pyarrow as pa
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -68,3 +69,10 @@ def test_a_hit_never_extends_the_time_to_live():
     rows = np.array([0, 50, 61, 100, 200], dtype=np.int64)
     marks = anchors.mark_anchors(rows, np.array([0]), np.array([-1]), 60)
     assert marks.tolist() == [True, False, True, False, True]
+
+
+@pytest.mark.parametrize("n", [0, 1, 3, 40, 64])
+def test_packed_times_come_back(n):
+    offsets = np.sort(np.random.default_rng(n).choice(64, n, replace=False))
+    data = anchors.pack_times(offsets, 64)
+    assert len(data) <= 8 and anchors.unpack_times(data, 64).tolist() == offsets.tolist()

@@ -33,18 +33,27 @@ def judged_by(frame):
 
 
 @pytest.mark.parametrize("ttl", [0, 1, 60, 700])
-@pytest.mark.parametrize("way", ["window", "blocks", "mixed", "salted"])
+@pytest.mark.parametrize("way", ["window", "blocks", "mixed", "salted", "packed"])
 def test_same_as_the_plain_fold(spark, monkeypatch, ttl, way):
     if way == "salted":
         monkeypatch.setattr(dedup, "BROADCAST_BYTES", -1)
         monkeypatch.setattr(dedup, "SALTS", 5)
+        monkeypatch.setattr(dedup, "CELL_ROWS", 20)
+    if way == "packed":
+        monkeypatch.setattr(dedup, "BLOCK_VALUES", 0)
+        monkeypatch.setattr(dedup, "PACKED_MS", 64)
     rows = rows_of(ttl)
     frame = spark.createDataFrame(rows, SCHEMA)
     hashes = [r.h for r in frame.select(F.xxhash64("signature").alias("h")).distinct().collect()]
-    hot = {"window": [], "blocks": hashes, "mixed": hashes[::2], "salted": hashes}[way]
+    hot = {"window": [], "mixed": hashes[::2]}.get(way, hashes)
     got = judged_by(
         dedup.dedup_ttl(
-            frame, "signature", "received_ms", ttl, hot_keys=hot, block_ms=3 * (ttl + 1)
+            frame,
+            "signature",
+            "received_ms",
+            ttl,
+            hot_keys=hot,
+            block_ms=None if way == "packed" else 3 * (ttl + 1),
         )
     )
     assert got == fold_rows(rows, ttl)
@@ -138,3 +147,18 @@ def test_more_hot_keys_than_a_sketch_lists_are_found(spark, monkeypatch):
     monkeypatch.setattr(dedup, "TRACKED", 100)
     frame = spark.range(4000).select((F.col("id") % 40).alias("k"))
     assert len(dedup.find_hot_keys(frame, "k", 50)) == 40
+
+
+def test_a_day_long_time_to_live_of_a_dense_key_is_packed(spark):
+    day = 86_400_000
+    frame = spark.range(0, 3 * day, 997).select(
+        F.lit(b"hot").alias("signature"), (F.col("id") + BASE * 1000).alias("received_ms"), F.lit(1).alias("ordinal"), F.col("id").alias("seq")
+    )
+    hot = [frame.select(F.xxhash64("signature")).first()[0]]
+    judged = dedup.dedup_ttl(frame, "signature", "received_ms", day, hot_keys=hot)
+    anchors = sorted(r.received_ms - BASE * 1000 for r in judged.filter("not is_duplicate").collect())
+    first = 0
+    want = [first]
+    while (first := -(-(first + day + 1) // 997) * 997) < 3 * day:
+        want.append(first)
+    assert anchors == want
