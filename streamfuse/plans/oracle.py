@@ -72,7 +72,8 @@ log AS (SELECT 'client-' || (1 + user_id % 4)::VARCHAR AS client_id, url AS endp
         WHEN 'view' THEN CASE WHEN n % 4 = 0 THEN 'force_reconnect' ELSE 'disconnected' END
         WHEN 'error' THEN CASE WHEN n % 2 = 0 THEN 'error' ELSE 'connect_failed' END
         WHEN 'click' THEN 'transaction' WHEN 'purchase' THEN 'pong' END AS kind,
-    CASE WHEN event_type = 'error' THEN 'UNAVAILABLE: ' || props END AS details
+    CASE WHEN event_type = 'error' THEN CASE WHEN n % 5 = 0 THEN 'ODD_CODE: ' ELSE 'UNAVAILABLE: ' END || props
+        END AS details
     FROM src JOIN ep ON ep.i = 1 + user_id % 4),
 reported AS (SELECT *, kind = 'connected' AS up,
     lag(kind = 'connected') OVER (PARTITION BY client_id ORDER BY ts_ms, seq) AS was_up
@@ -188,6 +189,12 @@ def base58(source: str) -> str:
     return "\n".join(parts)
 
 
+def outcome(meta: str) -> str:
+    """The outcome of a transaction by the ``err`` of its meta: nothing, null, false, 0 and '' are none."""
+    err = f"coalesce(json_extract({meta}, '$.err')::VARCHAR, 'null')"
+    return f"""CASE WHEN {err} IN ('null', 'false', '0', '0.0', '""') THEN 'Success' ELSE 'Failed' END"""
+
+
 def hexed(source: str) -> str:
     """``texts``: the rows of a table with the base58 text of their hexadecimal signature."""
     return f"\nhexed AS (SELECT *, signature AS hex FROM {source}),\n" + base58("hexed")
@@ -286,8 +293,11 @@ FROM (SELECT client_id, endpoint, {COUNTS} FROM judged GROUP BY ALL)""",
     "f6_commitment": select(
         DELIVERIES,
         """
-SELECT ordinal, seq, commitment, CASE commitment WHEN 'confirmed' THEN 1 ELSE 2 END AS commitment_rank
-FROM deliveries WHERE commitment <> 'processed'""",
+, told AS (SELECT ordinal, seq, CASE WHEN seq % 17 = 0 THEN 'rooted' WHEN seq % 5 = 0 THEN upper(commitment)
+    ELSE commitment END AS commitment FROM deliveries),
+levels(name, commitment_rank) AS (VALUES ('processed', 0), ('confirmed', 1), ('finalized', 2))
+SELECT ordinal, seq, commitment, commitment_rank FROM told JOIN levels ON lower(commitment) = name
+WHERE commitment_rank >= 1""",
     ),
     "p1_transaction_events": select(
         JUDGED + hexed("judged WHERE NOT is_duplicate"),
@@ -327,18 +337,28 @@ SELECT ordinal, seq, '{' || chr(10) || '  "ordinal" : ' || ordinal::VARCHAR || '
     ),
     "p6_tx_status": select(
         DELIVERIES,
-        """
-SELECT ordinal, seq, CASE WHEN seq % 41 = 0 OR seq % 43 = 0 THEN 'Success'
-    WHEN seq % 9 >= 5 THEN 'Failed' ELSE 'Success' END AS status FROM deliveries""",
+        f"""
+, told AS (SELECT ordinal, seq, CASE WHEN seq % 41 = 0 THEN NULL WHEN seq % 43 = 0 THEN '{{}}'
+    ELSE '{{"err":' || ['null', 'false', '0', '""', '0.0', '{{"code":1}}', '"boom"', 'true', '7'][seq % 9 + 1] || '}}'
+    END AS meta FROM deliveries)
+SELECT ordinal, seq, {outcome('meta')} AS status FROM told""",
     ),
     "p7_tx_meta": select(
         DELIVERIES,
-        """
-SELECT ordinal, seq, CASE WHEN seq % 41 = 0 THEN NULL WHEN failed THEN 'Failed' ELSE 'Success' END AS status,
-    CASE WHEN seq % 41 = 0 THEN NULL WHEN slot = 0 THEN 'N/A' ELSE slot::VARCHAR END AS slot_text,
-    CASE WHEN seq % 41 <> 0 AND seq % 4 <> 0 THEN fee END AS tx_fee,
-    CASE WHEN seq % 41 <> 0 AND seq % 3 <> 0 THEN (seq % 6 + 1)::INT END AS accounts_affected
-FROM deliveries""",
+        f"""
+, listed AS (SELECT *, '[' || array_to_string([i * 1000 FOR i IN range(1, seq % 6 + 2)], ',') || ']' AS balances
+    FROM deliveries),
+told AS (SELECT ordinal, seq, slot, CASE WHEN seq % 41 <> 0 THEN
+        '{{"err":' || CASE WHEN failed THEN '{{"code":1}}' ELSE 'null' END
+        || CASE WHEN seq % 4 <> 0 THEN ',"fee":' || fee::VARCHAR ELSE '' END
+        || CASE WHEN seq % 3 <> 0 THEN ',"preBalances":' || balances ELSE '' END
+        || ',"postBalances":' || balances || '}}' END AS meta FROM listed)
+SELECT ordinal, seq, CASE WHEN meta IS NOT NULL THEN {outcome('meta')} END AS status,
+    CASE WHEN meta IS NULL THEN NULL WHEN slot = 0 THEN 'N/A' ELSE slot::VARCHAR END AS slot_text,
+    json_extract(meta, '$.fee')::BIGINT AS tx_fee,
+    CASE WHEN json_extract(meta, '$.preBalances') IS NOT NULL
+        THEN json_array_length(json_extract(meta, '$.postBalances'))::INT END AS accounts_affected
+FROM told""",
     ),
     "p8_matching_logs": select(
         DELIVERIES,
@@ -374,7 +394,9 @@ SELECT seq, upper(status) AS label, CASE status WHEN 'connected' THEN 'up' WHEN
     "p13_error_fields": select(
         LOG,
         """
-SELECT seq, details AS message, regexp_extract(details, '^([A-Z_]+)', 1) AS code, TRUE AS is_known,
+SELECT seq, details AS message, regexp_extract(details, '^([A-Z_]+)', 1) AS code,
+    regexp_extract(details, '^([A-Z_]+)', 1) IN
+        ('UNAUTHENTICATED', 'UNAVAILABLE', 'DEADLINE_EXCEEDED', 'CANCELLED') AS is_known,
     CASE WHEN seq % 3 <> 0 THEN 'at connect:' || seq::VARCHAR END AS frame
 FROM log WHERE details IS NOT NULL""",
     ),
@@ -485,8 +507,9 @@ earliest AS (SELECT * FROM signed ORDER BY received_ms, ordinal, seq LIMIT 5),
         + hexed("earliest"),
         """
 SELECT text AS signature, ordinal, seq, slot,
-    CASE WHEN coalesce(json_extract(meta_json, '$.err')::VARCHAR, 'null') NOT IN ('null', 'false', '0', '""')
-        THEN 'Failed' ELSE 'Success' END AS status FROM texts""",
+    """
+        + outcome("meta_json")
+        + " AS status FROM texts",
     ),
     "a10_sequence_numbers": select(
         JUDGED,

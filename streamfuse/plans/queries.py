@@ -209,7 +209,11 @@ def f5_subscribe(spark, sf_dir):
 
 @query
 def f6_commitment(spark, sf_dir):
-    feed = samples.deliveries(spark, sf_dir).filter(subscriptions.commitment_at_least())
+    # Levels in either letter case, and one that does not exist.
+    n, level = F.col("seq"), F.col("commitment")
+    told = F.when(n % 17 == 0, F.lit("rooted")).when(n % 5 == 0, F.upper(level)).otherwise(level)
+    feed = samples.deliveries(spark, sf_dir).withColumn("commitment", told)
+    feed = feed.filter(subscriptions.commitment_at_least())
     rank = subscriptions.commitment_rank(F.col("commitment"))
     return feed.select("ordinal", "seq", "commitment", rank.alias("commitment_rank"))
 
