@@ -24,11 +24,12 @@ UNKNOWN = "und"
 # The labelled sample the automata are built from: documents and characters of each language.
 SAMPLE_DOCS = 300
 DOC_CHARS = 300
-SAMPLE_CHARS = 24_000
+SAMPLE_CHARS = 20_000
 # Long texts are parsed in segments of this length side by side; no phrase crosses a boundary.
 SEGMENT = 1024
-# Characters handled at a time in a task.
-BLOCK_CHARS = 4_000_000
+# Characters and texts handled at a time in a task.
+BLOCK_CHARS = 1_000_000
+BLOCK_TEXTS = 1_000
 # A text with an estimate above this share of log2(N) is not in any learned language: nearly all of
 # its phrases are single characters, which any text falls into.
 REJECT_SHARE = 0.8
@@ -123,18 +124,19 @@ class CrossParser:
     def _table(sample: str, number: dict[str, int]) -> tuple[np.ndarray, int]:
         """Next state for (state, code), twice the state plus one where a phrase begins."""
         step = suffix_automaton(sample)
-        width = 1 << (len(number) + 1).bit_length()
-        root = np.ones(width, dtype=np.int32)  # an unknown character is a phrase; then the root again
+        width = len(number) + 2
+        # Samples of the default size have fewer than 2^15 states, and small tables stay in cache.
+        small = 2 * len(step) < 1 << 16
+        root = np.ones(width, dtype=np.uint16 if small else np.uint32)
+        # An unknown character is a phrase, then the root again; padding stays there and costs nothing.
         for c, to in step[0].items():
             root[number[c]] = to * 2 + 1
-        root[0] = 0  # padding stays at the root and costs nothing
+        root[0] = 0
         table = np.tile(root, (len(step), 1))
         for state, row in enumerate(step[1:], 1):
             for c, to in row.items():
                 table[state, number[c]] = to * 2
-        for c, to in step[0].items():
-            table[0, number[c]] = to * 2 + 1
-        return table.ravel(), width.bit_length() - 1
+        return table.ravel(), width
 
     def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(phrases for each text and language, characters for each text)."""
@@ -159,8 +161,8 @@ class CrossParser:
         for t in range(int(size[0])):
             n = live[t]
             code = coded[begin[:n] + t]
-            for (table, shift), state, count in zip(self.tables, states, counts, strict=True):
-                to = table[(state[:n] << shift) + code]
+            for (table, width), state, count in zip(self.tables, states, counts, strict=True):
+                to = table[state[:n] * width + code]
                 count[:n] += to & 1
                 state[:n] = to >> 1
         for k, count in enumerate(counts):
@@ -218,7 +220,12 @@ def with_language(docs: DataFrame, samples: dict[str, str]) -> DataFrame:
     def of_batches(batches):
         parser = CrossParser(samples) if samples else None
         for texts in batches:
-            names, scores, rejected = judge(parser, texts.to_pylist())
+            found: tuple[list, list, list] = ([], [], [])
+            for at in range(0, len(texts), BLOCK_TEXTS):
+                part = judge(parser, texts.slice(at, BLOCK_TEXTS).to_pylist())
+                for column, values in zip(found, part, strict=True):
+                    column.extend(values)
+            names, scores, rejected = found
             yield pa.StructArray.from_arrays(
                 [pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())],
                 ["name", "score", "rejected"],
