@@ -28,7 +28,7 @@ PERIOD = 512
 MAX_TABLE = 2_000_000
 # Rows are ranked inside cells (source, salt).
 MIN_SALTS = 64
-SALT_ROWS = 100_000
+SALT_ROWS = 5_000
 TEMPERATURE = 0.5
 
 
