@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import string
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +23,19 @@ def ascii_lower(column: Column) -> Column:
     return F.when(plain, F.lower(column)).otherwise(table)
 
 
+def neutral(docs: DataFrame, needed: Sequence[str]) -> DataFrame:
+    """All columns as c0, c1, ... and the needed ones under their own names as well, so that no column of
+    the table can clash with those an operator adds."""
+    names = docs.columns
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    return plain.withColumns({n: F.col(f"c{names.index(n)}") for n in needed})
+
+
+def original(docs: DataFrame, **changed: Column) -> list[Column]:
+    """The columns of ``docs`` from their neutral names, with some of them changed."""
+    return [changed.get(n, F.col(f"c{i}")).alias(n) for i, n in enumerate(docs.columns)]
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Compute a table once, into the shared folder, where it outlives lost executors."""
     path = new_work_dir(df.sparkSession, label)

@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from streamfuse.llm.common import neutral, original
+
 UNKNOWN = "und"
 # The labelled sample the automata are built from: documents and characters of each language.
 SAMPLE_DOCS = 300
@@ -179,9 +181,11 @@ class CrossParser:
 
 def judge(parser: CrossParser | None, texts: list[str | None]) -> tuple[list, list, list]:
     """Language, score and whether the language is rejected, for each text."""
-    letter = re.compile(r"[^\W\d_]")
+    usual = re.compile("[A-Za-z]")  # nearly always answers at once
     names, scores, rejected = [], [], []
-    speaks = [t is not None and letter.search(t) is not None for t in texts]
+    speaks = [
+        t is not None and (usual.search(t) is not None or any(map(str.isalpha, t))) for t in texts
+    ]
     if parser is None:
         return [UNKNOWN] * len(texts), [0.0] * len(texts), [True] * len(texts)
     rates = np.empty((len(texts), len(parser.names)))
@@ -233,8 +237,9 @@ def with_language(docs: DataFrame, samples: dict[str, str]) -> DataFrame:
 
     of_batches.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     told = F.arrow_udf(of_batches, "name string, score double, rejected boolean")
-    return docs.withColumn("_told", told(F.col("text"))).select(
-        *docs.columns,
+    judged = neutral(docs, ["text"]).withColumn("_told", told(F.col("text")))
+    return judged.select(
+        *original(docs),
         F.col("_told.name").alias("lang_pred"),
         F.col("_told.score").alias("lang_score"),
         F.col("_told.rejected").alias("lang_rejected"),
@@ -256,5 +261,6 @@ def identify(docs: DataFrame) -> DataFrame:
 def keep_identified(docs: DataFrame) -> DataFrame:
     """The documents in a language that the table's own labels teach; the others go."""
     samples = labelled_sample(docs.select("doc_id", "text", "lang"))
-    told = with_language(docs, samples)
-    return told.filter(~F.col("lang_rejected")).select(*docs.columns)
+    clear = neutral(docs, ["text"])
+    kept = with_language(clear, samples).filter(~F.col("lang_rejected"))
+    return kept.select(*original(docs))

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamfuse.llm.common import ascii_lower, whole, written
+from streamfuse.llm.common import ascii_lower, neutral, original, whole, written
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -143,8 +143,8 @@ def _mask(dropped: Column) -> Column:
     return F.flatten(F.transform(dropped, upto))
 
 
-def dedup_lines(docs: DataFrame, **options) -> DataFrame:
-    """Replace ``text`` by its kept lines and add ``n_lines`` and ``n_dropped``.
+def dedup_lines(docs: DataFrame, counts: bool = True, **options) -> DataFrame:
+    """Replace ``text`` by its kept lines and, with ``counts``, add ``n_lines`` and ``n_dropped``.
 
     A line goes if its key has at least 20 code points, at least 3 documents hold it, and this
     document isn't the one of them with the largest doc_id. All lines of a key stay in that one, even
@@ -154,7 +154,8 @@ def dedup_lines(docs: DataFrame, **options) -> DataFrame:
     lost = dropped_lines(docs.select("doc_id", "text"), **options)
     lost = lost.select(F.col("doc").alias("_doc"), F.col("th").alias("_th"), "dropped")
     here = (doc_number() == F.col("_doc")) & (F.xxhash64(whole("text")) == F.col("_th"))
-    marked = docs.join(lost, here, "left").withColumn("_mask", _mask(F.col("dropped")))
+    marked = neutral(docs, ["doc_id", "text"]).join(lost, here, "left")
+    marked = marked.withColumn("_mask", _mask(F.col("dropped")))
     lines = F.split(whole("text"), "\n")
 
     def stays(_, i: Column) -> Column:
@@ -163,12 +164,11 @@ def dedup_lines(docs: DataFrame, **options) -> DataFrame:
     kept = F.when(F.col("dropped").isNull(), F.col("text")).otherwise(
         F.array_join(F.filter(lines, stays), "\n")
     )
-    columns = [kept.alias(c) if c == "text" else F.col(c) for c in docs.columns]
-    return marked.select(
-        *columns,
+    told = [
         F.size(lines).cast("bigint").alias("n_lines"),
         F.coalesce(F.size("dropped"), F.lit(0)).cast("bigint").alias("n_dropped"),
-    )
+    ]
+    return marked.select(*original(docs, text=kept), *(told if counts else []))
 
 
 def line_digest(docs: DataFrame) -> DataFrame:

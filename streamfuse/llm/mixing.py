@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from streamfuse.llm.common import whole
+from streamfuse.llm.common import neutral, original, whole
 
 BLOCK_DOCS = 16
 PERIOD = 512
@@ -168,10 +168,5 @@ def mix_schedule(docs: DataFrame) -> DataFrame:
 
 def mixed(docs: DataFrame, weights: Mapping[str, float] | None = None) -> DataFrame:
     """All documents, sorted in the mixed order."""
-    clear = [f"_c{i}" for i in range(len(docs.columns))]  # own names, whatever the table's are
-    renamed = docs.toDF(*clear)
-    slim = renamed.withColumns(
-        {n: F.col(clear[docs.columns.index(n)]) for n in ("doc_id", "source", "text")}
-    )
-    order = scheduled(slim, weights).orderBy("slot", "rank")
-    return order.select(*clear).toDF(*docs.columns)
+    order = scheduled(neutral(docs, ["doc_id", "source", "text"]), weights).orderBy("slot", "rank")
+    return order.select(*original(docs))

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from streamfuse.llm.common import whole, written
+from streamfuse.llm.common import neutral, original, whole, written
 
 SHINGLE_WORDS = 3
 SEED = 42
@@ -254,7 +254,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     first = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "th")
     heads = near_groups(docs).groupBy("root").agg(F.min(first).alias("h"))
     heads = heads.select(F.col("h.doc_id").alias("_id"), F.col("h.th").alias("_head"))
-    marked = docs.withColumn("_th", F.xxhash64(whole("text")))
+    marked = neutral(docs, ["doc_id", "text"]).withColumn("_th", F.xxhash64(whole("text")))
     here = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_th") == F.col("_head"))
     kept = marked.join(heads, here, "left_semi")
-    return kept.dropDuplicates(["doc_id", "_th"]).drop("_th")
+    return kept.dropDuplicates(["doc_id", "_th"]).select(*original(docs))

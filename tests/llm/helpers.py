@@ -42,7 +42,9 @@ def awkward(spark):
         (8, "under the MIT License, cc by-nc", "en", "b"),
     ]
     docs = docs_of(spark, rows)
-    for name in ("_k", "kind", "slot", "rank", "fp", "score", "key", "batch", "tokens"):
+    clashing = "_k kind kinds slot rank fp score key batch tokens dropped _mask _th _doc _id _head _told _s _h"
+    clashing += " _b _copy _own _next _text _spans block c0 c1 lang_rejected n_lines _salt _row h1 h2 line pos"
+    for name in clashing.split():
         docs = docs.withColumn(name, docs["doc_id"].cast("string"))
     return docs, rows
 

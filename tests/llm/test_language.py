@@ -86,7 +86,7 @@ def test_awkward_rows(spark):
 def test_rejected_documents_go_and_the_others_stay_whole(spark):
     draw = random.Random(8)
     rows = [(i, speak(draw, "en" if i % 2 else "de", 30), "en" if i % 2 else "de", "s") for i in range(60)]
-    strange = [(100, "中文字" * 9, None, "s"), (101, "12 + 34", None, "s"), (102, None, None, "s")]
+    strange = [(100, "中文字" * 9, None, "s"), (101, "12 + 34\u00b2 \u2167", None, "s"), (102, None, None, "s")]
     kept = lang.keep_identified(docs_of(spark, rows + strange))
     assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars"]
     assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted((r[0], r[1]) for r in rows)
