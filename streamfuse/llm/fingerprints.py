@@ -20,7 +20,7 @@ BINS = 256
 BITS = 8
 # Fixed probes tried before the rest of an empty bin's probing order is worked out.
 PROBES = 6
-BLOCK_ROWS = 2_000
+BLOCK_ROWS = 500
 MAX_BLOCKS = 20_000
 
 
@@ -143,7 +143,7 @@ def with_next(
 
     ``here`` are columns worked out for each row, ``after`` gives names to those of the next row. Rows are dealt into blocks of consecutive keys, cut at
     quantiles, and each block also gets a copy of the row that opens the following block. So every
-    text shuffles once and no block waits for another. Rows with the same key follow each other in
+    text shuffles once, before anything is worked out, and no block waits for another. Rows with the same key follow each other in
     order of their text's hash; a null key counts as the smallest.
     """
     least = -(2**63)
@@ -163,12 +163,10 @@ def with_next(
 
     keyed = docs.withColumn("_k", F.coalesce(F.col(key).cast("bigint"), F.lit(least)))
     copies = keyed.join(F.broadcast(opens), "_k").withColumnRenamed("_to", "_b")
-    added = {**here, "_th": F.xxhash64(whole(text), F.lit(1))}
-    rows = (
-        _with_block(keyed, cuts)
-        .withColumns({**added, "_copy": F.lit(0)})
-        .unionByName(copies.withColumns({**added, "_copy": F.lit(1)}))
-    )
+    rows = _with_block(keyed, cuts).withColumn("_copy", F.lit(0))
+    rows = rows.unionByName(copies.withColumn("_copy", F.lit(1)))
+    # Dealt out first, worked out then: the window needs no other placement.
+    rows = rows.repartition("_b").withColumns({**here, "_th": F.xxhash64(whole(text), F.lit(1))})
     place = Window.partitionBy("_b").orderBy("_copy", F.desc("_k"), "_th")
     led = {new: F.lead(old).over(place) for new, old in after.items()}
     return rows.withColumns(led).filter(F.col("_copy") == 0).select(*docs.columns, *here, *after)
