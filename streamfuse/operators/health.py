@@ -33,7 +33,7 @@ def _placed(
     """Rows to scan in order and the points to cut them at.
 
     Without points, the few rows that matter are kept in the shared folder first: the points and every
-    scan read them there, and the log is read once.
+    scan read them there, and the log is read once. With points nothing runs before the query does.
     """
     if points is None:
         rows = kept(rows, label)
@@ -41,14 +41,25 @@ def _placed(
     return rows, points
 
 
+def _between_scans(scanned: DataFrame, points: Sequence[Row] | None, label: str) -> DataFrame:
+    """A scan reads its input twice; what a scan made is kept for the next one, under the same condition."""
+    return kept(scanned, label) if points is None else scanned
+
+
 def _reported(log: DataFrame, points: Sequence[Row] | None) -> tuple[DataFrame, Sequence[Row]]:
     """Connects and disconnects with the state the pool had for the client before each of them."""
+    given = points
     rows, points = _placed(log.filter(_kind_in(schemas.REPORTED)), points, "reported")
     up = F.col("kind") == schemas.CONNECTED
     known = scan(
-        rows.withColumn("_up", up), ORDER, CLIENT, points=points, previous={"_was_up": F.col("_up")}
+        rows.withColumn("_up", up),
+        ORDER,
+        CLIENT,
+        points=points,
+        previous={"_was_up": F.col("_up")},
+        keep_blocks=True,
     )
-    return known, points
+    return _between_scans(known, given, "reported-known"), points
 
 
 def _changes(known: DataFrame) -> DataFrame:
@@ -218,6 +229,7 @@ def retry_schedule(
     reconnect, from 0. A later failure of the client replaces a retry that has not run yet.
     """
     counted = log.filter(_kind_in((*schemas.RETRY_FAILURE, *schemas.RETRY_RESET)))
+    given = points
     rows, points = _placed(counted, points, "failures")
     failure = _kind_in(schemas.RETRY_FAILURE)
     counted = scan(
@@ -227,9 +239,10 @@ def retry_schedule(
         points=points,
         sums={"_failures": F.col("_failure").cast("bigint")},
         following={"_next_ms": F.when(F.col("_failure"), F.col("ts_ms"))},
+        keep_blocks=True,
     )
     based = scan(
-        counted,
+        _between_scans(counted, given, "failures-counted"),
         ORDER,
         CLIENT,
         points=points,

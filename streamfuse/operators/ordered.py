@@ -77,9 +77,13 @@ def scan(
     latest: Mapping[str, Column] | None = None,
     previous: Mapping[str, Column] | None = None,
     following: Mapping[str, Column] | None = None,
+    keep_blocks: bool = False,
 ) -> DataFrame:
     """Add running columns in the order of ``order``, separately for each value of ``by``.
 
+    With ``keep_blocks`` the result keeps its blocks, and a further scan by the same columns finds the
+    rows where it needs them instead of shuffling them again.
+
     ``sums``: total up to and including the row. ``latest``: last value that is not null, up to
     and including the row. ``previous``: the same, before the row. ``following``: first value
     that is not null, after the row. ``order`` must be unique within ``by``, without nulls.
@@ -92,7 +96,9 @@ def scan(
         **{f"_pre_{n}": c for n, c in previous.items()},
         **{f"_fol_{n}": c for n, c in following.items()},
     }
-    staged = with_block(df, order, points).withColumns(inputs)
+    staged = df if BLOCK in df.columns else with_block(df, order, points)
+    staged = staged.withColumns(inputs)
+    spent = [*inputs] if keep_blocks else [BLOCK, *inputs]
 
     place = Window.partitionBy(BLOCK, *by).orderBy(*order)
     upto = place.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -107,18 +113,17 @@ def scan(
         }
     )
     if not points:
-        return local.drop(BLOCK, *inputs)
-
-    at = F.struct(*order)
+        return local.drop(*spent)
 
     def extreme(pick, column):
-        return pick(column, F.when(F.col(column).isNotNull(), at)).alias(column)
+        told = F.struct(*order, F.col(column).alias("_told"))
+        return pick(F.when(F.col(column).isNotNull(), told))["_told"].alias(column)
 
     ends = staged.groupBy(BLOCK, *by).agg(
         *[F.sum(f"_sum_{n}").alias(f"_sum_{n}") for n in sums],
-        *[extreme(F.max_by, f"_lat_{n}") for n in latest],
-        *[extreme(F.max_by, f"_pre_{n}") for n in previous],
-        *[extreme(F.min_by, f"_fol_{n}") for n in following],
+        *[extreme(F.max, f"_lat_{n}") for n in latest],
+        *[extreme(F.max, f"_pre_{n}") for n in previous],
+        *[extreme(F.min, f"_fol_{n}") for n in following],
     )
     # At most max_blocks rows for each value of by.
     earlier = (
@@ -144,7 +149,7 @@ def scan(
             **{n: F.col(n) + F.coalesce(f"_from_{n}", F.lit(0)) for n in sums},
             **{n: F.coalesce(n, f"_from_{n}") for n in (*latest, *previous, *following)},
         }
-    ).drop(BLOCK, *inputs, *[f"_from_{n}" for n in names])
+    ).drop(*spent, *[f"_from_{n}" for n in names])
 
 
 def prefix_sum(

@@ -9,6 +9,7 @@ import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="test tables are not here")
+HEALTH = ["w1_endpoint_events", "w2_pool_events", "w6_retry_schedule", "w7_outages", "w8_active_endpoints"]
 STREAMS = {
     "d2_dedup_stream", "d2_dedup_micro_batches", "d3_expiry", "k1_split_sink", "k3_callbacks",
     "w10_endpoint_events_stream", "w11_stale_stream",
@@ -53,3 +54,33 @@ def test_messages_shrink_before_they_shuffle(spark):
 def test_judged_rows_shuffle_once(spark):
     plan = plan_of(entry.queries()["p1_transaction_events"](spark, SF))
     assert plan.count("hashpartitioning(") == 1
+
+
+@pytest.mark.parametrize("name", HEALTH)
+def test_ordered_operators_read_the_log_once(spark, name):
+    plan = plan_of(entry.queries()[name](spark, SF))
+    # What is left for the query itself is the second scan of rows that the first one kept.
+    assert "events.parquet" not in plan
+    assert plan.count("FileScan") == 2
+    assert plan.count("Exchange hashpartitioning") <= 5
+
+
+@pytest.mark.parametrize("name", ["a4_running_rate", "a10_sequence_numbers", "d4_split_unique", "k2_event_log"])
+def test_rows_are_judged_once(spark, name):
+    plan = plan_of(entry.queries()[name](spark, SF))
+    assert plan.count("fold(received_ms") == (0 if name.startswith("a") else 1)
+
+
+def test_no_job_runs_before_the_query_when_points_and_hot_keys_are_given(spark):
+    from streamfuse.operators import dedup, health, ordered
+    from streamfuse.plans import samples
+
+    log, feed = samples.connection_log(spark, SF), samples.deliveries(spark, SF)
+    points = ordered.split_points(log, health.ORDER)
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None))
+    health.retry_schedule(log, points=points)
+    health.endpoint_events(log, points, recovery_details=True)
+    health.active_endpoints(log, points)
+    dedup.dedup_ttl(feed, "signature", "received_ms", 60, hot_keys=[])
+    assert set(tracker.getJobIdsForGroup(None)) == before
