@@ -219,7 +219,7 @@ def scan_licenses(docs: DataFrame, more: Sequence[Template] = MORE_TEMPLATES) ->
                     "last_word": max(starts, default=None),
                     "base_labels": ",".join(sorted({templates[k].label for k, _ in base})),
                     "labels": ",".join(sorted({templates[k].label for k, _, _ in found})),
-                    "score": max((s for _, _, s in found), default=0.0),
+                    "score": round(max((s for _, _, s in found), default=0.0), 6),
                 }
             )
         types = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.float64()]
@@ -229,3 +229,52 @@ def scan_licenses(docs: DataFrame, more: Sequence[Template] = MORE_TEMPLATES) ->
 
     told = docs.withColumn("_l", F.arrow_udf(of_batch, _RESULT)(F.col("text")))
     return told.select("doc_id", *[F.col(f"_l.{n}").alias(n) for n in names])
+
+
+def oracle_sql(templates: Sequence[Template] = TEMPLATES) -> str:
+    """The same in SQL: every place of every first key phrase, without an index."""
+
+    def listed(values) -> str:
+        return "[" + ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values) + "]"
+
+    rows = []
+    for k, t in enumerate(templates):
+        words = t.text.split()
+        needed = sorted({w for s, n in t.keys for w in words[s : s + n]})
+        starts, sizes = zip(*t.keys, strict=True)
+        rows.append(
+            f"({k}, '{t.label}', {t.base}, {listed(words)}, {listed(needed)}, {listed(starts)}, {listed(sizes)})"
+        )
+    most = max(len(t.keys) for t in templates)
+
+    def key(j: int) -> str:
+        here = f"w[off + s[{j}] + 1 : off + s[{j}] + n[{j}]] = words[s[{j}] + 1 : s[{j}] + n[{j}]]"
+        return f"(len(s) < {j} OR {here})"
+
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+t(k, label, base, words, needed, s, n) AS (VALUES {", ".join(rows)}),
+vocabulary AS (SELECT DISTINCT unnest(words) AS x FROM t),
+held AS (SELECT r, unnest(list_distinct(w)) AS x FROM d),
+rarity AS (
+  SELECT x, ln(((SELECT count(*) FROM d) + 1) / (count(r) + 1)) + 1e-9 AS weight
+  FROM vocabulary LEFT JOIN held USING (x) GROUP BY x),
+able AS (SELECT r, w, t.* FROM d JOIN t ON list_has_all(w, needed)),
+tried AS (SELECT *, unnest(range(len(w))) - s[1] AS off FROM able),
+placed AS (SELECT * FROM tried WHERE {" AND ".join(key(j) for j in range(1, most + 1))}),
+spread AS (SELECT r, k, label, base, off, off + s[1] AS start, w, words, unnest(range(len(words))) AS i FROM placed),
+found AS (
+  SELECT r, label, base, start,
+    sum(CASE WHEN off + i >= 0 AND w[off + i + 1] = words[i + 1] THEN weight ELSE 0 END) / sum(weight) AS share
+  FROM spread JOIN rarity ON x = words[i + 1] GROUP BY r, k, label, base, start HAVING share >= {MIN_SHARE}),
+told AS (
+  SELECT r, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word,
+    max(start) FILTER (base) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
+    string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score
+  FROM found GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word::BIGINT AS first_word,
+  last_word::BIGINT AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+  round(coalesce(score, 0), 6) AS score
+FROM d LEFT JOIN told USING (r)"""

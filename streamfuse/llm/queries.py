@@ -23,6 +23,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {
+    "op1_license_scan": licenses.oracle_sql(),
     "op5_secret_scan": secrets.oracle_sql(),
     "op8_line_dedup": lines.ORACLE,
     "op9_exact_top_k": topk.ORACLE,

@@ -1,3 +1,8 @@
+from pathlib import Path
+
+import duckdb
+import pytest
+
 from streamfuse.llm import licenses as lic
 from tests.llm.helpers import awkward, docs_of, empty, words
 
@@ -65,3 +70,17 @@ def test_rarest_word_is_looked_up():
     index = lic.LicenseIndex(lic.TEMPLATES, counts, 1000)
     k = next(i for i, t in enumerate(lic.TEMPLATES) if t.text == "cc by nc")
     assert (k, 2) in index.anchors[b"nc"]
+
+
+@pytest.mark.skipif(not Path("/root/testdata/sf0.001").exists(), reason="test tables are not here")
+def test_sql_says_the_same(spark):
+    mit = lic.MORE_TEMPLATES[0].text
+    texts = [mit + " in a text", "x " + mit[:200], "cc by nc cc by sa", None, "", "of the gnu general public license",
+             " ".join(reversed(mit.split())), "license you may not use this file except in compliance with the license"]
+    docs = docs_of(spark, list(enumerate(texts)))
+    db = duckdb.connect()
+    documents = docs.toPandas()  # noqa: F841 - read by name
+    db.execute("CREATE TABLE documents AS SELECT doc_id, text FROM documents")
+    frame = lic.scan_licenses(docs)
+    result = db.execute(f"SELECT {', '.join(frame.columns)} FROM ({lic.oracle_sql()})").fetchall()
+    assert sorted(map(str, map(tuple, frame.collect()))) == sorted(map(str, result))
