@@ -25,7 +25,7 @@ from streamfuse.llm.common import neutral, original
 UNKNOWN = "und"
 # The labelled sample the automata are built from: documents and characters of each language.
 SAMPLE_DOCS = 300
-DOC_CHARS = 300
+DOC_CHARS = 130
 SAMPLE_CHARS = 20_000
 # Long texts are parsed in segments of this length side by side; no phrase crosses a boundary.
 SEGMENT = 1024
