@@ -245,14 +245,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     """One document of each group, the one with the smallest doc_id, with all columns.
 
+    ``groups`` has (doc_id, th, root) for every row, by default those of ``near_groups``.
+
     Where several rows have that doc_id, the one whose text has the least hash; a row without a doc_id only
     from groups that have none. Rows equal in doc_id and text are kept once.
     """
     first = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "th")
-    heads = near_groups(docs).groupBy("root").agg(F.min(first).alias("h"))
+    groups = near_groups(docs) if groups is None else groups
+    heads = groups.groupBy("root").agg(F.min(first).alias("h"))
     heads = heads.select(F.col("h.doc_id").alias("_id"), F.col("h.th").alias("_head"))
     marked = neutral(docs, ["doc_id", "text"]).withColumn("_th", F.xxhash64(whole("text")))
     here = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_th") == F.col("_head"))
