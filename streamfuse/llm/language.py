@@ -4,7 +4,8 @@ For each language a suffix automaton of labelled text is built. A text is parsed
 right into phrases, each the longest run of characters that occurs in the labelled text (one
 character at least). The fewer phrases a language needs, the closer the text is to it. With c phrases for n
 characters and N characters of labelled text, c * log2(N) / n estimates the cross entropy in bits
-per character; the language with the smallest estimate wins.
+per character; the language with the smallest estimate wins. N is that of the largest sample for every
+language: with its own, a sample of a few characters would make every phrase cheap and win any text.
 
 Spark spreads the texts; inside a task all segments of a batch step through the automata together.
 """
@@ -114,7 +115,7 @@ class CrossParser:
 
     def __init__(self, samples: dict[str, str]):
         self.names = sorted(samples)
-        self.bits = [math.log2(max(len(samples[n]), 2)) for n in self.names]
+        self.bits = [math.log2(max(2, *map(len, samples.values())))] * len(self.names)
         letters = sorted(set("".join(samples.values())))
         # Code 0 pads, 1 is any character that no sample has.
         self.codes = np.ones(0x110000, dtype=np.uint16)

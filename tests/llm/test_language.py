@@ -96,3 +96,14 @@ def test_ties_go_to_the_first_name():
     parser = lang.CrossParser({"b": "same words", "a": "same words"})
     names, scores, _ = lang.judge(parser, ["same"])
     assert names == ["a"] and scores == [0.0] and np.isfinite(scores[0])
+
+
+def test_a_tiny_sample_wins_no_text_of_others(spark):
+    draw = random.Random(11)
+    names = sorted(SYLLABLES)
+    rows = [(i, speak(draw, names[i % 3], 30), names[i % 3], "s") for i in range(240)]
+    told = {r.doc_id: r.lang_pred for r in lang.identify(docs_of(spark, rows)).collect()}
+    for rare in ("e", " ", "th", "tion"):
+        with_rare = [*rows, (1001, rare, "aa", "s"), (1003, rare, "zz", "s"), (1007, rare, "mm", "s")]
+        got = {r.doc_id: r.lang_pred for r in lang.identify(docs_of(spark, with_rare)).collect()}
+        assert {i: got[i] for i in told} == told
