@@ -33,9 +33,19 @@ SEGMENT = 1024
 # Characters and texts handled at a time in a task.
 BLOCK_CHARS = 1_000_000
 BLOCK_TEXTS = 1_000
-# A text with an estimate above this share of log2(N) is not in any learned language: nearly all of
+# A text with phrases above this share of its characters is not in any learned language: nearly all of
 # its phrases are single characters, which any text falls into.
 REJECT_SHARE = 0.8
+# What a language may cost is learned from its own sample: one half is parsed against the other in pieces of
+# PIECE characters, and SPREADS deviations above their mean are allowed, more on shorter texts. The deviation is
+# the median of all languages, LEAST_SPREAD at least: texts half in one language and half in another stay.
+# A sample with fewer pieces has the mean of the most lenient other language.
+PIECE = 130
+SPREADS = 6
+LEAST_SPREAD = 0.025
+MIN_PIECES = 8
+# Numbers, hashes and codes are in no language: words with a digit count neither for nor against it.
+DIGITS = re.compile(r"\S*\d\S*")
 
 
 def crc32_text(column: str):
@@ -113,7 +123,7 @@ def suffix_automaton(text: str) -> list[dict[str, int]]:
 class CrossParser:
     """Counts phrases of many texts against every language at once."""
 
-    def __init__(self, samples: dict[str, str]):
+    def __init__(self, samples: dict[str, str], limits: bool = True):
         self.names = sorted(samples)
         self.bits = [math.log2(max(2, *map(len, samples.values())))] * len(self.names)
         letters = sorted(set("".join(samples.values())))
@@ -122,6 +132,32 @@ class CrossParser:
         self.codes[[ord(c) for c in letters]] = np.arange(2, len(letters) + 2)
         number = {c: i + 2 for i, c in enumerate(letters)}
         self.tables = [self._table(samples[n], number) for n in self.names]
+        if limits:
+            self._learn_limits(samples)
+
+    def _learn_limits(self, samples: dict[str, str]) -> None:
+        """Mean phrases per character of each language's own text, and their deviation."""
+        means: dict[str, float] = {}
+        spreads = []
+        for name in self.names:
+            sample = samples[name]
+            half = len(sample) // 2
+            text = DIGITS.sub("", sample[half:])
+            pieces = [text[i : i + PIECE] for i in range(0, len(text) - PIECE + 1, PIECE)]
+            if len(pieces) < MIN_PIECES:
+                continue
+            total, _ = CrossParser({name: sample[:half]}, limits=False).phrases(pieces)
+            shares = total[:, 0] / PIECE
+            means[name] = float(shares.mean())
+            spreads.append(float(shares.std()))
+        widest = max(means.values(), default=REJECT_SHARE)
+        self.means = [means.get(n, widest) for n in self.names]
+        self.spread = max(LEAST_SPREAD, float(np.median(spreads))) if spreads else 0.0
+
+    def limit(self, language: int, chars: int) -> float:
+        """Bits per character that a text of so many characters in the language may need."""
+        allowed = self.means[language] + SPREADS * self.spread * max(1.0, math.sqrt(PIECE / max(chars, 1)))
+        return min(allowed, REJECT_SHARE) * self.bits[language]
 
     @staticmethod
     def _table(sample: str, number: dict[str, int]) -> tuple[np.ndarray, int]:
@@ -199,8 +235,8 @@ def judge(parser: CrossParser | None, texts: list[str | None]) -> tuple[list, li
             upto += 1
         rates[at:upto] = parser.entropies(low[at:upto])
         at = upto
-    limit = REJECT_SHARE * max(parser.bits)
-    for row, s in zip(rates, speaks, strict=True):
+    doubtful = []
+    for i, (row, s) in enumerate(zip(rates, speaks, strict=True)):
         if not s:
             names.append(UNKNOWN)
             scores.append(0.0)
@@ -210,7 +246,20 @@ def judge(parser: CrossParser | None, texts: list[str | None]) -> tuple[list, li
         others = np.delete(row, best)
         names.append(parser.names[best])
         scores.append(float(1 - row[best] / others.min()) if len(others) and others.min() > 0 else 1.0)
-        rejected.append(bool(row[best] > limit))
+        rejected.append(bool(row[best] > parser.limit(best, len(low[i]))))
+        if rejected[-1]:
+            doubtful.append(i)
+    # A second look at these, usually few: without what belongs to no language, and each piece in its own one.
+    for i in doubtful:
+        words = " ".join(DIGITS.sub(" ", low[i]).split())
+        if not any(map(str.isalpha, words)):
+            continue
+        pieces = [words[at : at + PIECE] for at in range(0, len(words), PIECE)]
+        rows = parser.entropies(pieces)
+        sizes = np.array([len(p) for p in pieces])
+        need = float((rows.min(axis=1) * sizes).sum() / len(words))
+        best = int(np.argmin((rows * sizes[:, None]).sum(axis=0)))
+        rejected[i] = need > parser.limit(best, len(words))
     return names, scores, rejected
 
 
@@ -219,7 +268,7 @@ def with_language(docs: DataFrame, samples: dict[str, str]) -> DataFrame:
 
     ``und`` with score 0 for null texts and texts without a letter, and for every text if there is no
     sample at all. The score is how far the best language is ahead of the second, 0 to 1; with a single language it
-    is 1. Rejected are ``und`` and texts that no learned language explains.
+    is 1. Rejected are ``und`` and texts that cost more in their language than its own labelled texts of that length do.
     """
 
     def of_batches(batches):

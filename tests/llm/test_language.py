@@ -107,3 +107,26 @@ def test_a_tiny_sample_wins_no_text_of_others(spark):
         with_rare = [*rows, (1001, rare, "aa", "s"), (1003, rare, "zz", "s"), (1007, rare, "mm", "s")]
         got = {r.doc_id: r.lang_pred for r in lang.identify(docs_of(spark, with_rare)).collect()}
         assert {i: got[i] for i in told} == told
+
+
+POLISH = (
+    "litwo ojczyzno moja ty jesteś jak zdrowie ile cię trzeba cenić ten tylko się dowie kto cię stracił "
+    "dziś piękność twą w całej ozdobie widzę i opisuję bo tęsknię po tobie"
+)
+
+
+def test_foreign_and_random_texts_go_and_short_clean_ones_stay(spark):
+    draw = random.Random(13)
+    names = sorted(SYLLABLES)
+    rows = [(i, speak(draw, names[i % 3], 30), names[i % 3], "s") for i in range(360)]
+    gibberish = "".join(draw.choice("abcdefghijklmnopqrstuvwxyz   ") for _ in range(400))
+    strange = [(1000, POLISH, None, "s"), (1001, gibberish, None, "s"), (1002, "Μῆνιν ἄειδε θεὰ " * 9, None, "s")]
+    code = f"token = '{draw.getrandbits(160):040x}' +1 (545) 555-9193"
+    short = [(2000 + i, speak(draw, n, 2), None, "s") for i, n in enumerate(names * 4)]
+    short += [(3000, f"{code} {speak(draw, 'en', 6)}", None, "s")]
+    short += [(3001, f"{speak(draw, 'en', 40)} {speak(draw, 'de', 40)}", None, "s")]
+    for rare in ([], [(4001, "x", "zz", "s"), (4003, "the", "yy", "s")]):
+        docs = docs_of(spark, rows + strange + short + rare)
+        kept = {r.doc_id for r in lang.keep_identified(docs).collect()}
+        assert {r[0] for r in rows + short} <= kept
+        assert not {r[0] for r in strange} & kept
