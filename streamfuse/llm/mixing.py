@@ -5,17 +5,20 @@ share w of the slots must have its block i (from 0) served in the window from fl
 ceil((i + 1) / w), its deadline. Serving the released block with the earliest deadline meets all of them,
 so at any time no source is a whole block ahead of its target or behind it.
 
-Shares are whole slots of a period, so the schedule repeats with the period and one period is all that is
-worked out: it says in which slot block i of a source comes, and a block finds its place from its number alone.
-When a source ends, the others go on from the next period with their shares of what is left. All
+Shares are whole slots of a period of 2^50 slots, so weights hold to the last bits of a double and windows are
+exact in whole numbers. The driver plays the schedule through once and keeps only how many blocks of each source are
+served at every 65,536th slot; from these states tasks play the stretches in parallel and tell the slot of
+each block. When a source ends, a new phase begins: the others go on with their shares of what is left. All
 documents are kept.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from itertools import islice
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -23,8 +26,10 @@ from pyspark.sql.window import Window
 from streamfuse.llm.common import neutral, original, whole
 
 BLOCK_DOCS = 16
-PERIOD = 512
-# Slots of all periods of all phases that the driver works out and sends to the tasks.
+PERIOD = 1 << 50
+# Slots that a task plays from one state.
+STRETCH = 65_536
+# Numbers in all states that the driver keeps and sends to the tasks.
 MAX_TABLE = 2_000_000
 # Rows are ranked inside cells (source, salt).
 MIN_SALTS = 64
@@ -45,39 +50,91 @@ def window(i: int, slots: int, period: int) -> tuple[int, int]:
     return i * period // slots, -(-(i + 1) * period // slots)
 
 
-def earliest_deadline_first(slots: Mapping[str, int]) -> list[tuple[str, int, int, int, int]]:
-    """One period: (source, block, slot, release, deadline) in order of the slots."""
+def served(
+    slots: Mapping[str, int], done: Mapping[str, int], at: int = 0
+) -> Iterator[tuple[str, int, int, int, int]]:
+    """(source, block, slot, release, deadline) in order of the slots, without end, from the slot ``at`` on
+    when ``done`` blocks of each source have been served."""
     period = sum(slots.values())
-    waiting = [(0, s, 0) for s in slots]  # (release, source, block)
+    waiting: list[tuple[int, str, int, int]] = []  # (release, source, block, deadline)
+    ready: list[tuple[int, str, int, int]] = []  # (deadline, source, block, release)
+    for s in slots:
+        release, deadline = window(done[s], slots[s], period)
+        waiting.append((release, s, done[s], deadline))
     heapq.heapify(waiting)
-    ready: list[tuple[int, str, int, int]] = []
-    out = []
-    for t in range(period):
+    t = at
+    while True:
         while waiting and waiting[0][0] <= t:
-            release, s, i = heapq.heappop(waiting)
-            heapq.heappush(ready, (window(i, slots[s], period)[1], s, i, release))
+            release, s, i, deadline = heapq.heappop(waiting)
+            heapq.heappush(ready, (deadline, s, i, release))
         deadline, s, i, release = heapq.heappop(ready)
-        out.append((s, i, t, release, deadline))
-        if i + 1 < slots[s]:
-            heapq.heappush(waiting, (window(i + 1, slots[s], period)[0], s, i + 1))
+        yield s, i, t, release, deadline
+        release, deadline = window(i + 1, slots[s], period)
+        heapq.heappush(waiting, (release, s, i + 1, deadline))
+        t += 1
+
+
+def earliest_deadline_first(slots: Mapping[str, int]) -> list[tuple[str, int, int, int, int]]:
+    """One period: (source, block, slot, release, deadline) in order of the slots."""
+    return list(islice(served(slots, dict.fromkeys(slots, 0)), sum(slots.values())))
+
+
+def stretches(blocks: Mapping[str, int], slots: Mapping[str, int]) -> list[tuple]:
+    """(first slot of the phase, slot in the phase, slots, sources, their shares, blocks before the phase, blocks
+    served in it) for every stretch; a phase ends with the last block of a source."""
+    out: list[tuple] = []
+    before = dict.fromkeys(blocks, 0)
+    active = sorted(s for s in blocks if blocks[s])
+    base = numbers = 0
+    while active:
+        shares = {s: slots[s] for s in active}
+        done = dict.fromkeys(active, 0)
+        offsets = [before[s] for s in active]
+        start, t, state = 0, 0, list(done.values())
+        for s, _, t, _, _ in served(shares, done):
+            done[s] += 1
+            ends = before[s] + done[s] == blocks[s]
+            if ends or t + 1 - start == STRETCH:
+                out.append((base, start, t + 1 - start, active, list(shares.values()), offsets, state))
+                numbers += len(active)
+                if numbers > MAX_TABLE:
+                    raise ValueError("too many sources for the states of the schedule; give fewer")
+                start, state = t + 1, list(done.values())
+            if ends:
+                break
+        base += t + 1
+        for s in active:
+            before[s] += done[s]
+        active = [s for s in active if before[s] < blocks[s]]
     return out
 
 
-def phases(
-    blocks: Mapping[str, int], slots: Mapping[str, int]
-) -> tuple[list[int], list[tuple[int, int, int, dict[str, int]]]]:
-    """The periods at which sources end, and for each phase between them (first period, first slot,
-    slots of a period, the sources still there)."""
-    last = {s: -(-blocks[s] // slots[s]) for s in blocks if blocks[s]}
-    ends = sorted(set(last.values()))
-    out, first, slot = [], 0, 0
-    for end in ends:
-        active = {s: slots[s] for s in sorted(last) if last[s] > first}
-        size = sum(active.values())
-        out.append((first, slot, size, active))
-        slot += (end - first) * size
-        first = end
-    return ends, out
+STRETCHES = (
+    "base bigint, at bigint, n bigint, sources array<string>, shares array<bigint>,"
+    " before array<bigint>, done array<bigint>"
+)
+TURNS = "_s string, block bigint, slot bigint, release bigint, deadline bigint"
+
+
+def turns(states: DataFrame) -> DataFrame:
+    """One row for each block: its slot, release and deadline."""
+
+    def of_partition(batches):
+        for batch in batches:
+            for r in batch.to_pylist():
+                shares = dict(zip(r["sources"], r["shares"], strict=True))
+                before = dict(zip(r["sources"], r["before"], strict=True))
+                done = dict(zip(r["sources"], r["done"], strict=True))
+                base = r["base"]
+                rows = [
+                    (s, before[s] + i, base + t, base + release, base + deadline)
+                    for s, i, t, release, deadline in islice(served(shares, done, r["at"]), r["n"])
+                ]
+                columns = list(zip(*rows, strict=True))
+                arrays = [pa.array(columns[0], pa.string()), *[pa.array(c, pa.int64()) for c in columns[1:]]]
+                yield pa.RecordBatch.from_arrays(arrays, ["_s", "block", "slot", "release", "deadline"])
+
+    return states.mapInArrow(of_partition, TURNS)
 
 
 def source_key(column: str = "source") -> Column:
@@ -116,45 +173,32 @@ def scheduled(
         target = {s: named.get(s, min(named.values())) for s in sizes}
     slots = period_of(target, max(period, len(target))) if target else {}
     blocks = {s: -(-n // block_docs) for s, n in sizes.items()}
-    ends, parts = phases(blocks, slots)
-    if sum(size for _, _, size, _ in parts) > MAX_TABLE:
-        raise ValueError("too many sources for one table of slots; give fewer, or a shorter period")
-    table = [
-        (s, k, i, first, start, size, slot, release, deadline)
-        for k, (first, start, size, active) in enumerate(parts)
-        for s, i, slot, release, deadline in earliest_deadline_first(active)
-    ]
-    plan = docs.sparkSession.createDataFrame(
-        table,
-        "_s string, _phase int, _i bigint, _first bigint, _start bigint, _size bigint,"
-        " _slot bigint, _release bigint, _deadline bigint",
-    )
-    share = docs.sparkSession.createDataFrame(list(slots.items()), "_s string, _share bigint")
+    spark = docs.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    states = stretches(blocks, slots)
+    plan = turns(spark.createDataFrame(states, STRETCHES).repartition(max(1, min(len(states), parts))))
 
     # The number of a row in its source: rows of earlier cells, and its number in its own cell.
     before = Window.partitionBy("_s").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
     cells = counts.select(
-        "_s", "_salt", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")
+        "_s", "_salt", "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")
     )
+    # Each cell gets the turns of its blocks, in order: an array of bounded length.
+    last = F.floor((F.col("_before") + F.col("_n") - 1) / block_docs)
+    cells = cells.withColumn("_first", F.floor(F.col("_before") / block_docs))
+    wanted = cells.select("_s", "_salt", F.explode(F.sequence("_first", last)).alias("block"))
+    turn = F.struct("block", "slot", "release", "deadline")
+    dealt = wanted.join(plan, ["_s", "block"]).groupBy("_s", "_salt")
+    dealt = dealt.agg(F.sort_array(F.collect_list(turn)).alias("_turns"))
+    cells = cells.join(dealt, ["_s", "_salt"]).select("_s", "_salt", "_before", "_first", "_turns")
+
     in_cell = Window.partitionBy("_s", "_salt").orderBy("_h", "doc_id", "_tie")
     ranked = keyed.withColumn("_row", F.row_number().over(in_cell) - 1).join(cells, ["_s", "_salt"])
     ranked = ranked.withColumn("rank", F.col("_before") + F.col("_row"))
     ranked = ranked.withColumn("block", F.floor(F.col("rank") / block_docs))
-    ranked = ranked.join(F.broadcast(share), "_s")
-    ranked = ranked.withColumns(
-        {"_period": F.floor(F.col("block") / F.col("_share")), "_i": F.col("block") % F.col("_share")}
-    )
-    bounds = F.array(*[F.lit(e).cast("bigint") for e in ends]) if ends else F.array().cast("array<bigint>")
-    ranked = ranked.withColumn("_phase", F.size(F.filter(bounds, lambda e: e <= F.col("_period"))))
-    # MAX_TABLE bounds the plan.
-    placed = ranked.join(F.broadcast(plan), ["_s", "_phase", "_i"])
-    base = F.col("_start") + (F.col("_period") - F.col("_first")) * F.col("_size")
-    placed = placed.withColumns(
-        {
-            "release": base + F.col("_release"),
-            "deadline": base + F.col("_deadline"),
-            "slot": base + F.col("_slot"),
-        }
+    own = F.get("_turns", (F.col("block") - F.col("_first")).cast("int"))
+    placed = ranked.withColumn("_turn", own).withColumns(
+        {n: F.col(f"_turn.{n}") for n in ("slot", "release", "deadline")}
     )
     return placed.select(*docs.columns, *names)
 

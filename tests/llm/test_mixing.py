@@ -1,4 +1,5 @@
 from collections import Counter
+from itertools import islice
 
 import pytest
 
@@ -74,3 +75,43 @@ def test_empty_table(spark):
 def test_weights_are_checked():
     with pytest.raises(ValueError):
         mixing.period_of({"a": 0.0, "b": 1.0})
+
+
+@pytest.mark.parametrize("weights", [{"a": 0.9995, "b": 0.0005}, {f"s{i}": 1 / (i + 1) for i in range(20)}])
+def test_no_source_is_a_block_off_its_exact_weight_however_long(weights, monkeypatch):
+    monkeypatch.setattr(mixing, "STRETCH", 1_000)
+    total = sum(weights.values())
+    blocks = {s: int(40_000 * w / total) for s, w in weights.items()}
+    slots = mixing.period_of(weights, mixing.PERIOD)
+    states = mixing.stretches(blocks, slots)
+    seen, at = Counter(), 0
+    for base, start, n, sources, shares, before, done in states:
+        if base:
+            break
+        own = dict(zip(sources, shares, strict=True))
+        served = mixing.served(own, dict(zip(sources, done, strict=True)), start)
+        for s, i, t, release, deadline in islice(served, n):
+            assert t == at and seen[s] == i and release <= t < deadline
+            seen[s], at = seen[s] + 1, at + 1
+            for x, w in weights.items():
+                assert abs(seen[x] - at * w / total) < 1 + 1e-6
+    assert at > 30_000
+
+
+def test_every_block_has_a_turn_after_sources_end(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "STRETCH", 7)
+    rows = [(i, f"t{i}", None, "hot" if i % 3 else f"s{i % 7}") for i in range(1500)]
+    got = schedule_of(docs_of(spark, rows), block_docs=4)
+    assert sorted(r.doc_id for r in got) == list(range(1500))
+    assert all(r.block == r["rank"] // 4 and r.release <= r.slot < r.deadline for r in got)
+    turns = {}
+    for r in got:
+        turns.setdefault(r.slot, set()).add((r.source, r.block))
+    assert sorted(turns) == list(range(len(turns))) and all(len(t) == 1 for t in turns.values())
+
+
+def test_a_small_weight_keeps_its_target(spark):
+    rows = [(i, f"t{i}", None, "big" if i < 12_000 else "small") for i in range(12_100)]
+    got = schedule_of(docs_of(spark, rows), weights={"big": 0.9995, "small": 0.0005}, block_docs=2)
+    while_both = max(r.slot for r in got if r.source == "big")
+    assert sum(1 for r in got if r.source == "small" and r.slot <= while_both) <= 2 * 4
