@@ -1,24 +1,31 @@
 """Near copies by the Jaccard similarity of five-word shingles.
 
-SimHash fingerprints of 64 bits cannot find these: at a similarity of 0.8 about ten bits differ. So texts
-are brought together by MinHash: the least values of a text's shingles under 100 hash functions, in 20
-bands of 5, and texts that agree in a band are candidates. At a similarity of 0.8 a pair agrees in some band
-with probability 1 - (1 - 0.8^5)^20 = 0.9996, above that in nearly all cases. Every candidate is verified with
-the shingles themselves.
-
-A bucket's members are first compared with its smallest. Those that are still apart from it then are compared with
-all members of other groups, so nothing that a bucket brings together is left out. Only where more than
-48 of a bucket are apart, about 48 members drawn by hash are compared with all others instead.
+SimHash fingerprints of 64 bits cannot find these: at a similarity of 0.8 about ten bits differ. Texts are brought
+together in two other ways, and every pair that comes of them is verified with the shingles themselves.
+
+Bands: each shingle is hashed once and falls into one of 100 bins, a bin keeps its least hash, an empty bin takes the hash
+of the first full one in an order of its own. Texts that agree in one of 20 bands of 5 bins share a bucket, as a
+pair at a similarity of 0.8 does with probability 0.9996. The head of a bucket is the text whose buckets are the fullest, which
+is in the midst of its copies. A text meets the head that it shares most buckets with, then those of groups that this
+has not joined to it, and in buckets of up to 48 texts all that are still in other groups.
+
+Shingles: a quarter of them, chosen by hash (all of a short text). Of the texts that share one the first and last in two
+orders meet. So texts with a long common passage, whose buckets are crowded with others that are nearly but not quite as
+close, are told apart by what only they share.
+
+All this makes a bounded number of pairs for each text or shingle, however large the groups are. In crowded buckets a text can stay
+alone that is similar enough to some member but neither to a head nor to a text that it shares a rare shingle with; the
+recall measured there is in the README.
 """
 
 from __future__ import annotations
 
-from functools import cache
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streamfuse.llm.common import whole, written
@@ -29,10 +36,13 @@ SIMILARITY = (4, 5)  # 0.8
 BANDS = 20
 ROWS = 5
 SEED = 42
-# Members of a bucket that are compared with all others of it.
-HUBS = 48
-# Shingles of a text handled at a time.
-CHUNK = 4_096
+# Share of the shingles that bring texts together on their own, and up to which number all of them do.
+SAMPLED = 4
+SHORT = 64
+# Texts of one bucket that are compared in pairs where they are in several groups.
+PAIR_BUCKET = 48
+# Turns one order of the sets into another.
+OTHER_ORDER = 0x5DEECE66D5DEECE6
 
 
 def shingles(data: bytes, size: int) -> np.ndarray:
@@ -48,22 +58,27 @@ def shingles(data: bytes, size: int) -> np.ndarray:
     return np.unique(np.frombuffer(b"".join([digest(r, SEED) for r in runs]), dtype=np.uint64))
 
 
-@cache
-def permutations(count: int) -> tuple[np.ndarray, np.ndarray]:
+def fill_orders(bins: int) -> np.ndarray:
+    """For each bin all bins in the order in which it looks for a full one, itself first."""
     draw = np.random.default_rng(SEED)
-    top = np.iinfo(np.uint64).max
-    mask = draw.integers(0, top, count, dtype=np.uint64)
-    return mask, draw.integers(0, top, count, dtype=np.uint64) | np.uint64(1)
-
-
-def band_keys(hashes: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> list[int]:
-    """One key per band; equal keys mean equal least values."""
-    mask, factor = permutations(bands * rows)
-    least = np.full(bands * rows, np.iinfo(np.uint64).max, dtype=np.uint64)
-    for at in range(0, len(hashes), CHUNK):
-        mixed = (hashes[at : at + CHUNK, None] ^ mask) * factor
-        np.minimum(least, mixed.min(axis=0), out=least)
-    width = rows * 8
+    orders = np.argsort(draw.random((bins, bins)), axis=1)
+    first = np.argmax(orders == np.arange(bins)[:, None], axis=1)
+    at = np.arange(bins)
+    orders[at, first], orders[:, 0] = orders[:, 0].copy(), at
+    return orders
+
+
+def band_keys(hashes: np.ndarray, orders: np.ndarray, bands: int = BANDS) -> list[int]:
+    """One key per band; equal keys mean equal least values in all its bins. ``hashes`` are ascending."""
+    bins = len(orders)
+    full, first = np.unique(hashes % np.uint64(bins), return_index=True)
+    least = np.zeros(bins, dtype=np.uint64)
+    least[full] = hashes[first]
+    if len(full) < bins:
+        has = np.zeros(bins, dtype=bool)
+        has[full] = True
+        least = least[orders[np.arange(bins), np.argmax(has[orders], axis=1)]]
+    width = bins // bands * 8
     data = least.tobytes()
     return [_signed(xxhash.xxh64_intdigest(data[b * width : (b + 1) * width], b)) for b in range(bands)]
 
@@ -73,21 +88,27 @@ def _signed(value: int) -> int:
 
 
 def _sketched(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, th, set, keys): ``set`` is a hash of the shingles; texts without words have no keys."""
-
-    def of_batch(texts: pa.Array) -> pa.Array:
-        sets, keys = [], []
-        for x in texts.cast(pa.large_binary()):
-            found = shingles(x.as_py() or b"", size)
-            sets.append(_signed(xxhash.xxh64_intdigest(found.tobytes(), SEED)))
-            keys.append(band_keys(found) if len(found) else [])
-        return pa.StructArray.from_arrays(
-            [pa.array(sets, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], ["set", "keys"]
-        )
-
-    told = F.arrow_udf(of_batch, "set bigint, keys array<bigint>")(F.col("text"))
+    """(doc_id, th, set, keys, some): ``set`` is a hash of the shingles, ``some`` the sampled shingles; texts without
+    words have no keys."""
+
+    def of_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        orders = fill_orders(BANDS * ROWS)
+        for texts in batches:
+            sets, keys, some = [], [], []
+            for x in texts.cast(pa.large_binary()):
+                found = shingles(x.as_py() or b"", size)
+                sets.append(_signed(xxhash.xxh64_intdigest(found.tobytes(), SEED)))
+                keys.append(band_keys(found, orders) if len(found) else [])
+                taken = found if len(found) <= SHORT else found[(found >> np.uint64(32)) % np.uint64(SAMPLED) == 0]
+                some.append(taken.view(np.int64))
+            many = pa.list_(pa.int64())
+            yield pa.StructArray.from_arrays(
+                [pa.array(sets, pa.int64()), pa.array(keys, many), pa.array(some, many)], ["set", "keys", "some"]
+            )
+
+    told = F.arrow_udf(of_batches, "set bigint, keys array<bigint>, some array<bigint>")(F.col("text"))
     rows = docs.select("doc_id", F.xxhash64(whole("text")).alias("th"), told.alias("s"))
-    return rows.select("doc_id", "th", F.col("s.set").alias("set"), F.col("s.keys").alias("keys"))
+    return rows.select("doc_id", "th", "s.set", "s.keys", "s.some")
 
 
 def _members(judged: DataFrame, docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -116,39 +137,77 @@ def _verified(pairs: DataFrame, members: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").filter(alike).select("a", "b")
 
 
-def links(judged: DataFrame, docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
-    """(a, b), a < b: verified pairs of sets that connect what the bands bring together."""
+def _by_bands(judged: DataFrame) -> DataFrame:
+    """(key, n, set, head) for the buckets of two sets or more; the head is the set whose buckets are the fullest."""
     keys = judged.select("set", F.explode("keys").alias("key")).distinct()
-    buckets = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("set").alias("low"))
-    shared = written(keys.join(buckets.filter(F.col("n") > 1), "key"), "near-buckets")
-    members = written(_members(judged, docs, shared.select("set").distinct(), size), "near-members")
-
-    stars = shared.filter(F.col("set") != F.col("low")).select(F.col("low").alias("a"), F.col("set").alias("b"))
-    first = written(_verified(stars.distinct(), members), "near-links")
-
-    # Buckets that the stars have not joined into one group: members apart from the smallest are hubs.
-    roots = components(first).select(F.col("fp").alias("set"), "root")
-    centre = roots.select(F.col("set").alias("low"), F.col("root").alias("middle"))
-    placed = shared.filter(F.col("set") != F.col("low")).join(roots, "set", "left").join(centre, "low", "left")
-    placed = placed.select("key", "set", "n", F.coalesce("root", "set").alias("root"),
-                           (F.coalesce("root", "set") != F.coalesce("middle", "low")).alias("apart"))
-    placed = written(placed, "near-placed")
-    left = placed.filter("apart").groupBy("key").agg(F.count("*").alias("hubs"))
-    still = placed.join(left, "key")
-    drawn = F.pmod(F.xxhash64("set", "key"), F.col("n")) < HUBS
-    hubs = still.filter(F.when(F.col("hubs") <= HUBS, F.col("apart")).otherwise(drawn))
-    hubs = hubs.select("key", F.col("set").alias("h"), F.col("root").alias("x"))
-    others = still.select("key", F.col("set").alias("o"), F.col("root").alias("y"))
-    met = hubs.join(others, (hubs["key"] == others["key"]) & (F.col("x") != F.col("y")))
-    pairs = met.select(F.least("h", "o").alias("a"), F.greatest("h", "o").alias("b")).distinct()
-    return first.unionByName(_verified(pairs, members))
+    buckets = keys.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > 1)
+    shared = written(keys.join(buckets, "key"), "near-buckets")
+    weighed = shared.join(shared.groupBy("set").agg(F.sum("n").alias("w")), "set")
+    heads = weighed.groupBy("key").agg(F.max(F.struct("w", "set")).alias("h"))
+    return shared.join(heads, "key").select("key", "n", "set", F.col("h.set").alias("head"))
+
+
+def _by_shingles(judged: DataFrame) -> DataFrame:
+    """(a, b), a < b: first and last in two orders of the sets that share a sampled shingle."""
+
+    def turned(c: str) -> Column:
+        return F.col(c).bitwiseXOR(F.lit(OTHER_ORDER))
+
+    shared = judged.select("set", F.explode("some").alias("s")).withColumn("turned", turned("set"))
+    ends = shared.groupBy("s").agg(
+        F.min("set").alias("low"), F.max("set").alias("high"),
+        F.min("turned").alias("low2"), F.max("turned").alias("high2"),
+    ).filter(F.col("low") < F.col("high"))
+    met = F.array(
+        F.struct(F.col("low").alias("x"), F.col("high").alias("y")),
+        F.struct(turned("low2").alias("x"), turned("high2").alias("y")),
+        F.struct(F.col("low").alias("x"), turned("low2").alias("y")),
+    )
+    found = ends.select("low", "high", "low2", "high2").distinct().select(F.explode(met).alias("m"))
+    pairs = found.select(F.least("m.x", "m.y").alias("a"), F.greatest("m.x", "m.y").alias("b"))
+    return pairs.filter(F.col("a") < F.col("b")).distinct()
+
+
+def _ordered(x: str, y: str) -> list[Column]:
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+
+
+def links(judged: DataFrame, docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
+    """(a, b), a < b: verified pairs of sets."""
+    shared = written(_by_bands(judged), "near-shared")
+    ends = written(_by_shingles(judged), "near-ends")
+    wanted = shared.select("set").union(ends.select("a")).union(ends.select("b")).distinct()
+    members = written(_members(judged, docs, wanted, size), "near-members")
+
+    stars = shared.filter(F.col("set") != F.col("head"))
+    often = stars.groupBy("set", "head").agg(F.count("*").alias("times"))
+    nearest = often.groupBy("set").agg(F.max(F.struct("times", "head")).alias("h"))
+    nearest = nearest.select("set", F.col("h.head").alias("head")).select(*_ordered("set", "head"))
+    first = written(_verified(nearest.union(ends).distinct(), members), "near-links")
+
+    # Where a bucket still has several groups, each set with the heads of other groups, once for a group, and in small buckets
+    # with all sets of other groups.
+    roots = written(components(first).select(F.col("fp").alias("set"), "root"), "near-roots")
+    placed = shared.join(roots, "set", "left").withColumn("root", F.coalesce("root", "set"))
+    mixed = placed.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2"))
+    placed = written(placed.join(mixed.filter(F.col("r1") < F.col("r2")).select("key"), "key"), "near-placed")
+    tops = placed.filter(F.col("set") == F.col("head")).select("key", F.col("root").alias("top"))
+    other = placed.join(tops, "key").filter(F.col("root") != F.col("top"))
+    stars = other.groupBy("set", "top").agg(F.min("head").alias("head")).select(*_ordered("set", "head"))
+    small = placed.filter(F.col("n") <= PAIR_BUCKET)
+    x = small.select("key", F.col("set").alias("a"), F.col("root").alias("ra"))
+    y = small.select("key", F.col("set").alias("b"), F.col("root").alias("rb"))
+    pairs = x.join(y, "key").filter((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb"))).select("a", "b")
+    return first.union(_verified(stars.union(pairs).distinct(), members))
 
 
 def near_groups(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
     """(doc_id, th, root): the group of every text.
 
     Texts are linked if the Jaccard similarity of their shingles of ``size`` words is 0.8 or more, and groups are what
-    links connect. Words are separated by ASCII blanks, A-Z is read as a-z. Texts without words are one group.
+    links connect. Words are separated by ASCII blanks, A-Z is read as a-z. Texts without words, null ones among them, are
+    one group; a text of fewer words than ``size`` is one shingle. Very long texts are taken whole. Repeated rows get
+    the same group, an empty table gives an empty one.
     """
     judged = written(_sketched(docs.select("doc_id", "text"), size), "near-sets")
     linked = components(links(judged, docs, size)).withColumnRenamed("fp", "set")

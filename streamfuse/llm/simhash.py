@@ -30,7 +30,6 @@ SEED = 42
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 # Fingerprints of one bucket that are compared in pairs; larger buckets go the other exact way.
 PAIR_BUCKET = 48
-MAX_ROUNDS = 60
 
 # Fixed value: generator polynomial x^11 + x^9 + x^7 + x^6 + x^5 + x + 1 of the Golay code.
 GENERATOR = 0b101011100011
@@ -176,38 +175,54 @@ def links(prints: DataFrame, max_bits: int = 2) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(fp, root): the smallest fingerprint of the group, for every fingerprint that has a link.
 
-    Each round joins every group to the smallest group next to it and goes on with what remains
-    between groups. The number of groups at least halves about every other round, so the rounds are logarithmic.
+    In each round every group takes the link of least hash that leaves it. These links make trees of two groups
+    or more, whatever the order of the fingerprints, so the groups at least halve and the rounds are logarithmic.
     """
     edges = written(edges, "links")
-    roots = None
-    for _ in range(MAX_ROUNDS):
-        if edges.isEmpty():
-            break
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        hook = both.groupBy("a").agg(F.min("b").alias("least"))
-        hook = written(hook.select("a", F.least("a", "least").alias("up")), "hooks")
-        up = hook.select(F.col("a").alias("up"), F.col("up").alias("up2"))
-        # Two steps up at once; every node of an edge has a row, so nothing is lost.
-        hook = written(hook.join(up, "up").select("a", F.col("up2").alias("up")), "hooks")
-        if roots is None:
-            roots = hook.select(F.col("a").alias("fp"), F.col("up").alias("root"))
+    tops = None
+    while not edges.isEmpty():
+        up = _tops(edges)
+        if tops is None:
+            tops = up.select(F.col("a").alias("fp"), F.col("up").alias("top"))
         else:
-            step = hook.select(F.col("a").alias("root"), F.col("up").alias("next"))
-            roots = roots.join(step, "root", "left").select(
-                "fp", F.coalesce("next", "root").alias("root")
-            )
-        roots = written(roots, "roots")
-        lower = hook.select("a", F.col("up").alias("x"))
-        upper = hook.select(F.col("a").alias("b"), F.col("up").alias("y"))
-        moved = edges.join(lower, "a").join(upper, "b").filter(F.col("x") != F.col("y"))
-        moved = moved.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        edges = written(moved.distinct(), "links")
-    else:
-        raise RuntimeError("groups did not settle")
-    if roots is None:
+            step = up.select(F.col("a").alias("top"), F.col("up").alias("next"))
+            moved = tops.join(step, "top", "left")
+            tops = written(moved.select("fp", F.coalesce("next", "top").alias("top")), "tops")
+        lower = up.select("a", F.col("up").alias("x"))
+        upper = up.select(F.col("a").alias("b"), F.col("up").alias("y"))
+        left = edges.join(lower, "a").join(upper, "b").filter(F.col("x") != F.col("y"))
+        left = left.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+        edges = written(left.distinct(), "links")
+    if tops is None:
         return edges.select(F.col("a").alias("fp"), F.col("b").alias("root"))
-    return roots
+    least = tops.groupBy("top").agg(F.min("fp").alias("root"))
+    return tops.join(least, "top").select("fp", "root")
+
+
+def _tops(edges: DataFrame) -> DataFrame:
+    """(a, up): for every end of a link the top of the tree that the chosen links make of it.
+
+    All look to whom the one they look to looks to, until nobody's view changes; each look doubles the way.
+    """
+    link = F.struct(F.xxhash64("a", "b").alias("h"), "a", "b").alias("e")
+    ends = edges.select("a", link).unionByName(edges.select(F.col("b").alias("a"), link))
+    chosen = ends.groupBy("a").agg(F.min("e").alias("e"))
+    other = F.when(F.col("e.a") == F.col("a"), F.col("e.b")).otherwise(F.col("e.a"))
+    up = written(chosen.select("a", other.alias("up")), "tops")
+    # The least link of a tree is chosen by both its ends; the smaller one is the top.
+    top = (F.col("up2") == F.col("a")) & (F.col("a") < F.col("up"))
+    up = written(_above(up).select("a", F.when(top, F.col("a")).otherwise(F.col("up")).alias("up")), "tops")
+    while True:
+        looked = _above(up).select("a", F.col("up2").alias("up"), (F.col("up") != F.col("up2")).alias("moved"))
+        looked = written(looked, "tops")
+        up = looked.select("a", "up")
+        if looked.filter("moved").isEmpty():
+            return up
+
+
+def _above(up: DataFrame) -> DataFrame:
+    """(up, a, up2): with whom the one that ``a`` looks to looks to."""
+    return up.join(up.select(F.col("a").alias("up"), F.col("up").alias("up2")), "up")
 
 
 def near_groups(docs: DataFrame) -> DataFrame:

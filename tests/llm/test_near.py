@@ -1,6 +1,7 @@
 import random
 
-import corpus_pipeline
+import pytest
+
 from streamfuse.llm import near
 from tests.llm.helpers import awkward, docs_of, empty
 
@@ -52,14 +53,40 @@ def test_stage_finds_what_a_plain_search_finds(spark):
     rows += [(2000 + i, " ".join(words[i * 40 : i * 40 + 400])) for i in range(6)]
     rows += [(3000, ""), (3001, None), (3002, "Two words"), (3003, "two  WORDS"), (3004, "two")]
     heads = plain_heads(rows)
-    stage = dict(corpus_pipeline.STAGES)["simhash_near_dedup"]
-    kept = sorted(r.doc_id for r in stage(spark, docs_of(spark, rows), "").collect())
-    assert kept == sorted(set(heads.values()))
-    assert len(kept) < len(rows) / 2
+    got = near.near_groups(docs_of(spark, rows)).collect()
+    assert first_of_each(got) == heads
+    assert len(set(heads.values())) < len(rows) / 2
+
+
+def first_of_each(found):
+    least = {}
+    for r in found:
+        least[r.root] = min(r.doc_id, least.get(r.root, r.doc_id))
+    return {r.doc_id: least[r.root] for r in found}
+
+
+@pytest.mark.parametrize("n", [400, 1600])
+def test_pairs_among_many_texts_with_one_opening(spark, n):
+    """All texts share 88 % of their words and are at 0.784; the planted pairs are above 0.8."""
+    draw = random.Random(n)
+    opening = [f"o{i}" for i in range(352)]
+    rows, pairs = [], []
+    for i in range(n):
+        tail = [f"t{i}x{k}" for k in range(48)]
+        rows.append((2 * i, " ".join(opening + tail)))
+        if i % 4 == 0:
+            same = draw.randint(8, 14)
+            rows.append((2 * i + 1, " ".join(opening + tail[:same] + [f"u{i}x{k}" for k in range(48 - same)])))
+            pairs.append((2 * i, 2 * i + 1))
+    sets = {i: plain_set(t) for i, t in rows}
+    assert all(0.815 < len(sets[a] & sets[b]) / len(sets[a] | sets[b]) < 0.845 for a, b in pairs)
+    assert not alike(sets[0], sets[2])
+    root = {r.doc_id: r.root for r in near.near_groups(docs_of(spark, rows)).collect()}
+    assert sum(root[a] == root[b] for a, b in pairs) >= 0.9 * len(pairs)
+    assert len(set(root.values())) >= n  # nothing else is joined
 
 
-def test_crowded_buckets_with_few_hubs(spark, monkeypatch):
-    monkeypatch.setattr(near, "HUBS", 4)
+def test_crowded_buckets(spark):
     draw = random.Random(9)
     base = [f"w{draw.randrange(5000)}" for _ in range(300)]
     rows = [(i, copies(draw, base, 2)) for i in range(60)]

@@ -123,6 +123,17 @@ def test_long_chain_settles(spark):
     check_groups(spark, values)
 
 
+def test_any_order_of_a_chain_or_star_settles(spark):
+    rising = [(i, i + 1) for i in range(400)]
+    star = [(1000 + i, 1999) for i in range(300)]
+    comb = [(3000 + i, 3500 + i % 7) for i in range(100)] + [(3500 + i, 3507) for i in range(7)]
+    edges = spark.createDataFrame(rising + star + comb, "a long, b long")
+    got = {r.fp: r.root for r in simhash.components(edges).collect()}
+    want = {i: 0 for i in range(401)} | {1000 + i: 1000 for i in range(300)} | {1999: 1000}
+    want |= {3000 + i: 3000 for i in range(100)} | {3500 + i: 3000 for i in range(8)}
+    assert got == want
+
+
 def test_component_is_the_smallest_doc_id_in_reach(spark):
     draw = random.Random(5)
     base = [f"w{draw.randrange(400)}" for _ in range(400)]
