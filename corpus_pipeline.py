@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamfuse.llm import language, lines, mixing, near, packing, simhash
+from streamfuse.llm import language, lines, mixing, packing, simhash
 from streamfuse.llm.common import written
 
 
@@ -28,8 +28,8 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document stays of each group linked by a five-word Jaccard similarity of 0.8 or more."""
-    return simhash.one_of_each(docs, near.near_groups(docs))
+    """One document stays of each group whose SimHash fingerprints (three words) differ in two bits or fewer."""
+    return simhash.one_of_each(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
