@@ -14,9 +14,11 @@ from streamfuse.llm import (
     mixing,
     packing,
     quality,
+    repair,
     secrets,
     simhash,
     topk,
+    trie,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,3 +91,13 @@ def op9_exact_top_k(spark, sf_dir):
 @query
 def op10_simhash_near_dedup(spark, sf_dir):
     return simhash.near_duplicates(documents(spark, sf_dir))
+
+
+@query
+def op11_prefix_trie(spark, sf_dir):
+    return trie.rebuilt_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+@query
+def op12_conversation_repair(spark, sf_dir):
+    return repair.damaged_and_repaired(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
