@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from streamfuse.llm import (
     fingerprints,
+    html,
     language,
     licenses,
     lines,
@@ -101,3 +102,8 @@ def op11_prefix_trie(spark, sf_dir):
 @query
 def op12_conversation_repair(spark, sf_dir):
     return repair.damaged_and_repaired(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+@query
+def op13_html_text(spark, sf_dir):
+    return html.page_texts(spark.read.parquet(f"{sf_dir}/pages.parquet"))
