@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +29,8 @@ UNKNOWN = "und"
 SAMPLE_DOCS = 300
 DOC_CHARS = 130
 SAMPLE_CHARS = 20_000
+# Letters of a language, its most frequent ones, that have a column in its table; transitions by others are looked up.
+DENSE = 126
 # Long texts are parsed in segments of this length side by side; no phrase crosses a boundary.
 SEGMENT = 1024
 # Characters and texts handled at a time in a task.
@@ -70,16 +73,17 @@ def labelled_sample(
     if not counts:
         return {}
     draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_003)) / 1_000_003.0
-    rate = F.lit(0.0)
-    for lang, n in counts.items():
-        rate = F.when(F.col("lang") == lang, F.lit(min(1.0, docs_each / n))).otherwise(rate)
+    rates = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, docs_each / n))])
+    rate = F.try_element_at(rates, F.col("lang"))
     # From the middle of the text, where openings that many texts share are over.
     start = F.greatest(F.floor((F.char_length("text") - chars) / 2) + 1, F.lit(1)).cast("int")
     excerpt = F.substring("text", start, F.lit(chars))
-    drawn = known.filter(draw < rate).select("lang", F.lower(excerpt).alias("t"))
+    drawn = known.filter(draw < rate).select("lang", F.lower(excerpt).alias("t")).distinct()
+    drawn = drawn.withColumn("h", F.xxhash64("t"))
     found: dict[str, list[str]] = {lang: [] for lang in counts}
-    for r in sorted(set(map(tuple, drawn.collect()))):
-        found[r[0]].append(r[1])
+    # By hash, so that what is cut off is drawn by chance too.
+    for lang, _, text in sorted((r["lang"], r["h"], r["t"]) for r in drawn.collect()):
+        found[lang].append(text)
     size = min(SAMPLE_CHARS, max((sum(map(len, v)) for v in found.values()), default=0))
     out = {}
     for lang, texts in sorted(found.items()):
@@ -120,6 +124,58 @@ def suffix_automaton(text: str) -> list[dict[str, int]]:
     return step
 
 
+class Table:
+    """An automaton's steps: next state for (state, code), twice the state plus one where a phrase begins.
+
+    Codes are those of the language's own letters, the frequent ones first. These have a column each; the few steps by others
+    are kept as a sorted list, so a language of many letters takes no more room than another.
+    """
+
+    def __init__(self, sample: str, letters: list[str]):
+        step = suffix_automaton(sample)
+        ranked = [c for c, _ in sorted(Counter(sample).items(), key=lambda x: (-x[1], x[0]))]
+        number = {c: i + 2 for i, c in enumerate(ranked)}
+        self.own = np.array([0, 1, *(number.get(c, 1) for c in letters)], dtype=np.int32)
+        self.width = min(len(ranked), DENSE) + 2
+        self.letters = len(ranked) + 2
+        # Samples of the default size have fewer than 2^15 states, and small tables stay in cache.
+        small = 2 * len(step) < 1 << 16
+        # An unknown character is a phrase, then the root again; padding stays there and costs nothing.
+        start = np.ones(self.letters, dtype=np.uint16 if small else np.uint32)
+        for c, to in step[0].items():
+            start[number[c]] = to * 2 + 1
+        start[0] = 0
+        self.start = start
+        table = np.tile(start[: self.width], (len(step), 1))
+        rare: dict[int, int] = {}
+        for state, row in enumerate(step[1:], 1):
+            for c, to in row.items():
+                code = number[c]
+                if code < self.width:
+                    table[state, code] = to * 2
+                else:
+                    rare[state * self.letters + code] = to * 2
+        self.table = table.ravel()
+        self.keys = np.array(sorted(rare), dtype=np.int64)
+        self.next = np.array([rare[k] for k in sorted(rare)], dtype=start.dtype)
+
+    def after(self, state: np.ndarray, code: np.ndarray) -> np.ndarray:
+        if self.letters == self.width:
+            return self.table[state * self.width + code]
+        dense = code < self.width
+        out = self.table[state * self.width + np.where(dense, code, 1)]
+        at = np.flatnonzero(~dense)
+        if len(at):
+            wanted = state[at] * self.letters + code[at]
+            found = np.minimum(np.searchsorted(self.keys, wanted), max(len(self.keys) - 1, 0))
+            goes_on = self.keys[found] == wanted if len(self.keys) else np.zeros(len(at), dtype=bool)
+            out[at] = np.where(goes_on, self.next[found] if len(self.keys) else 0, self.start[code[at]])
+        return out
+
+    def nbytes(self) -> int:
+        return self.table.nbytes + self.keys.nbytes + self.next.nbytes + self.start.nbytes + self.own.nbytes
+
+
 class CrossParser:
     """Counts phrases of many texts against every language at once."""
 
@@ -128,10 +184,9 @@ class CrossParser:
         self.bits = [math.log2(max(2, *map(len, samples.values())))] * len(self.names)
         letters = sorted(set("".join(samples.values())))
         # Code 0 pads, 1 is any character that no sample has.
-        self.codes = np.ones(0x110000, dtype=np.uint16)
+        self.codes = np.ones(0x110000, dtype=np.int32)
         self.codes[[ord(c) for c in letters]] = np.arange(2, len(letters) + 2)
-        number = {c: i + 2 for i, c in enumerate(letters)}
-        self.tables = [self._table(samples[n], number) for n in self.names]
+        self.tables = [Table(samples[n], letters) for n in self.names]
         if limits:
             self._learn_limits(samples)
 
@@ -159,24 +214,6 @@ class CrossParser:
         allowed = self.means[language] + SPREADS * self.spread * max(1.0, math.sqrt(PIECE / max(chars, 1)))
         return min(allowed, REJECT_SHARE) * self.bits[language]
 
-    @staticmethod
-    def _table(sample: str, number: dict[str, int]) -> tuple[np.ndarray, int]:
-        """Next state for (state, code), twice the state plus one where a phrase begins."""
-        step = suffix_automaton(sample)
-        width = len(number) + 2
-        # Samples of the default size have fewer than 2^15 states, and small tables stay in cache.
-        small = 2 * len(step) < 1 << 16
-        root = np.ones(width, dtype=np.uint16 if small else np.uint32)
-        # An unknown character is a phrase, then the root again; padding stays there and costs nothing.
-        for c, to in step[0].items():
-            root[number[c]] = to * 2 + 1
-        root[0] = 0
-        table = np.tile(root, (len(step), 1))
-        for state, row in enumerate(step[1:], 1):
-            for c, to in row.items():
-                table[state, number[c]] = to * 2
-        return table.ravel(), width
-
     def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(phrases for each text and language, characters for each text)."""
         lengths = np.array([len(t) for t in texts], dtype=np.int64)
@@ -184,7 +221,8 @@ class CrossParser:
         if lengths.sum() == 0:
             return total, lengths
         raw = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        coded = self.codes[raw]
+        shared = self.codes[raw]
+        coded = [table.own[shared] for table in self.tables]
         starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
         pieces = -(-lengths // SEGMENT)
         owner = np.repeat(np.arange(len(texts)), pieces)
@@ -199,9 +237,8 @@ class CrossParser:
         counts = [np.zeros(len(owner), dtype=np.int32) for _ in self.names]
         for t in range(int(size[0])):
             n = live[t]
-            code = coded[begin[:n] + t]
-            for (table, width), state, count in zip(self.tables, states, counts, strict=True):
-                to = table[state[:n] * width + code]
+            for table, own, state, count in zip(self.tables, coded, states, counts, strict=True):
+                to = table.after(state[:n], own[begin[:n] + t])
                 count[:n] += to & 1
                 state[:n] = to >> 1
         for k, count in enumerate(counts):

@@ -19,18 +19,19 @@ from collections.abc import Iterator, Mapping
 from itertools import islice
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from streamfuse.llm.common import neutral, original, whole
+from streamfuse.session import new_work_dir
 
 BLOCK_DOCS = 16
 PERIOD = 1 << 50
 # Slots that a task plays from one state.
 STRETCH = 65_536
-# Numbers in all states that the driver keeps and sends to the tasks.
-MAX_TABLE = 2_000_000
+# Numbers in the states that the driver holds before it writes them to the shared folder.
+HELD_NUMBERS = 2_000_000
 # Rows are ranked inside cells (source, salt).
 MIN_SALTS = 64
 SALT_ROWS = 5_000
@@ -79,13 +80,12 @@ def earliest_deadline_first(slots: Mapping[str, int]) -> list[tuple[str, int, in
     return list(islice(served(slots, dict.fromkeys(slots, 0)), sum(slots.values())))
 
 
-def stretches(blocks: Mapping[str, int], slots: Mapping[str, int]) -> list[tuple]:
+def stretches(blocks: Mapping[str, int], slots: Mapping[str, int]) -> Iterator[tuple]:
     """(first slot of the phase, slot in the phase, slots, sources, their shares, blocks before the phase, blocks
     served in it) for every stretch; a phase ends with the last block of a source."""
-    out: list[tuple] = []
     before = dict.fromkeys(blocks, 0)
     active = sorted(s for s in blocks if blocks[s])
-    base = numbers = 0
+    base = 0
     while active:
         shares = {s: slots[s] for s in active}
         done = dict.fromkeys(active, 0)
@@ -95,10 +95,7 @@ def stretches(blocks: Mapping[str, int], slots: Mapping[str, int]) -> list[tuple
             done[s] += 1
             ends = before[s] + done[s] == blocks[s]
             if ends or t + 1 - start == STRETCH:
-                out.append((base, start, t + 1 - start, active, list(shares.values()), offsets, state))
-                numbers += len(active)
-                if numbers > MAX_TABLE:
-                    raise ValueError("too many sources for the states of the schedule; give fewer")
+                yield base, start, t + 1 - start, active, list(shares.values()), offsets, state
                 start, state = t + 1, list(done.values())
             if ends:
                 break
@@ -106,7 +103,6 @@ def stretches(blocks: Mapping[str, int], slots: Mapping[str, int]) -> list[tuple
         for s in active:
             before[s] += done[s]
         active = [s for s in active if before[s] < blocks[s]]
-    return out
 
 
 STRETCHES = (
@@ -116,6 +112,23 @@ STRETCHES = (
 TURNS = "_s string, block bigint, slot bigint, release bigint, deadline bigint"
 
 
+def states_of(spark: SparkSession, blocks: Mapping[str, int], slots: Mapping[str, int]) -> DataFrame:
+    """The stretches as a table; where there are many, they are written as they are made, so the driver holds a few."""
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path, held, numbers = None, [], 0
+    for stretch in stretches(blocks, slots):
+        held.append(stretch)
+        numbers += 4 * len(stretch[3])
+        if numbers > HELD_NUMBERS:
+            path = path or new_work_dir(spark, "mixing-states")
+            spark.createDataFrame(held, STRETCHES).write.mode("append").parquet(path)
+            held, numbers = [], 0
+    rest = spark.createDataFrame(held, STRETCHES)
+    if path is None:
+        return rest.repartition(max(1, min(len(held), parts)))
+    return spark.read.schema(STRETCHES).parquet(path).unionByName(rest).repartition(parts)
+
+
 def turns(states: DataFrame) -> DataFrame:
     """One row for each block: its slot, release and deadline."""
 
@@ -174,9 +187,7 @@ def scheduled(
     slots = period_of(target, max(period, len(target))) if target else {}
     blocks = {s: -(-n // block_docs) for s, n in sizes.items()}
     spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    states = stretches(blocks, slots)
-    plan = turns(spark.createDataFrame(states, STRETCHES).repartition(max(1, min(len(states), parts))))
+    plan = turns(states_of(spark, blocks, slots))
 
     # The number of a row in its source: rows of earlier cells, and its number in its own cell.
     before = Window.partitionBy("_s").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)

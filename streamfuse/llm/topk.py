@@ -22,21 +22,42 @@ SCALE = 64
 CANDIDATE_BLOCK = 4_096
 QUERY_BLOCK = 4_096
 QUERY_TILE = 128
-# Weights must be smaller, so that scores fit into 64 bits at up to 512 dimensions.
-LARGEST = 2.0**27
+# Doubles from here on are whole numbers.
+WHOLE = 2.0**53
 
 
 def whole_numbers(embedding: Column) -> Column:
     """floor(64 * x) of each component, as doubles."""
-    return F.transform(embedding, lambda x: F.floor(x.cast("double") * SCALE).cast("double"))
+
+    def scaled(x: Column) -> Column:
+        wide = x.cast("double") * SCALE
+        return F.when(F.abs(wide) < WHOLE, F.floor(wide).cast("double")).otherwise(wide)
+
+    return F.transform(embedding, scaled)
 
 
 def valid(embedding: Column) -> Column:
-    """Not null, no component null, NaN or infinite, none too large to score."""
-    fits = F.forall(
-        embedding, lambda x: F.coalesce(F.abs(x.cast("double")) * SCALE < LARGEST, F.lit(False))
+    """Not null, no component null, NaN or infinite."""
+    finite = F.forall(
+        embedding, lambda x: F.coalesce(F.abs(x.cast("double")) < float("inf"), F.lit(False)) & ~F.isnan(x)
     )
-    return F.coalesce(embedding.isNotNull() & fits, F.lit(False))
+    return F.coalesce(embedding.isNotNull() & finite, F.lit(False))
+
+
+def narrowest(q: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, type]:
+    """The weights in the smallest kind of number that holds all scores exactly; Python's own if 64 bits may not do."""
+    bound = float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) * max(1, c.shape[1])
+    if bound < 2.0**62:
+        kind = np.int32 if bound < 2**30 else np.int64
+        return q.astype(kind), c.astype(kind), kind
+
+    def exact(weights: np.ndarray) -> np.ndarray:
+        made = np.empty(weights.shape, dtype=object)
+        for at, w in np.ndenumerate(weights):
+            made[at] = int(w)
+        return made
+
+    return exact(q), exact(c), object
 
 
 def top_of_block(
@@ -48,10 +69,8 @@ def top_of_block(
     """
     order = np.argsort(c_ids, kind="stable")
     c_ids, c = c_ids[order], c[order]
-    bound = float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) * c.shape[1]
-    kind = np.int32 if bound < 2**30 else np.int64
-    q, c = q.astype(kind), c.astype(kind)
-    least = np.iinfo(kind).min
+    q, c, kind = narrowest(q, c)
+    least = -(1 << 4096) if kind is object else np.iinfo(kind).min
     # Postings: for each term the candidates with a weight, and the weights.
     index = []
     for d in range(c.shape[1]):
@@ -82,6 +101,8 @@ def top_of_block(
             best = np.concatenate([above, level])
             out_q.append(np.full(len(best), first + r))
             out_c.append(c_ids[best])
+            if kind is object and any(abs(x) >= 1 << 63 for x in row[best]):
+                raise OverflowError("a score does not fit into 64 bits")
             out_s.append(row[best].astype(np.int64))
     if not out_q:
         return (np.zeros(0, np.int64),) * 3
@@ -104,17 +125,19 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
 
     ``vectors`` has vec_id and embedding. Every row but those with the query's own vec_id is a candidate; fewer
     than k candidates are all returned. Rows without a vec_id, and vectors that are null or have null,
-    NaN, infinite or huge components, take no part. Missing components at the end of a shorter vector count
+    NaN or infinite components, take no part; all others do, with sums as wide as they need. One of the best scores that
+    does not fit into a long is an error. Missing components at the end of a shorter vector count
     as zero. Repeated rows each are candidates; repeated queries are told apart by their vectors, and
     equal ones give one result. An empty table gives an empty one.
     """
     usable = vectors.filter(valid(F.col("embedding")) & F.col("vec_id").isNotNull())
     v = usable.select(
         F.col("vec_id").cast("bigint").alias("vec_id"),
-        F.transform(whole_numbers(F.col("embedding")), lambda x: x.cast("int")).alias("v"),
+        F.col("embedding").alias("v"),
+        F.xxhash64(whole_numbers(F.col("embedding"))).alias("copy"),
         is_query.alias("q"),
     )
-    rows = written(v.withColumn("copy", F.xxhash64("v")), "vectors")
+    rows = written(v, "vectors")
     queries = rows.filter("q").dropDuplicates(["vec_id", "copy"])
     candidates, _ = _blocks(rows, CANDIDATE_BLOCK, ("c_block", "c_ids", "c"), 1)
     asked, n = _blocks(queries, QUERY_BLOCK, ("q_block", "q_ids", "q"), 2)
@@ -129,8 +152,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
         lists = values.values if isinstance(values, pa.ListScalar) else values
         flat = lists.flatten().to_numpy(zero_copy_only=False)
         sizes = np.diff(lists.offsets.to_numpy())
-        wide = np.zeros((len(sizes), int(sizes.max(initial=0))), dtype=np.int64)
-        wide[np.arange(wide.shape[1])[None, :] < sizes[:, None]] = flat
+        wide = np.zeros((len(sizes), int(sizes.max(initial=0))))
+        wide[np.arange(wide.shape[1])[None, :] < sizes[:, None]] = np.floor(flat.astype(np.float64) * SCALE)
         return wide
 
     def of_partition(batches):

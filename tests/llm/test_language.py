@@ -36,6 +36,26 @@ def test_phrases_equal_a_plain_longest_match(monkeypatch):
     assert got.tolist() == want and sizes.tolist() == [len(t) for t in texts]
 
 
+def test_letters_without_a_column_are_looked_up(monkeypatch):
+    monkeypatch.setattr(lang, "DENSE", 5)
+    draw = random.Random(3)
+    samples = {n: speak(draw, n, 80) for n in SYLLABLES}
+    samples["many"] = "".join(chr(draw.randrange(0x4E00, 0x4E60)) for _ in range(400))
+    parser = lang.CrossParser(samples)
+    texts = [samples["many"][50:90] + "the", samples["many"][::-1], *[speak(draw, n, 20) for n in SYLLABLES], "中文 the"]
+    got, _ = parser.phrases(texts)
+    assert got.tolist() == [[plain_phrases(t, samples[n]) for n in parser.names] for t in texts]
+
+
+def test_many_letters_take_no_more_room():
+    draw = random.Random(4)
+    samples = {n: speak(draw, n, 4000)[: lang.SAMPLE_CHARS] for n in SYLLABLES}
+    samples["zh"] = "".join(chr(0x4E00 + min(2999, int(draw.expovariate(0.003)))) for _ in range(lang.SAMPLE_CHARS))
+    parser = lang.CrossParser(samples)
+    assert len(set(samples["zh"])) > 1000
+    assert parser.codes.nbytes + sum(t.nbytes() for t in parser.tables) < 60e6
+
+
 def test_automaton_reads_exactly_the_substrings():
     text = "abcbcabca"
     step = lang.suffix_automaton(text)

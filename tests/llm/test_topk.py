@@ -56,6 +56,18 @@ def test_large_weights_are_summed_in_64_bits(spark):
     assert got(spark, rows) == plain(rows)
 
 
+def test_finite_vectors_all_take_part(spark):
+    rows = [(0, [3e6, 1.0]), (2, [3e6, 0.0]), (20, [-2.0**21, 0.5]), (3, [1.0, 2.0])]
+    rows += [(40, [2.0**20, 1.0]), (41, [2.0**26, -1.0])]
+    found = got(spark, rows)
+    assert found == plain(rows) and {r[0] for r in found} == {0, 20, 40} and {r[2] for r in found} == {i for i, _ in rows}
+    # Sums beyond 64 bits that cancel out, and one that doesn't.
+    huge = [(0, [2.0**40, 2.0**40]), (1, [2.0**30, -(2.0**30)]), (2, [2.0**29, -(2.0**29)])]
+    assert got(spark, huge) == plain(huge) == [(0, 1, 1, 0), (0, 2, 2, 0)]
+    with pytest.raises(Exception, match="does not fit"):
+        got(spark, [(0, [2.0**40]), (1, [2.0**30])])
+
+
 def test_floor_and_not_truncation(spark):
     frame = spark.createDataFrame([(1, [-0.01, 0.01, -1.0])], SCHEMA)
     (r,) = frame.select(topk.whole_numbers(F.col("embedding")).alias("v")).collect()
