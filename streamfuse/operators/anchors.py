@@ -134,26 +134,74 @@ def unpack_times(data: bytes, width: int) -> np.ndarray:
     return np.frombuffer(data, dtype="<u4").astype(np.int64)
 
 
-def chain_packed(batches, width: int, ttl: int):
-    """The anchors inside each block of a key, for packed blocks sorted by key and time.
+def column_exits(rows: np.ndarray, packed: list[bytes], width: int) -> np.ndarray:
+    """For a chain that comes into a column at the start of each of its rows, the row in which it leaves.
 
-    Each batch is (block start, true on the first block of a key, packed times). Blocks that the last
-    anchor covers are not even unpacked, so the work follows the anchors.
+    ``rows`` are the column's rows with times, ascending. A chain moves from a time to the first one at its place or later in
+    the next row; it leaves where there is none. Chains at one place go on as one.
     """
-    limit = None
-    for block, first, packed in batches:
-        out = []
-        for i in range(len(block)):
-            start = block[i].as_py()
-            if first[i].as_py():
-                limit = None
-            anchors: list[int] = []
-            if limit is None or limit < start + width - 1:
-                times = unpack_times(packed[i].as_py(), width)
-                at = 0 if limit is None else int(np.searchsorted(times, limit - start, side="right"))
-                while at < len(times):
-                    anchors.append(start + int(times[at]))
-                    limit = anchors[-1] + ttl
-                    at = int(np.searchsorted(times, limit - start, side="right"))
-            out.append(anchors)
-        yield pa.array(out, pa.list_(pa.int64()))
+    left = np.zeros(len(rows), dtype=np.int64)
+    places = np.zeros(0, dtype=np.int64)  # of the chains, ascending
+    chains: list[list[int]] = []  # the rows they came in, by number
+    for i, row in enumerate(rows):
+        if i and row != rows[i - 1] + 1:
+            for chain in chains:
+                left[chain] = rows[i - 1] + 1
+            places, chains = places[:0], []
+        times = unpack_times(packed[i], width)
+        found = np.searchsorted(times, places)
+        out = found == len(times)
+        for k in np.flatnonzero(out):
+            left[chains[k]] = row
+        moved: dict[int, list[int]] = {int(times[0]): [i]}
+        for k in np.flatnonzero(~out):
+            place = int(times[found[k]])
+            if place not in moved:
+                moved[place] = chains[k]
+            elif len(moved[place]) < len(chains[k]):
+                chains[k].extend(moved[place])
+                moved[place] = chains[k]
+            else:
+                moved[place].extend(chains[k])
+        places = np.array(sorted(moved), dtype=np.int64)
+        chains = [moved[p] for p in places.tolist()]
+    for chain in chains:
+        left[chain] = rows[-1] + 1
+    return left
+
+
+def chain_columns(batches, columns: int):
+    """Whether the chain of a key's anchors comes into each (row, column), for tables sorted by key, row and column.
+
+    Each batch is (row, column, row in which a chain leaves, true at the first of a key). A chain that leaves a column goes on
+    at the next time after it, which is at the start of another column.
+    """
+    until = None
+    for row, column, leaves, first in batches:
+        places = row.to_numpy() * columns + column.to_numpy()
+        exits = leaves.to_numpy() * columns + column.to_numpy()
+        entered = np.zeros(len(places), dtype=bool)
+        opens = first.to_numpy(zero_copy_only=False).astype(bool)
+        for i in range(len(places)):
+            if opens[i] or places[i] > until:
+                entered[i], until = True, exits[i]
+        yield pa.array(entered)
+
+
+def column_anchors(rows: np.ndarray, packed: list[bytes], entered: list, width: int) -> list[tuple[int, int]]:
+    """(number of the row, place) of the anchors of a column, given the rows in which the chain comes in at their start."""
+    out: list[tuple[int, int]] = []
+    place = None
+    for i, row in enumerate(rows):
+        if place is not None and row != rows[i - 1] + 1:
+            place = None
+        if entered[i]:
+            place = 0
+        if place is None:
+            continue
+        times = unpack_times(packed[i], width)
+        at = int(np.searchsorted(times, place))
+        place = int(times[at]) if at < len(times) else None
+        if place is not None:
+            out.append((i, place))
+    return out

@@ -30,8 +30,10 @@ HOT_ROWS = 5_000_000
 
 # Distinct milliseconds one task holds of one hot key.
 BLOCK_VALUES = 2_000_000
-# Milliseconds of one packed block, where the time-to-live is longer than that: 16 KB at most.
-PACKED_MS = 1 << 17
+# Where a time-to-live is longer than that, it is cut into so many columns, or more if they had more milliseconds than a
+# packed block may have: 128 KB at most.
+COLUMNS = 256
+PACKED_MS = 1 << 20
 # Shares of the key space, each with a sketch of its own.
 SKETCHES = 64
 # Keys listed and tracked by a sketch; when the last one listed is hot too, both grow tenfold.
@@ -195,32 +197,73 @@ def _by_blocks(df: DataFrame, rule: _Rule) -> DataFrame:
 def _anchors_of_packed(times: DataFrame, rule: _Rule) -> DataFrame:
     """The anchors where a time-to-live has more milliseconds than a task should hold.
 
-    Times are packed into small blocks. One task per key goes through them in order, but unpacks only those
-    an anchor lies in, at most one in each time-to-live, and the block before.
+    Time is written in rows of one time-to-live and a millisecond, and rows are cut into columns. The next anchor is the first time
+    at the same place of the next row or later, so as long as there is one in its column, the chain of anchors stays there; else
+    it goes on at the start of the next column. Each column works out on its own, for a chain that comes into any of its rows, in
+    which row it leaves. From these small numbers the rows that the chain comes into are found, and the columns fold those.
+    No task reads the times of more than one column.
     """
-    keys, ts, width, ttl = list(rule.keys), rule.ts, PACKED_MS, rule.ttl
-    placed = times.withColumn("_block_ms", F.col(ts) - F.pmod(F.col(ts), F.lit(width)))
-    schema = placed.select(*keys, "_block_ms").schema.add("_times", T.BinaryType())
+    keys, ts = list(rule.keys), rule.ts
+    period = rule.ttl + 1
+    width = min(-(-period // COLUMNS), PACKED_MS)
+    width += -width % 8
+    columns = -(-period // width)
+    place = F.pmod(F.col(ts), F.lit(period))
+    inside = F.pmod(place, F.lit(width))
+    cells = times.select(
+        *keys,
+        ((F.col(ts) - place) / period).cast("bigint").alias("_row"),
+        ((place - inside) / width).cast("bigint").alias("_column"),
+        inside.alias("_inside"),
+    )
+    schema = cells.select(*keys, "_row", "_column").schema.add("_times", T.BinaryType())
 
     def pack(table):
-        offsets = table.column(ts).to_numpy() - table.column("_block_ms")[0].as_py()
-        one = table.slice(0, 1).select([*keys, "_block_ms"]).combine_chunks()
-        packed = anchors.pack_times(offsets, width)
+        one = table.slice(0, 1).select([*keys, "_row", "_column"]).combine_chunks()
+        packed = anchors.pack_times(table.column("_inside").to_numpy(), width)
         return one.append_column("_times", pa.array([packed], pa.binary()))
 
-    def chain(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
-        return anchors.chain_packed(batches, width, ttl)
+    def exits(table):
+        rows, order = _in_rows(table)
+        left = anchors.column_exits(rows, table.column("_times").take(order).to_pylist(), width)
+        return table.select([*keys, "_row", "_column"]).take(order).append_column("_exit", pa.array(left, pa.int64()))
+
+    def walk(table):
+        rows, order = _in_rows(table)
+        ordered = table.take(order)
+        entered = ordered.column("_entered").to_pylist()
+        found = anchors.column_anchors(rows, ordered.column("_times").to_pylist(), entered, width)
+        at, inside_ = (np.array(x, dtype=np.int64) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 2
+        column = table.column("_column")[0].as_py() if table.num_rows else 0
+        made = ordered.select(keys).take(pa.array(at))
+        return made.append_column(ts, pa.array(rows[at] * period + column * width + inside_, pa.int64()))
+
+    packed = checkpointed(cells.groupBy(*keys, "_row", "_column").applyInArrow(pack, schema))
+    left = packed.groupBy(*keys, "_column").applyInArrow(
+        exits, packed.select(*keys, "_row", "_column").schema.add("_exit", T.LongType())
+    )
 
-    chained = F.arrow_udf(chain, "array<bigint>").asNondeterministic()
-    in_key = Window.partitionBy(*keys).orderBy("_block_ms")
-    return (
-        placed.groupBy(*keys, "_block_ms")
-        .applyInArrow(pack, schema)
-        .withColumn("_opens", F.lag("_block_ms").over(in_key).isNull())
-        .sortWithinPartitions(*keys, "_block_ms")
-        .withColumn("_found", chained("_block_ms", "_opens", "_times"))
-        .select(*keys, F.explode("_found").alias(ts))
+    def chain(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        return anchors.chain_columns(batches, columns)
+
+    chained = F.arrow_udf(chain, "boolean").asNondeterministic()
+    in_key = Window.partitionBy(*keys).orderBy("_row", "_column")
+    entered = (
+        left.withColumn("_opens", F.lag("_row").over(in_key).isNull())
+        .sortWithinPartitions(*keys, "_row", "_column")
+        .withColumn("_entered", chained("_row", "_column", "_exit", "_opens"))
+        .filter("_entered")
+        .select(*keys, "_row", "_column", "_entered")
     )
+    rows = packed.join(entered, [*keys, "_row", "_column"], "left")
+    return rows.groupBy(*keys, "_column").applyInArrow(walk, times.select(*keys, ts).schema)
+
+
+def _in_rows(table: pa.Table) -> tuple[np.ndarray, pa.Array]:
+    """The rows of a column in order, and where they stand."""
+    rows = table.column("_row").to_numpy()
+    order = np.argsort(rows, kind="stable")
+    return rows[order], pa.array(order)
 
 
 def _anchors_of_blocks(times: DataFrame, rule: _Rule) -> DataFrame:

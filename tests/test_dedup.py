@@ -1,9 +1,11 @@
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from streamfuse.operators import dedup
+from streamfuse.operators import anchors, dedup
 from tests.folds import fold_rows
 
 SCHEMA = "signature binary, received_ms bigint, ordinal int, seq bigint"
@@ -162,3 +164,51 @@ def test_a_day_long_time_to_live_of_a_dense_key_is_packed(spark):
     while (first := -(-(first + day + 1) // 997) * 997) < 3 * day:
         want.append(first)
     assert anchors == want
+
+
+def test_a_hot_key_with_a_long_time_to_live_reads_a_column_a_task(spark, monkeypatch):
+    """A year of one key in bursts and gaps; the fold's anchors, and no task has more than a column of the times."""
+    day, draw = 86_400_000, random.Random(4)
+    times, at = [], BASE * 1000
+    while at < BASE * 1000 + 365 * day:
+        at += draw.choice([1, 7, 40_000, 3_000_000, 9_000_000, draw.randrange(3 * day) if draw.random() < 0.01 else 50_000_000])
+        times.append(at)
+    rows = [(b"hot", t, 1, i) for i, t in enumerate(times)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    hot = [frame.select(F.xxhash64("signature")).first()[0]]
+    judged = dedup.dedup_ttl(frame, "signature", "received_ms", day, hot_keys=hot)
+    assert judged_by(judged) == fold_rows(rows, day)
+
+
+def test_columns_of_times():
+    draw = random.Random(1)
+    for _ in range(400):
+        ttl, width = draw.randrange(1, 60), 8
+        times = sorted({draw.randrange(draw.choice([60, 400, 3000])) for _ in range(draw.randrange(1, 120))})
+        period = ttl + 1
+        columns = -(-period // width)
+        cells = {}
+        for t in times:
+            cells.setdefault((t // period, t % period // width), []).append(t % period % width)
+        packed = {k: anchors.pack_times(np.array(v), width) for k, v in cells.items()}
+        exits = {}
+        for c in range(columns):
+            own = sorted(r for r, x in packed if x == c)
+            left = anchors.column_exits(np.array(own, dtype=np.int64), [packed[r, c] for r in own], width)
+            exits |= {(r, c): int(e) for r, e in zip(own, left, strict=True)}
+        order = sorted(packed)
+        batch = [pa.array([k[i] for k in order], pa.int64()) for i in (0, 1)]
+        batch += [pa.array([exits[k] for k in order], pa.int64()), pa.array([i == 0 for i in range(len(order))])]
+        entered = dict(zip(order, next(anchors.chain_columns([tuple(batch)], columns)).to_pylist(), strict=True))
+        found = []
+        for c in range(columns):
+            own = sorted(r for r, x in packed if x == c)
+            for i, place in anchors.column_anchors(
+                np.array(own, dtype=np.int64), [packed[r, c] for r in own], [entered[r, c] for r in own], width
+            ):
+                found.append(own[i] * period + c * width + place)
+        want = []
+        for t in times:
+            if not want or t > want[-1] + ttl:
+                want.append(t)
+        assert sorted(found) == want
