@@ -98,6 +98,15 @@ stale AS (SELECT client_id, ts_ms AS last_message_ms, ts_ms + {STALE_MS} AS stal
 )
 
 
+# Rows come in four steps of equal time; the newest time after each of them.
+STEPS_SQL = """
+, ends AS (SELECT min(received_ms) AS first, max(received_ms) AS last FROM judged),
+bounds AS (SELECT i, first + (last - first + 1) * i // 4 AS since, first + (last - first + 1) * (i + 1) // 4 AS until
+    FROM ends, range(4) r(i)),
+steps AS (SELECT i, since, until, max(received_ms) AS newest_ms FROM bounds JOIN judged ON received_ms < until GROUP BY ALL)
+"""
+
+
 def snapshot(now_ms: int) -> str:
     """Every configured client, also the fifth, which the log does not know."""
     return f"""
@@ -236,6 +245,37 @@ WHERE anchor_ms >= newest_ms - {TTL_MS} - {DAY_MS} GROUP BY ALL""",
         JUDGED,
         """
 SELECT CASE WHEN is_duplicate THEN 'duplicate' ELSE 'unique' END AS part, ordinal, seq FROM judged""",
+    ),
+    "d3_state_entries": select(
+        JUDGED + STEPS_SQL,
+        f"""
+, entries AS (SELECT i, signature, max(anchor_ms) AS anchor_ms FROM judged JOIN steps
+    ON received_ms >= since AND received_ms < until WHERE NOT is_duplicate GROUP BY ALL),
+held AS (SELECT s.i, signature FROM steps s JOIN entries e ON e.i <= s.i
+    WHERE (anchor_ms // {TTL_MS // 4} + 1) * {TTL_MS // 4} + {TTL_MS} + {DAY_MS} > newest_ms)
+SELECT i::INT AS step, count(*) AS n_entries, count(DISTINCT signature) AS n_keys FROM held GROUP BY ALL""",
+    ),
+    "d5_stream_size": select(
+        JUDGED + STEPS_SQL,
+        f"""
+, live AS (SELECT i, newest_ms, signature FROM steps JOIN judged ON received_ms < until
+    WHERE anchor_ms BETWEEN newest_ms - {HOUR_MS} AND newest_ms GROUP BY ALL)
+SELECT newest_ms AS tick_ms, count(signature) AS size, 16::BIGINT AS max_size, {HOUR_MS}::BIGINT AS ttl_ms,
+    count(signature) >= 16 AS cap_would_act FROM steps LEFT JOIN live USING (i, newest_ms) GROUP BY newest_ms""",
+    ),
+    "d6_stream_live_keys": select(
+        JUDGED + STEPS_SQL,
+        f"""
+SELECT i::INT AS step, lower(hex(signature)) AS signature, max(anchor_ms) AS first_seen_ms
+FROM steps JOIN judged ON received_ms < until
+WHERE NOT is_duplicate AND anchor_ms BETWEEN newest_ms - {HOUR_MS} AND newest_ms GROUP BY ALL""",
+    ),
+    "w11_open_silences": select(
+        LOG,
+        f"""
+SELECT client_id, last_message_ms, stale_from_ms, least(end_ms, now_ms) AS end_ms
+FROM stale, (SELECT max(ts_ms) AS now_ms FROM log WHERE ts_ms <= {END_MS})
+WHERE least(end_ms, now_ms) - last_message_ms > {STALE_MS}""",
     ),
     "w11_stale_stream": select(LOG, f"SELECT * FROM stale WHERE end_ms <> {END_MS}"),
     "s1_fan_in": select(

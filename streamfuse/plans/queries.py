@@ -468,9 +468,7 @@ def d2_dedup_stream(spark, sf_dir):
 
 
 def _micro_batches(spark, sf_dir, work, after=None, **options):
-    job = stream_dedup.MicroBatchDedup(
-        f"{work}/state", "signature", "received_ms", TTL_MS, compact_every=2, **options
-    )
+    job = stream_dedup.MicroBatchDedup(f"{work}/state", "signature", "received_ms", TTL_MS, **options)
 
     def write(rows: DataFrame, batch_id: int) -> None:
         found = rows.select("ordinal", "seq", "is_duplicate", "anchor_ms")
@@ -503,16 +501,76 @@ def d3_expiry(spark, sf_dir):
     return reduce(DataFrame.unionByName, found)
 
 
-def _judged_stream(feed):
-    return stream_dedup.dedup_ttl_stream(feed, "signature", "received_ms", TTL_MS, buckets=64)
+def _bounded_stream(spark, sf_dir, label, look):
+    """Run the stateful form with rows up to a day late; ``look`` reads its checkpoint after each step."""
+    work = new_work_dir(spark, label)
 
+    def start(feed):
+        found = stream_dedup.dedup_ttl_stream(
+            feed, "signature", "received_ms", TTL_MS, lateness_ms=DAY_MS, buckets=64
+        )
+        return _table(found.select("ordinal", "seq", "is_duplicate", "anchor_ms"), work)
+
+    rows, seen = _slim(spark, sf_dir), []
+
+    def after(i):
+        # Kept, because later micro-batches change the state that is read.
+        seen.append(kept(look(f"{work}/checkpoint", i), label))
+
+    _in_steps(rows, "received_ms", work, start, after)
+    return reduce(DataFrame.unionByName, seen)
 
-def _both_parts(spark, work):
-    parts = [
-        spark.read.parquet(f"{work}/{part}").select(F.lit(part).alias("part"), "ordinal", "seq")
-        for part in ("unique", "duplicate")
-    ]
-    return parts[0].unionByName(parts[1])
+
+@query
+def d3_state_entries(spark, sf_dir):
+    """Keys in the state after each step: timers have let go of those that are too old, in silent buckets too."""
+
+    def look(checkpoint, i):
+        held = stream_dedup.state_anchors(spark, checkpoint, "signature")
+        return held.agg(
+            F.lit(i).alias("step"),
+            F.count("*").alias("n_entries"),
+            F.count_distinct("signature").alias("n_keys"),
+        )
+
+    return _bounded_stream(spark, sf_dir, "d3-state", look)
+
+
+def _newest_of_steps(spark, sf_dir):
+    """The newest time after each step of ``_in_steps``."""
+    ts = F.col("received_ms")
+    ends = _slim(spark, sf_dir).agg(F.min(ts).alias("first"), F.max(ts).alias("last"))
+    first, last = ends.first()
+    until = [first + (last - first + 1) * (i + 1) // STEPS for i in range(STEPS)]
+    newest = _slim(spark, sf_dir).agg(*[F.max(F.when(ts < u, ts)).alias(f"s{i}") for i, u in enumerate(until)])
+    return list(newest.first())
+
+
+@query
+def d5_stream_size(spark, sf_dir):
+    """Size of the live keys of a running stream after each step, an hour counting as alive."""
+    newest = _newest_of_steps(spark, sf_dir)
+
+    def look(checkpoint, i):
+        return stream_dedup.stream_size(spark, checkpoint, "signature", newest[i], HOUR_MS, 16)
+
+    return _bounded_stream(spark, sf_dir, "d5-stream", look)
+
+
+@query
+def d6_stream_live_keys(spark, sf_dir):
+    """Live keys of a running stream after each step, read out of its checkpoint."""
+    newest = _newest_of_steps(spark, sf_dir)
+
+    def look(checkpoint, i):
+        live = stream_dedup.stream_live_keys(spark, checkpoint, "signature", newest[i], HOUR_MS)
+        return live.select(F.lit(i).alias("step"), F.lower(F.hex("signature")).alias("signature"), "first_seen_ms")
+
+    return _bounded_stream(spark, sf_dir, "d6-stream", look)
+
+
+def _judged_stream(feed):
+    return stream_dedup.dedup_ttl_stream(feed, "signature", "received_ms", TTL_MS, buckets=64)
 
 
 @query
@@ -520,11 +578,14 @@ def k1_split_sink(spark, sf_dir):
     work = new_work_dir(spark, "k1-split")
 
     def start(feed):
-        to = (f"{work}/unique", f"{work}/duplicate", f"{work}/checkpoint")
-        return sinks.split_sink(_judged_stream(feed), *to)
+        return sinks.split_sink(_judged_stream(feed), f"{work}/out", f"{work}/checkpoint")
 
     _in_steps(_slim(spark, sf_dir), "received_ms", work, start)
-    return _both_parts(spark, work)
+    parts = [
+        sinks.read_part(spark, f"{work}/out", flag).select(F.lit(part).alias("part"), "ordinal", "seq")
+        for part, flag in (("unique", False), ("duplicate", True))
+    ]
+    return parts[0].unionByName(parts[1])
 
 
 @query
@@ -545,7 +606,11 @@ def k3_callbacks(spark, sf_dir):
         return sinks.on_events(typed, handlers, f"{work}/checkpoint")
 
     _in_steps(_slim(spark, sf_dir), "received_ms", work, start)
-    return _both_parts(spark, work)
+    parts = [
+        spark.read.parquet(f"{work}/{part}").select(F.lit(part).alias("part"), "ordinal", "seq")
+        for part in ("unique", "duplicate")
+    ]
+    return parts[0].unionByName(parts[1])
 
 
 @query
@@ -732,17 +797,28 @@ def w10_endpoint_events_stream(spark, sf_dir):
     return spark.read.parquet(f"{work}/out")
 
 
-@query
-def w11_stale_stream(spark, sf_dir):
-    """The event-time form; silences that no later row has ended are not in it."""
-    work = new_work_dir(spark, "w11-stale")
+def _stale_told(spark, sf_dir, label):
+    work = new_work_dir(spark, label)
     log = samples.connection_log(spark, sf_dir).filter(F.col("ts_ms") <= END_MS)
 
     def start(rows):
         return _table(stream_health.stale_episodes_stream(rows, STALE_MS), work)
 
     _in_steps(log, "ts_ms", work, start)
-    return spark.read.parquet(f"{work}/out")
+    return log, spark.read.parquet(f"{work}/out")
+
+
+@query
+def w11_stale_stream(spark, sf_dir):
+    """Episodes that a later row has ended."""
+    return _stale_told(spark, sf_dir, "w11-stale")[1].filter(F.col("end_ms").isNotNull())
+
+
+@query
+def w11_open_silences(spark, sf_dir):
+    """All episodes as the stream knows them at its last watermark, those that still last among them."""
+    log, told = _stale_told(spark, sf_dir, "w11-open")
+    return stream_health.episodes_at(told, log.agg(F.max("ts_ms")).first()[0])
 
 
 @query

@@ -1,10 +1,12 @@
 """Anchored deduplication of a stream.
 
 Two forms of one rule. ``dedup_ttl_stream`` is a stateful operator that fits into any streaming
-query; the engine keeps one entry of state for each key. ``MicroBatchDedup`` judges each micro-batch with
-the batch operator and keeps the anchors as a table that only grows by what a batch changed; payload never
-leaves the JVM there and hot keys are spread. Both give the result of the batch operator unless bounded
-state is asked for.
+query. ``MicroBatchDedup`` judges each micro-batch with the batch operator and keeps the anchors as a table
+partitioned by their time; payload never leaves the JVM there and hot keys are spread. Both give the result of the
+batch operator unless bounded state is asked for.
+
+An anchor older than a row by more than the time-to-live says nothing about it. So both keep anchors by cells of time, and a
+batch reads those from its own least time on, less the time-to-live, whatever the age of the feed.
 """
 
 from collections.abc import Callable, Iterator, Sequence
@@ -12,7 +14,8 @@ from functools import partial, reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -20,6 +23,21 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from streamfuse.operators.anchors import mark_anchors
 from streamfuse.operators.dedup import HOT_ROWS, ORDER, dedup_ttl, find_hot_keys, is_hot
 from streamfuse.session import use_keyed_state
+from streamfuse.streaming.clock import CLOCK, with_clock
+
+# Cells of state in a time-to-live. More let keys leave sooner, fewer are less to look up.
+CELLS = 4
+# Cells that are looked up one by one; from there on the list of those that exist is asked for.
+LOOKED_UP = 64
+HOUR_MS = 3_600_000
+# Folders of anchors that are named one by one when they are read.
+NAMED_CELLS = 500
+
+
+def cell_width(ttl_ms: int) -> int:
+    """Milliseconds of a cell of state: a quarter of the time-to-live."""
+    return max(1, ttl_ms // CELLS)
+
 
 def dedup_ttl_stream(
     df: DataFrame,
@@ -33,73 +51,99 @@ def dedup_ttl_stream(
     """Add ``is_duplicate``, ``anchor_ms`` and, with ``lateness_ms``, ``maybe_expired`` to a stream.
 
     ``key`` is a binary or text column; rows without a key or without a time are unique. A row older than
-    its anchor is a duplicate. Python is called once for a bucket of keys, but the engine keeps an entry for
-    each key, so a micro-batch reads and writes the entries of its own keys only.
+    its anchor is a duplicate. Python is called once for a bucket of keys. A bucket's state is one entry for each cell of
+    time, with the keys that have an anchor there, so a micro-batch reads and writes a few entries for a bucket.
 
     State is unbounded by default, which is what the rule needs: a row may repeat an anchor however
-    late it comes. With ``lateness_ms`` a key leaves the state once its bucket's newest row is later than
-    anchor, ``ttl_ms`` and ``lateness_ms`` together, by the feed's own clock; unique rows that come so late
-    that their anchor may have left are flagged. ``buckets`` must not change over the life of a checkpoint. All
-    rows of a bucket in one micro-batch meet in one task: limit the rate at the source, or use
-    ``MicroBatchDedup`` where keys are frequent. Sets the session's state store to the one that keeps keyed state.
+    late it comes. With ``lateness_ms`` an event-time timer for each cell lets its keys go when the watermark, the
+    newest time of the whole feed, is later than the cell's end, ``ttl_ms`` and ``lateness_ms`` together; that is at most a
+    quarter of the time-to-live after the same counted from the anchor, and happens in buckets without rows too. Rows are
+    never dropped for being late; unique rows that come so late that their anchor may have left are flagged.
+    ``buckets`` and ``ttl_ms`` must not change over the life of a checkpoint. All rows of a bucket in one micro-batch meet in
+    one task: limit the rate at the source, or use ``MicroBatchDedup`` where keys are frequent. Sets the session's
+    state store to the one that keeps keyed state.
     """
     use_keyed_state(df.sparkSession)
     sorting = [ts, *order]
     text = T.StructType.fromDDL("_repeat boolean, _anchor_ms bigint, _late boolean")
     schema = T.StructType([*df.schema.fields, *text.fields])
     columns = schema.names
-    key_schema = T.StructType([T.StructField("k", df.schema[key].dataType)])
-    extra = 0 if lateness_ms is None else ttl_ms + lateness_ms
+    key_type = df.schema[key].dataType
+    entry = T.StructType([
+        T.StructField("keys", T.ArrayType(key_type)), T.StructField("anchors", T.ArrayType(T.LongType())),
+    ])
+    plain = bytes if isinstance(key_type, T.BinaryType) else lambda k: k
+    width = cell_width(ttl_ms)
 
     class Judge(StatefulProcessor):
         def init(self, handle: StatefulProcessorHandle) -> None:
-            self.anchors = handle.getMapState("anchors", key_schema, "anchor_ms bigint")
-            self.clock = handle.getValueState("clock", "newest_ms bigint, swept_ms bigint")
-
-        def handleInputRows(self, _bucket, chunks, _timers) -> Iterator[pd.DataFrame]:
-            rows = pd.concat(list(chunks), ignore_index=True)
-            timed = rows[ts].notna().to_numpy()
-            codes, keys = pd.factorize(rows[key].where(timed))  # a missing key gets code -1
-            at = np.lexsort([*(rows[c].to_numpy() for c in reversed(sorting)), codes])
-            rows, codes = rows.iloc[at], codes[at]
+            self.handle = handle
+            self.cells = handle.getMapState("cells", "cell bigint", entry)
+            self.newest = handle.getValueState("newest", "cell bigint")
+
+        def handleInputRows(self, key_, rows, timerValues) -> Iterator[pd.DataFrame]:
+            if key_[0] == CLOCK:
+                return
+            found = pd.concat(list(rows), ignore_index=True)
+            timed = found[ts].notna().to_numpy()
+            codes, keys = pd.factorize(found[key].where(timed))  # a missing key gets code -1
+            at = np.lexsort([*(found[c].to_numpy() for c in reversed(sorting)), codes])
+            found, codes = found.iloc[at], codes[at]
 
             keyed = int(np.searchsorted(codes, 0))
-            repeat = np.zeros(len(rows), dtype=bool)
-            late = np.zeros(len(rows), dtype=bool)
-            anchor = pd.array([pd.NA] * len(rows), dtype="Int64")
-            if keyed < len(rows):
-                times = rows[ts].to_numpy()[keyed:].astype(np.int64)
+            repeat = np.zeros(len(found), dtype=bool)
+            late = np.zeros(len(found), dtype=bool)
+            anchor = pd.array([pd.NA] * len(found), dtype="Int64")
+            if keyed < len(found):
+                times = found[ts].to_numpy()[keyed:].astype(np.int64)
                 of = codes[keyed:]
                 starts = np.flatnonzero(np.diff(of, prepend=-1))
-                found = [self.anchors.getValue((k,)) for k in keys]
-                seeded = np.array([f is not None for f in found])
-                seeds = np.array([0 if f is None else f[0] for f in found], dtype=np.int64)
+                stored = self._stored((int(times.min()) - ttl_ms) // width)
+                latest = {k: a for cell in sorted(stored) for k, a in zip(*stored[cell], strict=True)}
+                seen = [latest.get(k) for k in keys]
+                seeded = np.array([a is not None for a in seen])
+                seeds = np.array([0 if a is None else a for a in seen], dtype=np.int64)
                 # Rows up to an anchor's time-to-live repeat it, even those before it.
                 within = seeded[of] & (times <= seeds[of] + ttl_ms)
                 limits = np.where(seeded, seeds + ttl_ms, times[starts] - 1)
                 marks = mark_anchors(times, starts, limits, ttl_ms)
-                latest = np.maximum.accumulate(np.where(marks, np.arange(len(marks)), -1))
-                values = np.where(within, seeds[of], times[latest])
+                row = np.maximum.accumulate(np.where(marks, np.arange(len(marks)), -1))
+                values = np.where(within, seeds[of], times[row])
                 repeat[keyed:], anchor[keyed:] = ~marks, values
                 last = values[np.append(starts[1:], len(of)) - 1]
-                for k, known, old, new in zip(keys, seeded, seeds, last, strict=True):
-                    if not known or new != old:
-                        self.anchors.updateValue((k,), (int(new),))
+                changed = np.flatnonzero(~seeded | (last != seeds))
+                self._store(stored, [(int(last[i]), keys[i]) for i in changed])
                 if lateness_ms is not None:
-                    late[keyed:] = marks & (times <= self._sweep(int(times.max())) - lateness_ms)
-            yield rows.assign(_repeat=repeat, _anchor_ms=anchor, _late=late)[columns]
-
-        def _sweep(self, newest: int) -> int:
-            """Drop expired keys, once the clock has moved by half of what they are kept for."""
-            before, swept = self.clock.get() if self.clock.exists() else (newest, newest)
-            newest = max(newest, before)
-            if newest - swept > extra // 2:
-                for k, (anchor,) in list(self.anchors.iterator()):
-                    if anchor < newest - extra:
-                        self.anchors.removeKey(k)
-                swept = newest
-            self.clock.update((newest, swept))
-            return before
+                    late[keyed:] = marks & (times <= timerValues.getCurrentWatermarkInMs() - lateness_ms)
+            yield found.assign(_repeat=repeat, _anchor_ms=anchor, _late=late)[columns]
+
+        def _stored(self, first: int) -> dict[int, tuple[list, list]]:
+            """Keys and anchors by cell, from a cell on."""
+            newest = self.newest.get()[0] if self.newest.exists() else first - 1
+            cells = range(first, newest + 1)
+            if len(cells) > LOOKED_UP:
+                cells = [c for (c,) in self.cells.keys() if c >= first]
+            entries = ((c, self.cells.getValue((c,))) for c in cells)
+            return {c: ([plain(k) for k in e[0]], [int(a) for a in e[1]]) for c, e in entries if e is not None}
+
+        def _store(self, stored: dict, new: list[tuple]) -> None:
+            by_cell: dict[int, list[tuple]] = {}
+            for a, k in new:
+                by_cell.setdefault(a // width, []).append((k, a))
+            for cell, pairs in by_cell.items():
+                keys, anchors = stored.get(cell, ([], []))
+                if lateness_ms is not None and cell not in stored:
+                    self.handle.registerTimer((cell + 1) * width + ttl_ms + lateness_ms)
+                self.cells.updateValue((cell,), ([*keys, *(k for k, _ in pairs)], [*anchors, *(a for _, a in pairs)]))
+            if by_cell:
+                newest = max(by_cell)
+                if not self.newest.exists() or self.newest.get()[0] < newest:
+                    self.newest.update((newest,))
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+            cell = (expiredTimerInfo.getExpiryTimeInMs() - ttl_ms - lateness_ms) // width - 1
+            self.cells.removeKey((cell,))
+            return iter(())
 
         def close(self) -> None:
             pass
@@ -107,9 +151,10 @@ def dedup_ttl_stream(
     bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
     spread = F.pmod(F.xxhash64(*sorting), F.lit(buckets)).cast("int")
     placed = df.withColumn("_bucket", F.when(F.col(key).isNull(), spread).otherwise(bucket))
-    judged = placed.groupBy("_bucket").transformWithStateInPandas(
-        Judge(), schema, outputMode="append", timeMode="none"
-    )
+    if lateness_ms is not None:
+        placed = with_clock(placed, ts, {"_bucket": F.lit(CLOCK)})
+    mode = "none" if lateness_ms is None else "EventTime"
+    judged = placed.groupBy("_bucket").transformWithStateInPandas(Judge(), schema, outputMode="append", timeMode=mode)
     # Renaming makes plain rows of the Arrow ones, which a sink that sorts cannot take.
     flags = [F.col("_repeat").alias("is_duplicate"), F.col("_anchor_ms").alias("anchor_ms")]
     if lateness_ms is not None:
@@ -117,6 +162,38 @@ def dedup_ttl_stream(
     return judged.select(*df.columns, *flags)
 
 
+def state_anchors(spark: SparkSession, checkpoint: str, key: str, batch_id: int | None = None) -> DataFrame:
+    """(key, anchor_ms): the anchors that the state of ``dedup_ttl_stream`` holds, read out of a query's checkpoint.
+
+    The query may be running; its last finished batch is read, or the one named. A key has one row for each cell of time that
+    it has an anchor in.
+    """
+    reader = spark.read.format("statestore").option("stateVarName", "cells")
+    if batch_id is not None:
+        reader = reader.option("batchId", batch_id)
+    entries = reader.load(checkpoint).select(F.explode(F.arrays_zip("user_map_value.keys", "user_map_value.anchors")).alias("e"))
+    return entries.select(F.col("e.keys").alias(key), F.col("e.anchors").alias("anchor_ms"))
+
+
+def stream_live_keys(
+    spark: SparkSession, checkpoint: str, key: str, now_ms: int, ttl_ms: int, batch_id: int | None = None
+) -> DataFrame:
+    """``live_keys`` of a running stream: keys not yet expired at ``now_ms`` and when they were first seen."""
+    recent = state_anchors(spark, checkpoint, key, batch_id).filter(F.col("anchor_ms").between(now_ms - ttl_ms, now_ms))
+    return recent.groupBy(key).agg(F.max("anchor_ms").alias("first_seen_ms"))
+
+
+def stream_size(
+    spark: SparkSession, checkpoint: str, key: str, now_ms: int, ttl_ms: int, max_size: int, batch_id: int | None = None
+) -> DataFrame:
+    """One row of ``dedup_occupancy`` for a running stream."""
+    size = stream_live_keys(spark, checkpoint, key, now_ms, ttl_ms, batch_id).agg(F.count("*").alias("size"))
+    return size.select(
+        F.lit(now_ms).cast("bigint").alias("tick_ms"), "size", F.lit(max_size).cast("bigint").alias("max_size"),
+        F.lit(ttl_ms).cast("bigint").alias("ttl_ms"), (F.col("size") >= max_size).alias("cap_would_act"),
+    )
+
+
 def drop_repeats_builtin(df: DataFrame, key: str, ts: str, delay: str) -> DataFrame:
     """The engine's own stream deduplication: cheap, but a different rule.
 
@@ -131,14 +208,16 @@ def drop_repeats_builtin(df: DataFrame, key: str, ts: str, delay: str) -> DataFr
 class MicroBatchDedup:
     """Deduplicate micro-batches against a table of anchors, inside ``foreachBatch``.
 
-    Every batch writes the anchors it set into a folder of its own, so the bytes written follow the
-    batch and not the keys alive, and a batch that is repeated after a failure overwrites only what it wrote.
-    Each ``compact_every`` batches all anchors are merged into one base folder, without the expired ones.
+    The table is partitioned by the hour of the anchors (or by ``cell_ms``) and by batch. A batch reads the cells from its least
+    time less the time-to-live on, and adds the anchors it set, so what it reads and writes follows its own rows and the
+    time-to-live, not the age of the feed or the keys in it; a row that comes very late makes its batch read from there on.
+    A batch that is repeated after a failure overwrites only what it wrote.
 
     By default no anchor expires and the result is that of the batch operator. With ``lateness_ms``,
     anchors older than the newest row by ``ttl_ms`` and ``lateness_ms`` together are left out, also
     when their keys send nothing any more, and unique rows whose anchor may be among them are flagged in
-    ``maybe_expired``. Keys with ``hot_rows`` rows in a batch are spread, and so are rows without a key.
+    ``maybe_expired``; cells older than that may be deleted at any time. Keys with ``hot_rows`` rows in a batch are spread, and
+    so are rows without a key.
     """
 
     def __init__(
@@ -150,51 +229,61 @@ class MicroBatchDedup:
         order: Sequence[str] = ORDER,
         lateness_ms: int | None = None,
         hot_rows: int = HOT_ROWS,
-        compact_every: int = 32,
+        cell_ms: int | None = None,
     ):
         self.state_path, self.key, self.ts, self.ttl_ms = state_path.rstrip("/"), key, ts, ttl_ms
         self.order, self.lateness_ms, self.hot_rows = tuple(order), lateness_ms, hot_rows
-        self.compact_every = compact_every
+        self.cell_ms = cell_ms or max(HOUR_MS, ttl_ms + 1)
+        self.anchors_path = f"{self.state_path}/anchors"
 
-    def _delta(self, batch_id: int) -> str:
-        return f"{self.state_path}/delta-{batch_id}"
+    def _clock(self, batch_id: int) -> str:
+        return f"{self.state_path}/newest/batch_id={batch_id}"
 
-    def _base(self, batch_id: int) -> str:
-        return f"{self.state_path}/base-{batch_id}"
+    def newest_ms(self, spark: SparkSession, batch_id: int) -> int | None:
+        """The newest time of all rows up to a batch."""
+        if batch_id < 0:
+            return None
+        return spark.read.schema("newest_ms bigint").parquet(self._clock(batch_id)).first()[0]
 
-    def _stored(self, spark, schema: T.StructType, first: int, until: int) -> DataFrame:
-        """(key, anchor_ms, newest_ms) rows of the base at ``first`` and the batches from it to ``until``.
+    def known(
+        self, spark: SparkSession, key_type: T.DataType, batch_id: int, least_ms: int | None, newest_ms: int | None
+    ) -> DataFrame | None:
+        """(key, anchor_ms) rows set before a batch, those that can matter to rows from ``least_ms`` on, or all.
 
         A key may have several; the largest anchor counts.
         """
-        paths = [self._delta(i) for i in range(first, until)]
-        if first:
-            paths.insert(0, self._base(first))
-        return spark.read.schema(schema).parquet(*paths)
-
-    def _last_base(self, batch_id: int) -> int:
-        return (batch_id // self.compact_every) * self.compact_every
-
-    def live(self, spark, key_type: T.DataType, batch_id: int) -> DataFrame:
+        if newest_ms is None:
+            return None
+        bounds = [b for b in (least_ms, newest_ms - self.lateness_ms if self.lateness_ms is not None else None) if b is not None]
+        low = max(bounds) - self.ttl_ms if bounds else None
+        longs = T.StructType.fromDDL("anchor_ms bigint, cell bigint, batch_id bigint")
+        schema = T.StructType([T.StructField(self.key, key_type), *longs.fields])
+        reader = spark.read.schema(schema).option("basePath", self.anchors_path)
+        paths = self.anchors_path
+        if low is not None:
+            first, last = low // self.cell_ms, newest_ms // self.cell_ms
+            if first > last:
+                return None
+            if last - first < NAMED_CELLS:
+                paths = f"{self.anchors_path}/cell={{{','.join(map(str, range(first, last + 1)))}}}"
+        try:
+            rows = reader.parquet(paths)
+        except AnalysisException as missing:  # no key had an anchor in these cells
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+        rows = rows.filter(F.col("batch_id") < batch_id)
+        if low is not None:
+            rows = rows.filter((F.col("cell") >= low // self.cell_ms) & (F.col("anchor_ms") >= low))
+        return rows.select(self.key, "anchor_ms")
+
+    def live(self, spark: SparkSession, key_type: T.DataType, batch_id: int) -> DataFrame:
         """The anchors that count after a batch, one for each key."""
-        schema = self._schema(key_type)
-        known = self._stored(spark, schema, self._last_base(batch_id), batch_id + 1)
-        return self._merged(known, self._newest(known))
-
-    def _schema(self, key_type: T.DataType) -> T.StructType:
-        longs = T.StructType.fromDDL("anchor_ms bigint, newest_ms bigint")
-        return T.StructType([T.StructField(self.key, key_type), *longs.fields])
-
-    def _newest(self, known: DataFrame | None) -> int | None:
-        return None if known is None else known.agg(F.max("newest_ms")).first()[0]
-
-    def _merged(self, known: DataFrame, newest: int | None) -> DataFrame:
-        rows = known.filter(F.col(self.key).isNotNull())
-        if self.lateness_ms is not None and newest is not None:
-            rows = rows.filter(F.col("anchor_ms") >= newest - self.ttl_ms - self.lateness_ms)
-        return rows.groupBy(self.key).agg(
-            F.max("anchor_ms").alias("anchor_ms"), F.max("newest_ms").alias("newest_ms")
-        )
+        rows = self.known(spark, key_type, batch_id + 1, None, self.newest_ms(spark, batch_id))
+        if rows is None:
+            empty = T.StructType([T.StructField(self.key, key_type), T.StructField("anchor_ms", T.LongType())])
+            return spark.createDataFrame([], empty)
+        return rows.groupBy(self.key).agg(F.max("anchor_ms").alias("anchor_ms"))
 
     def judged(self, batch: DataFrame, known: DataFrame | None) -> DataFrame:
         """The batch with ``is_duplicate`` and ``anchor_ms``, given the anchors (key, anchor_ms)."""
@@ -232,17 +321,17 @@ class MicroBatchDedup:
     ) -> None:
         """Judge one micro-batch, hand it to ``write`` and store the anchors it set."""
         key, spark = self.key, batch.sparkSession
-        schema = self._schema(batch.schema[key].dataType)
-        if batch_id and batch_id % self.compact_every == 0:
-            before = self._stored(spark, schema, batch_id - self.compact_every, batch_id)
-            self._merged(before, self._newest(before)).write.mode("overwrite").parquet(
-                self._base(batch_id)
-            )
+        newest = self.newest_ms(spark, batch_id - 1)
         batch = batch.persist()
-        known = self._stored(spark, schema, self._last_base(batch_id), batch_id) if batch_id else None
-        newest = self._newest(known)
-        anchors = None if known is None else self._merged(known, newest)
-        judged = self.judged(batch, anchors)
+        # Rows without a key look nothing up and set no anchor.
+        times = F.when(F.col(key).isNotNull(), F.col(self.ts))
+        least, here = batch.agg(F.min(times), F.max(self.ts)).first()
+        known = None
+        if least is not None:
+            known = self.known(spark, batch.schema[key].dataType, batch_id, least, newest)
+        if known is not None:
+            known = known.groupBy(key).agg(F.max("anchor_ms").alias("anchor_ms"))
+        judged = self.judged(batch, known)
         if self.lateness_ms is not None:
             late = F.lit(False)
             if newest is not None:
@@ -252,13 +341,16 @@ class MicroBatchDedup:
         judged = judged.persist()
         try:
             write(judged, batch_id)
-            # The newest time goes along even where a batch sets no anchor.
-            set_here = (
-                judged.groupBy(key)
-                .agg(F.max("anchor_ms").alias("anchor_ms"), F.max(self.ts).alias("newest_ms"))
-                .select(*schema.names)
-            )
-            set_here.write.mode("overwrite").parquet(self._delta(batch_id))
+            set_here = judged.filter(~F.col("is_duplicate") & F.col("anchor_ms").isNotNull() & F.col(key).isNotNull())
+            set_here = set_here.groupBy(key).agg(F.max("anchor_ms").alias("anchor_ms"))
+            set_here = set_here.withColumns({
+                "cell": F.floor(F.col("anchor_ms") / F.lit(self.cell_ms)), "batch_id": F.lit(batch_id).cast("bigint"),
+            })
+            out = set_here.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            out.partitionBy("cell", "batch_id").parquet(self.anchors_path)
+            newest = max((t for t in (newest, here) if t is not None), default=None)
+            clock = spark.createDataFrame([(newest,)], "newest_ms bigint").coalesce(1)
+            clock.write.mode("overwrite").parquet(self._clock(batch_id))
         finally:
             judged.unpersist()
             batch.unpersist()

@@ -1,6 +1,7 @@
 """Endpoint events and staleness of an unbounded connection log."""
 
 from collections.abc import Iterator
+from datetime import datetime
 
 import pandas as pd
 import pyarrow as pa
@@ -11,6 +12,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from streamfuse import schemas
 from streamfuse.session import use_keyed_state
+from streamfuse.streaming.clock import with_clock
 
 
 class _Client(StatefulProcessor):
@@ -153,49 +155,78 @@ def _cell_ends(stale_ms: int):
 
 
 def stale_episodes_stream(log: DataFrame, stale_ms: int) -> DataFrame:
-    """The episodes of ``health.stale_episodes`` by the log's own clock, as soon as a later row ends them.
+    """The episodes of ``health.stale_episodes`` by the log's own clock, the newest time of its rows, of whatever kind and client.
 
-    Rows of a client must not come in an earlier micro-batch than rows before them. An open silence has no end
-    yet and is not reported. No gap longer than ``stale_ms`` fits into a cell of one millisecond more, so each
-    task keeps the ends of its cells only.
+    A silence is told twice: with a null ``end_ms`` as soon as the clock is past its limit, by an event-time timer of the client,
+    and with its end when a later row ends it. One that starts and ends inside a micro-batch is told once, with its end.
+    ``episodes_at`` makes episodes of both. Rows of a client must not come in an earlier micro-batch than rows before them.
+    No gap longer than ``stale_ms`` fits into a cell of one millisecond more, so each task keeps the ends of its cells only.
     """
 
     class Gaps(_Client):
-        schema = "up boolean, last_ms bigint"
-
-        def handleInputRows(self, key, chunks, _timers) -> Iterator[pd.DataFrame]:
-            up, last = self.client.get() if self.client.exists() else (False, None)
-            rows = self.sorted(chunks)
-            flag = rows["kind"].isin(schemas.OWN_FLAG)
-            state = (rows["kind"] == schemas.CONNECTED).astype(float).where(flag).ffill()
+        schema = "up boolean, last_ms bigint, timer_ms bigint"
+
+        def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+            if key[0] is None:
+                return
+            up, last, timer = self.client.get() if self.client.exists() else (False, None, None)
+            found = self.sorted(rows)
+            flag = found["kind"].isin(schemas.OWN_FLAG)
+            state = (found["kind"] == schemas.CONNECTED).astype(float).where(flag).ffill()
             state = state.fillna(float(up)) == 1.0
-            times = rows["ts_ms"].astype("int64")
+            times = found["ts_ms"].astype("int64")
             before = times.shift(1)
             was_up = state.shift(1, fill_value=False)
             if last is not None:
                 before.iloc[0], was_up.iloc[0] = last, up
             quiet = was_up & (times - before > stale_ms)
-            self.client.update((bool(state.iloc[-1]), int(times.iloc[-1])))
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            up, last = bool(state.iloc[-1]), int(times.iloc[-1])
+            # A timer is due when the clock is at it, a silence lasts longer than its limit.
+            timer = last + stale_ms + 1 if up else None
+            if timer is not None:
+                self.handle.registerTimer(timer)
+            self.client.update((up, last, timer))
             yield pd.DataFrame(
                 {
                     "client_id": key[0],
                     "_last_ms": before[quiet].astype("int64"),
-                    "end_ms": times[quiet],
+                    "_end_ms": times[quiet].astype("Int64"),
                 }
             )
 
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+            up, last, timer = self.client.get()
+            if timer != expiredTimerInfo.getExpiryTimeInMs():
+                return
+            self.client.update((up, last, None))
+            yield pd.DataFrame({"client_id": [key[0]], "_last_ms": [last], "_end_ms": pd.array([pd.NA], dtype="Int64")})
+
     use_keyed_state(log.sparkSession)
     slim = _slim(log)
-    found = (
-        slim.mapInArrow(_cell_ends(stale_ms), slim.schema)
-        .groupBy("client_id")
-        .transformWithStateInPandas(
-            Gaps(), "client_id string, _last_ms bigint, end_ms bigint", "append", "none"
-        )
+    clocked = with_clock(slim.mapInArrow(_cell_ends(stale_ms), slim.schema), "ts_ms", {}, whole=log)
+    found = clocked.groupBy("client_id").transformWithStateInPandas(
+        Gaps(), "client_id string, _last_ms bigint, _end_ms bigint", "append", "EventTime"
     )
     return found.select(
         "client_id",
         F.col("_last_ms").alias("last_message_ms"),
         (F.col("_last_ms") + stale_ms).alias("stale_from_ms"),
-        "end_ms",
+        F.col("_end_ms").alias("end_ms"),
     )
+
+
+def episodes_at(told: DataFrame, now_ms: int) -> DataFrame:
+    """Episodes from what ``stale_episodes_stream`` has told so far; one that still lasts ends at ``now_ms``."""
+    known = told.groupBy("client_id", "last_message_ms", "stale_from_ms").agg(F.max("end_ms").alias("end_ms"))
+    return known.withColumn("end_ms", F.coalesce("end_ms", F.lit(now_ms).cast("bigint")))
+
+
+def newest_of(query) -> int | None:
+    """The clock of a query of ``stale_episodes_stream``, in milliseconds: the watermark of its last micro-batch."""
+    marks = [p["eventTime"].get("watermark") for p in query.recentProgress if p.get("eventTime")]
+    marks = [m for m in marks if m and not m.startswith("1970-01-01T00:00:00")]
+    if not marks:
+        return None
+    return round(datetime.fromisoformat(marks[-1].replace("Z", "+00:00")).timestamp() * 1000)

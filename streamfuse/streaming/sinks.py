@@ -5,27 +5,26 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamfuse.operators.dedup import split_unique
 
+def split_sink(df: DataFrame, path: str, checkpoint: str):
+    """Write unique rows and duplicates of a judged stream to the two parts of a table, by one write of each micro-batch.
 
-def split_sink(df: DataFrame, unique_path: str, duplicate_path: str, checkpoint: str):
-    """Write unique rows and duplicates of a judged stream to two tables, from one pass.
-
-    Every micro-batch owns a folder and overwrites it, so a repeated batch leaves no second copy.
-    Returns the writer; set its trigger and start it.
+    The parts are the folders ``is_duplicate=false`` and ``is_duplicate=true``, each with one for every micro-batch. A repeated
+    batch overwrites its own folders, so it leaves no second copy. Returns the writer; set its trigger and start it.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            for rows, path in zip(split_unique(batch), (unique_path, duplicate_path), strict=True):
-                rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
-        finally:
-            batch.unpersist()
+        out = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite")
+        out.option("partitionOverwriteMode", "dynamic").partitionBy("is_duplicate", "batch_id").parquet(path)
 
     return df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
 
 
+def read_part(spark: SparkSession, path: str, duplicates: bool) -> DataFrame:
+    """The unique rows or the duplicates of such a table, without reading the other part."""
+    return read_flagged(spark, path).filter(F.col("is_duplicate") == duplicates).drop("is_duplicate", "batch_id")
+
+
 def flagged_sink(df: DataFrame, path: str, checkpoint: str):
     """One table with a partition each for unique rows and duplicates."""
     return (
