@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -90,6 +91,74 @@ def named_filters(
     return df.withColumn(name, matched).filter(F.size(name) > 0)
 
 
+@dataclass(frozen=True)
+class AccountTables:
+    """A transaction filter whose account lists are tables with a column ``account``; an empty list is no constraint."""
+
+    include: DataFrame | None = None
+    exclude: DataFrame | None = None
+    required: DataFrame | None = None
+    vote: bool | None = None
+    failed: bool | None = None
+
+
+def named_table_filters(
+    df: DataFrame,
+    row_id: Sequence[str],
+    filters: Mapping[str, AccountTables],
+    name: str = "filters",
+    *,
+    account_keys: str = "account_keys",
+) -> DataFrame:
+    """``named_filters`` of transaction filters with account lists of any length.
+
+    ``row_id`` are columns that tell rows apart and are never null. Only these and the single accounts of a row are joined with the
+    lists, which the engine does by their measured sizes, with a Bloom filter of the lists where both sides are large. What a row
+    has of each list is counted, and the counts come back to the row by one more join.
+    """
+    order = list(filters)
+    tables, numbers, constrained = [], {}, set()
+    for i, (_, f) in enumerate(filters.items()):
+        for kind in ("include", "exclude", "required"):
+            table = getattr(f, kind)
+            if table is None:
+                continue
+            listed = table.select(F.col("account").cast("string").alias("_account")).filter(F.col("_account").isNotNull()).distinct()
+            numbers[i, kind] = listed.count()
+            if numbers[i, kind]:
+                constrained.add((i, kind))
+                tables.append(listed.withColumns({"_filter": F.lit(i), "_kind": F.lit(kind)}))
+    marked = df
+    if tables:
+        keys = df.select(*row_id, F.explode(F.array_distinct(account_keys)).alias("_account"))
+        met = keys.join(reduce(DataFrame.unionByName, tables), "_account").groupBy(*row_id, "_filter").agg(
+            *[F.count_if(F.col("_kind") == kind).alias(kind) for kind in ("include", "exclude", "required")]
+        )
+        counts = F.struct("include", "exclude", "required")
+        met = met.groupBy(*row_id).agg(F.map_from_entries(F.collect_list(F.struct("_filter", counts.alias("n")))).alias("_met"))
+        marked = df.join(met, list(row_id), "left")
+
+    def count(i: int, kind: str) -> Column:
+        return F.coalesce(F.try_element_at("_met", F.lit(i))[kind], F.lit(0))
+
+    predicates = {}
+    for i, f in enumerate(filters.values()):
+        parts = [transaction_filter(vote=f.vote, failed=f.failed)]
+        if (i, "include") in constrained:
+            parts.append(count(i, "include") > 0)
+        if (i, "exclude") in constrained:
+            parts.append(count(i, "exclude") == 0)
+        if (i, "required") in constrained:
+            parts.append(count(i, "required") == numbers[i, "required"])
+        predicates[order[i]] = _all(parts)
+    return named_filters(marked, predicates, name).select(*[c for c in df.columns if c != name], name)
+
+
+def accounts_filter(df: DataFrame, row_id: Sequence[str], tables: AccountTables, **columns: str) -> DataFrame:
+    """The rows that one such filter lets through."""
+    return named_table_filters(df, row_id, {"": tables}, "_matched", **columns).drop("_matched")
+
+
 def commitment_rank(column: Column) -> Column:
     """0, 1, 2 in ascending certainty, in either letter case; null for anything else."""
     rank = F.lit(None).cast("int")

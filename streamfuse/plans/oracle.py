@@ -100,7 +100,7 @@ stale AS (SELECT client_id, ts_ms AS last_message_ms, ts_ms + {STALE_MS} AS stal
 
 # Rows come in four steps of equal time; the newest time after each of them.
 STEPS_SQL = """
-, ends AS (SELECT min(received_ms) AS first, max(received_ms) AS last FROM judged),
+ends AS (SELECT min(received_ms) AS first, max(received_ms) AS last FROM judged),
 bounds AS (SELECT i, first + (last - first + 1) * i // 4 AS since, first + (last - first + 1) * (i + 1) // 4 AS until
     FROM ends, range(4) r(i)),
 steps AS (SELECT i, since, until, max(received_ms) AS newest_ms FROM bounds JOIN judged ON received_ms < until GROUP BY ALL)
@@ -266,7 +266,7 @@ SELECT newest_ms AS tick_ms, count(signature) AS size, 16::BIGINT AS max_size, {
     "d6_stream_live_keys": select(
         JUDGED + STEPS_SQL,
         f"""
-SELECT i::INT AS step, lower(hex(signature)) AS signature, max(anchor_ms) AS first_seen_ms
+SELECT i::INT AS step, signature, max(anchor_ms) AS first_seen_ms
 FROM steps JOIN judged ON received_ms < until
 WHERE NOT is_duplicate AND anchor_ms BETWEEN newest_ms - {HOUR_MS} AND newest_ms GROUP BY ALL""",
     ),
@@ -284,6 +284,9 @@ WHERE least(end_ms, now_ms) - last_message_ms > {STALE_MS}""",
     "s2_fan_in_available": """
 SELECT c.client_id, c.endpoint, event_id FROM events, (VALUES ('client-1', 'https://a.feed.example'),
     ('client-3', 'https://c.feed.example')) c(client_id, endpoint)""",
+    "s2_broken_source": """
+SELECT 'client-' || (event_id % 3 + 1)::VARCHAR AS client_id, count(*) AS n_rows, sum(event_id)::BIGINT AS sum_ids,
+    CASE WHEN event_id % 3 = 1 THEN 1 ELSE 0 END::BIGINT AS n_lost FROM events GROUP BY event_id % 3""",
     "s3_endpoints": select(
         DELIVERIES,
         """
@@ -305,6 +308,23 @@ WHERE list_has_any(account_keys, ['tclick', 'tview', 'terror', 'u7'])
     AND NOT list_has_any(account_keys, ['m3', 'u1']) AND list_contains(account_keys, 'm1')
     AND NOT coalesce(is_vote, FALSE) AND NOT failed""",
     ),
+    "f2_account_tables": select(
+        DELIVERIES,
+        """
+SELECT ordinal, seq FROM deliveries
+WHERE list_has_any(account_keys, ['tclick', 'tview', 'terror', 'u7'])
+    AND NOT list_has_any(account_keys, ['m3', 'u1']) AND list_contains(account_keys, 'm1')
+    AND NOT coalesce(is_vote, FALSE) AND NOT failed""",
+    ),
+    "f3_account_tables": select(
+        DELIVERIES,
+        """
+, high AS (SELECT DISTINCT 'u' || user_id::VARCHAR AS account FROM events WHERE value > 150),
+marked AS (SELECT *, EXISTS (SELECT 1 FROM high WHERE list_contains(account_keys, account)) AS is_high FROM deliveries)
+SELECT * FROM (SELECT ordinal, seq, concat_ws(',', CASE WHEN coalesce(is_vote, FALSE) THEN 'votes' END,
+    CASE WHEN is_high AND NOT failed THEN 'high' END,
+    CASE WHEN list_contains(account_keys, 'm3') AND NOT is_high THEN 'low_third' END) AS filters FROM marked) WHERE filters <> ''""",
+    ),
     "f3_named_filters": select(
         DELIVERIES,
         """

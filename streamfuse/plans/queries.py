@@ -81,6 +81,22 @@ def s2_fan_in_available(spark, sf_dir):
     return feed.select("client_id", "endpoint", "event_id")
 
 
+@query
+def s2_broken_source(spark, sf_dir):
+    """Three sources, of which the second has a file that is no Parquet: rows that came through and files that did not."""
+    table = samples.read_events(spark, sf_dir)
+    paths = [new_work_dir(spark, f"s2-source-{i}") for i in range(3)]
+    for i, path in enumerate(paths):
+        table.filter(F.col("event_id") % 3 == i).write.parquet(path)
+    # As many lines of text as a source has events, in one file, as a write that broke leaves them.
+    table.filter(F.col("event_id") % 3 == 1).select("props").coalesce(1).write.mode("append").text(paths[1])
+    sources = list(zip(samples.ENDPOINTS, paths, strict=False))
+    rows = feeds.fan_in(sources, spark, require_any=True, skip_broken=True)
+    came = rows.groupBy("client_id").agg(F.count("*").alias("n_rows"), F.sum("event_id").alias("sum_ids"))
+    lost = feeds.lost_files(sources, spark).groupBy("client_id").agg(F.count("*").alias("n_lost"))
+    return came.join(lost, "client_id", "left").withColumn("n_lost", F.coalesce("n_lost", F.lit(0).cast("bigint")))
+
+
 @query
 def s3_endpoints(spark, sf_dir):
     table = feeds.endpoints_table(spark, samples.ENDPOINTS)
@@ -114,10 +130,11 @@ def feed_end_to_end(spark, sf_dir):
 
 @query
 def s4_stored_deliveries(spark, sf_dir):
-    """Nested records through a stored table, subscribed, judged and split by kind."""
+    """Nested records with variants through a stored table, subscribed, judged and split by kind."""
     path = new_work_dir(spark, "s4-deliveries")
-    samples.stored_deliveries(samples.deliveries(spark, sf_dir)).write.parquet(path)
-    read = feeds.read_deliveries(spark, path)
+    nested = samples.stored_deliveries(samples.deliveries(spark, sf_dir))
+    routing.with_variants(nested).write.parquet(path)
+    read = feeds.read_deliveries(spark, path, schema=schemas.STORED_DELIVERY)
     flat = routing.flatten_transactions(routing.route(read))
     feed = Feed(samples.ENDPOINTS, request=REQUEST)
     wanted = subscriptions.subscribe(flat, REQUEST)
@@ -164,6 +181,44 @@ def f3_named_filters(spark, sf_dir):
     return named.select("ordinal", "seq", F.concat_ws(",", "filters").alias("filters"))
 
 
+def _accounts(spark, *names):
+    return spark.createDataFrame([(n,) for n in names], "account string")
+
+
+def _users(spark, sf_dir, wanted):
+    """Accounts out of the events themselves, so the list grows with the table."""
+    return samples.read_events(spark, sf_dir).filter(wanted).select(
+        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("account")
+    )
+
+
+@query
+def f2_account_tables(spark, sf_dir):
+    """The filter of ``f2_transaction_filter`` with its lists held in tables."""
+    tables = subscriptions.AccountTables(
+        include=_accounts(spark, "tclick", "tview", "terror", "u7"),
+        exclude=_accounts(spark, "m3", "u1"),
+        required=_accounts(spark, "m1"),
+        vote=False,
+        failed=False,
+    )
+    feed = samples.deliveries(spark, sf_dir)
+    return subscriptions.accounts_filter(feed, ["ordinal", "seq"], tables).select("ordinal", "seq")
+
+
+@query
+def f3_account_tables(spark, sf_dir):
+    """Named filters whose lists come out of the events."""
+    high = _users(spark, sf_dir, F.col("value") > 150)
+    filters = {
+        "votes": subscriptions.AccountTables(vote=True),
+        "high": subscriptions.AccountTables(include=high, failed=False),
+        "low_third": subscriptions.AccountTables(exclude=high, required=_accounts(spark, "m3")),
+    }
+    named = subscriptions.named_table_filters(samples.deliveries(spark, sf_dir), ["ordinal", "seq"], filters)
+    return named.select("ordinal", "seq", F.concat_ws(",", "filters").alias("filters"))
+
+
 def _account_updates(spark, sf_dir):
     """Every event as an update of the account of its user."""
     return samples.read_events(spark, sf_dir).select(
@@ -290,7 +345,8 @@ def p6_tx_status(spark, sf_dir):
     err = F.element_at(F.array(*[F.lit(e) for e in errors]), (F.col("seq") % 9 + 1).cast("int"))
     meta = F.when(F.col("seq") % 41 == 0, F.lit(None)).when(F.col("seq") % 43 == 0, F.lit("{}"))
     meta = meta.otherwise(F.concat(F.lit('{"err":'), err, F.lit("}")))
-    return feed.select("ordinal", "seq", payload.tx_status(F.parse_json(meta)).alias("status"))
+    stored = kept(feed.select("ordinal", "seq", F.parse_json(meta).alias("meta")), "p6-variants")
+    return stored.select("ordinal", "seq", payload.tx_status(F.col("meta")).alias("status"))
 
 
 @query
@@ -308,7 +364,7 @@ def p7_tx_meta(spark, sf_dir):
     feed = samples.deliveries(spark, sf_dir).select(
         "ordinal", "seq", "slot", F.parse_json(F.when(n % 41 != 0, meta)).alias("meta")
     )
-    return payload.tx_meta(feed).select(
+    return payload.tx_meta(kept(feed, "p7-variants")).select(
         "ordinal", "seq", "status", "slot_text", "tx_fee", "accounts_affected"
     )
 

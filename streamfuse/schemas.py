@@ -18,6 +18,13 @@ DELIVERY = """
     commitment string
 """
 
+# The same with its open parts as variants, the form to store: paths are read out of them without parsing a text.
+STORED_DELIVERY = (
+    DELIVERY.replace("message: string", "message: variant")
+    .replace("meta: string", "meta: variant")
+    .replace("map<string, string>", "map<string, variant>")
+)
+
 # One row per transition or message of one client, in the order (ts_ms, seq).
 CONNECTION_LOG = (
     "client_id string, endpoint string, ts_ms bigint, seq bigint, kind string, details string"

@@ -29,18 +29,20 @@ def fan_in(
     sources: Sequence[tuple[Endpoint, DataFrame | str]],
     spark: SparkSession | None = None,
     require_any: bool = False,
+    skip_broken: bool = False,
 ) -> DataFrame:
     """Union of all sources, every row tagged with its client and endpoint; no row is dropped.
 
     Works on stored and streaming DataFrames alike. A source may be given as a Parquet path or the
     name of a table. With ``require_any`` one that is missing is skipped with a warning, and only a feed
-    without any readable source is an error; clients keep their numbers either way.
+    without any readable source is an error; clients keep their numbers either way. With ``skip_broken`` files of a path that
+    break or vanish while they are read are left out as well, and the feed goes on; ``lost_files`` lists them.
     """
     tagged, missing = [], []
     for ordinal, (endpoint, source) in enumerate(sources, start=1):
         if isinstance(source, str):
             try:
-                source = _stored(source, spark)
+                source = _stored(source, spark, skip_broken)
             except AnalysisException as problem:
                 if not require_any:
                     raise
@@ -61,11 +63,54 @@ def fan_in(
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
 
 
-def _stored(name: str, spark: SparkSession | None) -> DataFrame:
+def _session(spark: SparkSession | None) -> SparkSession:
     session = spark or SparkSession.getActiveSession()
     if session is None:
         raise ValueError("a source given by name needs a session")
-    return session.read.parquet(name) if "/" in name else session.read.table(name)
+    return session
+
+
+def _stored(name: str, spark: SparkSession | None, skip_broken: bool = False) -> DataFrame:
+    session = _session(spark)
+    if "/" not in name:
+        return session.read.table(name)
+    reader = session.read
+    if skip_broken:
+        reader = reader.option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true")
+    return reader.parquet(name)
+
+
+LOST = "client_id string, endpoint string, file string, bytes bigint"
+
+
+def lost_files(
+    sources: Sequence[tuple[Endpoint, DataFrame | str]], spark: SparkSession | None = None
+) -> DataFrame:
+    """(client_id, endpoint, file, bytes): files of the sources given by path that give no row to a tolerant read.
+
+    A source whose path is missing or has no readable file at all has one line with a null file. Only names and lengths of
+    files are listed and names read back with the rows; no payload is read. A file that breaks after its first rows is not
+    told: the engine keeps what it has read of it.
+    """
+    session = _session(spark)
+    parts = [session.createDataFrame([], LOST)]
+    for ordinal, (endpoint, source) in enumerate(sources, start=1):
+        if not isinstance(source, str) or "/" not in source:
+            continue
+        named = [F.lit(client_id(ordinal)).alias("client_id"), F.lit(endpoint.url).alias("endpoint")]
+        try:
+            read = _stored(source, session, skip_broken=True)
+            there = session.read.format("binaryFile").option("recursiveFileLookup", "true").load(source)
+        except AnalysisException as problem:
+            if problem.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            gone = session.range(1).select(*named, F.lit(None).cast("string").alias("file"), F.lit(None).cast("bigint").alias("bytes"))
+            parts.append(gone)
+            continue
+        told = read.select(F.col("_metadata.file_path").alias("file")).distinct()
+        files = there.select(F.col("_metadata.file_path").alias("file"), F.col("length").alias("bytes"))
+        parts.append(files.join(told, "file", "left_anti").select(*named, "file", "bytes"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_deliveries(
