@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from streamfuse.llm import mixing, near
+from streamfuse.llm import mixing, simhash
 from streamfuse.llm.common import whole, written
 
 SEQUENCE_TOKENS = 2_048
@@ -131,7 +131,7 @@ def pack(
     """(doc_id, source, piece, first_token, n_tokens, shard, bin): where every token goes.
 
     No bin has two pieces of one source or two texts of one duplicate cluster. Clusters are the groups of
-    ``near.near_groups``, those that the column ``clusters`` names, or without ``near_copies`` the copies of one text (blanks and
+    ``simhash.near_groups``, those that the column ``clusters`` names, or without ``near_copies`` the copies of one text (blanks and
     case aside). Shards are dealt by hash, or with ``in_mix`` are runs of the mixed order of the sources, so that sequences follow
     it. A null text has no words and gives one empty piece; a null source is a source of its own. Repeated rows are
     copies of each other. An empty table gives an empty one.
@@ -139,7 +139,7 @@ def pack(
     slim = docs.select("doc_id", "source", "text", *([clusters] if clusters else []))
     rows = written(_measured(slim, clusters), "pack-items")
     if clusters is None and near_copies:
-        groups = near.near_groups(docs).select("th", "root").distinct()
+        groups = simhash.near_groups(docs).select("th", "root").distinct()
         rows = written(rows.join(groups, "th").withColumn("cluster", F.col("root")), "pack-clusters")
     rows = rows.select("doc_id", "source", "tokens", "copy", "cluster")
     if in_mix:

@@ -3,6 +3,7 @@ from collections import Counter, defaultdict
 
 from streamfuse.llm import packing
 from tests.llm.helpers import awkward, docs_of, empty
+from tests.llm.test_simhash import plain_groups, plain_print
 
 
 def plain_best_fit(pieces, capacity):
@@ -77,15 +78,19 @@ def test_awkward_rows_and_empty_table(spark):
 
 
 def test_near_copies_of_different_sources_share_no_bin(spark):
+    """Near copies are texts in one SimHash group, by a plain search of the groups."""
     draw = random.Random(21)
-    rows, group = [], {}
-    for g in range(12):
-        base = [f"w{draw.randrange(5000)}" for _ in range(120)]
+    rows = []
+    for _ in range(12):
+        base = [f"w{draw.randrange(5000)}" for _ in range(400)]
         for k in range(4):
             words = base[:]
-            words[draw.randrange(120)] = f"changed{g}x{k}"
-            group[len(rows)] = g
-            rows.append((len(rows), " ".join(words), None, f"s{k}"))
+            words[draw.randrange(400)] = f"changed{len(rows)}"
+            rows.append((len(rows), " ".join(words[:399]), None, f"s{k}"))
+    prints = {i: plain_print(t) for i, t, _, _ in rows}
+    roots = plain_groups(prints.values())
+    group = {i: roots[p] for i, p in prints.items()}
+    assert len(set(group.values())) < 0.7 * len(rows)
     own = docs_of(spark, rows)
     named = own.withColumn("mine", (own["doc_id"] % 3).cast("string"))
     for table, options, of in ((own, {}, group), (named, {"clusters": "mine"}, {i: i % 3 for i in group})):
