@@ -1,17 +1,19 @@
 """Secret scans by a trigram index, in DataFrame functions only.
 
-Every rule is a regular expression. Any text it matches must hold certain literals, so it must hold
-their trigrams: the rule's Boolean trigram query is an OR of literals, each an AND of trigrams. The
-index lists, for each trigram the rules ask for, the documents that hold it. Intersecting its postings
-leaves candidates for each rule, and only they are matched with the regular expression. A rule without a
-mandatory literal is matched with every text.
+Every rule is a regular expression. Its Boolean trigram query is derived from it: a walk over the parsed expression follows
+the strings that every match has somewhere, as long as they are few; each stretch of them makes an OR of strings, each an AND
+of its trigrams, and a match meets all of these. The index lists, for each trigram the rules ask for, the documents that
+hold it. Intersecting its postings leaves candidates for each rule, and only they are matched with the regular expression. A
+rule whose query is empty is matched with every text.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from re import _constants as ops
+from re import _parser as parser
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,20 +22,21 @@ from streamfuse.llm.common import ascii_lower, whole, written
 
 # Candidates up to this number are sent to every task (16 bytes each); more are joined by shuffle.
 BROADCAST_CANDIDATES = 500_000
+# Strings that the walk over an expression follows at a time, and repetitions that it writes out.
+STRINGS = 32
+REPEATS = 8
+# Matches whose positions are added up together; longer lists go part by part.
+SPAN_PART = 64
 
 
 @dataclass(frozen=True)
 class Rule:
-    """``group``: what must have ``least`` code points; 0 is the whole match.
-
-    ``literals``: lower-cased alternatives of which every match holds one; none: scan every text.
-    """
+    """``group``: what must have ``least`` code points; 0 is the whole match."""
 
     kind: str
     pattern: str
     group: int
     least: int
-    literals: tuple[str, ...] = ()
 
 
 def either_case(word: str) -> str:
@@ -51,35 +54,126 @@ BASE_RULES = (
         rf"""({_NAMES})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
         2,
         12,
-        (*_ASSIGNED, "apikey", "api_key"),
     ),
-    Rule("access", "AKIA[A-Z0-9]+", 0, 18, ("akia",)),
+    Rule("access", "AKIA[A-Z0-9]+", 0, 18),
     Rule("hex", "[0-9a-f]{16,}", 0, 16),
 )
 MORE_RULES = (
-    Rule("github", "gh[pousr]_[A-Za-z0-9]{36,}", 0, 40, ("ghp_", "gho_", "ghu_", "ghs_", "ghr_")),
-    Rule("slack", "xox[abprs]-[A-Za-z0-9-]{10,}", 0, 15, ("xoxa-", "xoxb-", "xoxp-", "xoxr-", "xoxs-")),
-    Rule("stripe", "[rs]k_live_[A-Za-z0-9]{16,}", 0, 24, ("rk_live_", "sk_live_")),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 30, ("eyj",)),
-    Rule("pem", r"-----BEGIN\x20[A-Z\x20]*PRIVATE\x20KEY-----", 0, 20, ("-----begin\x20", )),
+    Rule("github", "gh[pousr]_[A-Za-z0-9]{36,}", 0, 40),
+    Rule("slack", "xox[abprs]-[A-Za-z0-9-]{10,}", 0, 15),
+    Rule("stripe", "[rs]k_live_[A-Za-z0-9]{16,}", 0, 24),
+    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 30),
+    Rule("pem", r"-----BEGIN\x20[A-Z\x20]*PRIVATE\x20KEY-----", 0, 20),
 )
 RULES = BASE_RULES + MORE_RULES
 
 
-def trigrams(literal: str) -> tuple[str, ...]:
-    if len(literal) < 3:
-        raise ValueError(f"no trigram in {literal!r}")
-    return tuple(sorted({literal[i : i + 3] for i in range(len(literal) - 2)}))
+# A clause is what must be held together; a group is met by any of its clauses, a query by all of its groups.
+Clause = frozenset[str]
+Query = list[list[Clause]]
+
+
+def trigrams(literal: str) -> Clause:
+    return frozenset(literal[i : i + 3] for i in range(len(literal) - 2))
+
+
+def trigram_query(pattern: str) -> Query:
+    """The trigrams that a lower-cased text must hold to match; empty if nothing can be said."""
+    groups: Query = []
+    _close(_walk(parser.parse(pattern), {""}, groups), groups)
+    return groups
+
+
+def _close(strings: set[str], groups: Query) -> None:
+    """Every match holds one of the strings."""
+    clauses = {trigrams(s) for s in strings}
+    if all(clauses):
+        least = [c for c in clauses if not any(d < c for d in clauses)]
+        groups.append(sorted(least, key=sorted))
+
+
+def _fold(c: int) -> str:
+    return chr(c + 32) if 0x41 <= c <= 0x5A else chr(c)
 
 
-def trigram_queries(rules: Sequence[Rule]) -> dict[str, list[tuple[str, ...]]]:
-    """For each rule with literals, the trigrams of each of them; a candidate holds all of one."""
-    return {r.kind: [trigrams(x) for x in r.literals] for r in rules if r.literals}
+def _characters(items: Iterable[tuple]) -> set[str] | None:
+    """Lower-cased members of a character class; None if there are many or it isn't a plain one."""
+    out: set[str] = set()
+    for op, value in items:
+        if op is ops.LITERAL:
+            out.add(_fold(value))
+        elif op is ops.RANGE and value[1] - value[0] < 128:
+            out.update(_fold(c) for c in range(value[0], value[1] + 1))
+        else:
+            return None
+    return out
+
+
+def _walk(items: Iterable[tuple], strings: set[str], groups: Query) -> set[str]:
+    """Follow ``strings``, one of which ends where the items begin, through the items.
+
+    Where they get too many or nothing is known, they are closed into a group and the walk begins anew. The result is
+    what ends where the items end.
+    """
+
+    def times(more: set[str]) -> set[str] | None:
+        made = {s + m for s in strings for m in more}
+        return made if len(made) <= STRINGS else None
+
+    for op, value in items:
+        follow: set[str] | None = None
+        if op is ops.LITERAL:
+            follow = times({_fold(value)})
+        elif op is ops.IN:
+            members = _characters(value)
+            follow = times(members) if members else None
+        elif op is ops.SUBPATTERN:
+            follow = _walk(value[-1], strings, groups)
+        elif op is ops.AT:
+            follow = strings
+        elif op is ops.BRANCH:
+            ways = [(part, []) for part in value[1]]
+            ends = [_walk(part, strings, own) for part, own in ways]
+            if not any(own for _, own in ways):
+                joined = set().union(*ends)
+                follow = joined if len(joined) <= STRINGS else None
+            else:
+                # Each way has groups of its own, and one of the ways is gone.
+                for end, (_, own) in zip(ends, ways, strict=True):
+                    _close(end, own)
+                if all(own for _, own in ways):
+                    groups.append(sorted({c for _, own in ways for c in own[0]}, key=sorted))
+                strings = {""}
+                continue
+        elif op in (ops.MAX_REPEAT, ops.MIN_REPEAT):
+            least, most, part = value
+            if (least, most) == (0, 1):
+                own: Query = []
+                ends = _walk(part, strings, own) | strings
+                follow = ends if not own and len(ends) <= STRINGS else None
+            elif least:
+                follow = strings
+                for _ in range(least if least <= REPEATS else 1):
+                    follow = _walk(part, follow, groups)
+                if least > REPEATS or most != least:
+                    _close(follow, groups)
+                    follow = {""}
+        if follow is None:
+            _close(strings, groups)
+            follow = {""}
+        strings = follow
+    return strings
+
+
+def trigram_queries(rules: Sequence[Rule]) -> dict[str, Query]:
+    """The queries of the rules that have one."""
+    made = {r.kind: trigram_query(r.pattern) for r in rules}
+    return {kind: query for kind, query in made.items() if query}
 
 
 def postings(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     """The index: one row (trigram, doc_id) for each trigram of the rules that a text holds."""
-    asked = sorted({t for q in trigram_queries(rules).values() for ts in q for t in ts})
+    asked = sorted({t for q in trigram_queries(rules).values() for group in q for clause in group for t in clause})
     held = F.filter(F.array(*map(F.lit, asked)), lambda t: F.contains(F.col("_low"), t))
     low = docs.select("doc_id", ascii_lower(whole("text")).alias("_low"))
     return low.select("doc_id", F.explode(held).alias("trigram"))
@@ -90,20 +184,23 @@ def candidates(index: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     counting: a document holds a literal's trigrams if it stands in as many of their lists."""
     spark = index.sparkSession
     clauses = [
-        (kind, i, t, len(ts))
-        for kind, alternatives in trigram_queries(rules).items()
-        for i, ts in enumerate(alternatives)
-        for t in ts
+        (kind, g, i, t, len(clause), len(query))
+        for kind, query in trigram_queries(rules).items()
+        for g, group in enumerate(query)
+        for i, clause in enumerate(group)
+        for t in sorted(clause)
     ]
-    table = spark.createDataFrame(clauses, "kind string, clause int, trigram string, needed int")
+    table = spark.createDataFrame(clauses, "kind string, grp int, clause int, trigram string, needed int, groups int")
     # The clauses are as many as the rules have trigrams.
     met = (
         index.join(F.broadcast(table), "trigram")
-        .groupBy("doc_id", "kind", "clause", "needed")
+        .groupBy("doc_id", "kind", "grp", "clause", "needed", "groups")
         .agg(F.count_distinct("trigram").alias("found"))
         .filter(F.col("found") == F.col("needed"))
     )
-    return met.groupBy("doc_id").agg(F.sort_array(F.collect_set("kind")).alias("kinds"))
+    whole_query = met.groupBy("doc_id", "kind", "groups").agg(F.count_distinct("grp").alias("found"))
+    whole_query = whole_query.filter(F.col("found") == F.col("groups"))
+    return whole_query.groupBy("doc_id").agg(F.sort_array(F.collect_set("kind")).alias("kinds"))
 
 
 def _spans(text: Column, rule: Rule) -> Column:
@@ -124,7 +221,7 @@ def _spans(text: Column, rule: Rule) -> Column:
     pairs = F.arrays_zip(
         F.slice(gaps, 1, F.size(lengths)).alias("gap"), lengths.alias("len"), counted.alias("counted")
     )
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<s:int,e:int,n:int>>").alias("out"))
+    nothing = F.array().cast("array<struct<s:int,e:int,n:int>>")
 
     def step(acc: Column, p: Column) -> Column:
         s = acc["at"] + p["gap"]
@@ -132,7 +229,27 @@ def _spans(text: Column, rule: Rule) -> Column:
         one = F.struct(s.alias("s"), e.alias("e"), p["counted"].alias("n"))
         return F.struct(e.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
 
-    every = F.aggregate(pairs, start, step, lambda acc: acc["out"])
+    def placed(found: Column) -> Column:
+        """A list is copied whenever a match is added to it, so it is built in short parts that know where they begin."""
+        last = F.floor((F.size(found) - 1) / SPAN_PART).cast("int")
+        numbers = F.when(F.size(found) > 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+        parts = F.transform(numbers, lambda i: F.slice(found, i * SPAN_PART + 1, F.lit(SPAN_PART)))
+        sizes = F.transform(parts, lambda part: F.aggregate(part, F.lit(0), lambda a, p: a + p["gap"] + p["len"]))
+        begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        starts = F.aggregate(
+            sizes,
+            begin,
+            lambda a, n: F.struct((a["at"] + n).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out")),
+            lambda a: a["out"],
+        )
+
+        def spans(part: Column, at: Column) -> Column:
+            return F.aggregate(part, F.struct(at.alias("at"), nothing.alias("out")), step, lambda a: a["out"])
+
+        return F.flatten(F.zip_with(parts, starts, spans))
+
+    # In a list of one, so that the matches are found once and not for each part.
+    every = F.get(F.transform(F.array(pairs), placed), F.lit(0))
     return F.filter(every, lambda m: m["n"] >= rule.least)
 
 
@@ -153,11 +270,11 @@ def verify(docs: DataFrame, found: DataFrame, rules: Sequence[Rule] = RULES) ->
     here = F.col("doc_id").eqNullSafe(F.col("_id"))
     rows = rows.join(F.broadcast(found) if small else found, here, "left")
     none = F.array().cast("array<struct<s:int,kind:int,e:int>>")
-    parts = []
+    parts, asked = [], trigram_queries(rules)
     for i, r in enumerate(rules):
         tagged = F.transform(_spans(F.col("_text"), r), _tag(i))
         wanted = F.rlike("_text", F.lit(r.pattern))
-        if r.literals:
+        if r.kind in asked:
             wanted = F.coalesce(F.array_contains("kinds", r.kind), F.lit(False)) & wanted
         parts.append(F.when(wanted, tagged).otherwise(none))
     spans = reduce(lambda a, b: F.concat(a, b), parts)
@@ -176,7 +293,7 @@ def _listing(spans: Column, rules: Sequence[Rule]) -> Column:
 def scan_secrets(docs: DataFrame, more: Sequence[Rule] = MORE_RULES) -> DataFrame:
     """Per document the number of secrets of each base kind and all spans.
 
-    A null text is empty and has none. Repeated rows and rows that share a doc_id, null included, are
+    A null text is empty and has none. A very long text is scanned whole, in time that grows with its length and matches. Repeated rows and rows that share a doc_id, null included, are
     each judged by their own text. Other columns of ``docs`` are not looked at. The candidates are
     written to the shared folder, because their number decides how they are joined.
     """

@@ -1,9 +1,12 @@
 import hashlib
 import re
+import time
 from pathlib import Path
 
 import duckdb
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from streamfuse.llm import secrets
 from tests.llm.helpers import awkward, docs_of, empty
@@ -77,9 +80,52 @@ def test_no_python_on_the_way(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
-def test_literals_must_have_trigrams():
-    with pytest.raises(ValueError):
-        secrets.trigrams("ab")
+def meets(query, text):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+    return all(any(all(t in low for t in clause) for clause in group) for group in query)
+
+
+def test_queries_are_derived_from_the_patterns():
+    query = secrets.trigram_query
+    assert query("AKIA[A-Z0-9]+") == [[frozenset({"aki", "kia"})]]
+    assert query("[0-9a-f]{16,}") == [] and query("ab?c*") == [] and query("a|bcd") == [] and query(".*") == []
+    assert query("(abc|bcd)x") == [[frozenset({"abc", "bcx"}), frozenset({"bcd", "cdx"})]]
+    assert query("abc[^x]+def") == [[frozenset({"abc"})], [frozenset({"def"})]]
+    assert query("(abc.d|xyz.w)") == [[frozenset({"abc"}), frozenset({"xyz"})]]
+    assert query("(abc.d|xy.w)") == []
+    assert query("(ab){2}") == [[frozenset({"aba", "bab"})]]
+    assert len(query("-----BEGIN\\x20[A-Z\\x20]*PRIVATE\\x20KEY-----")) == 2
+    asked = secrets.trigram_queries(secrets.RULES)
+    assert set(asked) == {r.kind for r in secrets.RULES} - {"hex"}
+    assert len(asked["assign"]) == 1 and len(asked["assign"][0]) == 6
+
+
+PATTERNS = [r.pattern for r in secrets.RULES] + [
+    "(abc|d[ef]g?)+xyz", "a(bc|cd)*e{2,3}f", "x[yz]{3}w?|uvw[0-9]ab", "^abc$|de.fgh", "(?:ab|cd)(?:ef|gh)(?:ij|kl)(?:mn|op)(?:qr|st)(?:uv|wx)",
+    "A[a-z]B[^c]Cdef", "(aB?c){1,9}d",
+]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.data())
+def test_every_match_meets_its_query(data):
+    pattern = data.draw(st.sampled_from(PATTERNS))
+    text = data.draw(st.text("abcxyz", max_size=3)) + data.draw(st.from_regex(pattern, fullmatch=False))
+    assert re.search(pattern, text) is None or meets(secrets.trigram_query(pattern), text)
+
+
+def test_time_follows_the_matches_of_a_text(spark):
+    """Twice the matches take about twice the time."""
+    seconds = []
+    for n in (8_000, 16_000, 32_000):
+        text = " ".join(f"{i:020x}" for i in range(n))
+        docs = docs_of(spark, [(1, text)]).cache()
+        docs.count()
+        start = time.perf_counter()
+        (r,) = secrets.scan_secrets(docs).collect()
+        seconds.append(time.perf_counter() - start)
+        assert told(r) == plain_base(text) and r.n_hex == n
+    assert seconds[2] < 3 * seconds[1] + 1
 
 
 @pytest.mark.skipif(not Path("/root/testdata/sf0.001").exists(), reason="test tables are not here")
