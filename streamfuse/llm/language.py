@@ -26,8 +26,8 @@ from streamfuse.llm.common import neutral, original
 
 UNKNOWN = "und"
 # The labelled sample the automata are built from: documents and characters of each language.
-SAMPLE_DOCS = 300
-DOC_CHARS = 130
+SAMPLE_DOCS = 600
+DOC_CHARS = 65
 SAMPLE_CHARS = 20_000
 # Letters of a language, its most frequent ones, that have a column in its table; transitions by others are looked up.
 DENSE = 126
