@@ -651,6 +651,23 @@ SELECT tick_ms, (tick_ms - {START_MS + DAY_MS} + 500) // 1000 AS uptime_s,
     (SELECT count(*) FROM judged WHERE NOT is_duplicate AND anchor_ms <= tick_ms
         AND anchor_ms + {TTL_MS} >= tick_ms) AS size,
     10000::BIGINT AS max_size, {TTL_MS}::BIGINT AS ttl_ms
+FROM spine""",
+    ),
+    "w9_status_job": select(
+        JUDGED
+        + LOG.replace(SOURCE, "")
+        + f"""
+spine AS (SELECT unnest(generate_series({START_MS + (END_MS - START_MS) // 4}, {END_MS}, {(END_MS - START_MS) // 4})) AS tick_ms),
+""",
+        f"""
+SELECT tick_ms, (tick_ms - {START_MS} + 500) // 1000 AS uptime_s,
+    (SELECT sum(change) FROM moves WHERE ts_ms <= tick_ms)::BIGINT AS active,
+    (SELECT sum(fresh) FROM moves WHERE ts_ms <= tick_ms)::BIGINT AS seen,
+    (SELECT count(*) FROM judged WHERE NOT is_duplicate AND received_ms <= tick_ms) AS transactions,
+    (SELECT count(*) FROM judged WHERE is_duplicate AND received_ms <= tick_ms) AS duplicates,
+    (SELECT count(*) FROM judged WHERE NOT is_duplicate AND anchor_ms <= tick_ms
+        AND anchor_ms + {TTL_MS} >= tick_ms) AS size,
+    10000::BIGINT AS max_size, {TTL_MS}::BIGINT AS ttl_ms
 FROM spine""",
     ),
     "w10_endpoint_events_stream": select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from functools import reduce
 
@@ -20,7 +21,7 @@ from streamfuse.session import kept, new_work_dir
 from streamfuse.sources import feeds, routing
 from streamfuse.streaming import dedup as stream_dedup
 from streamfuse.streaming import health as stream_health
-from streamfuse.streaming import sinks
+from streamfuse.streaming import sinks, status
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -843,6 +844,61 @@ def w9_status_report(spark, sf_dir):
     )
 
 
+STATUS_TICKS = 4
+
+
+@query
+def w9_status_job(spark, sf_dir):
+    """The report of two running queries, written by their listener at four ticks."""
+    work = new_work_dir(spark, "w9-status")
+    tick_ms = (END_MS - START_MS) // STATUS_TICKS
+    feed, log = _slim(spark, sf_dir), samples.connection_log(spark, sf_dir)
+
+    def size(tick: int) -> int:
+        checkpoint = f"{work}/feed-checkpoint"
+        return stream_dedup.stream_size(spark, checkpoint, "signature", tick, TTL_MS, 10_000).first()["size"]
+
+    listener = status.StatusLog(
+        spark, f"{work}/status", start_ms=START_MS, tick_ms=tick_ms, ttl_ms=TTL_MS, size=size
+    )
+
+    def run(name: str, rows: DataFrame, ts: str, until: int, made) -> int:
+        """Deliver the rows up to a tick and run a query over them; gives the number of its last micro-batch."""
+        part = rows.filter(F.col(ts) <= until)
+        if until - tick_ms > START_MS:  # what came before the start belongs to the first tick
+            part = part.filter(F.col(ts) > until - tick_ms)
+        part.write.mode("append").parquet(f"{work}/{name}-in")
+        source = spark.readStream.schema(rows.schema).parquet(f"{work}/{name}-in")
+        out = made(source).writeStream.format("noop").option("checkpointLocation", f"{work}/{name}-checkpoint")
+        started = out.trigger(availableNow=True).start()
+        started.awaitTermination()
+        return started.lastProgress["batchId"]
+
+    def judge(rows):
+        found = stream_dedup.dedup_ttl_stream(rows, "signature", "received_ms", TTL_MS, buckets=64)
+        return status.observed_feed(found)
+
+    def watch(rows):
+        return status.observed_clients(stream_health.endpoint_events_stream(rows, changes=True))
+
+    spark.streams.addListener(listener)
+    try:
+        for i in range(1, STATUS_TICKS + 1):
+            tick = START_MS + i * tick_ms
+            last = {
+                status.FEED: run("feed", feed, "received_ms", tick, judge),
+                status.CLIENTS: run("log", log, "ts_ms", tick, watch),
+            }
+            # Listeners are told a little later than the query ends.
+            deadline = time.monotonic() + 60
+            while any(listener.batches.get(n, -1) < b for n, b in last.items()) and time.monotonic() < deadline:
+                time.sleep(0.05)
+            listener.reached(tick)
+    finally:
+        spark.streams.removeListener(listener)
+    return status.read_status(spark, f"{work}/status")
+
+
 @query
 def w10_endpoint_events_stream(spark, sf_dir):
     work = new_work_dir(spark, "w10-events")

@@ -38,21 +38,34 @@ class _Transitions(_Client):
         rows = self.sorted(chunks)
         up = rows["kind"] == schemas.CONNECTED
         was_up = up.astype("object").shift(1)
-        if self.client.exists():
+        known = self.client.exists()
+        if known:
             was_up.iloc[0] = bool(self.client.get()[0])
         status = up.map({True: "connected", False: "disconnected"})
         status[up & (was_up == False)] = "reconnected"  # noqa: E712 - a missing flag is not False
         self.client.update((bool(up.iloc[-1]),))
-        out = rows[["client_id", "endpoint", "seq", "details"]].assign(
-            _status=status, timestamp=rows["ts_ms"]
+        first = pd.Series(False, index=rows.index)
+        first.iloc[0] = not known
+        yield pd.DataFrame(
+            {
+                "client_id": rows["client_id"],
+                "endpoint": rows["endpoint"],
+                "_status": status,
+                "timestamp": rows["ts_ms"],
+                "seq": rows["seq"],
+                "details": rows["details"],
+                # A client nobody has heard of is not up.
+                "change": up.astype("int64") - (was_up == True).astype("int64"),  # noqa: E712
+                "first": first,
+            }
         )
-        yield out[["client_id", "endpoint", "_status", "timestamp", "seq", "details"]]
 
 
-def endpoint_events_stream(log: DataFrame) -> DataFrame:
+def endpoint_events_stream(log: DataFrame, changes: bool = False) -> DataFrame:
     """Endpoint events of a stream; the state is one flag per client.
 
-    Only connects and disconnects are shuffled; messages, the bulk of a log, are filtered before.
+    Only connects and disconnects are shuffled; messages, the bulk of a log, are filtered before. With ``changes`` each
+    event also tells by how many it changes the clients that are up, and whether it is its client's first.
     """
     use_keyed_state(log.sparkSession)
     made = (
@@ -61,13 +74,14 @@ def endpoint_events_stream(log: DataFrame) -> DataFrame:
         .transformWithStateInPandas(
             _Transitions(),
             "client_id string, endpoint string, _status string, timestamp bigint, seq bigint,"
-            " details string",
+            " details string, change bigint, first boolean",
             "append",
             "none",
         )
     )
     # Renaming makes plain rows of the Arrow ones, which a sink that sorts cannot take.
-    return made.withColumnRenamed("_status", "status")
+    made = made.withColumnRenamed("_status", "status")
+    return made if changes else made.drop("change", "first")
 
 
 def _latest_messages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

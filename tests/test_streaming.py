@@ -8,6 +8,7 @@ from streamfuse.operators import health
 from streamfuse.streaming import dedup as stream
 from streamfuse.streaming import health as stream_health
 from streamfuse.streaming import sinks
+from streamfuse.streaming import status as stream_status
 from tests.folds import fold_rows
 
 SCHEMA = "signature binary, received_ms bigint, ordinal int, seq bigint"
@@ -424,3 +425,19 @@ def test_stale_stream_reports_silent_clients_once(spark, tmp_path):
         assert got == [("client-1", 499)]
     finally:
         query.stop()
+
+
+def test_status_rows_are_written_once_for_each_tick(spark, tmp_path):
+    log = stream_status.StatusLog(spark, str(tmp_path / "s"), start_ms=1000, tick_ms=100, size=lambda tick: tick % 7)
+    feed, clients = stream_status.FEED, stream_status.CLIENTS
+    log.add(feed, 0, {"transactions": 3, "duplicates": 1, "newest_ms": 1050})
+    log.add(clients, 0, {"active": 2, "seen": 2, "newest_ms": 1100})
+    log.add(feed, 0, {"transactions": 3, "duplicates": 1, "newest_ms": 1050})  # told twice
+    log.add(feed, 1, {"transactions": 2, "duplicates": None, "newest_ms": 1101})
+    log.add(clients, 1, {"active": -1, "seen": 0, "newest_ms": 1150})
+    log.add(clients, 2, {"active": 1, "seen": 0, "newest_ms": None})
+    got = sorted(tuple(r) for r in stream_status.read_status(spark, str(tmp_path / "s")).collect())
+    assert got == [
+        (1100, 0, 2, 2, 3, 1, 1100 % 7, 10_000, 60_000),
+        (1200, 0, 2, 2, 5, 1, 1200 % 7, 10_000, 60_000),
+    ]
