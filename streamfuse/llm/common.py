@@ -41,3 +41,11 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = new_work_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def crc32_sql(text: str) -> str:
+    """SQL for the unsigned CRC-32 of an ASCII text: bytes go in one by one, eight steps of the reflected polynomial each."""
+    step = "lambda y, z: xor(y >> 1, 3988292384::UBIGINT * (y & 1))"
+    byte = f"lambda c, b: list_reduce(list_prepend(xor(c, b), [0::UBIGINT FOR i IN range(8)]), {step})"
+    codes = f"[ascii(x)::UBIGINT FOR x IN string_split({text}, '')]"
+    return f"xor(list_reduce(list_prepend(4294967295::UBIGINT, {codes}), {byte}), 4294967295::UBIGINT)"

@@ -30,6 +30,8 @@ ORACLE: dict[str, str] = {
     "op5_secret_scan": secrets.oracle_sql(),
     "op8_line_dedup": lines.ORACLE,
     "op9_exact_top_k": topk.ORACLE,
+    "op11_prefix_trie": trie.oracle_sql(),
+    "op12_conversation_repair": repair.oracle_sql(),
 }
 
 

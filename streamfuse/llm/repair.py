@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from streamfuse.llm.common import crc32_sql
+
 REROLE, DELETE, INSERT, TRUNCATED = 3, 4, 3, 3
 # What the repaired turns so far end with.
 NOTHING, SYSTEM, USER, ASSISTANT = range(4)
@@ -320,3 +322,75 @@ def damaged(conversations: DataFrame) -> DataFrame:
 
 def damaged_and_repaired(conversations: DataFrame) -> DataFrame:
     return repair_report(damaged(conversations), absent="dropped")
+
+
+def oracle_sql() -> str:
+    """The same in SQL: a table of the four states, each with its cost and edits, carried from row to row."""
+
+    def way(state: str, cost: str, letter: str, when: str = "TRUE") -> str:
+        return f"CASE WHEN {state} IS NOT NULL AND {when} THEN {{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}'}} END"
+
+    def turn(state: str, initial: str) -> str:
+        keep = way(state, "extra", "K", f"stays AND initial = '{initial}'")
+        return f"{keep}, {way(state, f'{REROLE} + extra', 'R', f"stays AND initial <> '{initial}'")}"
+
+    def gone(state: str) -> str:
+        return way(state, str(DELETE), "D")
+
+    def put(state: str) -> str:
+        return way(state, str(INSERT), "I")
+
+    number = "coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')"
+    solid = r"[^\x20\x09-\x0D]"
+    return rf"""
+WITH RECURSIVE raw AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {crc32_sql(number)} % 20 AS kind
+  FROM conversations),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM (SELECT *, unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) FROM raw WHERE kind <> 0)),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS rn FROM damaged),
+told AS (
+  SELECT *, substr(role, 1, 1) AS initial, NOT regexp_matches(text, '{solid}') AS blank,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY rn) > 1 AS again,
+    regexp_extract(text, '({solid})[ 	-]*$', 1) NOT IN ('.', '!', '?') AS cut,
+    lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY rn) || substr(role, 1, 1) AS pair FROM numbered),
+lines AS (
+  SELECT *, again AND NOT blank AS duplicate, cut AND NOT blank AND NOT again AS truncated, NOT blank AND NOT again AS stays,
+    CASE WHEN cut AND NOT blank AND NOT again THEN {TRUNCATED} ELSE 0 END AS extra FROM told),
+walk AS (
+  SELECT conv_id, 0::BIGINT AS rn, {{'c': 0, 'a': ''}} AS s0, NULL::STRUCT(c INTEGER, a VARCHAR) AS s1,
+    {{'c': {INSERT}, 'a': 'I'}} AS s2, {{'c': {2 * INSERT}, 'a': 'II'}} AS s3
+  FROM (SELECT DISTINCT conv_id FROM lines)
+  UNION ALL
+  SELECT conv_id, rn, n0, n1, m2, list_min([n3, {put("m2")}]) FROM (
+    SELECT *, list_min([n2, {put("n0")}, {put("n1")}, {put("n3")}]) AS m2 FROM (
+      SELECT l.conv_id, l.rn, {gone("s0")} AS n0,
+        list_min([{gone("s1")}, {way("s0", "extra", "K", "stays AND initial = 's'")}]) AS n1,
+        list_min([{gone("s2")}, {turn("s0", "u")}, {turn("s1", "u")}, {turn("s3", "u")}]) AS n2,
+        list_min([{gone("s3")}, {turn("s2", "a")}]) AS n3
+      FROM walk w JOIN lines l ON l.conv_id IS NOT DISTINCT FROM w.conv_id AND l.rn = w.rn + 1))),
+best AS (SELECT conv_id, list_min([arg_max(s0, rn), arg_max(s3, rn)]) AS b FROM walk GROUP BY conv_id),
+letters AS (SELECT conv_id, b.a AS audit, unnest(range(1, len(b.a) + 1)) AS i FROM best),
+edits AS (
+  SELECT conv_id, i, audit[i] AS l, sum(CASE WHEN audit[i] = 'I' THEN 0 ELSE 1 END) OVER (PARTITION BY conv_id ORDER BY i) AS rn,
+    sum(CASE WHEN audit[i] = 'D' THEN 0 ELSE 1 END) OVER (PARTITION BY conv_id ORDER BY i) AS place FROM letters),
+kept AS (
+  SELECT e.conv_id, i, l, place, CASE WHEN l <> 'I' THEN x.role END AS role, CASE WHEN l = 'I' THEN '' ELSE x.text END AS text
+  FROM edits e LEFT JOIN lines x ON x.conv_id IS NOT DISTINCT FROM e.conv_id AND x.rn = e.rn WHERE l <> 'D'),
+opened AS (SELECT *, coalesce(bool_or(place = 1 AND l = 'K' AND role[1] = 's') OVER (PARTITION BY conv_id), FALSE) AS s FROM kept),
+repaired AS (
+  SELECT conv_id, string_agg(CASE WHEN l = 'K' THEN role WHEN (place - CASE WHEN s THEN 1 ELSE 0 END) % 2 = 1 THEN 'user'
+    ELSE 'assistant' END || ':' || text, chr(10) ORDER BY i) AS t FROM opened GROUP BY conv_id),
+counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+    count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated,
+    count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM lines GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(b.c, 0)::BIGINT AS cost,
+  coalesce(b.a, '') AS audit, sha256(coalesce(t, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM o.conv_id"""

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from streamfuse.llm.common import written
+from streamfuse.llm.common import crc32_sql, written
 
 ID = 16  # bytes of a turn id and of a chained hash
 # Turns of one suffix, turns of one shard, and suffixes that a container holds before it bursts.
@@ -359,3 +359,34 @@ def borrowed_beginnings(turns: DataFrame) -> DataFrame:
 def rebuilt_trie(conversations: DataFrame) -> DataFrame:
     """The nodes of the trie of conversations with borrowed beginnings."""
     return prefix_trie(borrowed_beginnings(turn_rows(conversations))).drop("name", "up")
+
+
+def oracle_sql() -> str:
+    """The same in SQL: all beginnings of all sequences, subtrees by comparing beginnings."""
+    return f"""
+WITH turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(role) || ':' || role || text)) AS pos,
+    md5(length(role) || ':' || role || text) AS id, length(text) AS n
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)),
+heads AS (SELECT conv_id, {crc32_sql("conv_id::VARCHAR")} % 6 AS h FROM (SELECT DISTINCT conv_id FROM turns)),
+rows_ AS (
+  SELECT conv_id, pos, id, n FROM turns JOIN heads USING (conv_id) WHERE pos > h
+  UNION ALL SELECT c.conv_id, pos, id, n FROM heads c JOIN turns t ON t.conv_id = c.conv_id - c.conv_id % 100 WHERE pos <= h),
+sequences AS (
+  SELECT conv_id, coalesce(list(id ORDER BY pos) FILTER (id IS NOT NULL), []) AS ids, coalesce(list(n ORDER BY pos) FILTER (id IS NOT NULL), []) AS ns
+  FROM heads LEFT JOIN rows_ USING (conv_id) GROUP BY conv_id),
+members AS (
+  SELECT conv_id, d, array_to_string(ids[1:d], '') AS k, CASE WHEN d > 0 THEN ns[d] ELSE 0 END AS chars, d = len(ids) AS ends
+  FROM (SELECT *, unnest(range(len(ids) + 1)) AS d FROM sequences)),
+nodes AS (
+  SELECT k, d, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(chars) AS saved,
+    coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '') AS own FROM members GROUP BY k, d),
+families AS (
+  SELECT p.k, p.d, count(c.k) AS n_children FROM nodes p LEFT JOIN nodes c ON c.d = p.d + 1 AND starts_with(c.k, p.k) GROUP BY p.k, p.d),
+sums AS (
+  SELECT t.k, t.d, count(*) FILTER (f.n_children = 0) AS n_leaves, sum(b.saved)::BIGINT AS saved_tokens
+  FROM nodes t JOIN nodes b ON b.d >= t.d AND starts_with(b.k, t.k) JOIN families f ON f.k = b.k AND f.d = b.d GROUP BY t.k, t.d)
+SELECT n.conv_id, n.d::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, n_children, n_leaves, saved_tokens,
+  sha256(n.own) AS ends_sha256
+FROM nodes n JOIN families USING (k, d) JOIN sums USING (k, d)
+LEFT JOIN nodes p ON p.d = n.d - 1 AND p.k = n.k[1:32 * (n.d - 1)]"""
