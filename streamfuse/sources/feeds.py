@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import warnings
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,6 +79,13 @@ def _stored(name: str, spark: SparkSession | None, skip_broken: bool = False) ->
     reader = session.read
     if skip_broken:
         reader = reader.option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true")
+        try:
+            return reader.parquet(name)
+        except AnalysisException as problem:
+            if problem.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+                raise
+            # The one file that was asked for the schema is broken: ask all.
+            reader = reader.option("mergeSchema", "true")
     return reader.parquet(name)
 
 
@@ -88,9 +97,9 @@ def lost_files(
 ) -> DataFrame:
     """(client_id, endpoint, file, bytes): files of the sources given by path that give no row to a tolerant read.
 
-    A source whose path is missing or has no readable file at all has one line with a null file. Only names and lengths of
-    files are listed and names read back with the rows; no payload is read. A file that breaks after its first rows is not
-    told: the engine keeps what it has read of it.
+    A source whose path is missing or has no readable file at all has one line with a null file. Files without a row are
+    opened once more, to leave out those that have none. A file that breaks after its first rows is not told: the engine keeps
+    what it has read of it.
     """
     session = _session(spark)
     parts = [session.createDataFrame([], LOST)]
@@ -108,11 +117,31 @@ def lost_files(
             parts.append(gone)
             continue
         told = read.select(F.col("_metadata.file_path").alias("file")).distinct()
-        files = there.select(F.col("_metadata.file_path").alias("file"), F.col("length").alias("bytes"))
-        parts.append(files.join(told, "file", "left_anti").select(*named, "file", "bytes"))
+        files = there.select(F.col("_metadata.file_path").alias("file"))
+        # Names only, of files without a row; the driver lists all of a source's names anyway.
+        silent = [r["file"] for r in files.join(told, "file", "left_anti").collect()]
+        if silent:
+            held = session.read.format("binaryFile").option("ignoreMissingFiles", "true").load(silent)
+            named_files = held.select(F.col("_metadata.file_path").alias("file"), F.col("length").alias("bytes"), "content")
+            lost = named_files.mapInArrow(_not_empty, "file string, bytes bigint")
+            parts.append(lost.select(*named, "file", "bytes"))
     return reduce(DataFrame.unionByName, parts)
 
 
+def _not_empty(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of files that gave no row those that are not simply empty."""
+
+    def rows(content: bytes) -> int | None:
+        try:
+            return pq.read_metadata(pa.BufferReader(content)).num_rows
+        except (pa.ArrowException, OSError):
+            return None
+
+    for batch in batches:
+        lost = [rows(c.as_py()) != 0 for c in batch.column(2)]
+        yield batch.select([0, 1]).filter(pa.array(lost, pa.bool_()))
+
+
 def read_deliveries(
     spark: SparkSession,
     path: str | None = None,

@@ -112,3 +112,59 @@ def test_event_log_keeps_the_rest_of_each_row(spark):
         ("DUPLICATE", 6, '{"sig":"ab","source":"x"}'),
         ("POOL", 5, '{"status":"connected"}'),
     ]
+
+
+def test_a_file_that_breaks_loses_its_own_rows_only(spark, tmp_path):
+    paths = [tmp_path / f"s{i}" for i in range(3)]
+    for i, path in enumerate(paths):
+        spark.range(100 * i, 100 * i + 100).repartition(4).write.parquet(str(path))
+    broken = sorted(paths[1].glob("*.parquet"))[0]
+    lost = spark.read.parquet(str(broken)).count()
+    broken.write_bytes(broken.read_bytes()[: broken.stat().st_size // 2])
+    (paths[1] / f".{broken.name}.crc").unlink()
+    sources = list(zip((A, B, C), map(str, paths), strict=True))
+    with pytest.raises(Exception, match="FAILED_READ_FILE|not a Parquet"):
+        feeds.fan_in(sources, spark, require_any=True).collect()
+    feed = feeds.fan_in(sources, spark, require_any=True, skip_broken=True)
+    got = {r.client_id: r["count"] for r in feed.groupBy("client_id").count().collect()}
+    assert got == {"client-1": 100, "client-2": 100 - lost, "client-3": 100} and lost > 0
+    (line,) = feeds.lost_files(sources, spark).collect()
+    assert (line.client_id, line.endpoint, line.bytes) == ("client-2", B.url, broken.stat().st_size)
+    assert line.file.endswith(broken.name)
+
+
+def test_missing_and_unreadable_sources_have_one_line_each(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "good"))
+    spark.createDataFrame([("no Parquet",)], "value string").write.text(str(tmp_path / "text"))
+    sources = [(A, str(tmp_path / "gone")), (B, str(tmp_path / "good")), (C, str(tmp_path / "text"))]
+    with pytest.warns(UserWarning):
+        feed = feeds.fan_in(sources, spark, require_any=True, skip_broken=True)
+    assert [r.client_id for r in feed.select("client_id").distinct().collect()] == ["client-2"]
+    got = {(r.client_id, r.file) for r in feeds.lost_files(sources, spark).collect()}
+    assert got == {("client-1", None), ("client-3", None)}
+
+
+@pytest.mark.parametrize("streaming", [False, True])
+def test_payload_stored_as_variants(spark, tmp_path, streaming):
+    body = (b"sig", False, ([b"sig"], '{"accountKeys":["a","b"]}'))
+    rows = [
+        (1, (body, 7, '{"err":{"code":1},"fee":5}', None, {"x": "[1,2]"})),
+        (2, ((b"t", True, ([], "no json")), 8, None, None, None)),
+        (3, None),
+    ]
+    full = [("client-1", A.url, 1, i, 100, t, None, None, "confirmed") for i, t in rows]
+    texts = spark.createDataFrame(full, schemas.DELIVERY)
+    routing.with_variants(texts).write.parquet(str(tmp_path / "in"))
+    feed = feeds.read_deliveries(spark, str(tmp_path / "in"), schema=schemas.STORED_DELIVERY, streaming=streaming)
+    flat = routing.flatten_transactions(feed)
+    flat = flat.select(
+        "seq", "account_keys", "failed", F.try_variant_get("meta", "$.fee", "bigint").alias("fee"),
+        F.try_variant_get(F.try_element_at("transaction.extra", F.lit("x")), "$[1]", "int").alias("x"),
+    )
+    if streaming:
+        query = flat.writeStream.format("memory").queryName("variants").trigger(availableNow=True)
+        query.option("checkpointLocation", str(tmp_path / "cp")).start().awaitTermination()
+        flat = spark.table("variants")
+    assert sorted(map(tuple, flat.collect())) == [(1, ["a", "b"], True, 5, 2), (2, None, False, None, None), (3, None, None, None, None)]
+    same = routing.flatten_transactions(texts).select("seq", "account_keys", "failed")
+    assert sorted(map(tuple, same.collect())) == sorted((r[0], r[1], r[2]) for r in flat.collect())

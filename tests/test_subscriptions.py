@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -148,3 +150,47 @@ def test_a_requested_commitment_needs_its_column(spark):
     frame = spark.createDataFrame([(1, "other", "x")], "id int, kind string, owner string")
     with pytest.raises(ValueError, match="commitment"):
         subs.subscribe(frame, {"accounts": {"w": {}}, "commitment": "finalized"})
+
+
+def account_table(spark, accounts):
+    return spark.createDataFrame([(a,) for a in accounts], "account string")
+
+
+def test_lists_as_tables_equal_lists(spark):
+    draw = random.Random(5)
+    rows = []
+    for i in range(400):
+        keys = draw.choice([None, [], [draw.choice("abcdefgh") for _ in range(draw.randrange(1, 6))]])
+        rows.append((i % 7, i, keys, draw.choice([True, False, None]), draw.choice([True, False, None])))
+    df = spark.createDataFrame(rows, "part int, seq long, account_keys array<string>, is_vote boolean, failed boolean")
+    for _ in range(12):
+        lists = {
+            kind: draw.choice([None, [], draw.sample("abcdefgh", draw.randrange(1, 4))]) for kind in ("include", "exclude", "required")
+        }
+        flags = {"vote": draw.choice([None, True, False]), "failed": draw.choice([None, True, False])}
+        want = df.filter(subs.transaction_filter(**{k: v or () for k, v in lists.items()}, **flags))
+        tables = subs.AccountTables(**{k: None if v is None else account_table(spark, v + v) for k, v in lists.items()}, **flags)
+        got = subs.accounts_filter(df, ["part", "seq"], tables)
+        assert got.columns == df.columns
+        assert sorted(r.seq for r in got.collect()) == sorted(r.seq for r in want.collect())
+
+
+def test_named_tables_equal_named_lists(spark):
+    rows = [(i, list(k), i % 2 == 0, i % 3 == 0) for i, k in enumerate(["ab", "bc", "a", "", "abc", "cd", "d", "bb"])]
+    df = spark.createDataFrame(rows, "seq long, account_keys array<string>, is_vote boolean, failed boolean")
+    lists = {"one": {"include": ["a", "d"]}, "two": {"required": ["b", "c"]}, "three": {"exclude": ["a", "b"], "failed": False}}
+    want = subs.named_filters(df, {n: subs.transaction_filter(**f) for n, f in lists.items()})
+    tables = {
+        n: subs.AccountTables(**{k: account_table(spark, v) if isinstance(v, list) else v for k, v in f.items()})
+        for n, f in lists.items()
+    }
+    got = subs.named_table_filters(df, ["seq"], tables)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_long_lists_are_not_in_the_plan(spark):
+    df = spark.createDataFrame([(1, ["a77"], False, False)], "seq long, account_keys array<string>, is_vote boolean, failed boolean")
+    long = spark.range(20_000).select(F.concat(F.lit("a"), F.col("id").cast("string")).alias("account"))
+    got = subs.accounts_filter(df, ["seq"], subs.AccountTables(include=long))
+    assert got.count() == 1
+    assert len(got._jdf.queryExecution().optimizedPlan().toString()) < 10_000
