@@ -1,2 +1,2 @@
 """Operators for training data: licences, fingerprints, mixing, languages, secrets, packing, quality,
-lines, vector search and near duplicates. Nothing outside this package imports it."""
+lines, vector search, near duplicates, conversations and web pages. Nothing outside this package imports it."""

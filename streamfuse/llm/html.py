@@ -74,7 +74,11 @@ LEFT_OUT_CLASSES = frozenset(
     " banners popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended"
     " recommendations pagination pager toolbar search searchbox form skip copyright legal disclaimer".split()
 )
-COMMENT_HEADING = re.compile(r"(\d+ )?(comments?|replies|responses)( \(\d+\))?|leave a (comment|reply)", re.IGNORECASE)
+COMMENT_HEADING = re.compile(
+    r"(\d+ )?((readers?|readers'|user) )?(comments?|replies|responses|(leser)?kommentare?|commentaires?|comentarios?)"
+    r"( \(\d+\))?:?|leave a (comment|reply)",
+    re.IGNORECASE,
+)
 LISTS = frozenset("ul ol dl div section table".split())
 
 TOKEN = re.compile(

@@ -216,7 +216,7 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -
     excerpt = F.substring("text", start, F.lit(SAMPLE_CHARS))
     # The drawn ids are SAMPLE_ROWS in number, give or take chance.
     found = docs.filter(F.col("text").isNotNull()).join(F.broadcast(drawn), "doc_id")
-    return sorted(set(map(tuple, found.select("quality", excerpt.alias("t")).collect())))
+    return sorted(map(tuple, found.select("quality", excerpt.alias("t")).distinct().collect()))
 
 
 def fit(sample: list[tuple[int, str]]) -> tuple[WordVectors, Network] | None:

@@ -128,6 +128,12 @@ def test_wrappers_stay_small_however_odd_the_classes_are():
     assert wrapper.size() < 100
 
 
+@pytest.mark.parametrize("heading", ["Comments", "12 comments", "Reader comments:", "Kommentare (3)", "Commentaires", "Leave a reply"])
+def test_sections_of_comments_are_known_by_their_heading(heading):
+    page = f"<main><p>Text.</p><div><h3>{heading}</h3><p>first!</p></div><div><h3>Comments on law</h3><p>More.</p></div></main>"
+    assert html.main_text(html.parse(page), html.Rules()) == "Text. Comments on law More."
+
+
 def test_awkward_pages(spark):
     deep = "<div>" * 5_000 + "deep" + "</div>" * 5_000
     rows = [
