@@ -319,11 +319,11 @@ WHERE list_has_any(account_keys, ['tclick', 'tview', 'terror', 'u7'])
     "f3_account_tables": select(
         DELIVERIES,
         """
-, high AS (SELECT DISTINCT 'u' || user_id::VARCHAR AS account FROM events WHERE value > 150),
-marked AS (SELECT *, EXISTS (SELECT 1 FROM high WHERE list_contains(account_keys, account)) AS is_high FROM deliveries)
+, listed AS (SELECT DISTINCT 'u' || user_id::VARCHAR AS account FROM events WHERE user_id % 7 < 3),
+marked AS (SELECT *, EXISTS (SELECT 1 FROM listed WHERE list_contains(account_keys, account)) AS is_listed FROM deliveries)
 SELECT * FROM (SELECT ordinal, seq, concat_ws(',', CASE WHEN coalesce(is_vote, FALSE) THEN 'votes' END,
-    CASE WHEN is_high AND NOT failed THEN 'high' END,
-    CASE WHEN list_contains(account_keys, 'm3') AND NOT is_high THEN 'low_third' END) AS filters FROM marked) WHERE filters <> ''""",
+    CASE WHEN is_listed AND NOT failed THEN 'listed' END,
+    CASE WHEN list_contains(account_keys, 'm3') AND NOT is_listed THEN 'other_third' END) AS filters FROM marked) WHERE filters <> ''""",
     ),
     "f3_named_filters": select(
         DELIVERIES,

@@ -210,11 +210,11 @@ def f2_account_tables(spark, sf_dir):
 @query
 def f3_account_tables(spark, sf_dir):
     """Named filters whose lists come out of the events."""
-    high = _users(spark, sf_dir, F.col("value") > 150)
+    listed = _users(spark, sf_dir, F.col("user_id") % 7 < 3)
     filters = {
         "votes": subscriptions.AccountTables(vote=True),
-        "high": subscriptions.AccountTables(include=high, failed=False),
-        "low_third": subscriptions.AccountTables(exclude=high, required=_accounts(spark, "m3")),
+        "listed": subscriptions.AccountTables(include=listed, failed=False),
+        "other_third": subscriptions.AccountTables(exclude=listed, required=_accounts(spark, "m3")),
     }
     named = subscriptions.named_table_filters(samples.deliveries(spark, sf_dir), ["ordinal", "seq"], filters)
     return named.select("ordinal", "seq", F.concat_ws(",", "filters").alias("filters"))

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
+from streamfuse.functions.text import client_state
 from streamfuse.operators.health import client_changes_per_tick
 from streamfuse.operators.ticks import running_totals
 
@@ -27,9 +28,7 @@ def run_summary(
         F.count_if(~F.col("is_duplicate")).alias("n_unique"),
         F.count_if(F.col("is_duplicate")).alias("n_duplicate"),
     )
-    entry = F.concat_ws(
-        " ", "client_id", F.when(F.col("connected"), "CONNECTED").otherwise("DISCONNECTED")
-    )
+    entry = F.concat_ws(" ", "client_id", client_state(F.col("connected")))
     states = snapshot.agg(F.array_join(F.sort_array(F.collect_list(entry)), "; ").alias("states"))
     per_status = events.groupBy("client_id", "status").agg(F.count("*").alias("n"))
     entry = F.concat_ws(" ", "client_id", "status", F.col("n").cast("string"))
