@@ -11,8 +11,9 @@ SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="test tables are not here")
 HEALTH = ["w1_endpoint_events", "w2_pool_events", "w6_retry_schedule", "w7_outages", "w8_active_endpoints"]
 STREAMS = {
-    "d2_dedup_stream", "d2_dedup_micro_batches", "d3_expiry", "k1_split_sink", "k3_callbacks",
-    "w10_endpoint_events_stream", "w11_stale_stream",
+    "d2_dedup_stream", "d2_dedup_micro_batches", "d3_expiry", "d3_state_entries", "d5_stream_size",
+    "d6_stream_live_keys", "k1_split_sink", "k3_callbacks", "w9_status_job", "w10_endpoint_events_stream",
+    "w11_open_silences", "w11_stale_stream",
 }
 
 
