@@ -11,6 +11,7 @@ batch reads those from its own least time on, less the time-to-live, whatever th
 
 from collections.abc import Callable, Iterator, Sequence
 from functools import partial, reduce
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -27,8 +28,12 @@ from streamfuse.streaming.clock import CLOCK, with_clock
 
 # Cells of state in a time-to-live. More let keys leave sooner, fewer are less to look up.
 CELLS = 4
-# Cells that are looked up one by one; from there on the list of those that exist is asked for.
+# Pieces of state that are looked up one by one; from there on the list of those that exist is asked for.
 LOOKED_UP = 64
+# A piece of state is at most this part of the cells a batch sets anchors in.
+PARTS = 16
+# Before all cells.
+NEVER = -(1 << 62)
 HOUR_MS = 3_600_000
 # Folders of anchors that are named one by one when they are read.
 NAMED_CELLS = 500
@@ -39,6 +44,19 @@ def cell_width(ttl_ms: int) -> int:
     return max(1, ttl_ms // CELLS)
 
 
+def cut(first: int, end: int, level: int) -> list[tuple[int, int]]:
+    """The cells from ``first`` to before ``end`` as pieces (level, cell), the longest that fit up to a level.
+
+    A piece is 2**level cells, from a multiple of that on.
+    """
+    pieces = []
+    while first < end:
+        fits = max(n for n in range(level + 1) if first % (1 << n) == 0 and first + (1 << n) <= end)
+        pieces.append((fits, first))
+        first += 1 << fits
+    return pieces
+
+
 def dedup_ttl_stream(
     df: DataFrame,
     key: str,
@@ -51,13 +69,15 @@ def dedup_ttl_stream(
     """Add ``is_duplicate``, ``anchor_ms`` and, with ``lateness_ms``, ``maybe_expired`` to a stream.
 
     ``key`` is a binary or text column; rows without a key or without a time are unique. A row older than
-    its anchor is a duplicate. Python is called once for a bucket of keys. A bucket's state is one entry for each cell of
-    time, with the keys that have an anchor there, so a micro-batch reads and writes a few entries for a bucket.
+    its anchor is a duplicate. Python is called once for a bucket of keys. A bucket's state is one entry for each piece of
+    time, with the keys that have an anchor there. A piece is a cell, or many where a micro-batch sets anchors in many, so a
+    micro-batch reads and writes a few dozen entries for a bucket however long a time it spans.
 
     State is unbounded by default, which is what the rule needs: a row may repeat an anchor however
-    late it comes. With ``lateness_ms`` an event-time timer for each cell lets its keys go when the watermark, the
+    late it comes. With ``lateness_ms`` an event-time timer for each piece lets the keys of its cells go when the watermark, the
     newest time of the whole feed, is later than the cell's end, ``ttl_ms`` and ``lateness_ms`` together; that is at most a
-    quarter of the time-to-live after the same counted from the anchor, and happens in buckets without rows too. Rows are
+    quarter of the time-to-live after the same counted from the anchor, and happens in buckets without rows too. What is left
+    of a piece is dealt to shorter ones. Rows are
     never dropped for being late; unique rows that come so late that their anchor may have left are flagged.
     ``buckets`` and ``ttl_ms`` must not change over the life of a checkpoint. All rows of a bucket in one micro-batch meet in
     one task: limit the rate at the source, or use ``MicroBatchDedup`` where keys are frequent. Sets the session's
@@ -78,8 +98,8 @@ def dedup_ttl_stream(
     class Judge(StatefulProcessor):
         def init(self, handle: StatefulProcessorHandle) -> None:
             self.handle = handle
-            self.cells = handle.getMapState("cells", "cell bigint", entry)
-            self.newest = handle.getValueState("newest", "cell bigint")
+            self.cells = handle.getMapState("cells", "level int, cell bigint", entry)
+            self.ends = handle.getValueState("ends", "by_level array<bigint>")
 
         def handleInputRows(self, key_, rows, timerValues) -> Iterator[pd.DataFrame]:
             if key_[0] == CLOCK:
@@ -99,7 +119,8 @@ def dedup_ttl_stream(
                 of = codes[keyed:]
                 starts = np.flatnonzero(np.diff(of, prepend=-1))
                 stored = self._stored((int(times.min()) - ttl_ms) // width)
-                latest = {k: a for cell in sorted(stored) for k, a in zip(*stored[cell], strict=True)}
+                known = [pair for held in stored.values() for pair in zip(*held, strict=True)]
+                latest = dict(sorted(known, key=itemgetter(1)))
                 seen = [latest.get(k) for k in keys]
                 seeded = np.array([a is not None for a in seen])
                 seeds = np.array([0 if a is None else a for a in seen], dtype=np.int64)
@@ -112,37 +133,69 @@ def dedup_ttl_stream(
                 repeat[keyed:], anchor[keyed:] = ~marks, values
                 last = values[np.append(starts[1:], len(of)) - 1]
                 changed = np.flatnonzero(~seeded | (last != seeds))
-                self._store(stored, [(int(last[i]), keys[i]) for i in changed])
+                if len(changed):
+                    at = last[changed] // width
+                    first, end = int(at.min()), int(at.max()) + 1
+                    pieces = cut(first, end, max(1, (end - first) // PARTS).bit_length() - 1)
+                    self._store(pieces, [keys[i] for i in changed], last[changed], stored.get)
                 if lateness_ms is not None:
                     late[keyed:] = marks & (times <= timerValues.getCurrentWatermarkInMs() - lateness_ms)
             yield found.assign(_repeat=repeat, _anchor_ms=anchor, _late=late)[columns]
 
-        def _stored(self, first: int) -> dict[int, tuple[list, list]]:
-            """Keys and anchors by cell, from a cell on."""
-            newest = self.newest.get()[0] if self.newest.exists() else first - 1
-            cells = range(first, newest + 1)
-            if len(cells) > LOOKED_UP:
-                cells = [c for (c,) in self.cells.keys() if c >= first]
-            entries = ((c, self.cells.getValue((c,))) for c in cells)
-            return {c: ([plain(k) for k in e[0]], [int(a) for a in e[1]]) for c, e in entries if e is not None}
-
-        def _store(self, stored: dict, new: list[tuple]) -> None:
-            by_cell: dict[int, list[tuple]] = {}
-            for a, k in new:
-                by_cell.setdefault(a // width, []).append((k, a))
-            for cell, pairs in by_cell.items():
-                keys, anchors = stored.get(cell, ([], []))
-                if lateness_ms is not None and cell not in stored:
-                    self.handle.registerTimer((cell + 1) * width + ttl_ms + lateness_ms)
-                self.cells.updateValue((cell,), ([*keys, *(k for k, _ in pairs)], [*anchors, *(a for _, a in pairs)]))
-            if by_cell:
-                newest = max(by_cell)
-                if not self.newest.exists() or self.newest.get()[0] < newest:
-                    self.newest.update((newest,))
+        def _ends(self) -> list[int]:
+            """The first cell after the newest piece of each level."""
+            found = self.ends.get()
+            return [int(end) for end in found[0]] if found else []
+
+        def _entry(self, piece: tuple[int, int]) -> tuple[list, list] | None:
+            """Keys and anchors of a piece."""
+            found = self.cells.getValue(piece)
+            return found and ([plain(k) for k in found[0]], [int(a) for a in found[1]])
+
+        def _stored(self, first: int) -> dict[tuple[int, int], tuple[list, list]]:
+            """Keys and anchors by piece, of those that reach up to a cell or beyond."""
+            ranges = [range(first >> n << n, end, 1 << n) for n, end in enumerate(self._ends())]
+            if sum(map(len, ranges)) > LOOKED_UP:
+                pieces = [(n, c) for n, c in self.cells.keys() if c + (1 << n) > first]
+            else:
+                pieces = [(n, c) for n, cells in enumerate(ranges) for c in cells]
+            entries = ((p, self._entry(p)) for p in pieces)
+            return {p: e for p, e in entries if e is not None}
+
+        def _store(self, pieces: list[tuple[int, int]], keys: list, anchors: np.ndarray, held: Callable) -> None:
+            """Add anchors to the pieces that their cells are in; ``held`` gives what a piece has."""
+            of = np.searchsorted([c for _, c in pieces], anchors // width, side="right") - 1
+            before = self._ends()
+            levels = max(len(before), 1 + max(n for n, _ in pieces))
+            ends = before + [NEVER] * (levels - len(before))
+            for i in np.unique(of):
+                piece, rows = pieces[i], np.flatnonzero(of == i)
+                old = held(piece)
+                if lateness_ms is not None and old is None:
+                    self.handle.registerTimer((piece[1] + 1) * width + ttl_ms + lateness_ms)
+                old_keys, old_anchors = old or ([], [])
+                self.cells.updateValue(piece, ([*old_keys, *(keys[r] for r in rows)], [*old_anchors, *anchors[rows].tolist()]))
+                ends[piece[0]] = max(ends[piece[0]], piece[1] + (1 << piece[0]))
+            if ends != before:
+                self.ends.update((ends,))
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-            cell = (expiredTimerInfo.getExpiryTimeInMs() - ttl_ms - lateness_ms) // width - 1
-            self.cells.removeKey((cell,))
+            after = ttl_ms + lateness_ms
+            cell = (expiredTimerInfo.getExpiryTimeInMs() - after) // width - 1
+            # The first cell that is not too old.
+            first = max(cell + 1, (timerValues.getCurrentWatermarkInMs() - after) // width)
+            for level, end in enumerate(self._ends()):
+                if end <= cell or cell % (1 << level):
+                    continue
+                entry = self._entry((level, cell))
+                if entry is None:
+                    continue
+                self.cells.removeKey((level, cell))
+                anchors = np.array(entry[1], dtype=np.int64)
+                left = np.flatnonzero(anchors // width >= first)
+                if len(left):
+                    pieces = cut(first, cell + (1 << level), level)
+                    self._store(pieces, [entry[0][i] for i in left], anchors[left], self._entry)
             return iter(())
 
         def close(self) -> None:

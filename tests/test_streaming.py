@@ -129,6 +129,34 @@ def test_keys_leave_a_silent_bucket(spark, tmp_path):
         assert (size["tick_ms"], size["size"], size.cap_would_act) == (now, len(live), len(live) >= 3)
 
 
+def test_pieces_cover_each_cell_once():
+    for first, end, level in [(0, 1, 0), (-5, 77, 4), (3, 4, 9), (-64, 64, 6), (1, 10_000, 20)]:
+        pieces = stream.cut(first, end, level)
+        assert [c for n, at in pieces for c in range(at, at + (1 << n))] == list(range(first, end))
+        assert all(n <= level and at % (1 << n) == 0 for n, at in pieces)
+        assert len(pieces) <= 2 * level + 2 + ((end - first) >> level)
+
+
+def test_a_batch_over_many_cells_makes_few_entries_and_loses_cell_by_cell(spark, tmp_path):
+    width, lateness = TTL // 4, 3_000
+    old = [(f"k{i}".encode(), BASE + 7 * i, 1, i) for i in range(1200)]
+    # The last rows repeat keys of the end of the first batch, and move the watermark into the midst of its pieces.
+    late = [(f"k{i}".encode(), BASE + 8_400, 2, i) for i in range(1195, 1200)]
+    for step in (old, late):
+        spark.createDataFrame(step, SCHEMA).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        judged = stream.dedup_ttl_stream(
+            read(spark, tmp_path / "in"), "signature", "received_ms", TTL, lateness_ms=lateness, buckets=1
+        )
+        out = judged.writeStream.format("parquet").option("path", str(tmp_path / "out"))
+        run(out.option("checkpointLocation", str(tmp_path / "cp")))
+        now = max(r[1] for r in step)
+        entries = spark.read.format("statestore").option("stateVarName", "cells").load(str(tmp_path / "cp"))
+        assert entries.count() < 80  # one for each cell would be 204
+        held = sorted((bytes(r.signature), r.anchor_ms) for r in stream.state_anchors(spark, str(tmp_path / "cp"), "signature").collect())
+        assert held == sorted((k, t) for k, t, *_ in old if (t // width + 1) * width + TTL + lateness > now)
+    assert result(spark.read.parquet(str(tmp_path / "out"))) == fold_rows(old + late, TTL)
+
+
 def test_very_late_rows_find_their_cells(spark, tmp_path):
     """Rows come back after more cells than are looked up one by one."""
     far = TTL * 200
